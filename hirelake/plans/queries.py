@@ -165,3 +165,261 @@ def q_preferred_row(spark, sf_dir):
 @register("surrogate_key")
 def q_surrogate_key(spark, sf_dir):
     return P(spark, sf_dir).final().select("job_key", "source_job_id", "normalized_job_source", "job_url")
+
+
+# -- 2.10 star schema ------------------------------------------------------------------
+
+def S(spark: SparkSession, sf_dir: str):
+    from hirelake.plans.star import Star
+    return Star(P(spark, sf_dir))
+
+
+@register("build_dim_date")
+def q_dim_date(spark, sf_dir):
+    return S(spark, sf_dir).dim_date()
+
+
+@register("build_dim_company")
+def q_dim_company(spark, sf_dir):
+    return S(spark, sf_dir).dim_company()
+
+
+@register("build_dim_location")
+def q_dim_location(spark, sf_dir):
+    return S(spark, sf_dir).dim_location()
+
+
+@register("build_dim_source")
+def q_dim_source(spark, sf_dir):
+    return S(spark, sf_dir).dim_source()
+
+
+@register("build_dim_employment_type")
+def q_dim_employment_type(spark, sf_dir):
+    return S(spark, sf_dir).dim_employment_type()
+
+
+@register("build_dim_job")
+def q_dim_job(spark, sf_dir):
+    return S(spark, sf_dir).dim_job()
+
+
+@register("build_dim_skills")
+def q_dim_skills(spark, sf_dir):
+    return S(spark, sf_dir).dim_skills()
+
+
+@register("build_fact_posting")
+def q_fact(spark, sf_dir):
+    return S(spark, sf_dir).fact().drop("description")
+
+
+@register("dense_sequence")
+def q_dense_sequence(spark, sf_dir):
+    return S(spark, sf_dir).fact().select("job_posting_key", "job_key", "job_url")
+
+
+@register("build_bridge_job_skills")
+def q_bridge(spark, sf_dir):
+    return S(spark, sf_dir).bridge()
+
+
+@register("date_key")
+def q_date_key(spark, sf_dir):
+    from hirelake.functions.dates import date_key
+    from hirelake.sources.tables import read_table
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", date_key(F.to_date("o_orderdate")).alias("order_date_key"))
+
+
+@register("nullable_key")
+def q_nullable_key(spark, sf_dir):
+    return S(spark, sf_dir).fact().select("job_key", "company_key", "employment_type_key")
+
+
+@register("pipe_key")
+def q_pipe_key(spark, sf_dir):
+    return S(spark, sf_dir).dim_skills()
+
+
+# -- 2.11 skill tagging ------------------------------------------------------------------
+
+@register("tag_phrases")
+def q_tag_phrases(spark, sf_dir):
+    from hirelake.plans.star import extracted_skills
+    return extracted_skills(P(spark, sf_dir).final())
+
+
+@register("stage_skills")
+def q_stage_skills(spark, sf_dir):
+    from hirelake.plans.star import extracted_skills
+    from hirelake.operators.tagging import stage_skills
+    return stage_skills(extracted_skills(P(spark, sf_dir).final()))
+
+
+@register("high_confidence")
+def q_high_confidence(spark, sf_dir):
+    return S(spark, sf_dir).skills()
+
+
+@register("pending_work")
+def q_pending_work(spark, sf_dir):
+    from hirelake.operators.tagging import pending_work
+    return pending_work(P(spark, sf_dir).final(), None, None).select("job_key")
+
+
+@register("tag_run_log")
+def q_tag_run_log(spark, sf_dir):
+    from hirelake.operators.tagging import pending_work, tag_run_log
+    from hirelake.plans.star import DEMO_CATALOG, RUN_TS
+    from hirelake.operators.tagging import tag_documents
+    work = pending_work(P(spark, sf_dir).final(), None, None)
+    return tag_run_log(work, tag_documents(work, DEMO_CATALOG), RUN_TS)
+
+
+@register("normalize_text")
+def q_normalize_text(spark, sf_dir):
+    from hirelake.operators.tagging import normalize_text
+    from hirelake.sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.length(normalize_text("text")).alias("normalized_chars"),
+                    F.md5(normalize_text("text")).alias("normalized_md5"))
+
+
+@register("detect_arabic")
+def q_detect_arabic(spark, sf_dir):
+    from hirelake.operators.tagging import detect_arabic
+    from hirelake.sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", "lang", detect_arabic("text").alias("is_arabic"))
+
+
+# -- 2.8 history ---------------------------------------------------------------------------
+
+@register("scd2_current")
+def q_scd2_current(spark, sf_dir):
+    from hirelake.operators.history import scd2_current
+    return scd2_current(S(spark, sf_dir).snapshot()).select(
+        "job_key", "normalized_job_status", "normalized_job_category", "seniority_level",
+        "dbt_scd_id", "dbt_valid_from", "dbt_valid_to")
+
+
+# -- 2.12 reports ----------------------------------------------------------------------------
+
+def _report(fn_name, *parts):
+    from hirelake.operators import reports as R
+
+    def run(spark, sf_dir):
+        s = S(spark, sf_dir)
+        return getattr(R, fn_name)(*[getattr(s, p)() for p in parts])
+    return run
+
+
+QUERIES["total_postings"] = _report("total_postings", "fact")
+QUERIES["postings_by_city_region"] = _report("postings_by_city_region", "fact", "dim_location")
+QUERIES["postings_by_employment_type"] = _report("postings_by_employment_type", "fact", "dim_employment_type")
+QUERIES["postings_by_workplace"] = _report("postings_by_workplace", "fact")
+QUERIES["experience_requirements"] = _report("experience_requirements", "fact", "dim_job")
+QUERIES["postings_by_source"] = _report("postings_by_source", "fact", "dim_source")
+QUERIES["postings_by_channel"] = _report("postings_by_channel", "fact", "dim_source")
+QUERIES["top_skills"] = _report("top_skills", "bridge", "dim_skills")
+QUERIES["posting_trend"] = _report("posting_trend", "fact", "dim_date")
+
+
+# -- 2.13 checks ---------------------------------------------------------------------------------
+
+@register("check_not_null")
+def q_check_not_null(spark, sf_dir):
+    from hirelake.operators.checks import check_not_null
+    p = P(spark, sf_dir)
+    return check_not_null(p.dated(), "normalized_job_posted_date", "error", ID)
+
+
+@register("check_unique")
+def q_check_unique(spark, sf_dir):
+    from hirelake.operators.checks import check_unique
+    return check_unique(P(spark, sf_dir).final(), "job_key")
+
+
+@register("check_unique_combination")
+def q_check_unique_combination(spark, sf_dir):
+    from hirelake.operators.checks import check_unique_combination
+    return check_unique_combination(P(spark, sf_dir).preferred(), ["job_title", "company_name", "normalized_city_name"])
+
+
+@register("check_accepted_values")
+def q_check_accepted_values(spark, sf_dir):
+    from hirelake.functions import rules
+    from hirelake.operators.checks import check_accepted_values
+    from hirelake.sources.tables import read_table
+    # order status against the single-letter codes the orders table uses
+    _ = rules
+    return check_accepted_values(read_table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
+
+
+@register("check_relationships")
+def q_check_relationships(spark, sf_dir):
+    from hirelake.operators.checks import check_relationships
+    s = S(spark, sf_dir)
+    return check_relationships(s.fact(), "job_key", s.dim_job(), "job_key")
+
+
+@register("check_accepted_range")
+def q_check_accepted_range(spark, sf_dir):
+    from hirelake.operators.checks import check_accepted_range
+    from hirelake.sources.tables import read_table
+    li = read_table(spark, sf_dir, "lineitem")
+    return check_accepted_range(li, "l_discount", 0.0, 0.08, ["l_orderkey", "l_linenumber"])
+
+
+@register("check_flag_consistency")
+def q_check_flag_consistency(spark, sf_dir):
+    from hirelake.operators.checks import check_flag_consistency
+    return check_flag_consistency(P(spark, sf_dir).final(), "has_category_data", "normalized_job_category", ["job_key"])
+
+
+@register("check_dedupe_exact")
+def q_check_dedupe_exact(spark, sf_dir):
+    from hirelake.operators.checks import check_dedupe_exact
+    p = P(spark, sf_dir)
+    return check_dedupe_exact(p.staged(), p.deduped(), ID)
+
+
+@register("check_no_duplicates")
+def q_check_no_duplicates(spark, sf_dir):
+    from hirelake.operators.checks import check_no_duplicates
+    return check_no_duplicates(P(spark, sf_dir).deduped(), ID)
+
+
+@register("check_group_row_count")
+def q_check_group_row_count(spark, sf_dir):
+    from hirelake.operators.checks import check_group_row_count
+    p = P(spark, sf_dir)
+    return check_group_row_count(p.final(), p.preferred(), [
+        F.trim(F.lower("job_title")), F.trim(F.lower("company_name")), F.col("normalized_city_name")])
+
+
+@register("check_year_ranges")
+def q_check_year_ranges(spark, sf_dir):
+    from hirelake.operators.checks import check_year_ranges
+    return check_year_ranges(P(spark, sf_dir).final(), keep=["job_key", "experience_years"])
+
+
+@register("check_posted_dates")
+def q_check_posted_dates(spark, sf_dir):
+    from hirelake.operators.checks import check_posted_dates
+    return check_posted_dates(P(spark, sf_dir).final(), None, ["job_key"])
+
+
+@register("check_fact_foreign_keys")
+def q_check_fact_foreign_keys(spark, sf_dir):
+    from hirelake.operators.checks import check_fact_foreign_keys
+    s = S(spark, sf_dir)
+    return check_fact_foreign_keys(s.fact(), {
+        "job_key": (s.dim_job(), "job_key"),
+        "company_key": (s.dim_company(), "company_key"),
+        "location_key": (s.dim_location(), "location_key"),
+        "source_key": (s.dim_source(), "source_key"),
+        "employment_type_key": (s.dim_employment_type(), "employment_type_key"),
+        "job_posted_date_key": (s.dim_date(), "date_key"),
+    })

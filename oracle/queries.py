@@ -55,3 +55,108 @@ reg("preferred_row", on_chain("preferred", """SELECT job_key, job_title, company
 
 # -- 2.9 keys
 reg("surrogate_key", on_chain("final", "SELECT job_key, source_job_id, normalized_job_source, job_url FROM final"))
+
+# -- 2.10 star schema
+from oracle.sql import RUN_TS, on_star, q  # noqa: E402
+
+reg("build_dim_date", on_star("SELECT * FROM dim_date"))
+reg("build_dim_company", on_star("SELECT * FROM dim_company"))
+reg("build_dim_location", on_star("SELECT * FROM dim_location"))
+reg("build_dim_source", on_star("SELECT * FROM dim_source"))
+reg("build_dim_employment_type", on_star("SELECT * FROM dim_employment_type"))
+reg("build_dim_job", on_star("SELECT * FROM dim_job"))
+reg("build_dim_skills", on_star("SELECT * FROM dim_skills"))
+reg("build_fact_posting", on_star("SELECT * EXCLUDE (description) FROM fact"))
+reg("dense_sequence", on_star("SELECT job_posting_key, job_key, job_url FROM fact"))
+reg("build_bridge_job_skills", on_star("SELECT * FROM bridge"))
+reg("date_key", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key FROM orders")
+reg("nullable_key", on_star("SELECT job_key, company_key, employment_type_key FROM fact"))
+reg("pipe_key", on_star("SELECT * FROM dim_skills"))
+
+# -- 2.11 skill tagging
+reg("tag_phrases", on_star("SELECT * FROM extracted"))
+reg("stage_skills", on_star("SELECT * FROM stg_skills"))
+reg("high_confidence", on_star("SELECT * FROM int_skills"))
+reg("pending_work", on_star("SELECT job_key FROM work"))
+reg("tag_run_log", on_star(f"""SELECT w.job_key, TIMESTAMP {q(RUN_TS)} AS processed_at,
+ CAST(coalesce(c.n, 0) AS INTEGER) AS skill_count,
+ CASE WHEN coalesce(c.n, 0) > 0 THEN 'skills_found' ELSE 'no_skills_found' END AS status
+ FROM work w LEFT JOIN (SELECT job_key, count(*) AS n FROM extracted GROUP BY job_key) c ON w.job_key = c.job_key"""))
+reg("normalize_text", """SELECT doc_id,
+ CAST(length(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) AS INTEGER) AS normalized_chars,
+ md5(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) AS normalized_md5
+ FROM documents""")
+reg("detect_arabic", """SELECT doc_id, lang, coalesce(regexp_matches(text, '[\\x{0600}-\\x{06FF}]'), false) AS is_arabic
+ FROM documents""")
+
+# -- 2.8 history
+reg("scd2_current", on_star("""SELECT job_key, normalized_job_status, normalized_job_category, seniority_level,
+ dbt_scd_id, dbt_valid_from, dbt_valid_to FROM snapshot WHERE dbt_valid_to IS NULL"""))
+
+# -- 2.12 reports
+reg("total_postings", on_star("SELECT count(*) AS total_postings FROM fact"))
+reg("postings_by_city_region", on_star("""SELECT l.city, l.region, count(*) AS postings
+ FROM fact f JOIN dim_location l ON f.location_key = l.location_key GROUP BY l.city, l.region"""))
+reg("postings_by_employment_type", on_star("""SELECT coalesce(e.employment_type_name, 'Not Specified') AS employment_type,
+ count(*) AS postings FROM fact f LEFT JOIN dim_employment_type e ON f.employment_type_key = e.employment_type_key
+ GROUP BY 1"""))
+reg("postings_by_workplace", on_star("SELECT workplace_type, count(*) AS postings FROM fact GROUP BY workplace_type"))
+reg("experience_requirements", on_star("""SELECT j.seniority_level, count(*) AS postings,
+ min(f.experience_min_years) AS min_years, round(avg(f.experience_min_years), 4) AS avg_min_years,
+ round(avg(f.experience_max_years), 4) AS avg_max_years, max(f.experience_max_years) AS max_years
+ FROM fact f JOIN dim_job j ON f.job_key = j.job_key GROUP BY j.seniority_level"""))
+reg("postings_by_source", on_star("""SELECT s.source_name, count(*) AS postings
+ FROM fact f JOIN dim_source s ON f.source_key = s.source_key GROUP BY s.source_name"""))
+reg("postings_by_channel", on_star("""SELECT s.source_channel, count(*) AS postings
+ FROM fact f JOIN dim_source s ON f.source_key = s.source_key GROUP BY s.source_channel"""))
+reg("top_skills", on_star("""SELECT s.skill_name, s.skill_category, count(*) AS postings
+ FROM bridge b JOIN dim_skills s ON b.skill_key = s.skill_key GROUP BY s.skill_key, s.skill_name, s.skill_category
+ ORDER BY postings DESC, s.skill_name ASC, s.skill_category ASC LIMIT 10"""))
+reg("posting_trend", on_star("""SELECT d.year, d.month, count(*) AS postings
+ FROM fact f JOIN dim_date d ON f.job_posted_date_key = d.date_key GROUP BY d.year, d.month"""))
+
+# -- 2.13 checks
+reg("check_not_null", on_chain("dated", f"""SELECT {ID}, 'normalized_job_posted_date' AS column_name,
+ 'error' AS severity FROM dated WHERE normalized_job_posted_date IS NULL"""))
+reg("check_unique", on_chain("final", "SELECT job_key, count(*) AS duplicate_count FROM final GROUP BY job_key HAVING count(*) > 1"))
+reg("check_unique_combination", on_chain("preferred", """SELECT job_title, company_name, normalized_city_name,
+ count(*) AS duplicate_count FROM preferred GROUP BY job_title, company_name, normalized_city_name HAVING count(*) > 1"""))
+reg("check_accepted_values", """SELECT o_orderstatus, count(*) AS n_records FROM orders
+ WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""")
+reg("check_relationships", on_star("""SELECT f.job_key FROM fact f LEFT JOIN dim_job d ON f.job_key = d.job_key
+ WHERE f.job_key IS NOT NULL AND d.job_key IS NULL"""))
+reg("check_accepted_range", """SELECT l_orderkey, l_linenumber, l_discount FROM lineitem
+ WHERE NOT (l_discount >= 0.0 AND l_discount <= 0.08)""")
+reg("check_flag_consistency", on_chain("final", """SELECT job_key, has_category_data, normalized_job_category FROM final
+ WHERE (has_category_data AND nullif(trim(normalized_job_category, ' '), '') IS NULL)
+    OR (NOT has_category_data AND nullif(trim(normalized_job_category, ' '), '') IS NOT NULL)"""))
+reg("check_dedupe_exact", on_chain("deduped", """SELECT b.before_rows, e.expected_rows, a.actual_rows,
+ b.before_rows - e.expected_rows AS expected_removed_rows, b.before_rows - a.actual_rows AS actual_removed_rows
+ FROM (SELECT count(*) AS before_rows FROM stg) b
+ CROSS JOIN (SELECT count(*) AS expected_rows FROM (SELECT source_job_id, job_url FROM stg GROUP BY 1, 2)) e
+ CROSS JOIN (SELECT count(*) AS actual_rows FROM deduped) a WHERE a.actual_rows <> e.expected_rows"""))
+reg("check_no_duplicates", on_chain("deduped", f"""SELECT {ID}, count(*) AS duplicate_count FROM deduped
+ GROUP BY {ID} HAVING count(*) > 1"""))
+reg("check_group_row_count", on_chain("preferred", """SELECT e.expected_rows, a.actual_rows FROM
+ (SELECT count(*) AS expected_rows FROM (SELECT trim(lower(job_title), ' '), trim(lower(company_name), ' '),
+  normalized_city_name FROM final GROUP BY 1, 2, 3)) e
+ CROSS JOIN (SELECT count(*) AS actual_rows FROM preferred) a WHERE e.expected_rows <> a.actual_rows"""))
+reg("check_year_ranges", on_chain("final", """SELECT job_key, experience_years, experience_min_years, experience_max_years
+ FROM final WHERE experience_min_years < 0 OR experience_max_years < 0
+  OR experience_min_years > experience_max_years OR experience_max_years > 50"""))
+_PD = """coalesce(CAST(try_strptime(CAST({x} AS VARCHAR), '%Y-%m-%d') AS DATE), CAST(try_cast(CAST({x} AS VARCHAR) AS TIMESTAMP) AS DATE),
+ CAST(try_strptime(CAST({x} AS VARCHAR), '%d-%b-%Y') AS DATE), CAST(try_strptime(CAST({x} AS VARCHAR), '%m/%d/%Y') AS DATE),
+ CAST(try_strptime(trim(CAST({x} AS VARCHAR), ' '), '%d %b %Y') AS DATE))"""
+reg("check_posted_dates", on_chain("final", f"""SELECT job_key, job_posted_date, collected_at,
+ parsed_job_posted_date, parsed_collected_date FROM (
+ SELECT job_key, job_posted_date, collected_at, {_PD.format(x='job_posted_date')} AS parsed_job_posted_date,
+  {_PD.format(x='collected_at')} AS parsed_collected_date FROM final)
+ WHERE (parsed_job_posted_date IS NOT NULL AND parsed_collected_date IS NOT NULL AND parsed_job_posted_date > parsed_collected_date)
+  OR (parsed_job_posted_date IS NOT NULL AND parsed_job_posted_date > (SELECT CAST(max(collected_at) AS DATE) FROM final))"""))
+_FK = [("job_key", "dim_job", "job_key"), ("company_key", "dim_company", "company_key"),
+       ("location_key", "dim_location", "location_key"), ("source_key", "dim_source", "source_key"),
+       ("employment_type_key", "dim_employment_type", "employment_type_key"),
+       ("job_posted_date_key", "dim_date", "date_key")]
+reg("check_fact_foreign_keys", on_star(" UNION ALL ".join(
+    f"SELECT f.job_posting_key, '{fk}' AS foreign_key_name FROM fact f LEFT JOIN {dim} d ON f.{fk} = d.{dk} "
+    f"WHERE f.{fk} IS NOT NULL AND d.{dk} IS NULL" for fk, dim, dk in _FK)))

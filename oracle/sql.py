@@ -223,3 +223,106 @@ def chain(upto: str, extra: list[tuple[str, str]] | None = None) -> str:
 
 def on_chain(upto: str, select: str, extra: list[tuple[str, str]] | None = None) -> str:
     return chain(upto, extra) + select
+
+
+# -- star schema, skills, snapshot -------------------------------------------------
+
+RUN_TS = "2026-12-02 00:00:00"
+
+
+def re2_escape(s: str) -> str:
+    return "".join("\\" + ch if ch in "\\.^$|?*+()[]{}" else ch for ch in s)
+
+
+def _alias_extract(text: str, alias: str) -> str:
+    pat = "(?i)(?:^|[^\\p{L}\\p{N}_])(" + re2_escape(alias) + ")(?:[^\\p{L}\\p{N}_]|$)"
+    return f"nullif(regexp_extract({text}, {q(pat)}, 1), '')"
+
+
+def _norm_text(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({x}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')"
+
+
+def skills_ctes(catalog) -> list[tuple[str, str]]:
+    seen, entries = set(), []
+    for name, cat, aliases in catalog:
+        if name.casefold() not in seen:
+            seen.add(name.casefold())
+            entries.append((name, cat, aliases))
+    parts = []
+    for name, cat, aliases in entries:
+        ev = "coalesce(" + ", ".join(_alias_extract("txt", a) for a in aliases) + ")" if len(aliases) > 1 \
+            else _alias_extract("txt", aliases[0])
+        parts.append(
+            f"SELECT job_key, {q(name)} AS skill_name, {q(cat)} AS skill_category, CAST(1.0 AS DOUBLE) AS confidence, "
+            f"left(coalesce(ar_ev, ev), 500) AS evidence_span FROM (SELECT job_key, ar_ev, {ev} AS ev FROM prepared) "
+            f"WHERE ev IS NOT NULL")
+    return [
+        ("work", f"""SELECT job_key, description FROM final
+ WHERE description IS NOT NULL AND {T('description')} <> ''
+ QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY job_key) = 1"""),
+        ("prepared0", f"SELECT job_key, {_norm_text('description')} AS orig FROM work"),
+        ("prepared", f"""SELECT job_key, {_norm_text('orig')} AS txt,
+ CASE WHEN regexp_matches(orig, '[\\x{{0600}}-\\x{{06FF}}]') THEN left(orig, 500) END AS ar_ev
+ FROM prepared0 WHERE orig <> ''"""),
+        ("extracted", " UNION ALL ".join(parts)),
+        ("stg_skills", """SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM (
+ SELECT job_key, trim(skill_name, ' ') AS skill_name, lower(trim(skill_category, ' ')) AS skill_category, confidence,
+  trim(evidence_span, ' ') AS evidence_span FROM extracted WHERE job_key IS NOT NULL AND skill_name IS NOT NULL)
+ QUALIFY row_number() OVER (PARTITION BY job_key, lower(skill_name) ORDER BY confidence DESC NULLS FIRST,
+  skill_name ASC NULLS LAST, skill_category ASC NULLS LAST, evidence_span ASC NULLS LAST) = 1"""),
+        ("int_skills", f"""SELECT job_key, lower(trim(skill_name, ' ')) AS skill_name,
+ lower(trim(skill_category, ' ')) AS skill_category, confidence, evidence_span,
+ confidence >= {R.CONFIDENCE_THRESHOLD} AS is_high_confidence FROM stg_skills WHERE confidence >= {R.CONFIDENCE_THRESHOLD}"""),
+    ]
+
+
+def star_ctes(catalog) -> list[tuple[str, str]]:
+    ts = f"TIMESTAMP {q(RUN_TS)}"
+    return skills_ctes(catalog) + [
+        ("snapshot", f"""SELECT *, md5(CAST(job_key AS VARCHAR) || '|' || CAST({ts} AS VARCHAR)) AS dbt_scd_id,
+ {ts} AS dbt_updated_at, {ts} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM final"""),
+        ("dim_date", """SELECT DISTINCT CAST(strftime(normalized_job_posted_date, '%Y%m%d') AS INTEGER) AS date_key,
+ normalized_job_posted_date AS full_date, CAST(year(normalized_job_posted_date) AS INTEGER) AS year,
+ CAST(month(normalized_job_posted_date) AS INTEGER) AS month, strftime(normalized_job_posted_date, '%b') AS month_name,
+ CAST(quarter(normalized_job_posted_date) AS INTEGER) AS quarter, CAST(day(normalized_job_posted_date) AS INTEGER) AS day,
+ CAST(dayofweek(normalized_job_posted_date) AS INTEGER) AS day_of_week
+ FROM preferred WHERE normalized_job_posted_date IS NOT NULL"""),
+        ("dim_company", f"""SELECT company_key, company_name, company_url, company_industry FROM (
+ SELECT {skey('company_name', 'company_url_clean')} AS company_key, company_name, company_url_clean AS company_url,
+  company_industry_clean AS company_industry,
+  row_number() OVER (PARTITION BY company_name, company_url_clean ORDER BY
+   CASE WHEN company_industry_clean IS NOT NULL THEN 1 ELSE 2 END, company_industry_clean ASC NULLS LAST) AS rn
+ FROM preferred) WHERE rn = 1"""),
+        ("dim_location", f"""SELECT DISTINCT {skey('normalized_city_name', 'normalized_region_name', 'normalized_country_name')}
+ AS location_key, normalized_city_name AS city, normalized_region_name AS region, normalized_country_name AS country
+ FROM preferred"""),
+        ("dim_source", f"""SELECT DISTINCT {skey('normalized_job_source', 'job_source_channel')} AS source_key,
+ coalesce(normalized_job_source, 'Not Specified') AS source_name, job_source_channel AS source_channel FROM preferred"""),
+        ("dim_employment_type", f"""SELECT DISTINCT {skey('normalized_employment_type')} AS employment_type_key,
+ normalized_employment_type AS employment_type_name FROM preferred WHERE normalized_employment_type IS NOT NULL"""),
+        ("dim_job", """SELECT DISTINCT job_key, source_job_id, job_title, normalized_job_category AS job_category,
+ normalized_job_status AS job_status, seniority_level FROM snapshot
+ WHERE job_key IS NOT NULL AND dbt_valid_to IS NULL AND job_key IN (SELECT job_key FROM preferred)"""),
+        ("dim_skills", """SELECT md5(coalesce(skill_name, '') || '|' || coalesce(skill_category, '')) AS skill_key,
+ skill_name, skill_category FROM (SELECT DISTINCT skill_name, skill_category FROM int_skills WHERE is_high_confidence)"""),
+        ("fact", f"""SELECT row_number() OVER (ORDER BY j.job_key, j.source_job_id, j.job_url) AS job_posting_key, j.job_key,
+ CASE WHEN company_name IS NULL AND company_url_clean IS NULL THEN NULL
+  ELSE {skey('company_name', 'company_url_clean')} END AS company_key,
+ {skey('normalized_city_name', 'normalized_region_name', 'normalized_country_name')} AS location_key,
+ {skey('normalized_job_source', 'job_source_channel')} AS source_key,
+ CASE WHEN normalized_employment_type IS NULL THEN NULL ELSE {skey('normalized_employment_type')} END AS employment_type_key,
+ d.date_key AS job_posted_date_key, j.normalized_workplace_type AS workplace_type, j.is_salary_disclosed, j.job_url,
+ j.description, j.experience_min_years, j.experience_max_years, j.experience_is_open_ended, j.collected_at
+ FROM (SELECT * FROM preferred WHERE job_key IS NOT NULL) j
+ LEFT JOIN dim_date d ON j.normalized_job_posted_date = d.full_date"""),
+        ("bridge", """SELECT fact.job_posting_key, ds.skill_key, 'nlp' AS extraction_method, js.confidence, js.evidence_span
+ FROM (SELECT * FROM int_skills WHERE is_high_confidence = true) js
+ JOIN dim_skills ds ON js.skill_name = ds.skill_name AND js.skill_category = ds.skill_category
+ JOIN fact ON js.job_key = fact.job_key"""),
+    ]
+
+
+def on_star(select: str, catalog=None) -> str:
+    from hirelake.plans.star import DEMO_CATALOG
+    return on_chain("preferred", select, star_ctes(catalog or DEMO_CATALOG))
