@@ -37,12 +37,17 @@ def _unescape_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else html.unescape(v))
 
 
+# Text changes under HTML unescaping only where '&' is followed by '#' or by a
+# character that can start an entity name.
+ENTITY_START = r"&(#|[^\t\n\f <&#;])"
+
+
 def html_unescape(c: ColumnOrName) -> Column:
     """Full HTML entity decoding (named, numeric, legacy forms).  Only text
-    holding ``&`` is sent to Python; other rows cross the Arrow boundary as
-    nulls and keep their own value."""
+    that can change is sent to Python; other rows cross the Arrow boundary
+    as nulls and keep their own value."""
     x = col(c)
-    return F.coalesce(_unescape_udf(F.when(x.contains("&"), x)), x)
+    return F.coalesce(_unescape_udf(F.when(x.rlike(ENTITY_START), x)), x)
 
 
 def normalize_text(c: ColumnOrName, unescape: bool = True) -> Column:
@@ -176,25 +181,64 @@ def tag_run_log(work: DataFrame, tags: DataFrame, processed_at: str, key_col: st
     )
 
 
-def tag_documents(work: DataFrame, catalog: Catalog, key_col: str = "job_key", text_col: str = "description",
-                  translated_col: str | None = None) -> DataFrame:
-    """The tagging run over a work queue: normalise, detect Arabic (its
-    evidence is the start of the original), match phrases on the model text
-    (a translation when given, else the text)."""
+def tag_texts(texts: DataFrame, id_col: str, text_col: str, catalog: Catalog,
+              translated_col: str | None = None) -> DataFrame:
+    """Tag one row per text: normalise, detect Arabic (its evidence is the
+    start of the original), match phrases on the model text (a translation
+    when given, else the text)."""
     original = normalize_text(text_col)
-    prepared = work.select(
-        key_col,
-        original.alias("__orig"),
-        *( [F.col(translated_col).alias("__tr")] if translated_col else [] ),
+    prepared = texts.select(
+        id_col, original.alias("__orig"),
+        *([F.col(translated_col).alias("__tr")] if translated_col else []),
     ).filter(F.col("__orig") != "")
     arabic = detect_arabic("__orig")
     model_text = F.coalesce(F.col("__tr"), F.col("__orig")) if translated_col else F.col("__orig")
     prepared = prepared.select(
-        key_col,
+        id_col,
         normalize_text(model_text).alias("__text"),
         F.when(arabic, F.left(F.col("__orig"), F.lit(rules.EVIDENCE_MAX_CHARS))).alias("__ev"),
     )
-    return tag_phrases(prepared, key_col, "__text", catalog, evidence_override="__ev")
+    return tag_phrases(prepared, id_col, "__text", catalog, evidence_override="__ev")
+
+
+def tag_documents(work: DataFrame, catalog: Catalog, key_col: str = "job_key", text_col: str = "description",
+                  translated_col: str | None = None) -> DataFrame:
+    """Tag a work queue of (key, text[, translation]) rows.
+
+    Each distinct text is tagged once: rows carry a content hash, the texts
+    are de-duplicated by hash (partial, map-side, so a text repeated across
+    many postings ships once per task), tagged, and the tags are joined back
+    to the keys on the hash.  Wide text never moves by key.
+    """
+    content = [F.col(text_col)] + ([F.coalesce(F.col(translated_col), F.lit(""))] if translated_col else [])
+    tid = F.sha2(F.concat_ws("\u0001", *content), 256).alias("__tid")
+    ids = work.select(key_col, tid)
+    cols = [text_col] + ([translated_col] if translated_col else [])
+    texts = work.select(tid, *cols).dropDuplicates(["__tid"])
+    tags = tag_texts(texts, "__tid", text_col, catalog, translated_col)
+    return ids.join(tags, "__tid", "inner").drop("__tid")
+
+
+def tag_postings(final: DataFrame, catalog: Catalog, tagged: DataFrame | None = None,
+                 log: DataFrame | None = None, key_col: str = "job_key", text_col: str = "description",
+                 translated_col: str | None = None) -> DataFrame:
+    """The tagging run over the postings table: the work queue of
+    :func:`pending_work`, kept narrow (key, content hash) while it is
+    de-duplicated and anti-joined; texts are tagged once per hash."""
+    ok = final.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
+    content = [F.col(text_col)] + ([F.coalesce(F.col(translated_col), F.lit(""))] if translated_col else [])
+    tid = F.sha2(F.concat_ws("\u0001", *content), 256)
+    ids = keep_latest(ok.select(key_col, tid.alias("__tid")), [key_col], [F.col("__tid").asc()])
+    if tagged is not None:
+        ids = ids.join(tagged.select(key_col), key_col, "left_anti")
+    if log is not None:
+        done = log.filter(F.col("status").isin(rules.STATUS_FOUND, rules.STATUS_NONE)).select(key_col)
+        ids = ids.join(done, key_col, "left_anti")
+    cols = [text_col] + ([translated_col] if translated_col else [])
+    texts = (ok.select(tid.alias("__tid"), *cols).dropDuplicates(["__tid"])
+             .join(ids.select("__tid").distinct(), "__tid", "left_semi"))
+    tags = tag_texts(texts, "__tid", text_col, catalog, translated_col)
+    return ids.join(tags, "__tid", "inner").drop("__tid")
 
 
 def stage_skills(extracted: DataFrame) -> DataFrame:

@@ -423,3 +423,263 @@ def q_check_fact_foreign_keys(spark, sf_dir):
         "employment_type_key": (s.dim_employment_type(), "employment_type_key"),
         "job_posted_date_key": (s.dim_date(), "date_key"),
     })
+
+
+# -- 2.3 static dataset profiling ------------------------------------------------------------
+
+def _static(spark, sf_dir):
+    from hirelake.sources.static_fixture import static_dataset
+    return static_dataset(spark, sf_dir)
+
+
+def _table(spark, sf_dir, name):
+    from hirelake.sources.tables import read_table
+    return read_table(spark, sf_dir, name)
+
+
+AS_OF = "2026-12-02 00:00:00"
+
+
+@register("profile_table")
+def q_profile_table(spark, sf_dir):
+    from hirelake.operators.profiling import profile_table
+    return profile_table(_table(spark, sf_dir, "orders"))
+
+
+@register("count_duplicate_rows")
+def q_count_duplicate_rows(spark, sf_dir):
+    from hirelake.operators.profiling import count_duplicate_rows
+    return count_duplicate_rows(_table(spark, sf_dir, "documents").drop("doc_id"))
+
+
+@register("flag_group_duplicates")
+def q_flag_group_duplicates(spark, sf_dir):
+    from hirelake.operators.profiling import flag_group_duplicates
+    return flag_group_duplicates(_table(spark, sf_dir, "documents"), ["text"]).select("doc_id", "group_size")
+
+
+@register("clean_column_names")
+def q_clean_column_names(spark, sf_dir):
+    from hirelake.operators.profiling import clean_column_names
+    s = _static(spark, sf_dir)
+    messy = s.toDF(*[f" {c.upper()} " for c in s.columns])
+    return clean_column_names(messy)
+
+
+@register("trim_text_columns")
+def q_trim_text_columns(spark, sf_dir):
+    from hirelake.operators.profiling import trim_text_columns
+    t = trim_text_columns(_table(spark, sf_dir, "documents"))
+    return t.select("doc_id", F.length("text").alias("text_chars"), F.md5("text").alias("text_md5"), "lang", "source")
+
+
+@register("drop_exact_duplicates")
+def q_drop_exact_duplicates(spark, sf_dir):
+    from hirelake.operators.profiling import drop_exact_duplicates
+    d = drop_exact_duplicates(_table(spark, sf_dir, "documents").drop("doc_id"))
+    return d.select(F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+
+
+@register("coerce_dates")
+def q_coerce_dates(spark, sf_dir):
+    from hirelake.operators.profiling import coerce_dates
+    return coerce_dates(_static(spark, sf_dir), "job_date").select("comp_name", "job_title", "job_date")
+
+
+@register("value_frequencies")
+def q_value_frequencies(spark, sf_dir):
+    from hirelake.operators.profiling import value_frequencies
+    return value_frequencies(_table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@register("range_violations")
+def q_range_violations(spark, sf_dir):
+    from hirelake.operators.profiling import range_violations
+    return range_violations(_table(spark, sf_dir, "customer"), "c_acctbal", allow_zero=True).select(
+        "c_custkey", "c_acctbal")
+
+
+@register("conform_static_dataset")
+def q_conform_static_dataset(spark, sf_dir):
+    from hirelake.operators import profiling as PR
+    s = PR.clean_column_names(_static(spark, sf_dir))
+    s = PR.drop_exact_duplicates(PR.trim_text_columns(s))
+    return PR.conform_static_dataset(s, AS_OF)
+
+
+# -- 2.6 / 2.7 picks and joins over the driver tables ------------------------------------------
+
+@register("one_per_key_pick")
+def q_one_per_key_pick(spark, sf_dir):
+    from hirelake.operators.dedupe import keep_latest
+    o = _table(spark, sf_dir, "orders")
+    latest = keep_latest(o, ["o_custkey"], [F.col("o_orderdate").desc_nulls_first(), F.col("o_orderkey").desc()])
+    return latest.select("o_custkey", "o_orderkey", "o_orderdate")
+
+
+@register("join_left_lookup")
+def q_join_left_lookup(spark, sf_dir):
+    from hirelake.operators.joins import join_left_lookup
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return join_left_lookup(c, n, F.col("c_nationkey"), "n_nationkey").select("c_custkey", "n_name")
+
+
+@register("join_inner_composite")
+def q_join_inner_composite(spark, sf_dir):
+    return S(spark, sf_dir).bridge()
+
+
+@register("semi_join")
+def q_semi_join(spark, sf_dir):
+    from hirelake.operators.joins import semi_join
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    o = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return semi_join(c, o, "c_custkey")
+
+
+@register("anti_join")
+def q_anti_join(spark, sf_dir):
+    from hirelake.operators.joins import anti_join
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    o = _table(spark, sf_dir, "orders")
+    finished = o.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
+    big = o.filter(F.col("o_totalprice") > 300000).select(F.col("o_custkey").alias("c_custkey"))
+    return anti_join(anti_join(c, finished, "c_custkey"), big, "c_custkey")
+
+
+@register("orphan_rows")
+def q_orphan_rows(spark, sf_dir):
+    from hirelake.operators.joins import orphan_rows
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey")
+    return orphan_rows(li, s, "l_suppkey", "s_suppkey")
+
+
+@register("cross_join_scalars")
+def q_cross_join_scalars(spark, sf_dir):
+    from hirelake.operators.joins import cross_join_scalars
+    a = _table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("orders"))
+    b = _table(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("customers"))
+    c = _table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("lineitems"))
+    return cross_join_scalars(a, b, c)
+
+
+@register("union_all")
+def q_union_all(spark, sf_dir):
+    from hirelake.operators.joins import union_all
+    parts = [_table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(t).alias("table_name"), "row_count") for t in ("orders", "customer", "lineitem", "documents")]
+    return union_all(*parts)
+
+
+@register("distinct_rows")
+def q_distinct_rows(spark, sf_dir):
+    return _table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority").distinct()
+
+
+@register("scalar_max_filter")
+def q_scalar_max_filter(spark, sf_dir):
+    from hirelake.operators.joins import scalar_max_filter
+    e = _table(spark, sf_dir, "events")
+    ref = e.filter(F.col("event_type") == "view")
+    return scalar_max_filter(e, "value", ref, "value", ">").select("event_id", "event_type", "value")
+
+
+# -- 2.8 incremental and historical tables ------------------------------------------------------
+
+CUTOFF = "1998-01-01 00:00:00"
+T1, T2 = "2026-12-01 00:00:00", "2026-12-02 00:00:00"
+
+
+def _second_batch(final):
+    """The next day's source: expired postings are gone, active ones
+    collected before the cutoff are now closed."""
+    st = F.col("normalized_job_status")
+    old = F.col("collected_at") < F.lit(CUTOFF).cast("timestamp_ntz")
+    return final.filter(~st.eqNullSafe("Expired")).withColumn(
+        "normalized_job_status", F.when((st == "Active") & old, F.lit("Closed")).otherwise(st))
+
+
+@register("incremental_since_watermark")
+def q_incremental_since_watermark(spark, sf_dir):
+    from hirelake.operators.history import incremental_since_watermark
+    f = P(spark, sf_dir).final()
+    loaded = f.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+    return incremental_since_watermark(f, loaded, "collected_at").select("job_key", "collected_at")
+
+
+@register("merge_by_key")
+def q_merge_by_key(spark, sf_dir):
+    from hirelake.operators.history import merge_by_key
+    f = P(spark, sf_dir).final().select("job_key", "normalized_job_status", "collected_at")
+    cut = F.lit(CUTOFF).cast("timestamp_ntz")
+    target = f.filter(F.col("collected_at") <= cut)
+    updates = _second_batch(f).filter((F.col("collected_at") > cut) | (F.col("normalized_job_status") == "Closed"))
+    return merge_by_key(target, updates, "job_key")
+
+
+def _two_runs(spark, sf_dir):
+    from hirelake.functions import rules
+    from hirelake.operators.history import scd2_check
+    f = P(spark, sf_dir).final().select("job_key", *rules.SNAPSHOT_CHECK_COLS, "job_title", "collected_at")
+    snap1 = scd2_check(None, f, "job_key", rules.SNAPSHOT_CHECK_COLS, T1)
+    return scd2_check(snap1, _second_batch(f), "job_key", rules.SNAPSHOT_CHECK_COLS, T2)
+
+
+@register("scd2_check")
+def q_scd2_check(spark, sf_dir):
+    return _two_runs(spark, sf_dir).select("job_key", "normalized_job_status", "dbt_scd_id", "dbt_updated_at",
+                                           "dbt_valid_from", "dbt_valid_to")
+
+
+@register("status_history")
+def q_status_history(spark, sf_dir):
+    from hirelake.operators.history import status_history
+    return status_history(_two_runs(spark, sf_dir), "job_key", ["normalized_job_status"])
+
+
+# -- 2.11 candidates and phrase resolution over documents ------------------------------------------
+
+def _doc_tokens(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.posexplode(F.split("text", " ")).alias("position", "word"))
+
+
+@register("resolve_phrase")
+def q_resolve_phrase(spark, sf_dir):
+    from hirelake.operators.tagging import resolve_phrase
+    from hirelake.plans.star import DEMO_CATALOG
+    d = _table(spark, sf_dir, "documents")
+    r = d.select("doc_id", resolve_phrase("text", DEMO_CATALOG).alias("r"))
+    return r.select("doc_id", F.col("r.skill_name").alias("skill_name"),
+                    F.col("r.skill_category").alias("skill_category"), F.col("r.matched").alias("matched"))
+
+
+@register("clean_candidate")
+def q_clean_candidate(spark, sf_dir):
+    from hirelake.operators.tagging import clean_candidate
+    return _doc_tokens(spark, sf_dir).select("doc_id", "position", clean_candidate("word").alias("candidate"))
+
+
+def _scored(spark, sf_dir):
+    t = _doc_tokens(spark, sf_dir)
+    n = F.length("word").cast("double")
+    return t.select(F.col("doc_id").alias("job_key"), "position", "word", (n / (n + 1.0)).alias("score"))
+
+
+@register("resolve_scored_candidates")
+def q_resolve_scored_candidates(spark, sf_dir):
+    from hirelake.operators.tagging import resolve_scored_candidates
+    from hirelake.plans.star import DEMO_CATALOG
+    return resolve_scored_candidates(_scored(spark, sf_dir), DEMO_CATALOG)
+
+
+@register("merge_tag_sources")
+def q_merge_tag_sources(spark, sf_dir):
+    from hirelake.operators.tagging import merge_tag_sources, resolve_scored_candidates, tag_texts
+    from hirelake.plans.star import DEMO_CATALOG
+    model = resolve_scored_candidates(_scored(spark, sf_dir), DEMO_CATALOG)
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_key"), "text")
+    phrases = tag_texts(docs, "job_key", "text", DEMO_CATALOG)
+    return merge_tag_sources(model, phrases)

@@ -8,6 +8,7 @@ preferred rows is in ``dim_date`` by construction).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from hirelake.functions.keys import pipe_key, surrogate_key
 from hirelake.operators.dedupe import pick_min
 from hirelake.operators.history import scd2_check, scd2_current
 from hirelake.operators.sequence import dense_sequence
-from hirelake.operators.tagging import high_confidence, pending_work, stage_skills, tag_documents
+from hirelake.operators.tagging import high_confidence, stage_skills, tag_postings
 
 # A phrase catalog of our own for the test tables: the driver's documents are
 # invented prose, so the phrases are ones that occur there (licence lines,
@@ -40,8 +41,7 @@ RUN_TS = "2026-12-02 00:00:00"
 
 def extracted_skills(final: DataFrame, catalog=DEMO_CATALOG) -> DataFrame:
     """The tagging run over every posting with text (no batch limit)."""
-    work = pending_work(final, None, None)
-    return tag_documents(work, catalog)
+    return tag_postings(final, catalog)
 
 
 def int_skills(final: DataFrame, catalog=DEMO_CATALOG) -> DataFrame:
@@ -158,17 +158,25 @@ class Star:
     """All marts over one postings chain (lazy, except the fact sequence
     which checkpoints its ordered rows)."""
 
-    def __init__(self, postings, catalog=DEMO_CATALOG, run_ts: str = RUN_TS):
+    def __init__(self, postings, catalog=DEMO_CATALOG, run_ts: str = RUN_TS, persist: bool = True):
         self.p = postings
         self.catalog = catalog
         self.run_ts = run_ts
         self._fact = None
+        # final and preferred have many readers (dims, fact, snapshot,
+        # tagging): keep them once (memory, spilling to disk); a lost
+        # executor's blocks are recomputed from lineage.
+        self._final = postings.final()
+        self._preferred = postings.preferred()
+        if persist:
+            self._final = self._final.persist(StorageLevel.MEMORY_AND_DISK)
+            self._preferred = self._preferred.persist(StorageLevel.MEMORY_AND_DISK)
 
     def final(self):
-        return self.p.final()
+        return self._final
 
     def preferred(self):
-        return self.p.preferred()
+        return self._preferred
 
     def skills(self):
         return int_skills(self.final(), self.catalog)

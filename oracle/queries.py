@@ -160,3 +160,158 @@ _FK = [("job_key", "dim_job", "job_key"), ("company_key", "dim_company", "compan
 reg("check_fact_foreign_keys", on_star(" UNION ALL ".join(
     f"SELECT f.job_posting_key, '{fk}' AS foreign_key_name FROM fact f LEFT JOIN {dim} d ON f.{fk} = d.{dk} "
     f"WHERE f.{fk} IS NOT NULL AND d.{dk} IS NULL" for fk, dim, dk in _FK)))
+
+# -- 2.3 static dataset profiling
+from hirelake.functions import rules as _R  # noqa: E402
+from hirelake.sources.static_fixture import static_sql_for  # noqa: E402
+from oracle.sql import _alias_extract, re2_escape  # noqa: E402,F401
+
+_TYPES = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' " \
+         "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof({c})) END"
+_OCOLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+reg("profile_table", " UNION ALL ".join(
+    f"SELECT {i + 1} AS position, '{c}' AS column_name, (SELECT {_TYPES.format(c=c)} FROM orders LIMIT 1) AS data_type, "
+    f"count(*) AS row_count, {len(_OCOLS)} AS column_count, count(*) - count({c}) AS null_count FROM orders"
+    for i, c in enumerate(_OCOLS)))
+reg("count_duplicate_rows", """SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_rows,
+ CAST(sum(n) - count(*) AS BIGINT) AS duplicate_rows FROM (SELECT text, lang, source, n_chars, count(*) AS n
+ FROM documents GROUP BY ALL)""")
+reg("flag_group_duplicates", """SELECT doc_id, count(*) OVER (PARTITION BY text) AS group_size FROM documents
+ QUALIFY count(*) OVER (PARTITION BY text) > 1""")
+_STATIC = f"WITH static AS ({static_sql_for()})\n"
+reg("clean_column_names", _STATIC + "SELECT * FROM static")
+reg("trim_text_columns", """SELECT doc_id, CAST(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS INTEGER) AS text_chars,
+ md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_md5, regexp_replace(lang, '^\\s+|\\s+$', '', 'g') AS lang,
+ regexp_replace(source, '^\\s+|\\s+$', '', 'g') AS source FROM documents""")
+reg("drop_exact_duplicates", "SELECT md5(text) AS text_md5, lang, source, n_chars FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)")
+reg("coerce_dates", _STATIC + """SELECT comp_name, job_title, coalesce(CAST(try_strptime(job_date, '%Y-%m-%d') AS DATE),
+ CAST(try_cast(job_date AS TIMESTAMP) AS DATE), CAST(try_strptime(job_date, '%d-%b-%Y') AS DATE),
+ CAST(try_strptime(job_date, '%m/%d/%Y') AS DATE)) AS job_date FROM static""")
+reg("value_frequencies", "SELECT o_orderpriority, count(*) AS frequency FROM orders GROUP BY o_orderpriority")
+reg("range_violations", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
+_STRIP = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+_BODY = [c for c in _R.RAW_COLUMNS if c != "source_job_id"]
+_conf_cols = {
+    "job_title": _STRIP.format(c="job_title"), "url": "CAST(NULL AS VARCHAR)",
+    "company_name": _STRIP.format(c="comp_name"), "company_url": "CAST(NULL AS VARCHAR)",
+    "city": _STRIP.format(c="city"), "region": _STRIP.format(c="region"), "country": "'Saudi Arabia'",
+    "employment_type": "CAST(NULL AS VARCHAR)", "workplace_type": "'Onsite'",
+    "experience_years": "CAST(exper AS VARCHAR)", "job_category": "CAST(NULL AS VARCHAR)",
+    "industry": _STRIP.format(c="eco_activity"),
+    "is_salary_disclosed": "CASE WHEN salary IS NOT NULL THEN 'True' ELSE 'False' END",
+    "job_source": "'Jadarat.com'",
+    "job_posted_date": "strftime(coalesce(CAST(try_strptime(jd, '%Y-%m-%d') AS DATE), CAST(try_cast(jd AS TIMESTAMP) AS DATE), "
+                       "CAST(try_strptime(jd, '%d-%b-%Y') AS DATE), CAST(try_strptime(jd, '%m/%d/%Y') AS DATE)), '%Y-%m-%d')",
+    "job_status": "'Closed'", "collected_at": "'2026-12-02 00:00:00'", "description": "CAST(NULL AS VARCHAR)",
+}
+reg("conform_static_dataset", _STATIC + f"""SELECT CAST(row_number() OVER (ORDER BY {", ".join(c + " ASC NULLS FIRST" for c in _BODY)}) AS VARCHAR)
+ AS source_job_id, {", ".join(_BODY)} FROM (
+ SELECT {", ".join(f"{v} AS {k}" for k, v in _conf_cols.items())} FROM (
+  SELECT DISTINCT {_STRIP.format(c="job_title")} AS job_title, {_STRIP.format(c="comp_name")} AS comp_name,
+   {_STRIP.format(c="comp_type")} AS comp_type, {_STRIP.format(c="comp_size")} AS comp_size, {_STRIP.format(c="city")} AS city,
+   {_STRIP.format(c="region")} AS region, {_STRIP.format(c="eco_activity")} AS eco_activity, {_STRIP.format(c="benefits")} AS benefits,
+   {_STRIP.format(c="contract")} AS contract, positions, {_STRIP.format(c="gender")} AS gender, exper, salary,
+   {_STRIP.format(c="job_date")} AS jd FROM static))""")
+
+# -- 2.6 / 2.7 over driver tables
+reg("one_per_key_pick", """SELECT o_custkey, o_orderkey, o_orderdate FROM orders
+ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) = 1""")
+reg("join_left_lookup", "SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
+reg("join_inner_composite", on_star("SELECT * FROM bridge"))
+reg("semi_join", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+reg("anti_join", """SELECT c_custkey, c_name FROM customer c
+ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')
+   AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)""")
+reg("orphan_rows", """SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey FROM lineitem l LEFT JOIN supplier s
+ ON l.l_suppkey = s.s_suppkey WHERE l.l_suppkey IS NOT NULL AND s.s_suppkey IS NULL""")
+reg("cross_join_scalars", """SELECT * FROM (SELECT count(*) AS orders FROM orders) CROSS JOIN (SELECT count(*) AS customers FROM customer)
+ CROSS JOIN (SELECT count(*) AS lineitems FROM lineitem)""")
+reg("union_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+                                     for t in ("orders", "customer", "lineitem", "documents")))
+reg("distinct_rows", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
+reg("scalar_max_filter", """SELECT event_id, event_type, value FROM events
+ WHERE value > (SELECT max(value) FROM events WHERE event_type = 'view')""")
+
+# -- 2.8 history
+_CUT = "TIMESTAMP '1998-01-01 00:00:00'"
+_SRC2 = f"""SELECT job_key, CASE WHEN normalized_job_status = 'Active' AND collected_at < {_CUT} THEN 'Closed'
+ ELSE normalized_job_status END AS normalized_job_status, normalized_job_category, seniority_level, collected_at
+ FROM final WHERE normalized_job_status IS DISTINCT FROM 'Expired'"""
+reg("incremental_since_watermark", on_chain("final", f"""SELECT job_key, collected_at FROM final
+ WHERE collected_at > (SELECT max(collected_at) FROM final WHERE collected_at <= {_CUT})"""))
+reg("merge_by_key", on_chain("final", f"""SELECT job_key, normalized_job_status, collected_at FROM (
+ SELECT job_key, normalized_job_status, collected_at FROM final t WHERE collected_at <= {_CUT}
+  AND job_key NOT IN (SELECT job_key FROM src2 WHERE collected_at > {_CUT} OR normalized_job_status = 'Closed')
+ UNION ALL SELECT job_key, normalized_job_status, collected_at FROM src2
+  WHERE collected_at > {_CUT} OR normalized_job_status = 'Closed')""", [("src2", _SRC2)]))
+_T1, _T2 = "TIMESTAMP '2026-12-01 00:00:00'", "TIMESTAMP '2026-12-02 00:00:00'"
+_SNAP = [("src2", _SRC2), ("snap1", f"""SELECT job_key, normalized_job_status, normalized_job_category, seniority_level,
+ md5(job_key || '|' || CAST({_T1} AS VARCHAR)) AS dbt_scd_id, {_T1} AS dbt_updated_at, {_T1} AS dbt_valid_from,
+ CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM final"""),
+         ("cmp", """SELECT o.job_key, s.job_key AS s_key, s.normalized_job_status AS s_status,
+ (s.job_key IS NOT NULL AND (o.normalized_job_status IS DISTINCT FROM s.normalized_job_status
+   OR o.normalized_job_category IS DISTINCT FROM s.normalized_job_category
+   OR o.seniority_level IS DISTINCT FROM s.seniority_level)) AS changed
+ FROM snap1 o LEFT JOIN src2 s ON o.job_key = s.job_key"""),
+         ("snap2", f"""SELECT o.job_key, o.normalized_job_status, o.dbt_scd_id,
+  CASE WHEN c.changed OR c.s_key IS NULL THEN {_T2} ELSE o.dbt_updated_at END AS dbt_updated_at, o.dbt_valid_from,
+  CASE WHEN c.changed OR c.s_key IS NULL THEN {_T2} ELSE o.dbt_valid_to END AS dbt_valid_to
+ FROM snap1 o JOIN cmp c ON o.job_key = c.job_key
+ UNION ALL
+ SELECT s.job_key, s.normalized_job_status, md5(s.job_key || '|' || CAST({_T2} AS VARCHAR)), {_T2}, {_T2}, CAST(NULL AS TIMESTAMP)
+ FROM src2 s WHERE s.job_key NOT IN (SELECT job_key FROM snap1)
+  OR s.job_key IN (SELECT job_key FROM cmp WHERE changed)""")]
+reg("scd2_check", on_chain("final", "SELECT * FROM snap2", _SNAP))
+reg("status_history", on_chain("final", """SELECT job_key, normalized_job_status, dbt_valid_from, dbt_valid_to,
+ row_number() OVER (PARTITION BY job_key ORDER BY dbt_valid_from) AS version_number FROM snap2""", _SNAP))
+
+# -- 2.11 over documents
+from hirelake.plans.star import DEMO_CATALOG as _CAT  # noqa: E402
+
+
+def _resolve_sql(x):
+    arms = []
+    for name, cat, aliases in _CAT:
+        ev = "coalesce(" + ", ".join(_alias_extract(x, a) for a in aliases) + ", NULL)"
+        arms.append((name, cat, ev))
+    return arms
+
+
+_TOK = """SELECT doc_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS position, unnest(arr) AS word
+ FROM (SELECT doc_id, string_split(text, ' ') AS arr FROM documents)"""
+_CLEAN = "trim(regexp_replace(replace(word, '##', ''), '\\s+', ' ', 'g'), {chars})".format(
+    chars=q(_R.CANDIDATE_STRIP_CHARS))
+
+
+def _first_entry(x):
+    arms = _resolve_sql(x)
+    name = "CASE " + " ".join(f"WHEN {ev} IS NOT NULL THEN {q(n)}" for n, c, ev in arms) + " END"
+    cat = "CASE " + " ".join(f"WHEN {ev} IS NOT NULL THEN {q(c)}" for n, c, ev in arms) + " END"
+    matched = "coalesce(" + ", ".join(ev for n, c, ev in arms) + ")"
+    return name, cat, matched
+
+
+_n, _c, _m = _first_entry("text")
+reg("resolve_phrase", f"SELECT doc_id, {_n} AS skill_name, {_c} AS skill_category, {_m} AS matched FROM documents")
+reg("clean_candidate", f"SELECT doc_id, position, {_CLEAN} AS candidate FROM ({_TOK})")
+_cn, _cc, _cm = _first_entry("cand")
+_RSC = f"""WITH toks AS ({_TOK}),
+ scored AS (SELECT doc_id AS job_key, position, word, CAST(length(word) AS DOUBLE) / (length(word) + 1.0) AS score FROM toks),
+ cands AS (SELECT job_key, position, score, {_CLEAN} AS cand FROM scored WHERE score >= {_R.CONFIDENCE_THRESHOLD}),
+ hits AS (SELECT job_key, position, {_cn} AS skill_name, {_cc} AS skill_category, round(score, 3) AS confidence,
+   left({_cm}, 500) AS evidence_span FROM cands WHERE cand <> ''),
+ model AS (SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM hits WHERE skill_name IS NOT NULL
+   QUALIFY row_number() OVER (PARTITION BY job_key, lower(skill_name) ORDER BY position) = 1)
+"""
+reg("resolve_scored_candidates", _RSC + "SELECT * FROM model")
+_ph = []
+for _name, _cat, _aliases in _CAT:
+    _ev = "coalesce(" + ", ".join(_alias_extract("txt", a) for a in _aliases) + ", NULL)"
+    _ph.append(f"SELECT job_key, {q(_name)} AS skill_name, {q(_cat)} AS skill_category, CAST(1.0 AS DOUBLE) AS confidence, "
+               f"left(ev, 500) AS evidence_span FROM (SELECT job_key, {_ev} AS ev FROM docs) WHERE ev IS NOT NULL")
+reg("merge_tag_sources", _RSC + f""", docs AS (SELECT doc_id AS job_key,
+  trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ') AS txt FROM documents),
+ phrases AS ({" UNION ALL ".join(_ph)}),
+ both_ AS (SELECT *, 0 AS src FROM model UNION ALL SELECT *, 1 AS src FROM phrases)
+SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM both_
+ QUALIFY row_number() OVER (PARTITION BY job_key, lower(skill_name) ORDER BY src) = 1""")
