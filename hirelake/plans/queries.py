@@ -683,3 +683,212 @@ def q_merge_tag_sources(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_key"), "text")
     phrases = tag_texts(docs, "job_key", "text", DEMO_CATALOG)
     return merge_tag_sources(model, phrases)
+
+
+# -- 2.2 page extraction ----------------------------------------------------------------------------
+
+def _pages(spark, sf_dir):
+    return _table(spark, sf_dir, "pages")
+
+
+def _job_pages(spark, sf_dir):
+    from hirelake.sources.job_pages import job_pages
+    return job_pages(spark, sf_dir)
+
+
+PAGE_AS_OF = "2026-12-02 00:00:00"
+PAGE_AS_OF_EPOCH = 1796169600  # 2026-12-02 00:00:00 UTC
+ORDER_AS_OF_EPOCH = 902016000  # 1998-08-02 00:00:00 UTC
+
+
+@register("extract_links")
+def q_extract_links(spark, sf_dir):
+    from hirelake.operators.pages import extract_links
+    return extract_links(_pages(spark, sf_dir))
+
+
+@register("absolutize_url")
+def q_absolutize_url(spark, sf_dir):
+    from hirelake.operators.pages import absolutize_url, page_origin
+    p = _pages(spark, sf_dir)
+    hrefs = p.select("page_id", page_origin("url").alias("root"),
+                     F.posexplode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("pos", "href"))
+    return hrefs.select("page_id", "pos", absolutize_url("href", F.col("root")).alias("link_url"))
+
+
+@register("unseen_only")
+def q_unseen_only(spark, sf_dir):
+    from hirelake.operators.pages import extract_links, unseen_only
+    p = _pages(spark, sf_dir)
+    links = extract_links(p)
+    return unseen_only(links, "link_url", p, "url", [F.col("page_id").asc(), F.col("pos").asc()])
+
+
+def _jsonld(spark, sf_dir):
+    from hirelake.operators.pages import jsonld_job_posting
+    jp = _job_pages(spark, sf_dir)
+    return jp.select("page_id", "url", jsonld_job_posting("html").alias("j")).filter(F.col("j").isNotNull())
+
+
+@register("extract_jsonld")
+def q_extract_jsonld(spark, sf_dir):
+    from hirelake.operators.pages import jsonld_to_posting
+    j = _jsonld(spark, sf_dir)
+    cols = jsonld_to_posting("j", "url", PAGE_AS_OF, PAGE_AS_OF_EPOCH)
+    return j.select("page_id", *[v.alias(k) for k, v in cols.items()])
+
+
+@register("json_path_or_empty")
+def q_json_path_or_empty(spark, sf_dir):
+    from hirelake.operators.pages import json_path_or_empty
+    e = _table(spark, sf_dir, "events")
+    return e.select("event_id", json_path_or_empty("props", "$.k").alias("k"),
+                    json_path_or_empty("props", "$.missing.inner").alias("missing"))
+
+
+@register("list_to_csv_text")
+def q_list_to_csv_text(spark, sf_dir):
+    from hirelake.operators.pages import list_to_csv_text
+    return _jsonld(spark, sf_dir).select("page_id", list_to_csv_text("j", "$.employmentType").alias("employment_type"))
+
+
+@register("remote_from_marker")
+def q_remote_from_marker(spark, sf_dir):
+    from hirelake.operators.pages import remote_from_marker
+    return _jsonld(spark, sf_dir).select(
+        "page_id", remote_from_marker(F.get_json_object("j", "$.jobLocationType")).alias("workplace_type"))
+
+
+@register("company_url_slug")
+def q_company_url_slug(spark, sf_dir):
+    from hirelake.operators.pages import company_url_slug, json_path_or_empty
+    j = _jsonld(spark, sf_dir)
+    return j.select("page_id", company_url_slug(json_path_or_empty("j", "$.hiringOrganization.name"),
+                                                json_path_or_empty("j", "$.hiringOrganization.sameAs")).alias("company_url"))
+
+
+@register("disclosed_flag")
+def q_disclosed_flag(spark, sf_dir):
+    from hirelake.operators.pages import card_attr, card_elements, disclosed_not_blank
+    c = card_elements(_job_pages(spark, sf_dir))
+    return c.select("page_id", disclosed_not_blank(card_attr("attrs", "data-job-salary")).alias("is_salary_disclosed"))
+
+
+@register("extract_card_attributes")
+def q_extract_card_attributes(spark, sf_dir):
+    from hirelake.operators.pages import card_elements, card_to_posting
+    c = card_elements(_job_pages(spark, sf_dir))
+    return c.select("page_id", *[v.alias(k) for k, v in card_to_posting("attrs", PAGE_AS_OF).items()])
+
+
+@register("parse_location_text")
+def q_parse_location_text(spark, sf_dir):
+    from hirelake.operators.pages import card_attr, card_elements, parse_location_text
+    c = card_elements(_job_pages(spark, sf_dir))
+    country, city = parse_location_text(card_attr("attrs", "data-job-country"), card_attr("attrs", "data-job-state"),
+                                        card_attr("attrs", "data-job-workplace-location"))
+    return c.select("page_id", country.alias("country"), city.alias("city"))
+
+
+@register("map_city_to_region")
+def q_map_city_to_region(spark, sf_dir):
+    from hirelake.operators.pages import card_attr, card_elements, map_city_to_region
+    c = card_elements(_job_pages(spark, sf_dir)).select("page_id", card_attr("attrs", "data-job-state").alias("city"))
+    return c.select("page_id", "city", map_city_to_region("city").alias("region"))
+
+
+@register("reassemble_embedded_json")
+def q_reassemble_embedded_json(spark, sf_dir):
+    from hirelake.operators.pages import reassemble_embedded_json
+    jp = _job_pages(spark, sf_dir)
+    uuid = F.concat_ws("-", *[F.substring(F.md5(F.col("page_id").cast("string")), a, b)
+                              for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    o = jp.select("page_id", reassemble_embedded_json("html", uuid).alias("obj"))
+    return o.select("page_id", F.get_json_object("obj", "$.jobPositionValue").alias("job_title"),
+                    F.get_json_object("obj", "$.cityValue").alias("city"),
+                    F.get_json_object("obj", "$.experienceYears").alias("experience_years"))
+
+
+@register("html_to_text")
+def q_html_to_text(spark, sf_dir):
+    from hirelake.operators.pages import html_to_text
+    return _pages(spark, sf_dir).select("page_id", html_to_text("html").alias("text"))
+
+
+@register("strip_markup_symbols")
+def q_strip_markup_symbols(spark, sf_dir):
+    from hirelake.operators.pages import strip_markup_symbols
+    d = _table(spark, sf_dir, "documents").select("doc_id", strip_markup_symbols("text").alias("t"))
+    return d.select("doc_id", F.length("t").alias("text_chars"), F.md5("t").alias("text_md5"))
+
+
+@register("heading_text")
+def q_heading_text(spark, sf_dir):
+    from hirelake.operators.pages import heading_text
+    return _pages(spark, sf_dir).select("page_id", heading_text("html").alias("heading"))
+
+
+@register("first_present")
+def q_first_present(spark, sf_dir):
+    from hirelake.functions.text import first_present
+    raw = P(spark, sf_dir).raw
+    return raw.select("source_job_id", "url", "collected_at",
+                      first_present("experience_years", "job_posted_date", "job_source").alias("first_value"))
+
+
+@register("first_truthy_key")
+def q_first_truthy_key(spark, sf_dir):
+    from hirelake.operators.pages import first_truthy_key
+    e = _table(spark, sf_dir, "events")
+    return e.select("event_id", first_truthy_key("props", ["$.missing", "$.k"]).alias("value"))
+
+
+@register("id_from_url")
+def q_id_from_url(spark, sf_dir):
+    from hirelake.operators.pages import id_from_url
+    return _pages(spark, sf_dir).select("page_id", "url", id_from_url("url").alias("url_id"))
+
+
+@register("map_codes")
+def q_map_codes(spark, sf_dir):
+    from hirelake.operators.normalize import map_codes
+    o = _table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", map_codes("o_orderstatus", [("Finished", ["F"]), ("Open", ["O"])], key=None)
+                    .alias("status_label"))
+
+
+@register("normalize_experience_text")
+def q_normalize_experience_text(spark, sf_dir):
+    from hirelake.operators.pages import normalize_experience_text
+    raw = P(spark, sf_dir).raw
+    return raw.select("source_job_id", "url", "collected_at", "experience_years",
+                      normalize_experience_text("experience_years").alias("experience_text"))
+
+
+@register("months_to_years")
+def q_months_to_years(spark, sf_dir):
+    from hirelake.operators.pages import months_to_years
+    li = _table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", months_to_years("l_quantity").alias("years"))
+
+
+@register("expiry_status")
+def q_expiry_status(spark, sf_dir):
+    from hirelake.functions.dates import expiry_status
+    o = _table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", expiry_status(F.col("o_orderdate").cast("string"), ORDER_AS_OF_EPOCH).alias("status"))
+
+
+@register("epoch_to_date")
+def q_epoch_to_date(spark, sf_dir):
+    from hirelake.functions.dates import epoch_to_date_text
+    e = _table(spark, sf_dir, "events")
+    return e.select("event_id", epoch_to_date_text(F.col("value") * 10000000,
+                                                   F.substring(F.col("ts").cast("string"), 1, 10)).alias("posted"))
+
+
+@register("dedupe_keep_missing_ids")
+def q_dedupe_keep_missing_ids(spark, sf_dir):
+    from hirelake.operators.dedupe import dedupe_keep_missing_ids
+    raw = P(spark, sf_dir).raw.select("source_job_id", "url", "collected_at")
+    return dedupe_keep_missing_ids(raw, "source_job_id", [F.col("url").asc(), F.col("collected_at").asc_nulls_first()])

@@ -315,3 +315,156 @@ reg("merge_tag_sources", _RSC + f""", docs AS (SELECT doc_id AS job_key,
  both_ AS (SELECT *, 0 AS src FROM model UNION ALL SELECT *, 1 AS src FROM phrases)
 SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM both_
  QUALIFY row_number() OVER (PARTITION BY job_key, lower(skill_name) ORDER BY src) = 1""")
+
+# -- 2.2 page extraction
+from hirelake.sources.job_pages import job_pages_sql_for  # noqa: E402
+
+_JP = f"WITH jp AS ({job_pages_sql_for()})\n"
+_ORIGIN = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"
+
+
+def _decode(x: str) -> str:
+    """The entities that occur in the pages, decoded in one left-to-right pass."""
+    return (f"regexp_replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), "
+            f"'&amp;?', '&', 'g')")
+
+
+def _to_text(x: str) -> str:
+    return f"trim(regexp_replace({_decode(f'regexp_replace({x}, {chr(39)}<[^>]+>{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')}, '\\s+', ' ', 'g'), ' ')"
+
+
+_LINKS = f"""links0 AS (SELECT page_id, CAST(generate_subscripts(arr, 1) AS BIGINT) AS i, unnest(arr) AS link_url FROM (
+  SELECT page_id, list_transform(regexp_extract_all(html, '(?i)href="(/[^"?#]+)"', 1),
+   lambda x: CASE WHEN starts_with(x, '/') THEN {_ORIGIN} || x ELSE x END) AS arr FROM pages)),
+ links1 AS (SELECT * FROM links0 QUALIFY row_number() OVER (PARTITION BY page_id, link_url ORDER BY i) = 1),
+ links AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos, link_url
+  FROM links1)"""
+reg("extract_links", f"WITH {_LINKS} SELECT * FROM links")
+reg("absolutize_url", f"""SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS pos,
+ unnest(list_transform(arr, lambda x: CASE WHEN starts_with(x, '/') THEN root || x ELSE x END)) AS link_url
+ FROM (SELECT page_id, {_ORIGIN} AS root, regexp_extract_all(html, 'href="([^"]*)"', 1) AS arr FROM pages)""")
+reg("unseen_only", f"""WITH {_LINKS} SELECT link_url, page_id, pos FROM links
+ WHERE link_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)
+ QUALIFY row_number() OVER (PARTITION BY link_url ORDER BY page_id, pos) = 1""")
+
+_JSONLD = _JP + """, s1 AS (SELECT page_id, url, unnest(s) AS t, generate_subscripts(s, 1) AS si FROM (
+  SELECT page_id, url, regexp_extract_all(html, '(?is)<script[^>]*type="application/ld\\+json"[^>]*>(.*?)</script>', 1) AS s FROM jp)),
+ s2 AS (SELECT page_id, url, si, CAST(t AS JSON) AS t FROM s1 WHERE json_valid(t)),
+ s3 AS (SELECT page_id, url, si, CASE WHEN json_type(t) = 'ARRAY' THEN CAST(t AS JSON[]) ELSE [t] END AS arr FROM s2),
+ s4 AS (SELECT page_id, url, si, unnest(arr) AS item, generate_subscripts(arr, 1) AS ii FROM s3),
+ jl AS (SELECT page_id, url, item AS j FROM s4 WHERE json_extract_string(item, '$."@type"') = 'JobPosting'
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY si, ii) = 1)
+"""
+
+
+def _jp(path: str) -> str:
+    return f"coalesce(json_extract_string(j, '{path}'), '')"
+
+
+_SLUG = ("CASE WHEN regexp_matches(trim(" + _jp("$.hiringOrganization.sameAs") + ", ' '), '(?i)^https?://') THEN trim("
+         + _jp("$.hiringOrganization.sameAs") + ", ' ') WHEN trim(regexp_replace(strip_accents(lower(" + _jp("$.hiringOrganization.name")
+         + ")), '[^a-z0-9]+', '-', 'g'), '-') <> '' THEN 'https://www.gulftalent.com/companies/' || trim(regexp_replace(strip_accents(lower("
+         + _jp("$.hiringOrganization.name") + ")), '[^a-z0-9]+', '-', 'g'), '-') || '-careers' ELSE '' END")
+_EMP = ("CASE WHEN starts_with(json_extract(j, '$.employmentType')::VARCHAR, '[') THEN "
+        "array_to_string(CAST(json_extract(j, '$.employmentType') AS VARCHAR[]), ',') "
+        "ELSE json_extract_string(j, '$.employmentType') END")
+_VALID = "json_extract_string(j, '$.validThrough')"
+_VT = (f"CASE WHEN coalesce({_VALID}, '') = '' THEN 'active' "
+       f"WHEN regexp_matches({_VALID}, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$') THEN "
+       f"CASE WHEN try_cast({_VALID} AS TIMESTAMPTZ) < TIMESTAMPTZ '2026-12-02 00:00:00+00' THEN 'expired' ELSE 'active' END "
+       f"WHEN try_cast({_VALID} AS TIMESTAMP) < TIMESTAMP '2026-12-02 00:00:00' THEN 'expired' ELSE 'active' END")
+reg("extract_jsonld", _JSONLD + f"""SELECT page_id, {_jp('$.identifier.value')} AS source_job_id, {_jp('$.title')} AS job_title,
+ url, {_jp('$.hiringOrganization.name')} AS company_name, {_SLUG} AS company_url,
+ {_jp('$.jobLocation.address.addressLocality')} AS city, {_jp('$.jobLocation.address.addressRegion')} AS region,
+ {_jp('$.jobLocation.address.addressCountry')} AS country, coalesce({_EMP}, '') AS employment_type,
+ CASE WHEN upper(coalesce(json_extract_string(j, '$.jobLocationType'), '')) LIKE '%TELECOMMUTE%' THEN 'Remote' ELSE '' END AS workplace_type,
+ {_jp('$.experienceRequirements.monthsOfExperience')} AS experience_years, {_jp('$.occupationalCategory')} AS job_category,
+ {_jp('$.industry')} AS industry,
+ coalesce(trim(json_extract(j, '$.baseSalary')::VARCHAR, ' ') NOT IN ('', '0', '0.0', '-0', 'false', '[]', '{{}}'), false) AS is_salary_disclosed,
+ 'GulfTalent' AS job_source, {_jp('$.datePosted')} AS job_posted_date, {_VT} AS job_status,
+ '2026-12-02 00:00:00' AS collected_at, {_to_text(_jp('$.description'))} AS description FROM jl""")
+reg("json_path_or_empty", """SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k,
+ coalesce(json_extract_string(props, '$.missing.inner'), '') AS missing FROM events""")
+reg("list_to_csv_text", _JSONLD + f"SELECT page_id, {_EMP} AS employment_type FROM jl")
+reg("remote_from_marker", _JSONLD + """SELECT page_id, CASE WHEN upper(coalesce(json_extract_string(j, '$.jobLocationType'), ''))
+ LIKE '%TELECOMMUTE%' THEN 'Remote' ELSE '' END AS workplace_type FROM jl""")
+reg("company_url_slug", _JSONLD + f"SELECT page_id, {_SLUG} AS company_url FROM jl")
+
+_CARDS = _JP + """, c0 AS (SELECT page_id, CAST(generate_subscripts(cs, 1) - 1 AS INTEGER) AS card_pos, unnest(cs) AS card FROM (
+  SELECT page_id, regexp_extract_all(html, '(?is)<article\\b[^>]*data-drawer-trigger="job-card"[^>]*>', 0) AS cs FROM jp)),
+ cards AS (SELECT page_id, card_pos, map_from_entries(list_transform(regexp_extract_all(card, '([A-Za-z0-9_-]+)="([^"]*)"', 0),
+   lambda kv: {'k': regexp_extract(kv, '([A-Za-z0-9_-]+)="([^"]*)"', 1), 'v': regexp_extract(kv, '([A-Za-z0-9_-]+)="([^"]*)"', 2)})) AS attrs FROM c0)
+"""
+
+
+def _at(name: str) -> str:
+    v = _decode(f"attrs['{name}']")
+    return f"nullif(regexp_replace({v}, '^\\s+|\\s+$', '', 'g'), '')"
+
+
+_PARTS = ("list_filter(list_transform(string_split(coalesce(" + _at("data-job-workplace-location") + ", "
+          + _at("data-job-location") + ", ''), '-'), lambda p: trim(p, ' ')), lambda p: p <> '' AND lower(p) NOT IN ('on-site', 'remote', 'hybrid'))")
+_COUNTRY = f"coalesce({_at('data-job-country')}, {_PARTS}[1])"
+_CITY = f"coalesce({_at('data-job-state')}, CASE WHEN len({_PARTS}) >= 2 THEN {_PARTS}[-1] END)"
+_REGION_MAP = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in [
+    ("Riyadh", "Riyadh Region"), ("Jeddah", "Makkah Region"), ("Makkah", "Makkah Region"),
+    ("Al Damam", "Eastern Province"), ("Dammam", "Eastern Province"), ("Abha", "Asir Region"),
+    ("Tabuk", "Tabuk Region"), ("Hail", "Hail Region")]) + "}"
+reg("extract_card_attributes", _CARDS + f"""SELECT page_id, {_at('data-job-id')} AS source_job_id, {_at('data-job-name')} AS job_title,
+ CASE WHEN starts_with({_at('data-job-url')}, '/') THEN 'https://saudi.tanqeeb.com' || {_at('data-job-url')} ELSE {_at('data-job-url')} END AS url,
+ {_at('data-job-company')} AS company_name,
+ CASE WHEN starts_with({_at('data-job-company-url')}, '/') THEN 'https://saudi.tanqeeb.com' || {_at('data-job-company-url')} ELSE {_at('data-job-company-url')} END AS company_url,
+ {_CITY} AS city, {_REGION_MAP}[{_CITY}] AS region, {_COUNTRY} AS country, {_at('data-job-type')} AS employment_type,
+ {_at('data-job-workplace')} AS workplace_type, {_at('data-job-experience')} AS experience_years,
+ {_at('data-job-categories')} AS job_category, {_at('data-job-industry')} AS industry,
+ {_at('data-job-salary')} IS NOT NULL AS is_salary_disclosed, {_at('data-job-source')} AS job_source,
+ {_at('data-job-date')} AS job_posted_date,
+ CASE WHEN coalesce({_at('data-job-closed')}, '') = '1' THEN 'closed' ELSE 'active' END AS job_status,
+ '2026-12-02 00:00:00' AS collected_at, CAST(NULL AS VARCHAR) AS description FROM cards""")
+reg("disclosed_flag", _CARDS + f"SELECT page_id, {_at('data-job-salary')} IS NOT NULL AS is_salary_disclosed FROM cards")
+reg("parse_location_text", _CARDS + f"SELECT page_id, {_COUNTRY} AS country, {_CITY} AS city FROM cards")
+reg("map_city_to_region", _CARDS + f"SELECT page_id, {_at('data-job-state')} AS city, {_REGION_MAP}[{_at('data-job-state')}] AS region FROM cards")
+reg("html_to_text", f"SELECT page_id, {_to_text('html')} AS text FROM pages")
+reg("strip_markup_symbols", """SELECT doc_id, CAST(length(t) AS INTEGER) AS text_chars, md5(t) AS text_md5 FROM (
+ SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[*_]+', '', 'g'),
+  '[\\x{1F000}-\\x{1FAFF}\\x{2600}-\\x{27BF}\\x{1F1E6}-\\x{1F1FF}]+', '', 'g'), '\\s+', ' ', 'g'), ' ') AS t FROM documents)""")
+reg("heading_text", f"""SELECT page_id, CASE WHEN regexp_extract(html, '(?is)(<h1[^>]*>)', 1) <> '' THEN
+ nullif({_to_text("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")}, '') END AS heading FROM pages""")
+reg("first_present", on_chain("raw", """SELECT source_job_id, url, collected_at,
+ coalesce(nullif(experience_years, ''), nullif(job_posted_date, ''), nullif(job_source, '')) AS first_value FROM raw"""))
+reg("first_truthy_key", """SELECT event_id, coalesce(
+ CASE WHEN trim(json_extract(props, '$.missing')::VARCHAR, ' ') NOT IN ('', '0', '0.0', '-0', 'false', '[]', '{}') THEN json_extract_string(props, '$.missing') END,
+ CASE WHEN trim(json_extract(props, '$.k')::VARCHAR, ' ') NOT IN ('', '0', '0.0', '-0', 'false', '[]', '{}') THEN json_extract_string(props, '$.k') END) AS value
+ FROM events""")
+reg("id_from_url", "SELECT page_id, url, nullif(regexp_extract(url, '/(\\d+)/?(?:[?#]|$)', 1), '') AS url_id FROM pages")
+reg("map_codes", "SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F') THEN 'Finished' WHEN o_orderstatus IN ('O') THEN 'Open' ELSE o_orderstatus END AS status_label FROM orders")
+_NUM = "(\\d+(?:\\.\\d+)?)"
+
+
+def _fmt(x: str) -> str:
+    return (f"CASE WHEN try_cast({x} AS DOUBLE) = floor(try_cast({x} AS DOUBLE)) THEN CAST(CAST(floor(try_cast({x} AS DOUBLE)) AS BIGINT) AS VARCHAR) "
+            f"ELSE CAST(try_cast({x} AS DOUBLE) AS VARCHAR) END")
+
+
+_V = "regexp_replace(experience_years, '^\\s+|\\s+$', '', 'g')"
+_single = f"regexp_extract({_V}, '(?i)^{_NUM}\\s*(?:years?|yrs?)?$', 1)"
+_plus = f"regexp_extract({_V}, '^\\+?\\s*{_NUM}\\s*\\+?$', 1)"
+_lo = f"regexp_extract({_V}, '^{_NUM}\\s*-\\s*{_NUM}', 1)"
+_hi = f"regexp_extract({_V}, '^{_NUM}\\s*-\\s*{_NUM}', 2)"
+reg("normalize_experience_text", on_chain("raw", f"""SELECT source_job_id, url, collected_at, experience_years,
+ CASE WHEN {_V} IS NULL OR {_V} = '' THEN NULL
+  WHEN regexp_full_match({_V}, '\\d{{1,2}}[/-]\\d{{1,2}}[/-]\\d{{2,4}}') THEN NULL
+  WHEN {_single} <> '' THEN {_fmt(_single)}
+  WHEN {_plus} <> '' AND contains({_V}, '+') THEN {_fmt(_plus)} || '+ yrs'
+  WHEN {_lo} <> '' THEN {_fmt(_lo)} || '-' || {_fmt(_hi)} || ' yrs'
+  ELSE NULL END AS experience_text FROM raw"""))
+reg("months_to_years", "SELECT l_orderkey, l_linenumber, l_quantity / 12 AS years FROM lineitem")
+reg("expiry_status", """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-08-02 00:00:00' THEN 'expired' ELSE 'active' END AS status FROM orders""")
+reg("epoch_to_date", """SELECT event_id, coalesce(strftime(DATE '1970-01-01' + CAST(floor(value * 10000000 / 86400) AS INTEGER), '%Y-%m-%d'),
+ substr(CAST(ts AS VARCHAR), 1, 10)) AS posted FROM events""")
+reg("dedupe_keep_missing_ids", on_chain("raw", """SELECT source_job_id, url, collected_at FROM (
+ SELECT * FROM raw WHERE source_job_id IS NOT NULL AND trim(source_job_id, ' ') <> '' AND lower(trim(source_job_id, ' ')) NOT IN ('nan', 'none')
+ QUALIFY row_number() OVER (PARTITION BY source_job_id ORDER BY url ASC, collected_at ASC NULLS FIRST) = 1)
+ UNION ALL SELECT source_job_id, url, collected_at FROM raw
+ WHERE NOT (source_job_id IS NOT NULL AND trim(source_job_id, ' ') <> '' AND lower(trim(source_job_id, ' ')) NOT IN ('nan', 'none'))
+  OR source_job_id IS NULL"""))
