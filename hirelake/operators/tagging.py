@@ -241,6 +241,25 @@ def tag_postings(final: DataFrame, catalog: Catalog, tagged: DataFrame | None =
     return ids.join(tags, "__tid", "inner").drop("__tid")
 
 
+def tag_by_text_id(keyed: DataFrame, texts: DataFrame, catalog: Catalog, key_col: str = "job_key",
+                   id_col: str = "description_id", text_col: str = "description",
+                   tagged: DataFrame | None = None, log: DataFrame | None = None) -> DataFrame:
+    """Tagging when rows already carry a content id of their text and the
+    texts sit in their own (id, text) table: the queue stays narrow and each
+    distinct non-blank text is tagged once."""
+    ids = keyed.select(key_col, id_col).filter(F.col(id_col).isNotNull())
+    ids = keep_latest(ids, [key_col], [F.col(id_col).asc()])
+    if tagged is not None:
+        ids = ids.join(tagged.select(key_col), key_col, "left_anti")
+    if log is not None:
+        done = log.filter(F.col("status").isin(rules.STATUS_FOUND, rules.STATUS_NONE)).select(key_col)
+        ids = ids.join(done, key_col, "left_anti")
+    live = (texts.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
+            .join(ids.select(id_col).distinct(), id_col, "left_semi"))
+    tags = tag_texts(live, id_col, text_col, catalog)
+    return ids.join(tags, id_col, "inner").drop(id_col)
+
+
 def stage_skills(extracted: DataFrame) -> DataFrame:
     """Trim, lower the category, drop null key or name, keep the highest
     confidence per (key, lower(name)); null confidence sorts first, as in the

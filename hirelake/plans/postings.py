@@ -22,9 +22,33 @@ from hirelake.sources.fixture import derived_postings
 from hirelake.sources.seeds import DEFAULT_CITY_REGION, city_region_seed
 
 
-def stage_postings(raw: DataFrame) -> DataFrame:
-    """Rename, literal clean-ups, forgiving casts; drop null or blank ids."""
+def description_id(c: str = "description"):
+    """Content key of a description (null for a null text)."""
+    return F.sha2(F.col(c), 256)
+
+
+def description_texts(raw: DataFrame, text_col: str = "description") -> DataFrame:
+    """(description_id, description), one row per distinct text.  Partial
+    de-duplication runs map-side, so a text repeated across many postings
+    ships once per task."""
+    return (raw.select(description_id(text_col).alias("description_id"), F.col(text_col).alias("description"))
+            .filter(F.col("description_id").isNotNull()).dropDuplicates(["description_id"]))
+
+
+def attach_description(df: DataFrame, texts: DataFrame) -> DataFrame:
+    """Late materialisation of the wide text column: the chain shuffles only
+    the 64-character id; the text is joined back where it is needed (AQE
+    broadcasts the text side when it is small and splits skewed ids)."""
+    out = df.join(texts, "description_id", "left")
+    cols = [c if c != "description_id" else "description" for c in df.columns]
+    return out.select(*cols)
+
+
+def stage_postings(raw: DataFrame, late_text: bool = False) -> DataFrame:
+    """Rename, literal clean-ups, forgiving casts; drop null or blank ids.
+    With ``late_text`` the description is carried as ``description_id``."""
     c = F.col
+    text = description_id().alias("description_id") if late_text else c("description")
     return raw.filter(c("source_job_id").isNotNull() & (F.trim(c("source_job_id")) != "")).select(
         c("source_job_id"),
         F.replace(c("job_title"), F.lit(rules.TITLE_SUFFIX_TO_DROP), F.lit("")).alias("job_title"),
@@ -37,7 +61,7 @@ def stage_postings(raw: DataFrame) -> DataFrame:
         try_boolean(c("is_salary_disclosed")).alias("is_salary_disclosed"),
         try_timestamp_ntz(c("collected_at")).alias("collected_at"),
         F.replace(c("job_source"), F.lit(rules.SOURCE_SUFFIX_TO_DROP), F.lit("")).alias("job_source"),
-        c("job_posted_date"), c("job_status"), c("description"),
+        c("job_posted_date"), c("job_status"), text,
     )
 
 
@@ -130,7 +154,8 @@ WIDE_COLUMNS = [
 
 
 def select_wide(df: DataFrame) -> DataFrame:
-    return df.select(*WIDE_COLUMNS)
+    cols = [c if c != "description" or c in df.columns else "description_id" for c in WIDE_COLUMNS]
+    return df.select(*cols)
 
 
 def with_job_key(df: DataFrame) -> DataFrame:
@@ -154,7 +179,11 @@ def preferred_postings(final: DataFrame) -> DataFrame:
 
 
 class Postings:
-    """The chain over one input, stage by stage (all lazy)."""
+    """The chain over one input, stage by stage (all lazy).
+
+    Stages run on narrow rows: the description travels as its content id
+    and is joined back by :meth:`final`, :meth:`preferred` and
+    :meth:`staged` (``*_narrow`` give the id-carrying frames)."""
 
     def __init__(self, spark: SparkSession, raw: DataFrame, seed: DataFrame | None = None,
                  seed_rows: int | None = None):
@@ -168,11 +197,17 @@ class Postings:
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> Postings:
         return cls(spark, derived_postings(spark, sf_dir))
 
+    def texts(self) -> DataFrame:
+        return description_texts(self.raw)
+
+    def staged_narrow(self) -> DataFrame:
+        return stage_postings(self.raw, late_text=True)
+
     def staged(self) -> DataFrame:
         return stage_postings(self.raw)
 
     def deduped(self) -> DataFrame:
-        return city_deduped(self.staged())
+        return city_deduped(self.staged_narrow())
 
     def located(self) -> DataFrame:
         return with_location(self.deduped(), self.seed, self.seed_rows)
@@ -195,11 +230,20 @@ class Postings:
     def in_scope(self) -> DataFrame:
         return category_filtered(self.categorized())
 
-    def cleaned(self) -> DataFrame:
+    def cleaned_narrow(self) -> DataFrame:
         return select_wide(with_company(with_industry(self.in_scope())))
 
+    def cleaned(self) -> DataFrame:
+        return attach_description(self.cleaned_narrow(), self.texts())
+
+    def final_narrow(self) -> DataFrame:
+        return with_job_key(self.cleaned_narrow())
+
     def final(self) -> DataFrame:
-        return with_job_key(self.cleaned())
+        return attach_description(self.final_narrow(), self.texts())
+
+    def preferred_narrow(self) -> DataFrame:
+        return preferred_postings(self.final_narrow())
 
     def preferred(self) -> DataFrame:
-        return preferred_postings(self.final())
+        return attach_description(self.preferred_narrow(), self.texts())

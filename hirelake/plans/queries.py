@@ -35,12 +35,12 @@ ID = ["source_job_id", "job_url"]
 
 @register("stage_postings")
 def q_stage_postings(spark, sf_dir):
-    return P(spark, sf_dir).staged().drop("description")
+    return P(spark, sf_dir).staged().drop("description")  # noqa: the text itself is compared by tag queries
 
 
 @register("select_wide")
 def q_select_wide(spark, sf_dir):
-    return P(spark, sf_dir).cleaned().drop("description")
+    return P(spark, sf_dir).cleaned_narrow().drop("description_id")
 
 
 # -- 2.5 normalisation --------------------------------------------------------------
@@ -150,7 +150,7 @@ def q_void_untrusted_column(spark, sf_dir):
 
 @register("keep_latest")
 def q_keep_latest(spark, sf_dir):
-    return P(spark, sf_dir).deduped().drop("description")
+    return P(spark, sf_dir).deduped().drop("description_id")
 
 
 @register("preferred_row")
@@ -164,7 +164,7 @@ def q_preferred_row(spark, sf_dir):
 
 @register("surrogate_key")
 def q_surrogate_key(spark, sf_dir):
-    return P(spark, sf_dir).final().select("job_key", "source_job_id", "normalized_job_source", "job_url")
+    return P(spark, sf_dir).final_narrow().select("job_key", "source_job_id", "normalized_job_source", "job_url")
 
 
 # -- 2.10 star schema ------------------------------------------------------------------
@@ -216,7 +216,7 @@ def q_fact(spark, sf_dir):
 
 @register("dense_sequence")
 def q_dense_sequence(spark, sf_dir):
-    return S(spark, sf_dir).fact().select("job_posting_key", "job_key", "job_url")
+    return S(spark, sf_dir).fact_narrow().select("job_posting_key", "job_key", "job_url")
 
 
 @register("build_bridge_job_skills")
@@ -234,7 +234,7 @@ def q_date_key(spark, sf_dir):
 
 @register("nullable_key")
 def q_nullable_key(spark, sf_dir):
-    return S(spark, sf_dir).fact().select("job_key", "company_key", "employment_type_key")
+    return S(spark, sf_dir).fact_narrow().select("job_key", "company_key", "employment_type_key")
 
 
 @register("pipe_key")
@@ -247,14 +247,14 @@ def q_pipe_key(spark, sf_dir):
 @register("tag_phrases")
 def q_tag_phrases(spark, sf_dir):
     from hirelake.plans.star import extracted_skills
-    return extracted_skills(P(spark, sf_dir).final())
+    return extracted_skills(P(spark, sf_dir))
 
 
 @register("stage_skills")
 def q_stage_skills(spark, sf_dir):
     from hirelake.plans.star import extracted_skills
     from hirelake.operators.tagging import stage_skills
-    return stage_skills(extracted_skills(P(spark, sf_dir).final()))
+    return stage_skills(extracted_skills(P(spark, sf_dir)))
 
 
 @register("high_confidence")
@@ -315,15 +315,15 @@ def _report(fn_name, *parts):
     return run
 
 
-QUERIES["total_postings"] = _report("total_postings", "fact")
-QUERIES["postings_by_city_region"] = _report("postings_by_city_region", "fact", "dim_location")
-QUERIES["postings_by_employment_type"] = _report("postings_by_employment_type", "fact", "dim_employment_type")
-QUERIES["postings_by_workplace"] = _report("postings_by_workplace", "fact")
-QUERIES["experience_requirements"] = _report("experience_requirements", "fact", "dim_job")
-QUERIES["postings_by_source"] = _report("postings_by_source", "fact", "dim_source")
-QUERIES["postings_by_channel"] = _report("postings_by_channel", "fact", "dim_source")
+QUERIES["total_postings"] = _report("total_postings", "fact_narrow")
+QUERIES["postings_by_city_region"] = _report("postings_by_city_region", "fact_narrow", "dim_location")
+QUERIES["postings_by_employment_type"] = _report("postings_by_employment_type", "fact_narrow", "dim_employment_type")
+QUERIES["postings_by_workplace"] = _report("postings_by_workplace", "fact_narrow")
+QUERIES["experience_requirements"] = _report("experience_requirements", "fact_narrow", "dim_job")
+QUERIES["postings_by_source"] = _report("postings_by_source", "fact_narrow", "dim_source")
+QUERIES["postings_by_channel"] = _report("postings_by_channel", "fact_narrow", "dim_source")
 QUERIES["top_skills"] = _report("top_skills", "bridge", "dim_skills")
-QUERIES["posting_trend"] = _report("posting_trend", "fact", "dim_date")
+QUERIES["posting_trend"] = _report("posting_trend", "fact_narrow", "dim_date")
 
 
 # -- 2.13 checks ---------------------------------------------------------------------------------
@@ -338,7 +338,7 @@ def q_check_not_null(spark, sf_dir):
 @register("check_unique")
 def q_check_unique(spark, sf_dir):
     from hirelake.operators.checks import check_unique
-    return check_unique(P(spark, sf_dir).final(), "job_key")
+    return check_unique(P(spark, sf_dir).final_narrow(), "job_key")
 
 
 @register("check_unique_combination")
@@ -361,7 +361,7 @@ def q_check_accepted_values(spark, sf_dir):
 def q_check_relationships(spark, sf_dir):
     from hirelake.operators.checks import check_relationships
     s = S(spark, sf_dir)
-    return check_relationships(s.fact(), "job_key", s.dim_job(), "job_key")
+    return check_relationships(s.fact_narrow(), "job_key", s.dim_job(), "job_key")
 
 
 @register("check_accepted_range")
@@ -375,7 +375,7 @@ def q_check_accepted_range(spark, sf_dir):
 @register("check_flag_consistency")
 def q_check_flag_consistency(spark, sf_dir):
     from hirelake.operators.checks import check_flag_consistency
-    return check_flag_consistency(P(spark, sf_dir).final(), "has_category_data", "normalized_job_category", ["job_key"])
+    return check_flag_consistency(P(spark, sf_dir).final_narrow(), "has_category_data", "normalized_job_category", ["job_key"])
 
 
 @register("check_dedupe_exact")
@@ -395,27 +395,27 @@ def q_check_no_duplicates(spark, sf_dir):
 def q_check_group_row_count(spark, sf_dir):
     from hirelake.operators.checks import check_group_row_count
     p = P(spark, sf_dir)
-    return check_group_row_count(p.final(), p.preferred(), [
+    return check_group_row_count(p.final_narrow(), p.preferred_narrow(), [
         F.trim(F.lower("job_title")), F.trim(F.lower("company_name")), F.col("normalized_city_name")])
 
 
 @register("check_year_ranges")
 def q_check_year_ranges(spark, sf_dir):
     from hirelake.operators.checks import check_year_ranges
-    return check_year_ranges(P(spark, sf_dir).final(), keep=["job_key", "experience_years"])
+    return check_year_ranges(P(spark, sf_dir).final_narrow(), keep=["job_key", "experience_years"])
 
 
 @register("check_posted_dates")
 def q_check_posted_dates(spark, sf_dir):
     from hirelake.operators.checks import check_posted_dates
-    return check_posted_dates(P(spark, sf_dir).final(), None, ["job_key"])
+    return check_posted_dates(P(spark, sf_dir).final_narrow(), None, ["job_key"])
 
 
 @register("check_fact_foreign_keys")
 def q_check_fact_foreign_keys(spark, sf_dir):
     from hirelake.operators.checks import check_fact_foreign_keys
     s = S(spark, sf_dir)
-    return check_fact_foreign_keys(s.fact(), {
+    return check_fact_foreign_keys(s.fact_narrow(), {
         "job_key": (s.dim_job(), "job_key"),
         "company_key": (s.dim_company(), "company_key"),
         "location_key": (s.dim_location(), "location_key"),
@@ -604,7 +604,7 @@ def _second_batch(final):
 @register("incremental_since_watermark")
 def q_incremental_since_watermark(spark, sf_dir):
     from hirelake.operators.history import incremental_since_watermark
-    f = P(spark, sf_dir).final()
+    f = P(spark, sf_dir).final_narrow()
     loaded = f.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
     return incremental_since_watermark(f, loaded, "collected_at").select("job_key", "collected_at")
 
@@ -612,7 +612,7 @@ def q_incremental_since_watermark(spark, sf_dir):
 @register("merge_by_key")
 def q_merge_by_key(spark, sf_dir):
     from hirelake.operators.history import merge_by_key
-    f = P(spark, sf_dir).final().select("job_key", "normalized_job_status", "collected_at")
+    f = P(spark, sf_dir).final_narrow().select("job_key", "normalized_job_status", "collected_at")
     cut = F.lit(CUTOFF).cast("timestamp_ntz")
     target = f.filter(F.col("collected_at") <= cut)
     updates = _second_batch(f).filter((F.col("collected_at") > cut) | (F.col("normalized_job_status") == "Closed"))
@@ -622,7 +622,7 @@ def q_merge_by_key(spark, sf_dir):
 def _two_runs(spark, sf_dir):
     from hirelake.functions import rules
     from hirelake.operators.history import scd2_check
-    f = P(spark, sf_dir).final().select("job_key", *rules.SNAPSHOT_CHECK_COLS, "job_title", "collected_at")
+    f = P(spark, sf_dir).final_narrow().select("job_key", *rules.SNAPSHOT_CHECK_COLS, "job_title", "collected_at")
     snap1 = scd2_check(None, f, "job_key", rules.SNAPSHOT_CHECK_COLS, T1)
     return scd2_check(snap1, _second_batch(f), "job_key", rules.SNAPSHOT_CHECK_COLS, T2)
 
@@ -1002,7 +1002,7 @@ def q_write_csv_snapshot(spark, sf_dir):
 def q_materialize(spark, sf_dir):
     from hirelake.sources.bronze import materialize, scratch_dir
     path = scratch_dir(spark, "incremental")
-    f = P(spark, sf_dir).final().select("job_key", "normalized_job_status", "collected_at")
+    f = P(spark, sf_dir).final_narrow().select("job_key", "normalized_job_status", "collected_at")
     first = f.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
     materialize(first, "incremental", path=path, key="job_key", watermark="collected_at")
     return materialize(f, "incremental", path=path, key="job_key", watermark="collected_at")

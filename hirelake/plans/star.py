@@ -18,7 +18,8 @@ from hirelake.functions.keys import pipe_key, surrogate_key
 from hirelake.operators.dedupe import pick_min
 from hirelake.operators.history import scd2_check, scd2_current
 from hirelake.operators.sequence import dense_sequence
-from hirelake.operators.tagging import high_confidence, stage_skills, tag_postings
+from hirelake.operators.tagging import high_confidence, stage_skills, tag_by_text_id, tag_postings
+from hirelake.plans.postings import attach_description
 
 # A phrase catalog of our own for the test tables: the driver's documents are
 # invented prose, so the phrases are ones that occur there (licence lines,
@@ -39,13 +40,17 @@ DEMO_CATALOG = [
 RUN_TS = "2026-12-02 00:00:00"
 
 
-def extracted_skills(final: DataFrame, catalog=DEMO_CATALOG) -> DataFrame:
-    """The tagging run over every posting with text (no batch limit)."""
-    return tag_postings(final, catalog)
+def extracted_skills(postings, catalog=DEMO_CATALOG) -> DataFrame:
+    """The tagging run over every posting with text (no batch limit).
+    ``postings`` is a :class:`Postings` chain (text by content id) or a
+    frame holding the text itself."""
+    if isinstance(postings, DataFrame):
+        return tag_postings(postings, catalog)
+    return tag_by_text_id(postings.final_narrow(), postings.texts(), catalog)
 
 
-def int_skills(final: DataFrame, catalog=DEMO_CATALOG) -> DataFrame:
-    return high_confidence(stage_skills(extracted_skills(final, catalog)))
+def int_skills(postings, catalog=DEMO_CATALOG) -> DataFrame:
+    return high_confidence(stage_skills(extracted_skills(postings, catalog)))
 
 
 def snapshot_first_run(final: DataFrame, run_ts: str = RUN_TS) -> DataFrame:
@@ -134,7 +139,9 @@ def fact_columns(preferred: DataFrame) -> DataFrame:
         F.when(F.col("normalized_employment_type").isNotNull(), employment_type_key()).alias("employment_type_key"),
         date_key("normalized_job_posted_date").alias("job_posted_date_key"),
         F.col("normalized_workplace_type").alias("workplace_type"),
-        "is_salary_disclosed", "job_url", "description", "experience_min_years", "experience_max_years",
+        "is_salary_disclosed", "job_url",
+        "description_id" if "description_id" in preferred.columns else "description",
+        "experience_min_years", "experience_max_years",
         "experience_is_open_ended", "collected_at",
     )
 
@@ -155,19 +162,21 @@ def build_bridge_job_skills(skills: DataFrame, dim_skills: DataFrame, fact: Data
 
 
 class Star:
-    """All marts over one postings chain (lazy, except the fact sequence
-    which checkpoints its ordered rows)."""
+    """All marts over one postings chain.
+
+    The chain's narrow frames (description as a content id) feed every
+    mart; the text is joined back only for the fact's own output.  The
+    final and preferred rows have many readers and are kept once (memory,
+    spilling to disk; a lost executor's blocks are recomputed from lineage).
+    """
 
     def __init__(self, postings, catalog=DEMO_CATALOG, run_ts: str = RUN_TS, persist: bool = True):
         self.p = postings
         self.catalog = catalog
         self.run_ts = run_ts
         self._fact = None
-        # final and preferred have many readers (dims, fact, snapshot,
-        # tagging): keep them once (memory, spilling to disk); a lost
-        # executor's blocks are recomputed from lineage.
-        self._final = postings.final()
-        self._preferred = postings.preferred()
+        self._final = postings.final_narrow()
+        self._preferred = postings.preferred_narrow()
         if persist:
             self._final = self._final.persist(StorageLevel.MEMORY_AND_DISK)
             self._preferred = self._preferred.persist(StorageLevel.MEMORY_AND_DISK)
@@ -179,7 +188,7 @@ class Star:
         return self._preferred
 
     def skills(self):
-        return int_skills(self.final(), self.catalog)
+        return high_confidence(stage_skills(tag_by_text_id(self._final, self.p.texts(), self.catalog)))
 
     def snapshot(self):
         return snapshot_first_run(self.final(), self.run_ts)
@@ -205,10 +214,15 @@ class Star:
     def dim_skills(self):
         return build_dim_skills(self.skills())
 
-    def fact(self):
+    def fact_narrow(self):
+        """The fact with the description as its content id (what joins,
+        reports and checks read)."""
         if self._fact is None:
             self._fact = build_fact_posting(self.preferred())
         return self._fact
 
+    def fact(self):
+        return attach_description(self.fact_narrow(), self.p.texts())
+
     def bridge(self):
-        return build_bridge_job_skills(self.skills(), self.dim_skills(), self.fact())
+        return build_bridge_job_skills(self.skills(), self.dim_skills(), self.fact_narrow())
