@@ -81,11 +81,11 @@ def with_location(df: DataFrame, seed: DataFrame, seed_rows: int | None = None)
         seed.select("raw_value_normalized", "mapped_city", "mapped_region"),
         F.col("city_lookup_key"), "raw_value_normalized", known_rows=seed_rows,
     )
-    located = (
-        joined.withColumnRenamed("mapped_city", "normalized_city_name")
-        .withColumnRenamed("mapped_region", "seed_mapped_region")
-        .drop("raw_value_normalized")
-        .withColumn("__region_ic", initcap_delims("region"))
+    located = joined.select(
+        *[keyed[c] for c in keyed.columns],
+        F.col("mapped_city").alias("normalized_city_name"),
+        F.col("mapped_region").alias("seed_mapped_region"),
+        initcap_delims(keyed["region"]).alias("__region_ic"),
     )
     return located.withColumns({
         "normalized_region_name": N.normalize_region("region", "seed_mapped_region", "__region_ic"),
@@ -192,58 +192,66 @@ class Postings:
         if seed is None:
             seed, seed_rows = city_region_seed(spark), len(DEFAULT_CITY_REGION)
         self.seed, self.seed_rows = seed, seed_rows
+        self._stages: dict[str, DataFrame] = {}
+
+    def _memo(self, name: str, build) -> DataFrame:
+        """Each stage is built (and analysed) once per chain; DataFrames are
+        immutable plans, so handing the same one to several readers is safe."""
+        if name not in self._stages:
+            self._stages[name] = build()
+        return self._stages[name]
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> Postings:
         return cls(spark, derived_postings(spark, sf_dir))
 
     def texts(self) -> DataFrame:
-        return description_texts(self.raw)
+        return self._memo("texts", lambda: description_texts(self.raw))
 
     def staged_narrow(self) -> DataFrame:
-        return stage_postings(self.raw, late_text=True)
+        return self._memo("staged_narrow", lambda: stage_postings(self.raw, late_text=True))
 
     def staged(self) -> DataFrame:
-        return stage_postings(self.raw)
+        return self._memo("staged", lambda: stage_postings(self.raw))
 
     def deduped(self) -> DataFrame:
-        return city_deduped(self.staged_narrow())
+        return self._memo("deduped", lambda: city_deduped(self.staged_narrow()))
 
     def located(self) -> DataFrame:
-        return with_location(self.deduped(), self.seed, self.seed_rows)
+        return self._memo("located", lambda: with_location(self.deduped(), self.seed, self.seed_rows))
 
     def in_country(self) -> DataFrame:
-        return country_filtered(self.located())
+        return self._memo("in_country", lambda: country_filtered(self.located()))
 
     def dated(self) -> DataFrame:
-        return with_dates(self.in_country())
+        return self._memo("dated", lambda: with_dates(self.in_country()))
 
     def attributed(self) -> DataFrame:
-        return with_attributes(self.dated())
+        return self._memo("attributed", lambda: with_attributes(self.dated()))
 
     def experienced(self) -> DataFrame:
-        return with_experience(self.attributed())
+        return self._memo("experienced", lambda: with_experience(self.attributed()))
 
     def categorized(self) -> DataFrame:
-        return with_category(self.experienced())
+        return self._memo("categorized", lambda: with_category(self.experienced()))
 
     def in_scope(self) -> DataFrame:
-        return category_filtered(self.categorized())
+        return self._memo("in_scope", lambda: category_filtered(self.categorized()))
 
     def cleaned_narrow(self) -> DataFrame:
-        return select_wide(with_company(with_industry(self.in_scope())))
+        return self._memo("cleaned_narrow", lambda: select_wide(with_company(with_industry(self.in_scope()))))
 
     def cleaned(self) -> DataFrame:
-        return attach_description(self.cleaned_narrow(), self.texts())
+        return self._memo("cleaned", lambda: attach_description(self.cleaned_narrow(), self.texts()))
 
     def final_narrow(self) -> DataFrame:
-        return with_job_key(self.cleaned_narrow())
+        return self._memo("final_narrow", lambda: with_job_key(self.cleaned_narrow()))
 
     def final(self) -> DataFrame:
-        return attach_description(self.final_narrow(), self.texts())
+        return self._memo("final", lambda: attach_description(self.final_narrow(), self.texts()))
 
     def preferred_narrow(self) -> DataFrame:
-        return preferred_postings(self.final_narrow())
+        return self._memo("preferred_narrow", lambda: preferred_postings(self.final_narrow()))
 
     def preferred(self) -> DataFrame:
-        return attach_description(self.preferred_narrow(), self.texts())
+        return self._memo("preferred", lambda: attach_description(self.preferred_narrow(), self.texts()))
