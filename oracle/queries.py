@@ -493,3 +493,18 @@ reg("append_log", on_star(f"""SELECT w.job_key,
  CASE WHEN coalesce(c.n, 0) > 0 THEN 'skills_found' ELSE 'no_skills_found' END AS status
  FROM work w JOIN final f ON w.job_key = f.job_key
  LEFT JOIN (SELECT job_key, count(*) AS n FROM extracted GROUP BY job_key) c ON w.job_key = c.job_key"""))
+
+# the embedded object: chunks decoded as JSON string literals (kept raw when
+# that fails), joined, and the flat object starting at the id cut out
+_PUSH = r'self\.__next_f\.push\(\[1,"((?:[^"\\]|\\.)*)'
+_UUID = ("substr(md5(CAST(page_id AS VARCHAR)), 1, 8) || '-' || substr(md5(CAST(page_id AS VARCHAR)), 9, 4) || '-' || "
+         "substr(md5(CAST(page_id AS VARCHAR)), 13, 4) || '-' || substr(md5(CAST(page_id AS VARCHAR)), 17, 4) || '-' || "
+         "substr(md5(CAST(page_id AS VARCHAR)), 21, 12)")
+reg("reassemble_embedded_json", _JP + f""", bufs AS (
+  SELECT page_id, {_UUID} AS uuid, array_to_string(list_transform(regexp_extract_all(html, '{_PUSH}', 1),
+   lambda p: CASE WHEN json_valid('"' || p || '"') THEN json_extract_string('"' || p || '"', '$') ELSE p END), '') AS buf
+  FROM jp),
+ objs AS (SELECT page_id, regexp_extract(buf, '(\\{{"id":"' || uuid || '","partner(?:Id|Name)"[^}}]*\\}})', 1) AS obj FROM bufs)
+SELECT page_id, CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.jobPositionValue') END AS job_title,
+ CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.cityValue') END AS city,
+ CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.experienceYears') END AS experience_years FROM objs""")
