@@ -170,9 +170,13 @@ class Star:
     spilling to disk; a lost executor's blocks are recomputed from lineage).
     """
 
-    def __init__(self, postings, catalog=DEMO_CATALOG, run_ts: str = RUN_TS, persist: bool = True):
+    def __init__(self, postings, catalog=DEMO_CATALOG, run_ts: str = RUN_TS, persist: bool = True,
+                 extracted: DataFrame | None = None, snapshot: DataFrame | None = None):
         self.p = postings
         self.catalog = catalog
+        # stored skill tags / snapshot (a daily run) instead of computing them here
+        self._extracted = extracted
+        self._snapshot = snapshot
         self.run_ts = run_ts
         self._fact = None
         self._final = postings.final_narrow()
@@ -188,9 +192,13 @@ class Star:
         return self._preferred
 
     def skills(self):
+        if self._extracted is not None:
+            return high_confidence(stage_skills(self._extracted))
         return high_confidence(stage_skills(tag_by_text_id(self._final, self.p.texts(), self.catalog)))
 
     def snapshot(self):
+        if self._snapshot is not None:
+            return self._snapshot
         return snapshot_first_run(self.final(), self.run_ts)
 
     def dim_date(self):
