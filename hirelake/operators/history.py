@@ -47,7 +47,10 @@ def _fs(spark: SparkSession, path: str):
 
 def table_versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions (folders ``version=N`` holding ``_SUCCESS``)."""
-    fs, root, jvm = _fs(spark, path)
+    try:
+        fs, root, jvm = _fs(spark, path)
+    except Exception:  # no JVM gateway (Spark Connect): list the markers with Spark
+        return _versions_by_listing(spark, path)
     if not fs.exists(root):
         return []
     out = []
@@ -59,6 +62,20 @@ def table_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def _versions_by_listing(spark: SparkSession, path: str) -> list[int]:
+    """Versions that hold committed data files.  Spark's listing hides
+    ``_SUCCESS``, but part files only leave the hidden ``_temporary`` area
+    when the write job commits, so a visible part file marks a complete
+    version.  Only paths are read, not file contents."""
+    try:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .option("recursiveFileLookup", "true").load(path).select("path"))
+        found = files.select(F.regexp_extract("path", r"/version=(\d+)/[^/]+$", 1).alias("v")).distinct()
+        return sorted(int(r.v) for r in found.collect() if r.v)
+    except Exception:  # the folder does not exist yet
+        return []
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     versions = table_versions(spark, path)
     if not versions:

@@ -49,10 +49,13 @@ class StoredFinal:
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(p) else None
+    """The table at ``path``, or None when nothing was written there yet."""
+    try:
+        df = spark.read.parquet(path)
+        df.schema  # noqa: B018 -- resolves the path now
+        return df
+    except Exception:  # the folder does not exist yet
+        return None
 
 
 def _frozen(df: DataFrame, label: str) -> DataFrame:

@@ -84,3 +84,12 @@ def test_dense_sequence_matches_global_row_number(spark):
         out = dense_sequence(df, [F.col("v").asc(), F.col("id").asc()], "seq", num_partitions=parts)
         got = sorted(rows(out, "v", "seq"))
         assert [s for _, s in got] == list(range(1, 5001))
+
+
+def test_version_listing_without_jvm_gateway(spark):
+    from hirelake.operators.history import _versions_by_listing, write_version
+    path = scratch_dir(spark, "test-listing")
+    assert _versions_by_listing(spark, path) == []
+    write_version(spark.range(3), path)
+    write_version(spark.range(0), path)
+    assert _versions_by_listing(spark, path) == table_versions(spark, path) == [1, 2]
