@@ -45,7 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this names shared storage and is used as is.  Only when it
     is unset (local tests) a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no JVM gateway (Spark Connect): the setting alone
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="hirelake-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
