@@ -33,7 +33,7 @@ def join_left_lookup(df: DataFrame, lookup: DataFrame, left_key: Column, right_k
 
 def semi_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """``key IN (subquery)``."""
-    return df.join(other.select(*([on] if isinstance(on, str) else on)).distinct(), on, "left_semi")
+    return df.join(other.select(*([on] if isinstance(on, str) else on)), on, "left_semi")
 
 
 def anti_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataFrame:

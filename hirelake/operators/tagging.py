@@ -255,7 +255,7 @@ def tag_by_text_id(keyed: DataFrame, texts: DataFrame, catalog: Catalog, key_col
         done = log.filter(F.col("status").isin(rules.STATUS_FOUND, rules.STATUS_NONE)).select(key_col)
         ids = ids.join(done, key_col, "left_anti")
     live = (texts.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
-            .join(ids.select(id_col).distinct(), id_col, "left_semi"))
+            .join(ids.select(id_col), id_col, "left_semi"))
     tags = tag_texts(live, id_col, text_col, catalog)
     return ids.join(tags, id_col, "inner").drop(id_col)
 

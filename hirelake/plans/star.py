@@ -115,7 +115,7 @@ def build_dim_employment_type(preferred: DataFrame) -> DataFrame:
 
 def build_dim_job(snapshot: DataFrame, preferred: DataFrame) -> DataFrame:
     current = scd2_current(snapshot).filter(F.col("job_key").isNotNull())
-    kept = current.join(preferred.select("job_key").distinct(), "job_key", "left_semi")
+    kept = current.join(preferred.select("job_key"), "job_key", "left_semi")
     return kept.select(
         "job_key", "source_job_id", "job_title", F.col("normalized_job_category").alias("job_category"),
         F.col("normalized_job_status").alias("job_status"), "seniority_level",
