@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,7 +27,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
-            builder = builder.config("spark.driver.memory", "16g")
+            builder = builder.config("spark.driver.memory", "8g")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -42,22 +43,24 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this names shared storage and is used as is.  Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    On a cluster this names shared storage and is used as is; a cluster session
+    without it is an error, since a folder of one machine is not seen by the
+    others.  Only a local session gets a scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # no JVM gateway (Spark Connect): the setting alone
+    except Exception as e:  # no JVM gateway (Spark Connect): the setting alone
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="hirelake-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise ValueError("set spark.checkpoint.dir to a shared folder") from e
         return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="hirelake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
