@@ -28,3 +28,66 @@ def op10_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame
     from hirelake.llm.sentencepiece_bpe import encode_digests
 
     return encode_digests(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.language_id import identify
+
+    return identify(documents(spark, sf_dir))
+
+
+@register
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from hirelake.llm.token_counts import token_counts
+
+    return token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op2_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.fingerprints import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
+
+
+@register
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.mixing import mix
+
+    return mix(documents(spark, sf_dir))
+
+
+ORACLE["op1_source_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS place
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT + 1]::BIGINT AS weight
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, 3 * source_size AS cap, sum(source_size) OVER () - (sum(3 * source_size) OVER o - 3 * source_size) AS rest,
+         sum(weight) OVER () - (sum(weight) OVER o - weight) AS weight_rest
+  FROM s WINDOW o AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, cap * weight_rest <= rest * weight AS clamped FROM w),
+u AS (SELECT rest AS open_rest, weight_rest AS open_weight FROM c WHERE NOT clamped
+      ORDER BY cap::DOUBLE / weight, source NULLS LAST LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN clamped THEN cap::DOUBLE ELSE (weight * open_rest)::DOUBLE / open_weight::DOUBLE END AS target
+  FROM c LEFT JOIN u ON true),
+p AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS want,
+         CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // greatest(source_size, 1) ELSE 0 END AS whole
+  FROM t),
+r AS (
+  SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, p.want - p.whole * p.source_size AS part,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS before
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+e AS (SELECT *, least(greatest(part - before, 0), size) AS extra FROM r)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, (whole * size + extra)::BIGINT AS taken,
+       (whole + CASE WHEN extra = size AND (size > 0 AND part - before > 0) THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM e
+"""
