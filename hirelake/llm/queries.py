@@ -91,3 +91,68 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target, (whole * size +
        (whole + CASE WHEN extra = size AND (size > 0 AND part - before > 0) THEN 1 ELSE 0 END)::BIGINT AS copies
 FROM e
 """
+
+
+@register
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.personal_data import digests
+
+    return digests(documents(spark, sf_dir))
+
+
+@register
+def op9_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.sharding import shard
+
+    return shard(documents(spark, sf_dir))
+
+
+_BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+    "ssn": r"[0-9]+(?:-[0-9]+)+",
+}
+_CONFIRM = {
+    "email": "true",
+    "ip": "len(list_filter(string_split(m, '.'), lambda x: len(ltrim(x, '0')) > 3 OR (len(ltrim(x, '0')) = 3 AND ltrim(x, '0') > '255'))) = 0",
+    "card": """len(g) BETWEEN 13 AND 19 AND list_sum(list_transform(range(0, len(g)), lambda i: CASE
+        WHEN i % 2 = 0 THEN ascii(g[len(g) - i]) - 48 WHEN ascii(g[len(g) - i]) - 48 > 4 THEN 2 * (ascii(g[len(g) - i]) - 48) - 9
+        ELSE 2 * (ascii(g[len(g) - i]) - 48) END)) % 10 = 0""",
+    "phone": "len(g) BETWEEN 9 AND 15",
+    "iban": """len(a) = coalesce(list_extract(map_extract(MAP {%s}, a[1:2]), 1), 0) AND
+        list_reduce(list_prepend(0, list_transform(string_split(a[5:] || a[1:4], ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)),
+                    lambda x, y: (x * CASE WHEN y > 9 THEN 100 ELSE 10 END + y) % 97) = 1""",
+    "ssn": """regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND m NOT SIMILAR TO '(000|666|9[0-9]{2})-.*|.*-00-.*|.*-0000'
+        AND regexp_matches(lower(text[greatest(1, s - 39):s]), '\b(?:ssn|social security)')""",
+}
+
+
+def _personal_data_sql() -> str:
+    """Matches and the pieces between them alternate, as in the operator; rows are spans instead of arrays."""
+    from hirelake.llm.personal_data import IBAN_LENGTHS
+
+    confirm = _CONFIRM | {"iban": _CONFIRM["iban"].replace("%s", ", ".join(f"'{k}': {v}" for k, v in IBAN_LENGTHS.items()))}
+    parts = []
+    for k, (kind, pattern) in enumerate(_BASE.items()):
+        parts.append(f"""
+  SELECT r, {k} AS k, '{kind}' AS kind, s, s + len(m) AS e FROM (
+    SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS g, replace(m, ' ', '') AS a FROM (
+      SELECT r, text, ms[i] AS m, (len(array_to_string(ps[1:i], '')) + len(array_to_string(ms[1:i - 1], '')))::BIGINT AS s FROM (
+        SELECT r, text, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
+          SELECT r, text, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS ps
+          FROM d WHERE regexp_matches(text, '{pattern}'))))) WHERE {confirm[kind]}""")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(parts)}),
+g AS (SELECT r, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card,
+        count(*) FILTER (k = 3) AS n_phone, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k < 4) AS base,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)"""
+
+
+ORACLE["op8_personal_data"] = _personal_data_sql()
