@@ -156,3 +156,31 @@ FROM d LEFT JOIN g USING (r)"""
 
 
 ORACLE["op8_personal_data"] = _personal_data_sql()
+
+
+@register
+def op6_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
+ORACLE["op6_bottom_k_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh
+  FROM d),
+e AS (SELECT r, doc_id, len(sh) AS n, unnest(sh) AS x FROM s WHERE doc_id IS NOT NULL),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.r < b.r
+  GROUP BY a.r, b.r, a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+c AS (SELECT doc_id, doc_id AS reach FROM d WHERE doc_id IS NOT NULL
+      UNION SELECT c.doc_id, l.b FROM c JOIN l ON c.reach = l.a)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id, coalesce(m.component_id = s.doc_id, true) AS kept
+FROM s LEFT JOIN (SELECT doc_id, min(reach) AS component_id FROM c GROUP BY doc_id) m ON s.doc_id = m.doc_id
+"""
