@@ -184,3 +184,10 @@ c AS (SELECT doc_id, doc_id AS reach FROM d WHERE doc_id IS NOT NULL
 SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id, coalesce(m.component_id = s.doc_id, true) AS kept
 FROM s LEFT JOIN (SELECT doc_id, min(reach) AS component_id FROM c GROUP BY doc_id) m ON s.doc_id = m.doc_id
 """
+
+
+@register
+def op5_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.multi_index import search
+
+    return search(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
