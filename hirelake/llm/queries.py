@@ -191,3 +191,10 @@ def op5_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelake.llm.multi_index import search
 
     return search(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@register
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.license_scan import scan
+
+    return scan(documents(spark, sf_dir))
