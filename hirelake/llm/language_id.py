@@ -151,6 +151,24 @@ def predict(docs: DataFrame, learned: list[tuple[str, np.ndarray]], ranks: int =
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def identified(docs: DataFrame, learned: list[tuple[str, np.ndarray]], least: float = 0.2, ranks: int = RANKS) -> DataFrame:
+    """The rows of ``docs`` whose language is known, all columns as they are.
+
+    Rejected are texts that are null or have no letters, and those as far from
+    every profile as letters in no language's order (a score below ``least``).
+    Rows are dropped where they are read; nothing is shuffled.
+    """
+    known = [(g[order := np.argsort(g)], order) for _, g in learned]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            d = [distances(t, known, ranks) if known else None for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([x is not None and 1 - x.min() >= least for x in d], pa.bool_()))
+
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """One document in five, by its id; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -54,21 +54,13 @@ def water_fill(sources: DataFrame, epochs: int) -> DataFrame:
             .select("source", "source_size", "weight", "target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: str = SEED,
-        whole_documents: bool = False) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, copies`` of every row.
+def planned(docs: DataFrame, weights: tuple[int, ...], epochs: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """``(rows, buckets)``: every row's size and place in the seeded order, and every bucket's share of its source's plan.
 
-    size: words of the text (null: 0); taken: words the mix takes of the
-    document, repeats counted; copies: repetitions that take it whole.  Each
-    source gives its target rounded to words: whole repetitions, and of one
-    more the documents that come first in the order of an MD5 hash of seed and
-    id, the last of them in part.  With ``whole_documents`` that last one is
-    taken whole if at least half of it is wanted, else left out.  A null source
-    is a source of its own; repeated rows are documents of their own; an empty
-    table gives no rows.  Ties in the order go by id, then size.
+    A bucket holds the documents whose places begin alike; before: words of the
+    source's earlier buckets; whole: full repetitions of the source; part: words wanted of one more.
     """
-    place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = written(docs.select("doc_id", "source", words().alias("size"), place.alias("place"))
+    rows = written(docs.select("doc_id", "source", words().alias("size"), place(seed).alias("place"))
                    .withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS)), "mix")
     buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     sources = buckets.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -76,24 +68,70 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     want = F.floor(F.col("target") + 0.5)
     whole = F.when(F.col("source_size") > 0, F.floor(want / F.greatest("source_size", F.lit(1)))).otherwise(0)
     targets = targets.select("*", whole.alias("whole"), (want - whole * F.col("source_size")).alias("part"))
-    # words of the buckets before, in each source
     up = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = (buckets.withColumn("before", F.sum("n").over(up) - F.col("n")).alias("b")
                .join(targets.alias("t"), F.expr("b.source <=> t.source"))
                .select(F.col("b.source").alias("source"), "bucket", "n", "before", "source_size", "target", "whole", "part"))
+    return rows, buckets
+
+
+def place(seed: str) -> Column:
+    """A document's place in the seeded order."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
+def _ends() -> Column:
+    """The bucket in which the part ends: only there the order of the documents counts."""
+    return (F.col("before") < F.col("part")) & (F.col("before") + F.col("n") > F.col("part"))
+
+
+def _left() -> Column:
+    """Words of the part that the documents before leave, in a bucket where it ends."""
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.col("part") - F.col("before") - (F.sum("size").over(inside) - F.col("size"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: str = SEED) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, copies`` of every row.
+
+    size: words of the text (null: 0); taken: words the mix takes of the
+    document, repeats counted; copies: repetitions that take it whole.  Each
+    source gives its target rounded to words: whole repetitions, and of one
+    more the documents that come first in the order of an MD5 hash of seed and
+    id, the last of them in part.  A null source is a source of its own;
+    repeated rows are documents of their own; an empty table gives no rows.
+    Ties in the order go by id, then size.
+    """
+    rows, buckets = planned(docs, weights, epochs, seed)
     rows = (rows.alias("r").join(buckets.alias("b"), F.expr("r.source <=> b.source and r.bucket = b.bucket"))
             .select("doc_id", F.col("r.source").alias("source"), "r.bucket", "place", "size", "n", "before", "source_size", "target", "whole", "part"))
-    # only the bucket in which the part ends needs the order of its documents
-    ends = (F.col("before") < F.col("part")) & (F.col("before") + F.col("n") > F.col("part"))
-    inside = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left = F.col("part") - F.col("before") - (F.sum("size").over(inside) - F.col("size"))
-    extra = F.least(F.greatest(left, F.lit(0)), F.col("size"))
-    if whole_documents:
-        extra = F.when(2 * left >= F.col("size"), F.col("size")).otherwise(0)
-    split = rows.where(ends).withColumn("extra", extra)
-    rest = rows.where(~ends).withColumn("extra", F.when(F.col("before") < F.col("part"), F.col("size")).otherwise(0))
+    split = rows.where(_ends()).withColumn("extra", F.least(F.greatest(_left(), F.lit(0)), F.col("size")))
+    rest = rows.where(~_ends()).withColumn("extra", F.when(F.col("before") < F.col("part"), F.col("size")).otherwise(0))
     once_more = ((F.col("extra") == F.col("size")) & (F.col("size") > 0)).cast("long")
     return split.unionByName(rest).select(
         "doc_id", "size", "source_size", "target",
         (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
         (F.col("whole") + once_more).cast("long").alias("copies"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: str = SEED) -> DataFrame:
+    """The mix itself: ``docs`` with every row as often as the mix takes it, no document in part.
+
+    As ``mix``, but the document in which a source's part ends is taken whole if
+    at least half of it is wanted, else not.  What a source takes is then all
+    documents up to a place in the seeded order, so each row is decided by
+    one row of its source and the texts are not shuffled.  Repeated rows share
+    their place and are taken alike.
+    """
+    rows, buckets = planned(docs, weights, epochs, seed)
+    b = buckets.where(_ends())  # at most one bucket of each source
+    split = (rows.alias("r").join(b.alias("b"), F.expr("r.source <=> b.source and r.bucket = b.bucket"))
+             .select("doc_id", F.col("r.source").alias("source"), "r.bucket", "place", "size", "before", "part").withColumn("left", _left()))
+    last = split.where((F.col("left") > 0) & (2 * F.col("left") >= F.col("size"))).groupBy("source").agg(F.max("place").alias("last"))
+    # before the first bucket that is not taken whole, every place is smaller than the bucket's own name
+    plan = buckets.groupBy("source").agg(F.first("whole").alias("whole"), F.min(F.when(F.col("before") + F.col("n") > F.col("part"), F.col("bucket"))).alias("open"))
+    plan = written(plan.alias("p").join(last.alias("l"), F.expr("p.source <=> l.source"), "left")
+                   .select(F.col("p.source").alias("__source"), "whole", F.coalesce("last", "open", F.lit("")).alias("last")), "mix-plan")
+    times = F.col("whole") + (place(seed) <= F.col("last")).cast("long")
+    return (docs.join(plan, docs["source"].eqNullSafe(plan["__source"]))
+            .withColumn("__time", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[docs[c] for c in docs.columns]))
