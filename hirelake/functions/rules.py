@@ -187,7 +187,25 @@ STATUS_ERROR = "error"
 SNAPSHOT_CHECK_COLS = ["normalized_job_status", "normalized_job_category", "seniority_level"]
 
 # Landing: file-name keyword -> platform folder, first keyword wins.
-PLATFORM_KEYWORDS = [("sabbar", "sabbar"), ("gulftalent", "golftalent"), ("tanqeeb", "tanqeeb")]
+PLATFORM_KEYWORDS = [("sabbar", "sabbar"), ("tanqeeb", "tanqeeb"), ("gulftalent", "golftalent"), ("jadarat", "jadarat")]
+
+# City as job cards spell it -> region, fixed values.
+CARD_CITY_REGION = [
+    ("Riyadh", "Riyadh Region"),
+    ("Jeddah", "Makkah Region"), ("Makkah", "Makkah Region"), ("Taif", "Makkah Region"), ("Al Taif", "Makkah Region"),
+    ("Rabigh", "Makkah Region"),
+    ("Medina", "Madinah Region"), ("Madinah", "Madinah Region"), ("Yanbu", "Madinah Region"),
+    ("Eastern", "Eastern Province"), ("Eastern Province", "Eastern Province"), ("Al Damam", "Eastern Province"),
+    ("Dammam", "Eastern Province"), ("Khobar", "Eastern Province"), ("Dhahran", "Eastern Province"),
+    ("Jubail", "Eastern Province"), ("Qatif", "Eastern Province"), ("Al Ahsa", "Eastern Province"),
+    ("Hafar Al-Batin", "Eastern Province"),
+    ("Asir", "Asir Region"), ("Abha", "Asir Region"), ("Khamis Mushait", "Asir Region"), ("Bisha", "Asir Region"),
+    ("Tabuk", "Tabuk Region"), ("Qassim", "Qassim Region"), ("Hail", "Hail Region"),
+    ("Jouf", "Al Jouf Region"), ("Al Jouf", "Al Jouf Region"),
+    ("Bahah", "Al Bahah Region"), ("Al Bahah", "Al Bahah Region"),
+    ("Jizan", "Jazan Region"), ("Nagran", "Najran Region"), ("Najran", "Najran Region"),
+    ("Northern Borders", "Northern Borders Region"),
+]
 
 # Raw posting columns, in order.
 RAW_COLUMNS = [

@@ -703,8 +703,8 @@ ORDER_AS_OF_EPOCH = 902016000  # 1998-08-02 00:00:00 UTC
 
 @register("extract_links")
 def q_extract_links(spark, sf_dir):
-    from hirelake.operators.pages import extract_links
-    return extract_links(_pages(spark, sf_dir))
+    from hirelake.operators.pages import SITE_LINK, extract_links
+    return extract_links(_pages(spark, sf_dir), SITE_LINK)
 
 
 @register("absolutize_url")
@@ -718,9 +718,9 @@ def q_absolutize_url(spark, sf_dir):
 
 @register("unseen_only")
 def q_unseen_only(spark, sf_dir):
-    from hirelake.operators.pages import extract_links, unseen_only
+    from hirelake.operators.pages import SITE_LINK, extract_links, unseen_only
     p = _pages(spark, sf_dir)
-    links = extract_links(p)
+    links = extract_links(p, SITE_LINK)
     return unseen_only(links, "link_url", p, "url", [F.col("page_id").asc(), F.col("pos").asc()])
 
 
@@ -778,7 +778,7 @@ def q_disclosed_flag(spark, sf_dir):
 def q_extract_card_attributes(spark, sf_dir):
     from hirelake.operators.pages import card_elements, card_to_posting
     c = card_elements(_job_pages(spark, sf_dir))
-    return c.select("page_id", *[v.alias(k) for k, v in card_to_posting("attrs", PAGE_AS_OF).items()])
+    return c.select("page_id", *[v.alias(k) for k, v in card_to_posting("attrs", "inner", PAGE_AS_OF).items()])
 
 
 @register("parse_location_text")
@@ -838,9 +838,12 @@ def q_first_present(spark, sf_dir):
 
 @register("first_truthy_key")
 def q_first_truthy_key(spark, sf_dir):
-    from hirelake.operators.pages import first_truthy_key
-    e = _table(spark, sf_dir, "events")
-    return e.select("event_id", first_truthy_key("props", ["$.missing", "$.k"]).alias("value"))
+    from hirelake.operators.pages import first_truthy_key, json_path_or_empty
+    values = ['"0"', "0", "false", '"false"', '" "', "[]", "{}", "null", '""', "0.0", '"" ', "7"]
+    a = F.array([F.lit(v) for v in values])[(F.col("event_id") % len(values)).cast("int")]
+    j = F.concat(F.lit('{"a":'), a, F.lit(',"b":"'), json_path_or_empty("props", "$.k"), F.lit('"}'))
+    e = _table(spark, sf_dir, "events").select("event_id", j.alias("j"))
+    return e.select("event_id", first_truthy_key("j", ["$.a", "$.missing", "$.b"]).alias("value"))
 
 
 @register("id_from_url")

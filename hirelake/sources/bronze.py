@@ -70,7 +70,7 @@ def route_by_platform(spark: SparkSession, landing: str, bronze: str) -> DataFra
     write the bronze layout (``platform=<name>/``); returns the routed rows
     read back.  Unknown names land with a null platform."""
     df = csv_reader(spark, RAW_SCHEMA).csv(landing).select(
-        *rules.RAW_COLUMNS, platform_from_name(F.col("_metadata.file_path")).alias("platform"))
+        *rules.RAW_COLUMNS, platform_from_name(F.col("_metadata.file_name")).alias("platform"))
     write_csv(df, bronze, "overwrite", ["platform"])
     return read_bronze(spark, bronze)
 

@@ -15,7 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.sources.tables import read_table
 
-_ESC = "replace(replace({x}, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34))"
+
+
+def _escaped(x: str) -> str:
+    """One level of HTML escaping, as SQL."""
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+# the card's description: markup, escaped up to three times
+_MARKUP = "('<p>Role <b>' || title_attr || '</b> at ' || org || '</p>')"
+_DESC = ("CASE CAST(page_id % 4 AS INT) WHEN 0 THEN " + _MARKUP + " WHEN 1 THEN " + _escaped(_MARKUP)
+         + " WHEN 2 THEN " + _escaped(_escaped(_MARKUP)) + " ELSE " + _escaped(_escaped(_escaped(_MARKUP))) + " END")
 
 JOB_PAGES_SQL = """
 SELECT page_id, url,
@@ -25,14 +35,14 @@ SELECT page_id, url,
     WHEN 1 THEN '<script type="application/ld+json">[{"@type":"Organization","name":"Board"}, ' || obj || ']</script>'
     WHEN 2 THEN '<script type="application/ld+json">{"@type": "JobPosting", broken</script><script type="application/ld+json">' || obj || '</script>'
     ELSE '<script type="application/ld+json">{"@type":"WebPage","name":"About"}</script>' END
- || '<article data-drawer-trigger="job-card" data-job-id="' || CAST(page_id AS STRING)
+ || '<article class="first" data-job-note="a > b" data-job-categories="Sales &amp; more" data-job-categories="second" data-drawer-trigger="job-card" data-job-id="' || CAST(page_id AS STRING)
  || '" data-job-name="' || title_attr || '" data-job-url="/jobs/' || CAST(page_id AS STRING)
  || '" data-job-company="' || org || '" data-job-type=" Full Time " data-job-salary="'
  || CASE WHEN page_id % 3 = 0 THEN '' ELSE '5000' END
  || '" data-job-closed="' || CASE WHEN page_id % 5 = 0 THEN '1' ELSE '0' END
  || '" data-job-country="' || CASE WHEN page_id % 7 = 0 THEN '' ELSE 'Saudi' END
  || '" data-job-state="' || CASE WHEN page_id % 6 = 0 THEN ' ' ELSE city END
- || '" data-job-workplace-location="On-site - Saudi - ' || city || '"></article>'
+ || '" data-job-workplace-location="On-site - Saudi - ' || city || '"><h2>' || title_attr || '</h2><div class="hidden job-card-description-source">' || {desc} || '</div></article>'
  || '<script>self.__next_f.push([1,"' || substr(chunk, 1, 30) || '"])</script>'
  || '<script>self.__next_f.push([1,"' || substr(chunk, 31) || '"])</script>'
  AS html
@@ -52,7 +62,7 @@ FROM (
   || '","description":"<p>Role &amp; duties: ' || jt || '</p>"}' AS obj,
   replace(replace('{"id":"' || uuid || '","partnerId":' || CAST(page_id % 9 AS STRING) || ',"jobPositionValue":"' || jt
    || '","cityValue":"' || city || '","createdDate":' || CAST(1700000000 + page_id * 86400 AS STRING)
-   || ',"experienceYears":"' || CASE WHEN page_id % 2 = 0 THEN '5-10' ELSE '+3' END || '"}',
+   || ',"meta":{"note":"a } b { c","inner":{"n":1}},"experienceYears":"' || CASE WHEN page_id % 2 = 0 THEN '5-10' ELSE '+3' END || '"}',
    chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)) AS chunk
  FROM (
   SELECT page_id, url, html,
@@ -69,6 +79,9 @@ FROM (
 """
 
 
+JOB_PAGES_SQL = JOB_PAGES_SQL.replace("{desc}", _DESC)
+
+
 def job_pages_sql_for(pages: str = "pages") -> str:
     return JOB_PAGES_SQL.replace("{pages}", pages)
 

@@ -325,8 +325,8 @@ _ORIGIN = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"
 
 def _decode(x: str) -> str:
     """The entities that occur in the pages, decoded in one left-to-right pass."""
-    return (f"regexp_replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), "
-            f"'&amp;?', '&', 'g')")
+    return (f"regexp_replace(replace(replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), "
+            f"'&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')")
 
 
 def _to_text(x: str) -> str:
@@ -357,6 +357,14 @@ _JSONLD = _JP + """, s1 AS (SELECT page_id, url, unnest(s) AS t, generate_subscr
 """
 
 
+def _truthy(j: str, path: str) -> str:
+    """Truth of a JSON value by its type."""
+    v = f"json_extract({j}, '{path}')"
+    return (f"coalesce(CASE json_type({j}, '{path}') WHEN 'NULL' THEN false WHEN 'VARCHAR' THEN json_extract_string({j}, '{path}') <> '' "
+            f"WHEN 'BOOLEAN' THEN {v}::VARCHAR = 'true' WHEN 'ARRAY' THEN json_array_length({v}) > 0 "
+            f"WHEN 'OBJECT' THEN len(json_keys({v})) > 0 ELSE CAST({v} AS DOUBLE) <> 0 END, false)")
+
+
 def _jp(path: str) -> str:
     return f"coalesce(json_extract_string(j, '{path}'), '')"
 
@@ -380,7 +388,7 @@ reg("extract_jsonld", _JSONLD + f"""SELECT page_id, {_jp('$.identifier.value')}
  CASE WHEN upper(coalesce(json_extract_string(j, '$.jobLocationType'), '')) LIKE '%TELECOMMUTE%' THEN 'Remote' ELSE '' END AS workplace_type,
  {_jp('$.experienceRequirements.monthsOfExperience')} AS experience_years, {_jp('$.occupationalCategory')} AS job_category,
  {_jp('$.industry')} AS industry,
- coalesce(trim(json_extract(j, '$.baseSalary')::VARCHAR, ' ') NOT IN ('', '0', '0.0', '-0', 'false', '[]', '{{}}'), false) AS is_salary_disclosed,
+ {_truthy("j", "$.baseSalary")} AS is_salary_disclosed,
  'GulfTalent' AS job_source, {_jp('$.datePosted')} AS job_posted_date, {_VT} AS job_status,
  '2026-12-02 00:00:00' AS collected_at, {_to_text(_jp('$.description'))} AS description FROM jl""")
 reg("json_path_or_empty", """SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k,
@@ -390,10 +398,18 @@ reg("remote_from_marker", _JSONLD + """SELECT page_id, CASE WHEN upper(coalesce(
  LIKE '%TELECOMMUTE%' THEN 'Remote' ELSE '' END AS workplace_type FROM jl""")
 reg("company_url_slug", _JSONLD + f"SELECT page_id, {_SLUG} AS company_url FROM jl")
 
-_CARDS = _JP + """, c0 AS (SELECT page_id, CAST(generate_subscripts(cs, 1) - 1 AS INTEGER) AS card_pos, unnest(cs) AS card FROM (
-  SELECT page_id, regexp_extract_all(html, '(?is)<article\\b[^>]*data-drawer-trigger="job-card"[^>]*>', 0) AS cs FROM jp)),
- cards AS (SELECT page_id, card_pos, map_from_entries(list_transform(regexp_extract_all(card, '([A-Za-z0-9_-]+)="([^"]*)"', 0),
-   lambda kv: {'k': regexp_extract(kv, '([A-Za-z0-9_-]+)="([^"]*)"', 1), 'v': regexp_extract(kv, '([A-Za-z0-9_-]+)="([^"]*)"', 2)})) AS attrs FROM c0)
+_KV = '([A-Za-z0-9_-]+)="([^"]*)"'
+_ART = "(?is)(<article\\b(?:[^>\"'']|\"[^\"]*\"|''[^'']*'')*>)(.*?)</article>"
+_AGAIN = ("CASE WHEN regexp_matches(t, '</?[a-zA-Z][a-zA-Z0-9]*(?:\\s[^<>]*)?/?>') THEN "
+          + _decode("regexp_replace(t, '<[^>]+>', ' ', 'g')") + " ELSE t END AS t")
+_CARDS = _JP + f""", c0 AS (SELECT page_id, unnest(list_zip(regexp_extract_all(html, '{_ART}', 1), regexp_extract_all(html, '{_ART}', 2))) AS c FROM jp),
+ c1 AS (SELECT page_id, c[1] AS card, c[2] AS inside FROM c0 WHERE contains(c[1], 'data-drawer-trigger="job-card"')),
+ kv AS (SELECT page_id, inside, regexp_extract_all(card, '{_KV}', 1) AS ks, regexp_extract_all(card, '{_KV}', 2) AS vs FROM c1),
+ c2 AS (SELECT page_id, inside, map_from_entries(list_transform(list_filter(range(1, len(ks) + 1), lambda i: list_position(ks, ks[i]) = i),
+   lambda i: {{'k': ks[i], 'v': vs[i]}})) AS attrs FROM kv),
+ t1 AS (SELECT page_id, attrs, {_decode("regexp_replace(regexp_extract(inside, '(?is)<div [^>]*job-card-description-source[^>]*>(.*?)</div>', 1), '<[^>]+>', ' ', 'g')")} AS t FROM c2),
+ t2 AS (SELECT page_id, attrs, {_AGAIN} FROM t1), t3 AS (SELECT page_id, attrs, {_AGAIN} FROM t2), t4 AS (SELECT page_id, attrs, {_AGAIN} FROM t3),
+ cards AS (SELECT page_id, attrs, nullif(trim(regexp_replace(t, '\\s+', ' ', 'g'), ' '), '') AS description FROM t4)
 """
 
 
@@ -406,10 +422,15 @@ _PARTS = ("list_filter(list_transform(string_split(coalesce(" + _at("data-job-wo
           + _at("data-job-location") + ", ''), '-'), lambda p: trim(p, ' ')), lambda p: p <> '' AND lower(p) NOT IN ('on-site', 'remote', 'hybrid'))")
 _COUNTRY = f"coalesce({_at('data-job-country')}, {_PARTS}[1])"
 _CITY = f"coalesce({_at('data-job-state')}, CASE WHEN len({_PARTS}) >= 2 THEN {_PARTS}[-1] END)"
-_REGION_MAP = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in [
-    ("Riyadh", "Riyadh Region"), ("Jeddah", "Makkah Region"), ("Makkah", "Makkah Region"),
-    ("Al Damam", "Eastern Province"), ("Dammam", "Eastern Province"), ("Abha", "Asir Region"),
-    ("Tabuk", "Tabuk Region"), ("Hail", "Hail Region")]) + "}"
+_REGION_CITIES = {
+    "Riyadh Region": ["Riyadh"], "Makkah Region": ["Jeddah", "Makkah", "Taif", "Al Taif", "Rabigh"],
+    "Madinah Region": ["Medina", "Madinah", "Yanbu"],
+    "Eastern Province": ["Eastern", "Eastern Province", "Al Damam", "Dammam", "Khobar", "Dhahran", "Jubail", "Qatif", "Al Ahsa", "Hafar Al-Batin"],
+    "Asir Region": ["Asir", "Abha", "Khamis Mushait", "Bisha"], "Tabuk Region": ["Tabuk"], "Qassim Region": ["Qassim"], "Hail Region": ["Hail"],
+    "Al Jouf Region": ["Jouf", "Al Jouf"], "Al Bahah Region": ["Bahah", "Al Bahah"], "Jazan Region": ["Jizan"],
+    "Najran Region": ["Nagran", "Najran"], "Northern Borders Region": ["Northern Borders"],
+}
+_REGION_MAP = "MAP {" + ", ".join(f"'{c}': '{r}'" for r, cs in _REGION_CITIES.items() for c in cs) + "}"
 reg("extract_card_attributes", _CARDS + f"""SELECT page_id, {_at('data-job-id')} AS source_job_id, {_at('data-job-name')} AS job_title,
  CASE WHEN starts_with({_at('data-job-url')}, '/') THEN 'https://saudi.tanqeeb.com' || {_at('data-job-url')} ELSE {_at('data-job-url')} END AS url,
  {_at('data-job-company')} AS company_name,
@@ -420,7 +441,7 @@ reg("extract_card_attributes", _CARDS + f"""SELECT page_id, {_at('data-job-id')}
  {_at('data-job-salary')} IS NOT NULL AS is_salary_disclosed, {_at('data-job-source')} AS job_source,
  {_at('data-job-date')} AS job_posted_date,
  CASE WHEN coalesce({_at('data-job-closed')}, '') = '1' THEN 'closed' ELSE 'active' END AS job_status,
- '2026-12-02 00:00:00' AS collected_at, CAST(NULL AS VARCHAR) AS description FROM cards""")
+ '2026-12-02 00:00:00' AS collected_at, description FROM cards""")
 reg("disclosed_flag", _CARDS + f"SELECT page_id, {_at('data-job-salary')} IS NOT NULL AS is_salary_disclosed FROM cards")
 reg("parse_location_text", _CARDS + f"SELECT page_id, {_COUNTRY} AS country, {_CITY} AS city FROM cards")
 reg("map_city_to_region", _CARDS + f"SELECT page_id, {_at('data-job-state')} AS city, {_REGION_MAP}[{_at('data-job-state')}] AS region FROM cards")
@@ -432,10 +453,11 @@ reg("heading_text", f"""SELECT page_id, CASE WHEN regexp_extract(html, '(?is)(<h
  nullif({_to_text("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")}, '') END AS heading FROM pages""")
 reg("first_present", on_chain("raw", """SELECT source_job_id, url, collected_at,
  coalesce(nullif(experience_years, ''), nullif(job_posted_date, ''), nullif(job_source, '')) AS first_value FROM raw"""))
-reg("first_truthy_key", """SELECT event_id, coalesce(
- CASE WHEN trim(json_extract(props, '$.missing')::VARCHAR, ' ') NOT IN ('', '0', '0.0', '-0', 'false', '[]', '{}') THEN json_extract_string(props, '$.missing') END,
- CASE WHEN trim(json_extract(props, '$.k')::VARCHAR, ' ') NOT IN ('', '0', '0.0', '-0', 'false', '[]', '{}') THEN json_extract_string(props, '$.k') END) AS value
- FROM events""")
+reg("first_truthy_key", f"""SELECT event_id, CASE WHEN {_truthy("j", "$.a")} THEN json_extract_string(j, '$.a')
+ WHEN {_truthy("j", "$.missing")} THEN json_extract_string(j, '$.missing') WHEN {_truthy("j", "$.b")} THEN json_extract_string(j, '$.b') END AS value
+ FROM (SELECT event_id, '{{"a":' || CASE event_id % 12 WHEN 0 THEN '"0"' WHEN 1 THEN '0' WHEN 2 THEN 'false' WHEN 3 THEN '"false"' WHEN 4 THEN '" "' WHEN 5 THEN '[]'
+  WHEN 6 THEN '{{}}' WHEN 7 THEN 'null' WHEN 8 THEN '""' WHEN 9 THEN '0.0' WHEN 10 THEN '"" ' ELSE '7' END
+  || ',"b":"' || coalesce(json_extract_string(props, '$.k'), '') || '"}}' AS j FROM events)""")
 reg("id_from_url", "SELECT page_id, url, nullif(regexp_extract(url, '/(\\d+)/?(?:[?#]|$)', 1), '') AS url_id FROM pages")
 reg("map_codes", "SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F') THEN 'Finished' WHEN o_orderstatus IN ('O') THEN 'Open' ELSE o_orderstatus END AS status_label FROM orders")
 _NUM = "(\\d+(?:\\.\\d+)?)"
@@ -495,7 +517,7 @@ reg("append_log", on_star(f"""SELECT w.job_key,
  LEFT JOIN (SELECT job_key, count(*) AS n FROM extracted GROUP BY job_key) c ON w.job_key = c.job_key"""))
 
 # the embedded object: chunks decoded as JSON string literals (kept raw when
-# that fails), joined, and the flat object starting at the id cut out
+# that fails), joined, and from the id on the shortest text that is valid JSON
 _PUSH = r'self\.__next_f\.push\(\[1,"((?:[^"\\]|\\.)*)'
 _UUID = ("substr(md5(CAST(page_id AS VARCHAR)), 1, 8) || '-' || substr(md5(CAST(page_id AS VARCHAR)), 9, 4) || '-' || "
          "substr(md5(CAST(page_id AS VARCHAR)), 13, 4) || '-' || substr(md5(CAST(page_id AS VARCHAR)), 17, 4) || '-' || "
@@ -504,7 +526,8 @@ reg("reassemble_embedded_json", _JP + f""", bufs AS (
   SELECT page_id, {_UUID} AS uuid, array_to_string(list_transform(regexp_extract_all(html, '{_PUSH}', 1),
    lambda p: CASE WHEN json_valid('"' || p || '"') THEN json_extract_string('"' || p || '"', '$') ELSE p END), '') AS buf
   FROM jp),
- objs AS (SELECT page_id, regexp_extract(buf, '(\\{{"id":"' || uuid || '","partner(?:Id|Name)"[^}}]*\\}})', 1) AS obj FROM bufs)
+ tails AS (SELECT page_id, substr(buf, nullif(instr(buf, '{{"id":"' || uuid || '","partner'), 0)) AS tail FROM bufs),
+ objs AS (SELECT page_id, tail[1:list_filter(range(1, len(tail) + 1), lambda i: tail[i] = '}}' AND json_valid(tail[1:i]))[1]] AS obj FROM tails)
 SELECT page_id, CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.jobPositionValue') END AS job_title,
  CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.cityValue') END AS city,
  CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.experienceYears') END AS experience_years FROM objs""")
