@@ -83,10 +83,6 @@ def date_key(d: ColumnOrName) -> Column:
     return F.date_format(col(d), "yyyyMMdd").cast("int")
 
 
-def weekday_sunday_zero(d: ColumnOrName) -> Column:
-    return F.dayofweek(col(d)) - 1
-
-
 def ntz_epoch_seconds(ts: ColumnOrName) -> Column:
     """Seconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, read as UTC (no
     dependence on the session time zone)."""

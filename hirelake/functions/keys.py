@@ -16,15 +16,6 @@ def surrogate_key(*cols: ColumnOrName) -> Column:
     return F.md5(F.concat_ws(rules.SURROGATE_SEP, *parts))
 
 
-def nullable_surrogate_key(*cols: ColumnOrName) -> Column:
-    """Like :func:`surrogate_key`, but null when every input is null."""
-    all_null = None
-    for c in cols:
-        cond = col(c).isNull()
-        all_null = cond if all_null is None else (all_null & cond)
-    return F.when(~all_null, surrogate_key(*cols))
-
-
 def pipe_key(a: ColumnOrName, b: ColumnOrName) -> Column:
     """md5 of ``a|b`` with null -> ''."""
     return F.md5(F.concat(F.coalesce(col(a), F.lit("")), F.lit("|"), F.coalesce(col(b), F.lit(""))))

@@ -174,9 +174,8 @@ CATEGORIES_IN_SCOPE = [
 MISSING_PLACEHOLDER = "Not Specified"
 UNTRUSTED_URL_SOURCE = "Gulftalent"
 
-# Skill confidence threshold, evidence cut and tagger statuses.
+# Skill confidence threshold and tagger statuses.
 CONFIDENCE_THRESHOLD = 0.85
-EVIDENCE_MAX_CHARS = 500
 CANDIDATE_STRIP_CHARS = " \n\t,.;:!?()[]{}-_/&"
 ARABIC_CLASS = r"[\x{0600}-\x{06FF}]"
 STATUS_FOUND = "skills_found"

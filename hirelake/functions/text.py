@@ -58,7 +58,7 @@ def initcap_delims(c: ColumnOrName) -> Column:
     """
     pieces = F.split(F.lower(col(c)), f"(?<=[{_delimiter_class()}])")
     return F.array_join(
-        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))),
+        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p)))),
         "",
     )
 
@@ -104,13 +104,3 @@ def try_boolean(c: ColumnOrName) -> Column:
 def java_quote(text: str) -> str:
     """Quote a literal for a Java regex."""
     return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
-
-
-def python_to_java_regex(pattern: str) -> str:
-    """Patterns here are written in the common subset; only ``\\x{..}`` escapes
-    need no change.  Kept as a hook for callers passing Python regexes."""
-    return pattern
-
-
-def strip_chars_pattern(chars: str) -> str:
-    return "[" + re.escape(chars) + "]"

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.operators.joins import cross_join_scalars, orphan_rows, union_all
+from hirelake.operators.joins import cross_join_scalars, orphan_rows
 
 
 def check_not_null(df: DataFrame, column: str, severity: str = "error", keep: Sequence[str] = ()) -> DataFrame:
@@ -108,10 +108,14 @@ def check_posted_dates(df: DataFrame, as_of: str | None = None, keep: Sequence[s
     return out.drop("__limit") if as_of is None else out
 
 
-def check_fact_foreign_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """All fact keys against their dimensions, stacked with the key name.
-    ``dims`` maps fact column -> (dimension, dimension key)."""
-    parts = []
-    for fk, (dim, dk) in dims.items():
-        parts.append(orphan_rows(fact, dim, fk, dk).select("job_posting_key", F.lit(fk).alias("foreign_key_name")))
-    return union_all(*parts)
+def check_fact_foreign_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]],
+                            id_col: str = "job_posting_key") -> DataFrame:
+    """All fact keys against their dimensions in one pass over the fact, a row
+    per missing one with the key name.  ``dims`` maps fact column ->
+    (dimension, dimension key)."""
+    out = fact.select(id_col, *dims)
+    missing = []
+    for i, (fk, (dim, dk)) in enumerate(dims.items()):
+        out = out.join(dim.select(F.col(dk).alias(f"__k{i}")).distinct(), F.col(fk) == F.col(f"__k{i}"), "left")
+        missing.append(F.when(F.col(fk).isNotNull() & F.col(f"__k{i}").isNull(), F.lit(fk)))
+    return out.select(id_col, F.explode(F.array_compact(F.array(*missing))).alias("foreign_key_name"))

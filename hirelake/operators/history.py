@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,10 +48,9 @@ def _fs(spark: SparkSession, path: str):
 
 def table_versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions (folders ``version=N`` holding ``_SUCCESS``)."""
-    try:
-        fs, root, jvm = _fs(spark, path)
-    except Exception:  # no JVM gateway (Spark Connect): list the markers with Spark
+    if not hasattr(spark, "_jsparkSession"):  # no JVM gateway (Spark Connect): list the files with Spark
         return _versions_by_listing(spark, path)
+    fs, root, jvm = _fs(spark, path)
     if not fs.exists(root):
         return []
     out = []
@@ -72,7 +72,9 @@ def _versions_by_listing(spark: SparkSession, path: str) -> list[int]:
                  .option("recursiveFileLookup", "true").load(path).select("path"))
         found = files.select(F.regexp_extract("path", r"/version=(\d+)/[^/]+$", 1).alias("v")).distinct()
         return sorted(int(r.v) for r in found.collect() if r.v)
-    except Exception:  # the folder does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
 
 

@@ -1,11 +1,4 @@
-"""Join helpers.
-
-Broadcast is used only behind a size bound: either the row count is known
-when the frame is built (a local seed), or it is measured with
-``limit(bound + 1).count()``, which stops early.  Above the bound the join is
-left to the planner (sort-merge, or a broadcast that AQE picks from the
-measured shuffle size at run time).
-"""
+"""Join helpers.  Which side is broadcast is left to Spark's byte threshold."""
 
 from __future__ import annotations
 
@@ -14,21 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a lookup we are willing to copy to every executor.
-DEFAULT_BROADCAST_ROWS = 200_000
-
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def join_left_lookup(df: DataFrame, lookup: DataFrame, left_key: Column, right_key: str) -> DataFrame:
+    """Left equi-join of a large frame to a lookup on an expression."""
+    return df.join(lookup, left_key == lookup[right_key], "left")
 
 
-def join_left_lookup(df: DataFrame, lookup: DataFrame, left_key: Column, right_key: str,
-                     max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Left equi-join of a large frame to a lookup on an expression."""
-    small = bounded_broadcast(lookup, max_rows, known_rows)
-    return df.join(small, left_key == small[right_key], "left")
+def join_inner_composite(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on several columns; a null in any of them matches nothing."""
+    return df.join(other, list(keys), "inner")
 
 
 def semi_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataFrame:
@@ -43,7 +30,7 @@ def anti_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataF
 
 def orphan_rows(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
-    p = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    p = parent.select(F.col(parent_key).alias("__pk"))
     return child.filter(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__pk"), "left_anti")
 
 

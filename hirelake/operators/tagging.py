@@ -87,12 +87,18 @@ def dedupe_catalog(catalog: Catalog) -> list[tuple[str, str, list[str]]]:
     return out
 
 
+def cut_evidence(c: Column, chars: int | None) -> Column:
+    return c if chars is None else F.left(c, F.lit(chars))
+
+
 def tag_phrases(df: DataFrame, key_col: str, text_col: ColumnOrName, catalog: Catalog,
-                confidence: float = 1.0, evidence_override: ColumnOrName | None = None) -> DataFrame:
+                confidence: float = 1.0, evidence_override: ColumnOrName | None = None,
+                evidence_chars: int | None = None) -> DataFrame:
     """(key, skill_name, skill_category, confidence, evidence_span) per hit.
 
     ``evidence_override`` (e.g. the start of an Arabic original) replaces the
-    matched text as evidence where it is not null."""
+    matched text as evidence where it is not null; ``evidence_chars`` cuts the
+    evidence (default: whole)."""
     text = col(text_col)
     low = F.lower(text)
     hits = []
@@ -103,7 +109,7 @@ def tag_phrases(df: DataFrame, key_col: str, text_col: ColumnOrName, catalog: Ca
         hits.append(F.when(ev.isNotNull(), F.struct(
             F.lit(name).alias("skill_name"), F.lit(cat).alias("skill_category"),
             F.lit(confidence).cast("double").alias("confidence"),
-            F.left(ev, F.lit(rules.EVIDENCE_MAX_CHARS)).alias("evidence_span"))))
+            cut_evidence(ev, evidence_chars).alias("evidence_span"))))
     found = F.array_compact(F.array(*hits))
     return df.select(F.col(key_col), F.explode(found).alias("t")).select(key_col, "t.*")
 
@@ -131,17 +137,26 @@ def clean_candidate(c: ColumnOrName) -> Column:
 
 
 def resolve_scored_candidates(cands: DataFrame, catalog: Catalog, key_col: str = "job_key",
-                              threshold: float = rules.CONFIDENCE_THRESHOLD) -> DataFrame:
+                              threshold: float = rules.CONFIDENCE_THRESHOLD, evidence: DataFrame | None = None,
+                              evidence_chars: int | None = None) -> DataFrame:
     """Model output (key, position, word, score) -> catalog skills: keep
     score >= threshold, clean the word, resolve it to the first catalog
-    entry, keep the first hit per (key, case-folded skill) by position."""
+    entry, keep the first hit per (key, case-folded skill) by position.
+
+    ``evidence`` (key, ``evidence_override``), such as the original of an Arabic
+    text, replaces the matched word as evidence where it has a row.
+    """
     kept = cands.filter(F.col("score") >= threshold).withColumn("__cand", clean_candidate("word"))
     kept = kept.filter(F.col("__cand") != "").withColumn("__hit", resolve_phrase("__cand", catalog))
     hits = kept.filter(F.col("__hit").isNotNull()).select(
         key_col, "position",
         F.col("__hit.skill_name").alias("skill_name"), F.col("__hit.skill_category").alias("skill_category"),
         F.round(F.col("score"), 3).alias("confidence"),
-        F.left(F.col("__hit.matched"), F.lit(rules.EVIDENCE_MAX_CHARS)).alias("evidence_span"))
+        F.col("__hit.matched").alias("evidence_span"))
+    if evidence is not None:
+        hits = (hits.join(evidence.select(key_col, "evidence_override"), key_col, "left")
+                .withColumn("evidence_span", F.coalesce("evidence_override", "evidence_span")).drop("evidence_override"))
+    hits = hits.withColumn("evidence_span", cut_evidence(F.col("evidence_span"), evidence_chars))
     first = keep_latest(hits, [key_col, F.lower("skill_name")], [F.col("position").asc()])
     return first.drop("position")
 
@@ -168,23 +183,29 @@ def pending_work(final: DataFrame, tagged: DataFrame | None, log: DataFrame | No
     return todo
 
 
-def tag_run_log(work: DataFrame, tags: DataFrame, processed_at: str, key_col: str = "job_key") -> DataFrame:
-    """One log row per processed key: count of tags and found / none."""
+def tag_run_log(work: DataFrame, tags: DataFrame, processed_at: str, key_col: str = "job_key",
+                failed: DataFrame | None = None) -> DataFrame:
+    """One log row per processed key: count of tags and found / none, or error
+    for the keys in ``failed`` (logged with no tags, so a later run takes them again)."""
     counts = tags.groupBy(key_col).agg(F.count(F.lit(1)).cast("int").alias("skill_count"))
     out = work.select(key_col).join(counts, key_col, "left")
-    n = F.coalesce(F.col("skill_count"), F.lit(0))
+    bad = F.lit(False)
+    if failed is not None:
+        out = out.join(failed.select(key_col, F.lit(True).alias("__failed")).distinct(), key_col, "left")
+        bad = F.coalesce("__failed", F.lit(False))
+    n = F.when(bad, 0).otherwise(F.coalesce(F.col("skill_count"), F.lit(0)))
     return out.select(
         key_col,
         F.lit(processed_at).cast("timestamp_ntz").alias("processed_at"),
         n.alias("skill_count"),
-        F.when(n > 0, F.lit(rules.STATUS_FOUND)).otherwise(F.lit(rules.STATUS_NONE)).alias("status"),
+        F.when(bad, F.lit(rules.STATUS_ERROR)).when(n > 0, F.lit(rules.STATUS_FOUND)).otherwise(F.lit(rules.STATUS_NONE)).alias("status"),
     )
 
 
 def tag_texts(texts: DataFrame, id_col: str, text_col: str, catalog: Catalog,
-              translated_col: str | None = None) -> DataFrame:
+              translated_col: str | None = None, evidence_chars: int | None = None) -> DataFrame:
     """Tag one row per text: normalise, detect Arabic (its evidence is the
-    start of the original), match phrases on the model text (a translation
+    original), match phrases on the model text (a translation
     when given, else the text)."""
     original = normalize_text(text_col)
     prepared = texts.select(
@@ -196,9 +217,9 @@ def tag_texts(texts: DataFrame, id_col: str, text_col: str, catalog: Catalog,
     prepared = prepared.select(
         id_col,
         normalize_text(model_text).alias("__text"),
-        F.when(arabic, F.left(F.col("__orig"), F.lit(rules.EVIDENCE_MAX_CHARS))).alias("__ev"),
+        F.when(arabic, F.col("__orig")).alias("__ev"),
     )
-    return tag_phrases(prepared, id_col, "__text", catalog, evidence_override="__ev")
+    return tag_phrases(prepared, id_col, "__text", catalog, evidence_override="__ev", evidence_chars=evidence_chars)
 
 
 def tag_documents(work: DataFrame, catalog: Catalog, key_col: str = "job_key", text_col: str = "description",

@@ -17,6 +17,7 @@ driver but row counts.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from hirelake.operators import checks as C
 from hirelake.operators.history import merge_into_path, read_current, scd2_check, write_version
 from hirelake.operators.tagging import pending_work, tag_by_text_id, tag_run_log
 from hirelake.plans.postings import Postings, description_id, description_texts, preferred_postings
-from hirelake.plans.star import DEMO_CATALOG, Star
+from hirelake.plans.star import Star
 from hirelake.sources.bronze import scratch_dir
 from hirelake.streaming.ingest import ingest_new_files
 
@@ -54,7 +55,9 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         df = spark.read.parquet(path)
         df.schema  # noqa: B018 -- resolves the path now
         return df
-    except Exception:  # the folder does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -67,18 +70,18 @@ def _frozen(df: DataFrame, label: str) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, landing: str, warehouse: str, run_ts: str,
-              seed: DataFrame | None = None, seed_rows: int | None = None, catalog=DEMO_CATALOG) -> dict:
+              seed: DataFrame, catalog) -> dict:
     w = warehouse.rstrip("/")
     paths = {
-        "raw": f"{w}/raw/jobs_raw", "ingest_ckpt": f"{w}/_checkpoints/ingest",
+        "raw": f"{w}/raw/jobs_raw", "bad": f"{w}/raw/jobs_bad", "ingest_ckpt": f"{w}/_checkpoints/ingest",
         "final": f"{w}/silver/int_jobs_final", "snapshot": f"{w}/silver/snapshot_job_status",
         "extracted": f"{w}/raw/extracted_skills", "log": f"{w}/raw/skill_extraction_log",
     }
     # 1. new files only
-    ingest_new_files(spark, landing, paths["raw"], paths["ingest_ckpt"])
+    ingest_new_files(spark, landing, paths["raw"], paths["ingest_ckpt"], paths["bad"])
     raw = spark.read.parquet(paths["raw"]).select(*rules.RAW_COLUMNS)
     # 2. chain + incremental merge (strictly newer than the stored maximum)
-    chain = Postings(spark, raw, seed, seed_rows)
+    chain = Postings(spark, raw, seed)
     merge_into_path(spark, paths["final"], chain.final(), "job_key", watermark="collected_at")
     final = read_current(spark, paths["final"])
     # 3. status history

@@ -19,7 +19,7 @@ from hirelake.operators import normalize as N
 from hirelake.operators.dedupe import keep_latest, preferred_row
 from hirelake.operators.joins import join_left_lookup
 from hirelake.sources.fixture import derived_postings
-from hirelake.sources.seeds import DEFAULT_CITY_REGION, city_region_seed
+from hirelake.sources.seeds import city_region_seed
 
 
 def description_id(c: str = "description"):
@@ -67,19 +67,22 @@ def stage_postings(raw: DataFrame, late_text: bool = False) -> DataFrame:
 
 def city_deduped(stg: DataFrame) -> DataFrame:
     """City from the URL slug where the site has one; then one row per
-    (id, url), newest first, with a null collection time ranked first."""
+    (id, url), newest first, with a null collection time ranked first; ties go
+    by all other columns, so a repeated task picks the same row."""
     url_city, city_final = N.city_from_url("job_url", "city")
     resolved = stg.withColumns({"url_city_raw": url_city, "city_final": city_final})
-    return keep_latest(resolved, ["source_job_id", "job_url"], [F.col("collected_at").desc_nulls_first()])
+    rest = [c for c in stg.columns if c not in ("source_job_id", "job_url", "collected_at")]
+    return keep_latest(resolved, ["source_job_id", "job_url"], [
+        F.col("collected_at").desc_nulls_first(), *[F.col(c).asc_nulls_first() for c in rest]])
 
 
-def with_location(df: DataFrame, seed: DataFrame, seed_rows: int | None = None) -> DataFrame:
+def with_location(df: DataFrame, seed: DataFrame) -> DataFrame:
     """Seed lookup on the cleaned city, region rules, country aliases."""
     keyed = df.withColumn("city_lookup_key", N.city_lookup_key("city_final"))
     joined = join_left_lookup(
         keyed,
         seed.select("raw_value_normalized", "mapped_city", "mapped_region"),
-        F.col("city_lookup_key"), "raw_value_normalized", known_rows=seed_rows,
+        F.col("city_lookup_key"), "raw_value_normalized",
     )
     located = joined.select(
         *[keyed[c] for c in keyed.columns],
@@ -185,13 +188,10 @@ class Postings:
     and is joined back by :meth:`final`, :meth:`preferred` and
     :meth:`staged` (``*_narrow`` give the id-carrying frames)."""
 
-    def __init__(self, spark: SparkSession, raw: DataFrame, seed: DataFrame | None = None,
-                 seed_rows: int | None = None):
+    def __init__(self, spark: SparkSession, raw: DataFrame, seed: DataFrame):
         self.spark = spark
         self.raw = raw
-        if seed is None:
-            seed, seed_rows = city_region_seed(spark), len(DEFAULT_CITY_REGION)
-        self.seed, self.seed_rows = seed, seed_rows
+        self.seed = seed
         self._stages: dict[str, DataFrame] = {}
 
     def _memo(self, name: str, build) -> DataFrame:
@@ -203,7 +203,8 @@ class Postings:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> Postings:
-        return cls(spark, derived_postings(spark, sf_dir))
+        """The chain over the derived postings with the small demo mapping."""
+        return cls(spark, derived_postings(spark, sf_dir), city_region_seed(spark))
 
     def texts(self) -> DataFrame:
         return self._memo("texts", lambda: description_texts(self.raw))
@@ -218,7 +219,7 @@ class Postings:
         return self._memo("deduped", lambda: city_deduped(self.staged_narrow()))
 
     def located(self) -> DataFrame:
-        return self._memo("located", lambda: with_location(self.deduped(), self.seed, self.seed_rows))
+        return self._memo("located", lambda: with_location(self.deduped(), self.seed))
 
     def in_country(self) -> DataFrame:
         return self._memo("in_country", lambda: country_filtered(self.located()))

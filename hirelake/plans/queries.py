@@ -170,8 +170,8 @@ def q_surrogate_key(spark, sf_dir):
 # -- 2.10 star schema ------------------------------------------------------------------
 
 def S(spark: SparkSession, sf_dir: str):
-    from hirelake.plans.star import Star
-    return Star(P(spark, sf_dir))
+    from hirelake.plans.star import DEMO_CATALOG, Star
+    return Star(P(spark, sf_dir), DEMO_CATALOG)
 
 
 @register("build_dim_date")
@@ -234,27 +234,32 @@ def q_date_key(spark, sf_dir):
 
 @register("nullable_key")
 def q_nullable_key(spark, sf_dir):
-    return S(spark, sf_dir).fact_narrow().select("job_key", "company_key", "employment_type_key")
+    return S(spark, sf_dir).fact_rows().select("job_key", "company_key", "employment_type_key")
 
 
 @register("pipe_key")
 def q_pipe_key(spark, sf_dir):
-    return S(spark, sf_dir).dim_skills()
+    from hirelake.functions.keys import pipe_key
+    d = _table(spark, sf_dir, "documents")
+    # null and empty values on either side
+    lang = F.when(F.col("doc_id") % 7 != 0, F.col("lang"))
+    source = F.when(F.col("doc_id") % 11 == 0, F.lit("")).otherwise(F.when(F.col("doc_id") % 5 != 0, F.col("source")))
+    return d.select("doc_id", pipe_key(lang, source).alias("key"))
 
 
 # -- 2.11 skill tagging ------------------------------------------------------------------
 
 @register("tag_phrases")
 def q_tag_phrases(spark, sf_dir):
-    from hirelake.plans.star import extracted_skills
-    return extracted_skills(P(spark, sf_dir))
+    from hirelake.plans.star import DEMO_CATALOG, extracted_skills
+    return extracted_skills(P(spark, sf_dir), DEMO_CATALOG)
 
 
 @register("stage_skills")
 def q_stage_skills(spark, sf_dir):
-    from hirelake.plans.star import extracted_skills
+    from hirelake.plans.star import DEMO_CATALOG, extracted_skills
     from hirelake.operators.tagging import stage_skills
-    return stage_skills(extracted_skills(P(spark, sf_dir)))
+    return stage_skills(extracted_skills(P(spark, sf_dir), DEMO_CATALOG))
 
 
 @register("high_confidence")
@@ -315,18 +320,22 @@ def _report(fn_name, *parts):
     return run
 
 
-QUERIES["total_postings"] = _report("total_postings", "fact_narrow")
-QUERIES["postings_by_city_region"] = _report("postings_by_city_region", "fact_narrow", "dim_location")
-QUERIES["postings_by_employment_type"] = _report("postings_by_employment_type", "fact_narrow", "dim_employment_type")
-QUERIES["postings_by_workplace"] = _report("postings_by_workplace", "fact_narrow")
-QUERIES["experience_requirements"] = _report("experience_requirements", "fact_narrow", "dim_job")
-QUERIES["postings_by_source"] = _report("postings_by_source", "fact_narrow", "dim_source")
-QUERIES["postings_by_channel"] = _report("postings_by_channel", "fact_narrow", "dim_source")
+QUERIES["total_postings"] = _report("total_postings", "fact_rows")
+QUERIES["postings_by_city_region"] = _report("postings_by_city_region", "fact_rows", "dim_location")
+QUERIES["postings_by_employment_type"] = _report("postings_by_employment_type", "fact_rows", "dim_employment_type")
+QUERIES["postings_by_workplace"] = _report("postings_by_workplace", "fact_rows")
+QUERIES["experience_requirements"] = _report("experience_requirements", "fact_rows", "dim_job")
+QUERIES["postings_by_source"] = _report("postings_by_source", "fact_rows", "dim_source")
+QUERIES["postings_by_channel"] = _report("postings_by_channel", "fact_rows", "dim_source")
 QUERIES["top_skills"] = _report("top_skills", "bridge", "dim_skills")
-QUERIES["posting_trend"] = _report("posting_trend", "fact_narrow", "dim_date")
+QUERIES["posting_trend"] = _report("posting_trend", "fact_rows", "dim_date")
+
 
+# -- 2.13 checks: inputs hold planted faults, in the rows whose key begins with "a" ---------------------------------------------------------------------------------
+
+def _planted(key: str = "job_key"):
+    return F.col(key).startswith("a")
 
-# -- 2.13 checks ---------------------------------------------------------------------------------
 
 @register("check_not_null")
 def q_check_not_null(spark, sf_dir):
@@ -338,22 +347,22 @@ def q_check_not_null(spark, sf_dir):
 @register("check_unique")
 def q_check_unique(spark, sf_dir):
     from hirelake.operators.checks import check_unique
-    return check_unique(P(spark, sf_dir).final_narrow(), "job_key")
+    final = P(spark, sf_dir).final_narrow()
+    return check_unique(final.unionByName(final.filter(_planted())), "job_key")
 
 
 @register("check_unique_combination")
 def q_check_unique_combination(spark, sf_dir):
     from hirelake.operators.checks import check_unique_combination
-    return check_unique_combination(P(spark, sf_dir).preferred(), ["job_title", "company_name", "normalized_city_name"])
+    kept = P(spark, sf_dir).preferred_narrow()
+    return check_unique_combination(kept.unionByName(kept.filter(_planted())), ["job_title", "company_name", "normalized_city_name"])
 
 
 @register("check_accepted_values")
 def q_check_accepted_values(spark, sf_dir):
-    from hirelake.functions import rules
     from hirelake.operators.checks import check_accepted_values
     from hirelake.sources.tables import read_table
     # order status against the single-letter codes the orders table uses
-    _ = rules
     return check_accepted_values(read_table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
 
 
@@ -361,7 +370,7 @@ def q_check_accepted_values(spark, sf_dir):
 def q_check_relationships(spark, sf_dir):
     from hirelake.operators.checks import check_relationships
     s = S(spark, sf_dir)
-    return check_relationships(s.fact_narrow(), "job_key", s.dim_job(), "job_key")
+    return check_relationships(s.fact_rows(), "job_key", s.dim_job().filter(~_planted()), "job_key")
 
 
 @register("check_accepted_range")
@@ -375,34 +384,39 @@ def q_check_accepted_range(spark, sf_dir):
 @register("check_flag_consistency")
 def q_check_flag_consistency(spark, sf_dir):
     from hirelake.operators.checks import check_flag_consistency
-    return check_flag_consistency(P(spark, sf_dir).final_narrow(), "has_category_data", "normalized_job_category", ["job_key"])
+    final = P(spark, sf_dir).final_narrow()
+    flag = F.when(_planted(), ~F.col("has_category_data")).otherwise(F.col("has_category_data"))
+    return check_flag_consistency(final.withColumn("has_category_data", flag), "has_category_data", "normalized_job_category", ["job_key"])
 
 
 @register("check_dedupe_exact")
 def q_check_dedupe_exact(spark, sf_dir):
     from hirelake.operators.checks import check_dedupe_exact
     p = P(spark, sf_dir)
-    return check_dedupe_exact(p.staged(), p.deduped(), ID)
+    return check_dedupe_exact(p.staged(), p.deduped().filter(~F.col("source_job_id").endswith("7")), ID)
 
 
 @register("check_no_duplicates")
 def q_check_no_duplicates(spark, sf_dir):
     from hirelake.operators.checks import check_no_duplicates
-    return check_no_duplicates(P(spark, sf_dir).deduped(), ID)
+    kept = P(spark, sf_dir).deduped()
+    return check_no_duplicates(kept.unionByName(kept.filter(F.col("source_job_id").endswith("7"))), ID)
 
 
 @register("check_group_row_count")
 def q_check_group_row_count(spark, sf_dir):
     from hirelake.operators.checks import check_group_row_count
     p = P(spark, sf_dir)
-    return check_group_row_count(p.final_narrow(), p.preferred_narrow(), [
+    return check_group_row_count(p.final_narrow(), p.preferred_narrow().filter(~_planted()), [
         F.trim(F.lower("job_title")), F.trim(F.lower("company_name")), F.col("normalized_city_name")])
 
 
 @register("check_year_ranges")
 def q_check_year_ranges(spark, sf_dir):
     from hirelake.operators.checks import check_year_ranges
-    return check_year_ranges(P(spark, sf_dir).final_narrow(), keep=["job_key", "experience_years"])
+    final = P(spark, sf_dir).final_narrow()
+    most = F.when(_planted(), F.col("experience_max_years") + 45).otherwise(F.col("experience_max_years"))
+    return check_year_ranges(final.withColumn("experience_max_years", most), keep=["job_key", "experience_years"])
 
 
 @register("check_posted_dates")
@@ -415,14 +429,16 @@ def q_check_posted_dates(spark, sf_dir):
 def q_check_fact_foreign_keys(spark, sf_dir):
     from hirelake.operators.checks import check_fact_foreign_keys
     s = S(spark, sf_dir)
-    return check_fact_foreign_keys(s.fact_narrow(), {
+    dims = {
         "job_key": (s.dim_job(), "job_key"),
         "company_key": (s.dim_company(), "company_key"),
         "location_key": (s.dim_location(), "location_key"),
         "source_key": (s.dim_source(), "source_key"),
         "employment_type_key": (s.dim_employment_type(), "employment_type_key"),
         "job_posted_date_key": (s.dim_date(), "date_key"),
-    })
+    }
+    faulty = {fk: (dim.filter(~_planted(dk) if dk != "date_key" else F.col(dk) % 7 != 0), dk) for fk, (dim, dk) in dims.items()}
+    return check_fact_foreign_keys(s.fact_narrow(), faulty)
 
 
 # -- 2.3 static dataset profiling ------------------------------------------------------------
@@ -527,7 +543,9 @@ def q_join_left_lookup(spark, sf_dir):
 
 @register("join_inner_composite")
 def q_join_inner_composite(spark, sf_dir):
-    return S(spark, sf_dir).bridge()
+    from hirelake.operators.joins import join_inner_composite
+    s = S(spark, sf_dir)
+    return join_inner_composite(s.skills(), s.dim_skills(), ["skill_name", "skill_category"]).select("job_key", "skill_key", "confidence")
 
 
 @register("semi_join")
@@ -552,7 +570,7 @@ def q_anti_join(spark, sf_dir):
 def q_orphan_rows(spark, sf_dir):
     from hirelake.operators.joins import orphan_rows
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    s = _table(spark, sf_dir, "supplier").select("s_suppkey")
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey").filter(F.col("s_suppkey") % 10 != 3)
     return orphan_rows(li, s, "l_suppkey", "s_suppkey")
 
 
@@ -926,16 +944,22 @@ def q_ingest_new_files(spark, sf_dir):
     from hirelake.sources.bronze import scratch_dir, write_csv
     from hirelake.streaming.ingest import ingest_new_files
     from hirelake.sources.bronze import conform_columns
-    land, table, ckpt = (scratch_dir(spark, x) for x in ("landing", "raw-table", "ingest-ckpt"))
+    land, table, bad, ckpt = (scratch_dir(spark, x) for x in ("landing", "raw-table", "bad-rows", "ingest-ckpt"))
     raw = conform_columns(P(spark, sf_dir).raw).withColumn("platform", _platform_of_url())
     first = raw.filter(F.col("platform").isin("sabbar", "tanqeeb"))
     second = raw.filter(~F.col("platform").isin("sabbar", "tanqeeb") | F.col("platform").isNull())
     write_csv(first, land, "append", ["platform"])
-    ingest_new_files(spark, land, table, ckpt)
+    ingest_new_files(spark, land, table, ckpt, bad)
     write_csv(second, land, "append", ["platform"])
-    ingest_new_files(spark, land, table, ckpt)
-    ingest_new_files(spark, land, table, ckpt)  # nothing new: appends nothing
-    return spark.read.parquet(table).drop("description")
+    # rows with too few and too many fields
+    nation = _table(spark, sf_dir, "nation")
+    for n in (3, 25):
+        write_csv(nation.select(*[F.col("n_name").alias(f"c{i}") for i in range(n)]), f"{land}/platform=unknown", "append")
+    ingest_new_files(spark, land, table, ckpt, bad)
+    ingest_new_files(spark, land, table, ckpt, bad)  # nothing new: appends nothing
+    rows = spark.read.parquet(table).drop("description")
+    broken = spark.read.parquet(bad).select(*[F.lit(None).cast(t).alias(c) if c != "platform" else F.lit("(bad row)").alias(c) for c, t in rows.dtypes])
+    return rows.unionByName(broken)
 
 
 @register("quarantine_bad_rows")
@@ -952,16 +976,21 @@ def q_quarantine_bad_rows(spark, sf_dir):
 
 @register("route_by_platform")
 def q_route_by_platform(spark, sf_dir):
-    from hirelake.sources.bronze import route_by_platform, scratch_dir, write_csv
-    from hirelake.sources.bronze import conform_columns
+    from hirelake.sources.bronze import conform_columns, land_file, route_by_platform, scratch_dir
     land, bronze = scratch_dir(spark, "flat-landing"), scratch_dir(spark, "routed")
     raw = conform_columns(P(spark, sf_dir).raw)
-    named = raw.withColumn("batch", F.concat(F.lit("2026-12-02_"), F.coalesce(
-        F.when(F.col("url").contains("sabbar.com"), F.lit("sabbar")),
-        F.when(F.col("url").contains("tanqeeb.com"), F.lit("tanqeeb")),
-        F.when(F.col("url").contains("gulftalent.com"), F.lit("gulftalent")), F.lit("other")), F.lit("_jobs")))
-    write_csv(named, land, "overwrite", ["batch"])
-    return route_by_platform(spark, land, bronze).drop("description")
+    keyword = _file_keyword()
+    # a folder name never counts, so the landing folder carries a misleading one
+    for k in ("sabbar", "tanqeeb", "gulftalent", "jadarat", "other"):
+        land_file(raw.filter(keyword == k), f"{land}/tanqeeb_drop", f"2026-12-02_{k.upper() if k == 'sabbar' else k}_jobs")
+    return route_by_platform(spark, f"{land}/tanqeeb_drop", bronze).drop("description")
+
+
+def _file_keyword():
+    """The site a posting's file is named after; postings of one source come in files of their own."""
+    u = F.col("url")
+    return (F.when(F.col("job_source") == "Jadarat.com", F.lit("jadarat")).when(u.contains("sabbar.com"), F.lit("sabbar"))
+            .when(u.contains("tanqeeb.com"), F.lit("tanqeeb")).when(u.contains("gulftalent.com"), F.lit("gulftalent")).otherwise(F.lit("other")))
 
 
 @register("read_seed")

@@ -20,6 +20,7 @@ from hirelake.operators.history import scd2_check, scd2_current
 from hirelake.operators.sequence import dense_sequence
 from hirelake.operators.tagging import high_confidence, stage_skills, tag_by_text_id, tag_postings
 from hirelake.plans.postings import attach_description
+from hirelake.sources.bronze import scratch_dir
 
 # A phrase catalog of our own for the test tables: the driver's documents are
 # invented prose, so the phrases are ones that occur there (licence lines,
@@ -40,7 +41,14 @@ DEMO_CATALOG = [
 RUN_TS = "2026-12-02 00:00:00"
 
 
-def extracted_skills(postings, catalog=DEMO_CATALOG) -> DataFrame:
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """A frame that several marts read, written into the shared work folder and read back."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def extracted_skills(postings, catalog) -> DataFrame:
     """The tagging run over every posting with text (no batch limit).
     ``postings`` is a :class:`Postings` chain (text by content id) or a
     frame holding the text itself."""
@@ -49,10 +57,6 @@ def extracted_skills(postings, catalog=DEMO_CATALOG) -> DataFrame:
     return tag_by_text_id(postings.final_narrow(), postings.texts(), catalog)
 
 
-def int_skills(postings, catalog=DEMO_CATALOG) -> DataFrame:
-    return high_confidence(stage_skills(extracted_skills(postings, catalog)))
-
-
 def snapshot_first_run(final: DataFrame, run_ts: str = RUN_TS) -> DataFrame:
     return scd2_check(None, final, "job_key", rules.SNAPSHOT_CHECK_COLS, run_ts)
 
@@ -153,12 +157,13 @@ def build_fact_posting(preferred: DataFrame) -> DataFrame:
     return numbered.drop("source_job_id")
 
 
-def build_bridge_job_skills(skills: DataFrame, dim_skills: DataFrame, fact: DataFrame) -> DataFrame:
-    s = skills.filter(F.col("is_high_confidence"))
-    joined = s.join(dim_skills, ["skill_name", "skill_category"], "inner").join(
-        fact.select("job_posting_key", "job_key"), "job_key", "inner")
-    return joined.select("job_posting_key", "skill_key", F.lit("nlp").alias("extraction_method"),
-                         "confidence", "evidence_span")
+def build_bridge_job_skills(skills: DataFrame, fact: DataFrame) -> DataFrame:
+    """Posting and skill keys of confident tags; the skill key is a function of
+    the skill, so the skill dimension is not read."""
+    s = skills.filter(F.col("is_high_confidence") & F.col("skill_name").isNotNull() & F.col("skill_category").isNotNull())
+    return s.join(fact.select("job_posting_key", "job_key"), "job_key").select(
+        "job_posting_key", pipe_key("skill_name", "skill_category").alias("skill_key"),
+        F.lit("nlp").alias("extraction_method"), "confidence", "evidence_span")
 
 
 class Star:
@@ -170,7 +175,7 @@ class Star:
     spilling to disk; a lost executor's blocks are recomputed from lineage).
     """
 
-    def __init__(self, postings, catalog=DEMO_CATALOG, run_ts: str = RUN_TS, persist: bool = True,
+    def __init__(self, postings, catalog, run_ts: str = RUN_TS, persist: bool = True,
                  extracted: DataFrame | None = None, snapshot: DataFrame | None = None):
         self.p = postings
         self.catalog = catalog
@@ -192,9 +197,10 @@ class Star:
         return self._preferred
 
     def skills(self):
-        if self._extracted is not None:
-            return high_confidence(stage_skills(self._extracted))
-        return high_confidence(stage_skills(tag_by_text_id(self._final, self.p.texts(), self.catalog)))
+        """Confident tags; computed tags are written once, as several marts read them."""
+        if self._extracted is None:
+            self._extracted = written_once(tag_by_text_id(self._final, self.p.texts(), self.catalog), "skills")
+        return high_confidence(stage_skills(self._extracted))
 
     def snapshot(self):
         if self._snapshot is not None:
@@ -229,8 +235,12 @@ class Star:
             self._fact = build_fact_posting(self.preferred())
         return self._fact
 
+    def fact_rows(self):
+        """The fact's rows without their number, for readers that do not need it."""
+        return fact_columns(self.preferred()).drop("source_job_id")
+
     def fact(self):
         return attach_description(self.fact_narrow(), self.p.texts())
 
     def bridge(self):
-        return build_bridge_job_skills(self.skills(), self.dim_skills(), self.fact_narrow())
+        return build_bridge_job_skills(self.skills(), self.fact_narrow())

@@ -11,7 +11,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,12 +46,11 @@ def quarantine_bad_rows(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     df = (csv_reader(spark, schema).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
-    # Spark only lets a query use the corrupt-record column on its own after
-    # the parsed rows are kept; they are read once and split twice anyway.
-    df = df.withColumn("__bad", F.col(CORRUPT_COL).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    good = df.filter(~F.col("__bad")).drop("__bad", CORRUPT_COL)
-    bad = df.filter(F.col("__bad")).select(CORRUPT_COL)
-    return good, bad
+    # one pass over the files: parsed rows are written once, split by whether they could be read
+    out = scratch_dir(spark, "parsed")
+    df.withColumn("__bad", F.col(CORRUPT_COL).isNotNull()).write.partitionBy("__bad").parquet(out)
+    parsed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__bad", T.BooleanType())])).parquet(out)
+    return parsed.filter(~F.col("__bad")).drop("__bad", CORRUPT_COL), parsed.filter("__bad").select(CORRUPT_COL)
 
 
 def platform_from_name(name_col, keywords=rules.PLATFORM_KEYWORDS):
@@ -104,6 +102,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: S
     w.csv(path)
 
 
+def land_file(df: DataFrame, folder: str, name: str) -> None:
+    """Rows as files ``<name>-<n>.csv`` in a landing folder, as an upload leaves them."""
+    spark = df.sparkSession
+    tmp = scratch_dir(spark, "upload")
+    write_csv(df, tmp)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    files = [f.getPath() for f in fs.listStatus(path(tmp)) if f.getPath().getName().startswith("part-")]
+    for n, f in enumerate(sorted(files, key=lambda x: x.getName())):
+        fs.rename(f, path(f"{folder}/{name}-{n}.csv"))
+
+
 def write_csv_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Rewrite one CSV snapshot (header, overwrite) and return it read back."""
     write_csv(df, path, "overwrite")

@@ -4,25 +4,26 @@ The driver tables hold no job postings.  This text derives a 19-column raw
 postings table from ``orders`` and ``documents`` (one posting per order).  It
 runs unchanged on Spark and DuckDB; the DuckDB oracle starts from the same
 text.  Placeholders ``{orders}`` and ``{documents}`` name the inputs.
+
+Texts are dealt round over all documents.  A quarter of the jobs share few
+companies, so that several channels post the same job; the others have
+companies that grow in number with the orders.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirelake.sources.tables import read_table
 
-# Description text is taken from document ``k % DOC_MODULUS``.
-DOC_MODULUS = 200
-
 POSTINGS_SQL = """
 SELECT
  CASE WHEN k % 97 = 0 THEN '' WHEN k % 89 = 0 THEN NULL ELSE 'J' || CAST(g AS STRING) END AS source_job_id,
  split_part('Data Engineer|Senior Software Developer|HR Manager|Sales Executive 📣 Job Ad|Office Manager|Staff Nurse|Business Analyst|Receptionist|Chef|  data engineer |Marketing Lead|Accountant', '|', CAST(g % 12 AS INT) + 1) AS job_title,
  CASE CAST(g % 3 AS INT) WHEN 0 THEN 'https://sabbar.com/en/jobs/c-' || split_part('riyadh|al-khobar|jeddah', '|', CAST((CASE WHEN g % 5 = 0 THEN k ELSE g END) % 3 AS INT) + 1) || '-r-x/id-' || CAST(g AS STRING)
    WHEN 1 THEN 'https://saudi.tanqeeb.com/jobs/' || CAST(g AS STRING) ELSE 'https://www.gulftalent.com/jobs/' || CAST(g AS STRING) END AS url,
- CASE WHEN g % 13 = 0 THEN NULL ELSE split_part('Acme|ACME |Beta Co|Gamma|Delta Health', '|', CAST(g % 5 AS INT) + 1) END AS company_name,
+ CASE WHEN g % 13 = 0 THEN NULL WHEN floor(g / 60) % 4 > 0 THEN 'Company ' || CAST(CAST(floor(g / 10) AS BIGINT) AS STRING)
+   ELSE split_part('Acme|ACME |Beta Co|Gamma|Delta Health', '|', CAST(g % 5 AS INT) + 1) END AS company_name,
  CASE WHEN g % 7 = 0 THEN NULL ELSE 'https://c.example/' || CAST(g % 5 AS STRING) END AS company_url,
  split_part('Oil &amp; Gas||Retail| |Health', '|', CAST(g % 5 AS INT) + 1) AS industry,
  split_part('Riyadh|JEDDAH|Al Khobar|Saudi|'' Makkah ''|Unknownville|Eastern Province|Mecca', '|', CAST(g % 8 AS INT) + 1) AS city,
@@ -38,8 +39,9 @@ SELECT
  split_part('active|CLOSED|Expired|paused', '|', CAST(k % 4 AS INT) + 1) AS job_status,
  CASE WHEN k % 211 = 0 THEN NULL ELSE substr(CAST(o_orderdate AS STRING), 1, 10) || ' ' || lpad(CAST(k % 24 AS STRING), 2, '0') || ':' || lpad(CAST(k % 60 AS STRING), 2, '0') || ':00' END AS collected_at,
  d.text AS description
-FROM (SELECT o_orderkey AS k, CAST(floor(o_orderkey / 2) AS BIGINT) AS g, o_orderdate FROM {orders}) o
-LEFT JOIN {documents} d ON d.doc_id = o.k % 200
+FROM (SELECT o_orderkey AS k, CAST(floor(o_orderkey / 2) AS BIGINT) AS g, o_orderdate, o_orderkey % n AS text_id
+      FROM {orders} CROSS JOIN (SELECT CASE WHEN count(*) = 0 THEN 1 ELSE count(*) END AS n FROM {documents}) c) o
+LEFT JOIN {documents} d ON d.doc_id = o.text_id
 """
 
 
@@ -49,17 +51,7 @@ def postings_sql_for(orders: str = "orders", documents: str = "documents") -> st
 
 
 def derived_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """19 string columns, one posting per order.
-
-    Only documents ``-200 < doc_id < 200`` can match ``k % 200``; that bound
-    is applied before the join (pushed into the parquet scan), so the joined
-    side holds at most 399 keys and is broadcast.  Every order row stays
-    where it is: no shuffle of the large side, and no skew on the 200 keys.
-    """
+    """19 string columns, one posting per order."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    docs = (
-        read_table(spark, sf_dir, "documents")
-        .select("doc_id", "text")
-        .filter((F.col("doc_id") > -DOC_MODULUS) & (F.col("doc_id") < DOC_MODULUS))
-    )
-    return spark.sql(POSTINGS_SQL, orders=orders, documents=F.broadcast(docs))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spark.sql(POSTINGS_SQL, orders=orders, documents=docs)

@@ -7,64 +7,47 @@ the raw Parquet table.  Reruns with no new files append nothing; a run that
 dies part-way resumes from the checkpoint without duplicating a committed
 batch (the Parquet sink is exactly-once through its own commit log).
 
-``merge_new_files`` is the same stream with a ``foreachBatch`` sink that
-merges each micro-batch into a keyed table, for models that need a merge
-rather than an append.
+Rows with a missing or surplus field or broken quoting never reach the raw
+table: a second stream of the same files, with a checkpoint of its own,
+appends their text to a quarantine table in the same run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelake.sources.bronze import RAW_SCHEMA
+from hirelake.sources.bronze import CORRUPT_COL, RAW_SCHEMA
 
 
 def landed_stream(spark: SparkSession, landing: str, with_platform: bool = True) -> DataFrame:
-    fields = list(RAW_SCHEMA.fields)
+    """Rows of landed files, unreadable ones with their text in ``_corrupt_record``."""
+    fields = [*RAW_SCHEMA.fields, T.StructField(CORRUPT_COL, T.StringType(), True)]
     if with_platform:
         fields.append(T.StructField("platform", T.StringType(), True))
-    schema = T.StructType(fields)
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(T.StructType(fields))
         .option("header", True).option("multiLine", True).option("escape", '"')
         .option("encoding", "UTF-8").option("nullValue", "")
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
         .option("maxFilesPerTrigger", 1000)
         .csv(landing)
     )
 
 
-def ingest_new_files(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                     with_platform: bool = True) -> int:
-    """Append rows of files not yet loaded to ``table``; returns the number
-    of micro-batches run."""
-    q = (
-        landed_stream(spark, landing, with_platform)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(table)
-    )
+def _append_new(rows: DataFrame, table: str, checkpoint: str) -> int:
+    q = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start(table))
     q.awaitTermination()
     return len(q.recentProgress)
 
 
-def merge_new_files(spark: SparkSession, landing: str, checkpoint: str,
-                    merge: Callable[[DataFrame, int], None], with_platform: bool = True) -> None:
-    """Run ``merge(batch_df, batch_id)`` once per micro-batch of new files."""
-    q = (
-        landed_stream(spark, landing, with_platform)
-        .writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-
-
-def with_load_time(df: DataFrame, run_ts: str) -> DataFrame:
-    return df.withColumn("loaded_at", F.lit(run_ts).cast("timestamp_ntz"))
+def ingest_new_files(spark: SparkSession, landing: str, table: str, checkpoint: str, quarantine: str,
+                     with_platform: bool = True) -> int:
+    """Append the readable rows of files not yet loaded to ``table`` and the
+    others to ``quarantine``; returns the number of micro-batches run."""
+    rows = landed_stream(spark, landing, with_platform)
+    n = _append_new(rows.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL), table, checkpoint)
+    _append_new(rows.where(F.col(CORRUPT_COL).isNotNull()), quarantine, f"{checkpoint.rstrip('/')}-bad")
+    return n

@@ -71,7 +71,8 @@ reg("dense_sequence", on_star("SELECT job_posting_key, job_key, job_url FROM fac
 reg("build_bridge_job_skills", on_star("SELECT * FROM bridge"))
 reg("date_key", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key FROM orders")
 reg("nullable_key", on_star("SELECT job_key, company_key, employment_type_key FROM fact"))
-reg("pipe_key", on_star("SELECT * FROM dim_skills"))
+reg("pipe_key", """SELECT doc_id, md5(coalesce(CASE WHEN doc_id % 7 <> 0 THEN lang END, '') || '|' ||
+ coalesce(CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 5 <> 0 THEN source END, '')) AS key FROM documents""")
 
 # -- 2.11 skill tagging
 reg("tag_phrases", on_star("SELECT * FROM extracted"))
@@ -118,32 +119,34 @@ reg("posting_trend", on_star("""SELECT d.year, d.month, count(*) AS postings
 # -- 2.13 checks
 reg("check_not_null", on_chain("dated", f"""SELECT {ID}, 'normalized_job_posted_date' AS column_name,
  'error' AS severity FROM dated WHERE normalized_job_posted_date IS NULL"""))
-reg("check_unique", on_chain("final", "SELECT job_key, count(*) AS duplicate_count FROM final GROUP BY job_key HAVING count(*) > 1"))
+reg("check_unique", on_chain("final", "SELECT job_key, 2 * count(*) AS duplicate_count FROM final WHERE job_key LIKE 'a%' GROUP BY job_key"))
 reg("check_unique_combination", on_chain("preferred", """SELECT job_title, company_name, normalized_city_name,
- count(*) AS duplicate_count FROM preferred GROUP BY job_title, company_name, normalized_city_name HAVING count(*) > 1"""))
+ sum(n)::BIGINT AS duplicate_count FROM (SELECT *, CASE WHEN job_key LIKE 'a%' THEN 2 ELSE 1 END AS n FROM preferred)
+ GROUP BY job_title, company_name, normalized_city_name HAVING sum(n) > 1"""))
 reg("check_accepted_values", """SELECT o_orderstatus, count(*) AS n_records FROM orders
  WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""")
-reg("check_relationships", on_star("""SELECT f.job_key FROM fact f LEFT JOIN dim_job d ON f.job_key = d.job_key
+reg("check_relationships", on_star("""SELECT f.job_key FROM fact f LEFT JOIN dim_job d ON f.job_key = d.job_key AND d.job_key NOT LIKE 'a%'
  WHERE f.job_key IS NOT NULL AND d.job_key IS NULL"""))
 reg("check_accepted_range", """SELECT l_orderkey, l_linenumber, l_discount FROM lineitem
  WHERE NOT (l_discount >= 0.0 AND l_discount <= 0.08)""")
-reg("check_flag_consistency", on_chain("final", """SELECT job_key, has_category_data, normalized_job_category FROM final
+reg("check_flag_consistency", on_chain("final", """SELECT * FROM (SELECT job_key,
+ CASE WHEN job_key LIKE 'a%' THEN NOT has_category_data ELSE has_category_data END AS has_category_data, normalized_job_category FROM final)
  WHERE (has_category_data AND nullif(trim(normalized_job_category, ' '), '') IS NULL)
     OR (NOT has_category_data AND nullif(trim(normalized_job_category, ' '), '') IS NOT NULL)"""))
 reg("check_dedupe_exact", on_chain("deduped", """SELECT b.before_rows, e.expected_rows, a.actual_rows,
  b.before_rows - e.expected_rows AS expected_removed_rows, b.before_rows - a.actual_rows AS actual_removed_rows
  FROM (SELECT count(*) AS before_rows FROM stg) b
  CROSS JOIN (SELECT count(*) AS expected_rows FROM (SELECT source_job_id, job_url FROM stg GROUP BY 1, 2)) e
- CROSS JOIN (SELECT count(*) AS actual_rows FROM deduped) a WHERE a.actual_rows <> e.expected_rows"""))
-reg("check_no_duplicates", on_chain("deduped", f"""SELECT {ID}, count(*) AS duplicate_count FROM deduped
- GROUP BY {ID} HAVING count(*) > 1"""))
+ CROSS JOIN (SELECT count(*) AS actual_rows FROM deduped WHERE source_job_id NOT LIKE '%7') a WHERE a.actual_rows <> e.expected_rows"""))
+reg("check_no_duplicates", on_chain("deduped", f"""SELECT {ID}, 2 * count(*) AS duplicate_count FROM deduped
+ WHERE source_job_id LIKE '%7' GROUP BY {ID}"""))
 reg("check_group_row_count", on_chain("preferred", """SELECT e.expected_rows, a.actual_rows FROM
  (SELECT count(*) AS expected_rows FROM (SELECT trim(lower(job_title), ' '), trim(lower(company_name), ' '),
   normalized_city_name FROM final GROUP BY 1, 2, 3)) e
- CROSS JOIN (SELECT count(*) AS actual_rows FROM preferred) a WHERE e.expected_rows <> a.actual_rows"""))
-reg("check_year_ranges", on_chain("final", """SELECT job_key, experience_years, experience_min_years, experience_max_years
- FROM final WHERE experience_min_years < 0 OR experience_max_years < 0
-  OR experience_min_years > experience_max_years OR experience_max_years > 50"""))
+ CROSS JOIN (SELECT count(*) AS actual_rows FROM preferred WHERE job_key NOT LIKE 'a%') a WHERE e.expected_rows <> a.actual_rows"""))
+reg("check_year_ranges", on_chain("final", """SELECT * FROM (SELECT job_key, experience_years, experience_min_years,
+ CASE WHEN job_key LIKE 'a%' THEN experience_max_years + 45 ELSE experience_max_years END AS experience_max_years FROM final)
+ WHERE experience_min_years < 0 OR experience_max_years < 0 OR experience_min_years > experience_max_years OR experience_max_years > 50"""))
 _PD = """coalesce(CAST(try_strptime(CAST({x} AS VARCHAR), '%Y-%m-%d') AS DATE), CAST(try_cast(CAST({x} AS VARCHAR) AS TIMESTAMP) AS DATE),
  CAST(try_strptime(CAST({x} AS VARCHAR), '%d-%b-%Y') AS DATE), CAST(try_strptime(CAST({x} AS VARCHAR), '%m/%d/%Y') AS DATE),
  CAST(try_strptime(trim(CAST({x} AS VARCHAR), ' '), '%d %b %Y') AS DATE))"""
@@ -159,6 +162,7 @@ _FK = [("job_key", "dim_job", "job_key"), ("company_key", "dim_company", "compan
        ("job_posted_date_key", "dim_date", "date_key")]
 reg("check_fact_foreign_keys", on_star(" UNION ALL ".join(
     f"SELECT f.job_posting_key, '{fk}' AS foreign_key_name FROM fact f LEFT JOIN {dim} d ON f.{fk} = d.{dk} "
+    f"AND {'d.date_key % 7 <> 0' if dk == 'date_key' else f'd.{dk} NOT LIKE {chr(39)}a%{chr(39)}'} "
     f"WHERE f.{fk} IS NOT NULL AND d.{dk} IS NULL" for fk, dim, dk in _FK)))
 
 # -- 2.3 static dataset profiling
@@ -217,13 +221,14 @@ reg("conform_static_dataset", _STATIC + f"""SELECT CAST(row_number() OVER (ORDER
 reg("one_per_key_pick", """SELECT o_custkey, o_orderkey, o_orderdate FROM orders
  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) = 1""")
 reg("join_left_lookup", "SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
-reg("join_inner_composite", on_star("SELECT * FROM bridge"))
+reg("join_inner_composite", on_star("""SELECT s.job_key, d.skill_key, s.confidence FROM int_skills s
+ JOIN dim_skills d ON s.skill_name = d.skill_name AND s.skill_category = d.skill_category"""))
 reg("semi_join", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
 reg("anti_join", """SELECT c_custkey, c_name FROM customer c
  WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')
    AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)""")
 reg("orphan_rows", """SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey FROM lineitem l LEFT JOIN supplier s
- ON l.l_suppkey = s.s_suppkey WHERE l.l_suppkey IS NOT NULL AND s.s_suppkey IS NULL""")
+ ON l.l_suppkey = s.s_suppkey AND s.s_suppkey % 10 <> 3 WHERE l.l_suppkey IS NOT NULL AND s.s_suppkey IS NULL""")
 reg("cross_join_scalars", """SELECT * FROM (SELECT count(*) AS orders FROM orders) CROSS JOIN (SELECT count(*) AS customers FROM customer)
  CROSS JOIN (SELECT count(*) AS lineitems FROM lineitem)""")
 reg("union_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
@@ -497,10 +502,11 @@ _NULLIF = ", ".join(f"nullif({c}, '') AS {c}" for c in _RAWCOLS if c != "descrip
 _PLAT = ("CASE WHEN contains(url, 'sabbar.com') THEN 'sabbar' WHEN contains(url, 'tanqeeb.com') THEN 'tanqeeb' "
          "WHEN contains(url, 'gulftalent.com') THEN 'golftalent' END")
 reg("read_bronze", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
-reg("ingest_new_files", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
+reg("ingest_new_files", on_chain("raw", f"""SELECT {_NULLIF}, {_PLAT} AS platform FROM raw
+ UNION ALL SELECT {', '.join('NULL' for c in _RAWCOLS if c != 'description')}, '(bad row)' FROM nation, range(2)"""))
 reg("quarantine_bad_rows", on_chain("raw", """SELECT 'good' AS kind, count(*) AS row_count FROM raw
  UNION ALL SELECT 'bad' AS kind, count(*) AS row_count FROM nation"""))
-reg("route_by_platform", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
+reg("route_by_platform", on_chain("raw", f"SELECT {_NULLIF}, CASE WHEN job_source = 'Jadarat.com' THEN 'jadarat' ELSE {_PLAT} END AS platform FROM raw"))
 reg("read_seed", """SELECT upper(n.n_name) AS raw_value_normalized, n.n_name AS mapped_city, r.r_name AS mapped_region
  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 reg("conform_columns", on_chain("raw", ", ".join(["SELECT " + ", ".join(

@@ -132,7 +132,11 @@ SELECT source_job_id, replace(job_title, {q(R.TITLE_SUFFIX_TO_DROP)}, '') AS job
 FROM raw WHERE source_job_id IS NOT NULL AND {T('source_job_id')} <> ''"""),
     ("city_resolved", f"SELECT *, {URL_CITY} AS url_city_raw, coalesce({URL_CITY}, city) AS city_final FROM stg"),
     ("deduped", """SELECT * FROM city_resolved
-QUALIFY row_number() OVER (PARTITION BY source_job_id, job_url ORDER BY collected_at DESC NULLS FIRST) = 1"""),
+QUALIFY row_number() OVER (PARTITION BY source_job_id, job_url ORDER BY collected_at DESC NULLS FIRST,
+ job_title NULLS FIRST, company_name NULLS FIRST, company_url NULLS FIRST, company_industry NULLS FIRST, city NULLS FIRST, region NULLS FIRST,
+ country NULLS FIRST, employment_type NULLS FIRST, workplace_type NULLS FIRST, experience_years NULLS FIRST, job_category NULLS FIRST,
+ is_salary_disclosed NULLS FIRST, job_source NULLS FIRST, job_posted_date NULLS FIRST, job_status NULLS FIRST,
+ sha256(description) NULLS FIRST) = 1"""),
     ("located0", f"""
 SELECT d.*, upper(trim(d.city_final, ' ''')) AS city_lookup_key, m.mapped_city AS normalized_city_name,
  m.mapped_region AS seed_mapped_region, {initcap('d.region')} AS region_ic

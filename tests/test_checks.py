@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from hirelake.operators import checks as C
 from hirelake.plans.postings import Postings
-from hirelake.plans.star import Star
+from hirelake.plans.star import DEMO_CATALOG, Star
 
 
 def test_checks_on_built_star_and_seeded_faults(spark):
     p = Postings.from_testdata(spark, SF0001)
-    s = Star(p)
+    s = Star(p, DEMO_CATALOG)
     final, fact = s.final(), s.fact()
     assert C.check_unique(final, "job_key").count() == 0
     assert C.check_unique(final.unionByName(final.limit(1)), "job_key").count() == 1

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from hirelake.plans.daily import daily_run
 from hirelake.plans.postings import Postings
+from hirelake.plans.star import DEMO_CATALOG
 from hirelake.sources.bronze import conform_columns, scratch_dir, write_csv
+from hirelake.sources.seeds import city_region_seed
 
 CUT = "1997-01-01 00:00:00"
 
@@ -18,10 +20,11 @@ def test_two_days(spark):
     day2 = raw.filter((ts > CUT) | ts.isNull())
     land, wh = scratch_dir(spark, "t-daily-land"), scratch_dir(spark, "t-daily-wh")
     write_csv(day1.withColumn("platform", F.lit("sabbar")), land, "append", ["platform"])
-    r1 = daily_run(spark, land, wh, "2026-12-01 00:00:00")
+    seed = city_region_seed(spark)
+    r1 = daily_run(spark, land, wh, "2026-12-01 00:00:00", seed, DEMO_CATALOG)
     write_csv(day2.withColumn("platform", F.lit("tanqeeb")), land, "append", ["platform"])
-    r2 = daily_run(spark, land, wh, "2026-12-02 00:00:00")
-    r3 = daily_run(spark, land, wh, "2026-12-03 00:00:00")  # nothing new
+    r2 = daily_run(spark, land, wh, "2026-12-02 00:00:00", seed, DEMO_CATALOG)
+    r3 = daily_run(spark, land, wh, "2026-12-03 00:00:00", seed, DEMO_CATALOG)  # nothing new
     assert r1["raw_rows"] == day1.count() and r2["raw_rows"] == raw.count() == r3["raw_rows"]
     assert r2["final_rows"] > r1["final_rows"] and r3["final_rows"] == r2["final_rows"]
     assert r1["logged_keys"] == r1["final_rows"] or r1["logged_keys"] <= r1["final_rows"]

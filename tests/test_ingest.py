@@ -36,11 +36,11 @@ def test_bom_multiline_quotes_and_empty_as_null(spark):
 def test_new_files_load_once(spark):
     land, table, ckpt = (scratch_dir(spark, x) for x in ("t-land", "t-table", "t-ckpt"))
     write_file(f"{land}/platform=sabbar", "a.csv", [ROW.format(id="J1"), ROW.format(id="J2")])
-    ingest_new_files(spark, land, table, ckpt)
-    ingest_new_files(spark, land, table, ckpt)
+    ingest_new_files(spark, land, table, ckpt, f"{table}-bad")
+    ingest_new_files(spark, land, table, ckpt, f"{table}-bad")
     assert spark.read.parquet(table).count() == 2
     write_file(f"{land}/platform=tanqeeb", "b.csv", [ROW.format(id="J3")])
-    ingest_new_files(spark, land, table, ckpt)
+    ingest_new_files(spark, land, table, ckpt, f"{table}-bad")
     got = sorted(r.source_job_id for r in spark.read.parquet(table).collect())
     assert got == ["J1", "J2", "J3"]
 
@@ -64,3 +64,24 @@ def test_seed_key_must_be_unique(spark):
     df = read_seed(spark, path)
     assert df.columns[0] == "raw_value_normalized"
     assert df.filter(F.col("mapped_region").isNull()).count() == 1
+
+
+def test_unreadable_rows_go_to_quarantine(spark, tmp_path):
+    land = tmp_path / "land" / "platform=sabbar"
+    land.mkdir(parents=True)
+    header = ",".join(f"c{i}" for i in range(19))
+    good = ",".join(f"v{i}" for i in range(19))
+    (land / "a.csv").write_text(f"{header}\n{good}\na,b,c\n{good},extra,fields\n")
+    table, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    for _ in range(2):  # the second run finds nothing new
+        ingest_new_files(spark, str(tmp_path / "land"), table, str(tmp_path / "ckpt"), bad)
+    assert spark.read.parquet(table).count() == 1
+    assert sorted(r[0] for r in spark.read.parquet(bad).select("_corrupt_record").collect()) == sorted(["a,b,c", f"{good},extra,fields"])
+
+
+def test_platform_from_file_name_only(spark):
+    from hirelake.sources.bronze import platform_from_name
+    from pyspark.sql import functions as F
+    names = ["x_SABBAR.csv", "tanqeeb_gulftalent.csv", "gulftalent.csv", "jadarat-1.csv", "other.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r[0] for r in df.select(platform_from_name(F.col("n"))).collect()] == ["sabbar", "tanqeeb", "golftalent", "jadarat", None]

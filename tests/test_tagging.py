@@ -53,3 +53,15 @@ def test_candidates_threshold_clean_and_merge(spark):
                                     "job_key string, skill_name string, skill_category string, confidence double, evidence_span string")
     merged = sorted(rows(merge_tag_sources(model, phrases), "skill_name", "confidence"))
     assert merged == [("C++", 1.0), ("Java", 0.9), ("JavaScript", 0.95)]
+
+
+def test_evidence_whole_or_cut_and_error_status(spark):
+    from hirelake.operators.tagging import tag_run_log
+    text = "ب" * 700 + " java"
+    df = spark.createDataFrame([("k", text)], "key string, text string")
+    assert rows(tag_texts(df, "key", "text", CATALOG), "evidence_span")[0][0] == text
+    assert rows(tag_texts(df, "key", "text", CATALOG, evidence_chars=500), "evidence_span")[0][0] == text[:500]
+    work = spark.createDataFrame([("a",), ("b",), ("c",)], "job_key string")
+    tags = spark.createDataFrame([("a", "x"), ("b", "x")], "job_key string, skill_name string")
+    log = tag_run_log(work, tags, "2026-12-02 00:00:00", failed=work.where("job_key = 'b'"))
+    assert sorted(rows(log, "job_key", "skill_count", "status")) == [("a", 1, "skills_found"), ("b", 0, "error"), ("c", 0, "no_skills_found")]
