@@ -4,9 +4,13 @@ The catalog is driver-side data -- ``[(skill_name, category, [alias, …]), …]
 -- turned into one projection: for every entry, the first alias (in alias
 order) found on word boundaries gives (name, category, confidence, evidence).
 Every entry is tested independently, so overlapping phrases (``apache`` and
-``apache license``) are both tagged.  A cheap ``contains`` on the
-lower-cased text guards each regex, so the regex engine only runs where the
-alias can occur.  The result is an ``explode`` of the hits: a narrow map, no
+``apache license``) are both tagged.
+
+An alias of words only is looked up: the text is cut into words once, and from
+each word that begins some alias the runs of words that could be one are
+compared with the set of aliases, so the cost of a text does not grow with the
+catalog.  Only aliases with symbols (``c++``) need a regex each, guarded by a
+cheap ``contains``.  The result is an ``explode`` of the hits: a narrow map, no
 shuffle, no Python.
 
 Word boundaries follow Unicode: a letter, digit or underscore on either side
@@ -15,6 +19,7 @@ blocks a match (``éai`` does not contain ``ai``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -99,19 +104,76 @@ def tag_phrases(df: DataFrame, key_col: str, text_col: ColumnOrName, catalog: Ca
     ``evidence_override`` (e.g. the start of an Arabic original) replaces the
     matched text as evidence where it is not null; ``evidence_chars`` cuts the
     evidence (default: whole)."""
-    text = col(text_col)
-    low = F.lower(text)
-    hits = []
-    for name, cat, aliases in dedupe_catalog(catalog):
-        ev = _first_alias_match(text, low, aliases)
-        if evidence_override is not None:
-            ev = F.when(ev.isNotNull(), F.coalesce(col(evidence_override), ev))
-        hits.append(F.when(ev.isNotNull(), F.struct(
-            F.lit(name).alias("skill_name"), F.lit(cat).alias("skill_category"),
-            F.lit(confidence).cast("double").alias("confidence"),
-            cut_evidence(ev, evidence_chars).alias("evidence_span"))))
-    found = F.array_compact(F.array(*hits))
-    return df.select(F.col(key_col), F.explode(found).alias("t")).select(key_col, "t.*")
+    entries = dedupe_catalog(catalog)
+    words: dict[str, list[tuple[int, int]]] = {}  # lower-cased alias -> (entry, rank of the alias)
+    symbols: list[tuple[str, int, int]] = []
+    for e, (_, _, aliases) in enumerate(entries):
+        for rank, a in enumerate(aliases):
+            if WORDS_ONLY.fullmatch(a):
+                words.setdefault(a.lower(), []).append((e, rank))
+            else:
+                symbols.append((a, e, rank))
+    df = df.withColumns({"__text": col(text_col), "__ovr": col(evidence_override) if evidence_override is not None else F.lit(None).cast("string")})
+    found = [word_hits("__text", words)] if words else []
+    low = F.lower("__text")
+    if symbols:
+        found.append(F.array_compact(F.array(*[
+            _hit(F.when(low.contains(a.lower()), F.nullif(F.regexp_extract("__text", alias_pattern(a), 0), F.lit(""))), e, rank)
+            for a, e, rank in symbols])))
+    if not found:
+        found = [F.array().cast(HITS)]
+    hits = df.select(F.col(key_col), "__ovr", F.array_sort(F.concat(*found)).alias("__hits"))
+    # of each entry the alias that comes first
+    first = F.filter("__hits", lambda h, i: (i == 0) | (F.get("__hits", i - 1)["entry"] != h["entry"]))
+    names = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c, _ in entries])
+    return hits.select(key_col, "__ovr", F.explode(first).alias("h")).select(
+        key_col, names[F.col("h.entry")]["n"].alias("skill_name"), names[F.col("h.entry")]["c"].alias("skill_category"),
+        F.lit(confidence).cast("double").alias("confidence"),
+        cut_evidence(F.coalesce("__ovr", "h.matched"), evidence_chars).alias("evidence_span"))
+
+
+HITS = "array<struct<entry:int,rank:int,place:int,matched:string>>"
+WORDS_ONLY = re.compile(r"\w+(?: \w+)*")
+
+
+def _hit(matched: Column, entry: int, rank: int) -> Column:
+    return F.when(matched.isNotNull(), F.struct(F.lit(entry).alias("entry"), F.lit(rank).alias("rank"),
+                                                F.lit(0).alias("place"), matched.alias("matched")))
+
+
+def word_hits(text: ColumnOrName, words: dict[str, list[tuple[int, int]]]) -> Column:
+    """Where the text holds an alias of words: entry, rank of the alias, place and text of the match.
+
+    ``words`` maps lower-cased aliases to entries.  Words of an alias are
+    separated by single blanks, in the text as well.
+    """
+    t = col(text)
+    token = F.regexp_extract_all(t, F.lit(f"{WORD_CLASS}+"), F.lit(0))
+    between = F.split(t, f"{WORD_CLASS}+", -1)  # what stands before each word, and after the last
+    begins = sorted({a.split(" ")[0] for a in words})
+    lengths = sorted({a.count(" ") + 1 for a in words})
+    table = F.create_map(*[x for a, es in words.items() for x in (
+        F.lit(a), F.array(*[F.struct(F.lit(e).alias("entry"), F.lit(r).alias("rank")) for e, r in es]))])
+    doc = F.struct(token.alias("token"), between.alias("between"))
+
+    def at(d: Column, i: Column) -> Column:
+        def run(n: int) -> Column:
+            joined = F.array_join(F.slice(d["token"], i + 1, F.lit(n)), " ")
+            if n == 1:
+                return joined
+            blank = F.forall(F.slice(d["between"], i + 2, F.lit(n - 1)), lambda x: x == " ")
+            return F.when((i + n <= F.size(d["token"])) & blank, joined)
+
+        runs = F.filter(F.array(*[run(n) for n in lengths]), lambda g: F.lower(g).isin(*words))
+        return F.flatten(F.transform(runs, lambda g: F.transform(
+            table[F.lower(g)], lambda e: F.struct(e["entry"].alias("entry"), e["rank"].alias("rank"), i.alias("place"), g.alias("matched")))))
+
+    def hits(d: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.size(d["token"]) - 1), lambda i: F.lower(F.get(d["token"], i)).isin(*begins))
+        return F.when(F.size(d["token"]) > 0, F.flatten(F.transform(places, lambda i: at(d, i)))).otherwise(F.array().cast(HITS))
+
+    # the words are cut once for a text: as the single element of an array they are bound to a name
+    return F.coalesce(F.flatten(F.transform(F.array(doc), hits)), F.array().cast(HITS))
 
 
 def resolve_phrase(c: ColumnOrName, catalog: Catalog) -> Column:

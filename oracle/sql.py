@@ -259,7 +259,7 @@ def skills_ctes(catalog) -> list[tuple[str, str]]:
             else _alias_extract("txt", aliases[0])
         parts.append(
             f"SELECT job_key, {q(name)} AS skill_name, {q(cat)} AS skill_category, CAST(1.0 AS DOUBLE) AS confidence, "
-            f"left(coalesce(ar_ev, ev), 500) AS evidence_span FROM (SELECT job_key, ar_ev, {ev} AS ev FROM prepared) "
+            f"coalesce(ar_ev, ev) AS evidence_span FROM (SELECT job_key, ar_ev, {ev} AS ev FROM prepared) "
             f"WHERE ev IS NOT NULL")
     return [
         ("work", f"""SELECT job_key, description FROM final
@@ -267,7 +267,7 @@ def skills_ctes(catalog) -> list[tuple[str, str]]:
  QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY job_key) = 1"""),
         ("prepared0", f"SELECT job_key, {_norm_text('description')} AS orig FROM work"),
         ("prepared", f"""SELECT job_key, {_norm_text('orig')} AS txt,
- CASE WHEN regexp_matches(orig, '[\\x{{0600}}-\\x{{06FF}}]') THEN left(orig, 500) END AS ar_ev
+ CASE WHEN regexp_matches(orig, '[\\x{{0600}}-\\x{{06FF}}]') THEN orig END AS ar_ev
  FROM prepared0 WHERE orig <> ''"""),
         ("extracted", " UNION ALL ".join(parts)),
         ("stg_skills", """SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM (

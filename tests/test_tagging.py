@@ -65,3 +65,24 @@ def test_evidence_whole_or_cut_and_error_status(spark):
     tags = spark.createDataFrame([("a", "x"), ("b", "x")], "job_key string, skill_name string")
     log = tag_run_log(work, tags, "2026-12-02 00:00:00", failed=work.where("job_key = 'b'"))
     assert sorted(rows(log, "job_key", "skill_count", "status")) == [("a", 1, "skills_found"), ("b", 0, "error"), ("c", 0, "no_skills_found")]
+
+
+def test_large_catalog_as_brute_force(spark):
+    """104 entries made by a rule from syllables of the documents, over all documents."""
+    import re
+
+    from conftest import SF0001
+    syllables = ("an", "er", "in", "on", "re", "th", "he", "st", "ed", "es")
+    catalog = [*CATALOG, *[(f"Term {a}{b}", "technical_skill", [f"{a}{b} the", a + b]) for a in syllables for b in syllables if a != b],
+               *[(f"Symbol {a}", "soft_skill", [f"{a}, the", f"{a}."]) for a in syllables[:7]]]
+    assert len(catalog) >= 104
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    got = set(rows(tag_phrases(docs, "doc_id", "text", catalog), "doc_id", "skill_name", "evidence_span"))
+    want = set()
+    patterns = [(n, [re.compile(rf"(?i)(?<!\w){re.escape(a)}(?!\w)") for a in aliases]) for n, _, aliases in catalog]
+    for doc_id, text in rows(docs):
+        for n, ps in patterns:
+            m = next((m for p in ps if (m := p.search(text))), None)
+            if m:
+                want.add((doc_id, n, m[0]))
+    assert got == want and len(want) > 500
