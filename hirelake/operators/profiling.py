@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +85,11 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("frequency"))
 
 
+def ranked_frequencies(df: DataFrame, column: str) -> DataFrame:
+    """Value frequencies with their rank, the most frequent first; ties share a rank."""
+    return value_frequencies(df, column).withColumn("rank", F.rank().over(Window.orderBy(F.desc("frequency"))))
+
+
 def range_violations(df: DataFrame, column: str, allow_zero: bool = False) -> DataFrame:
     """Rows with negative values, or non-positive ones when zero is not allowed."""
     c = F.col(column)

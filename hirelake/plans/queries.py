@@ -1057,3 +1057,51 @@ def q_append_log(spark, sf_dir):
         logged.select("job_key"), "job_key", "left_anti")
     append_log(tag_run_log(work2, run2, T2), path)
     return spark.read.parquet(path)
+
+
+# -- further forms of registered operators ------------------------------------------------------------
+
+@register("date_profile")
+def q_date_profile(spark, sf_dir):
+    from hirelake.operators.profiling import coerce_dates, date_profile
+    raw = P(spark, sf_dir).raw.select("job_posted_date")
+    return date_profile(coerce_dates(raw, "job_posted_date"), "job_posted_date")
+
+
+@register("ranked_frequencies")
+def q_ranked_frequencies(spark, sf_dir):
+    from hirelake.operators.profiling import ranked_frequencies
+    return ranked_frequencies(_table(spark, sf_dir, "documents"), "lang")
+
+
+@register("dedupe_counts")
+def q_dedupe_counts(spark, sf_dir):
+    from hirelake.operators.dedupe import dedupe_counts
+    return dedupe_counts(P(spark, sf_dir).raw, "source_job_id")
+
+
+@register("check_posted_dates_as_of")
+def q_check_posted_dates_as_of(spark, sf_dir):
+    from hirelake.operators.checks import check_posted_dates
+    return check_posted_dates(P(spark, sf_dir).final_narrow(), "1998-01-01", ["job_key"])
+
+
+@register("check_not_null_warn")
+def q_check_not_null_warn(spark, sf_dir):
+    from hirelake.operators.checks import check_not_null
+    return check_not_null(P(spark, sf_dir).located(), "normalized_region_name", "warn", ID)
+
+
+@register("map_codes_default")
+def q_map_codes_default(spark, sf_dir):
+    from hirelake.operators.normalize import map_codes
+    o = _table(spark, sf_dir, "orders")
+    label = map_codes("o_orderstatus", [("closed", ["F"])], default="active", passthrough=False)
+    return o.select("o_orderkey", label.alias("status_label"))
+
+
+@register("disclosed_not_null")
+def q_disclosed_not_null(spark, sf_dir):
+    from hirelake.operators.pages import disclosed_not_null
+    j = _jsonld(spark, sf_dir)
+    return j.select("page_id", disclosed_not_null(F.get_json_object("j", "$.baseSalary.value.value")).alias("is_salary_disclosed"))

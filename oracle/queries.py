@@ -537,3 +537,24 @@ reg("reassemble_embedded_json", _JP + f""", bufs AS (
 SELECT page_id, CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.jobPositionValue') END AS job_title,
  CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.cityValue') END AS city,
  CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.experienceYears') END AS experience_years FROM objs""")
+
+# -- further forms of registered operators
+_AUTO = """coalesce(CAST(try_strptime({x}, '%Y-%m-%d') AS DATE), CAST(try_cast({x} AS TIMESTAMP) AS DATE),
+ CAST(try_strptime({x}, '%d-%b-%Y') AS DATE), CAST(try_strptime({x}, '%m/%d/%Y') AS DATE))"""
+reg("date_profile", on_chain("raw", f"""SELECT min(d) AS earliest, max(d) AS latest, count(*) FILTER (d IS NULL) AS invalid_dates
+ FROM (SELECT {_AUTO.format(x='job_posted_date')} AS d FROM raw)"""))
+reg("ranked_frequencies", """SELECT lang, frequency, CAST(rank() OVER (ORDER BY frequency DESC) AS INTEGER) AS rank
+ FROM (SELECT lang, count(*) AS frequency FROM documents GROUP BY lang)""")
+reg("dedupe_counts", on_chain("raw", """SELECT rows_before, rows_with_id, distinct_ids, rows_before - rows_with_id + distinct_ids AS rows_after,
+ rows_with_id - distinct_ids AS rows_removed FROM (SELECT count(*) AS rows_before, count(*) FILTER (ok) AS rows_with_id,
+ count(DISTINCT source_job_id) FILTER (ok) AS distinct_ids FROM (SELECT source_job_id, coalesce(trim(source_job_id, ' ') <> ''
+  AND lower(trim(source_job_id, ' ')) NOT IN ('nan', 'none'), false) AS ok FROM raw))"""))
+reg("check_posted_dates_as_of", on_chain("final", f"""SELECT job_key, job_posted_date, collected_at,
+ parsed_job_posted_date, parsed_collected_date FROM (
+ SELECT job_key, job_posted_date, collected_at, {_PD.format(x='job_posted_date')} AS parsed_job_posted_date,
+  {_PD.format(x='collected_at')} AS parsed_collected_date FROM final)
+ WHERE parsed_job_posted_date > parsed_collected_date OR parsed_job_posted_date > DATE '1998-01-01'"""))
+reg("check_not_null_warn", on_chain("located", f"""SELECT {ID}, 'normalized_region_name' AS column_name, 'warn' AS severity
+ FROM located WHERE normalized_region_name IS NULL"""))
+reg("map_codes_default", "SELECT o_orderkey, CASE WHEN upper(trim(o_orderstatus, ' ')) = 'F' THEN 'closed' ELSE 'active' END AS status_label FROM orders")
+reg("disclosed_not_null", _JSONLD + "SELECT page_id, json_extract_string(j, '$.baseSalary.value.value') IS NOT NULL AS is_salary_disclosed FROM jl")
