@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from hirelake.functions import rules
 from hirelake.functions.dates import try_date_auto
-from hirelake.operators.dedupe import group_key
 from hirelake.operators.sequence import dense_sequence
 
 
@@ -41,19 +40,26 @@ def date_profile(df: DataFrame, column: str) -> DataFrame:
                   F.count_if(d.isNull()).alias("invalid_dates"))
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """256-bit digest of the values, so that wide texts are no shuffle keys.
+    Each value is preceded by its length, a null by a mark of its own."""
+    text = [F.col(f"`{c}`").cast("string") for c in columns]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]), 256)
+
+
 def count_duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each identical group, in one aggregate over
-    the grouped rows (partial counts map-side)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    the grouped digests (partial counts map-side)."""
+    g = df.groupBy(row_digest(df.columns).alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(F.sum("__n").cast("bigint").alias("row_count"), F.count(F.lit(1)).alias("distinct_rows"),
                  (F.sum("__n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
 
 
 def flag_group_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of any key group larger than one (null keys match each other).
-    Group sizes come from a partial-aggregated count joined back on one
-    struct key, so a hot group is never gathered into one window task."""
-    gk = group_key(*keys)
+    Group sizes come from a partial-aggregated count joined back on a digest
+    of the keys, so a hot group is never gathered into one window task."""
+    gk = row_digest(keys)
     sizes = df.groupBy(gk.alias("__gk")).agg(F.count(F.lit(1)).alias("group_size")).filter(F.col("group_size") > 1)
     return df.withColumn("__gk", gk).join(sizes, "__gk", "inner").drop("__gk")
 
