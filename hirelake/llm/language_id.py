@@ -21,8 +21,8 @@ from hirelake.llm.common import batches_of, bounded_batches
 UNKNOWN = "und"
 #: Ranks kept of each profile.  At most so many languages, whose profiles go to every task.
 RANKS, MOST_LANGUAGES = 400, 2000
-#: Distinct n-grams a task holds before it hands its counts on.
-HELD = 2_000_000
+#: Distinct n-grams a task holds before it hands its counts on, and characters it counts at a time.
+HELD, COUNTED = 2_000_000, 400_000
 _TWO, _ONE = np.int64(0x110001) << 42, np.int64(0x110002) << 42
 
 OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -76,15 +76,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)], schema=COUNTS)
         held.clear()
 
+    def count(lang: str, texts: list[str]) -> None:
+        # a word ends at a text's end, so texts may be counted joined
+        gram, n = np.unique(grams("\n".join(texts)), return_counts=True)
+        if len(gram):
+            _merge(held, lang, gram, n.astype(np.int64))
+
     for b in batches:
         texts: dict[str, list[str]] = {}
+        chars: dict[str, int] = {}
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
             texts.setdefault(lang, []).append(text)
+            chars[lang] = chars.get(lang, 0) + len(text)
+            if chars[lang] >= COUNTED:
+                count(lang, texts.pop(lang))
+                chars[lang] = 0
         for lang, ts in texts.items():
-            # a word ends at a text's end, so texts may be counted joined
-            gram, n = np.unique(grams("\n".join(ts)), return_counts=True)
-            if len(gram):
-                _merge(held, lang, gram, n.astype(np.int64))
+            count(lang, ts)
         if sum(len(g) for g, _ in held.values()) > HELD:
             yield from give()
     yield from give()
