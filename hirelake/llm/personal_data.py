@@ -58,6 +58,18 @@ def mod97(account: Column) -> Column:
     return known & (F.aggregate(F.split(turned, "(?!^)(?=.)"), F.lit(0), step) == 1)
 
 
+def iban_pattern() -> str:
+    """Account numbers of their country's length, in one piece or with blanks between groups of four.
+
+    The length is fixed by the country, so a match never reaches into the next word.
+    """
+    of: dict[int, list[str]] = {}
+    for country, n in IBAN_LENGTHS.items():
+        of.setdefault(n, []).append(country)
+    forms = [rf"(?:{'|'.join(c)})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in sorted(of.items())]
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
 def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
@@ -82,7 +94,7 @@ KINDS = (
     Kind("card", rf"(?<![0-9])(?<![0-9][\x20-]){DIGIT_CHAIN}{{12,18}}+(?![\x20-]?[0-9])", lambda m: luhn(_digits(m)), 0.8, "card|visa|credit|pay"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.7, "phone|tel|call|fax|mobile"),
     # added by the method
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    Kind("iban", iban_pattern(),
          lambda m: mod97(F.regexp_replace(m, " ", "")), 0.8, "iban|account|bank", False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"), 0.3, "ssn|social security", False),
