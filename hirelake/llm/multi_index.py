@@ -8,7 +8,7 @@ negative inner product, the measure asked for.
 
 ``T`` is not guessed: the exact neighbours of a bounded number of queries are
 found by brute force over all vectors, and T is the least number of candidates
-that reaches ``recall`` on them.
+that reaches ``recall`` on them, but never fewer than fill a query's ranks.
 
 Vectors that are equal are one entry with their smallest ids, which is all that
 any answer can hold, so a very common vector costs as much as a rare one.
@@ -217,7 +217,8 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, top: int = 20,
     truth = written(exact(entries, sample, top), "true-neighbours")
     where = {r["vec_id"]: (r["i"], r["j"]) for r in
              cells.select(F.explode("ids").alias("vec_id"), "i", "j").join(truth.select("vec_id").distinct(), "vec_id").collect()}
-    most = candidates_needed(index, sample, truth.collect(), where, recall)
+    # at least as many entries as fill the ranks beside the query's own, whatever the sample needs
+    most = max(top + 1, candidates_needed(index, sample, truth.collect(), where, recall))
     # entries in blocks of a row of cells, split where it holds more than a block
     rows = index.count.sum(1)
     blocks = [max(1, -(-int(n) // BLOCK)) for n in rows]
