@@ -198,3 +198,83 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelake.llm.license_scan import scan
 
     return scan(documents(spark, sf_dir))
+
+
+@register
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.divergence import audit
+
+    return audit(documents(spark, sf_dir))
+
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(k.term) AS v, coalesce(sum(k.n), 0)::HUGEINT AS words
+      FROM (SELECT DISTINCT lang FROM d) LEFT JOIN k USING (lang) GROUP BY lang),
+g AS (SELECT x.lang, x.source, l.v, coalesce(any_value(s.words), 0)::HUGEINT AS words
+      FROM (SELECT DISTINCT lang, source FROM d) x JOIN l USING (lang)
+      LEFT JOIN (SELECT lang, source, sum(n) AS words FROM c GROUP BY ALL) s ON s.lang = x.lang AND s.source = x.source GROUP BY ALL),
+p AS (  -- every group prices every kept term
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.words + 2 * g.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 2)) // (l.words + 2 * l.v) AS q
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+v AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM o
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+@register
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelake.llm.fill_in_middle import digests
+
+    return digests(documents(spark, sf_dir))
+
+
+ORACLE["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u
+  FROM documents),
+h AS (
+  SELECT *, len(u) AS n, ('0x' || x[1:8])::BIGINT % (len(u) + 1) AS i, ('0x' || x[9:16])::BIGINT % (len(u) + 1) AS j,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || x[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+              WHEN ('0x' || x[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT *, array_to_string(u[1:least(i, j)], '') AS pre, array_to_string(u[least(i, j) + 1:greatest(i, j)], '') AS mid,
+         array_to_string(u[greatest(i, j) + 1:], '') AS suf
+  FROM h),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS output
+  FROM c),
+b AS (
+  SELECT *, CASE form WHEN 'plain' THEN [output] ELSE string_split(replace(replace(output[4:], '<S>', '<M>'), '<P>', '<M>'), '<M>') END AS parts
+  FROM o)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN parts[1] WHEN 'psm' THEN parts[1] || parts[3] || parts[2] ELSE parts[2] || parts[3] || parts[1] END) AS restored_sha256
+FROM b
+"""
+
+
+@register
+def op13_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from hirelake.llm.byte_bpe import encode_digests
+
+    return encode_digests(documents(spark, sf_dir), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
