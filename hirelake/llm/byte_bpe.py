@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import re
 import struct
 import sys
 from collections.abc import Iterator, Sequence
@@ -36,7 +37,7 @@ LONG = 64
 #: A piece no text holds: its characters are outside the byte alphabet.
 UNKNOWN = "\u2047\u2047"
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-UNIT = regex.compile(rf"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
+UNIT = re.compile(rf"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 
 
 def byte_alphabet() -> str:
@@ -116,37 +117,35 @@ class ByteModel:
         self.tokens, values = zip(*sorted(ranks.items(), key=lambda x: x[1]), strict=True)
         self.bytes_of = dict(zip(values, self.tokens, strict=True))
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model_proto(self.tokens, values))
-        self.rank_of = np.array([*values, 0], np.uint32)
+        self.id_bytes = [v.to_bytes(4, "little") for v in values]  # of piece i
         self.to_pieces = dict(enumerate(byte_alphabet()))
         self.pattern = regex.compile(pattern)
         self.other = other_classes()
+        self.alike = frozenset(chr(c) for c in range(0x800) if c not in self.other)
         # tokens that are taken whole though merging does not lead to them
         own = self.library.encode([self.mapped(t) for t in self.tokens], num_threads=1)
-        self.whole = {t: np.array([r], np.uint32) for k, (t, r) in enumerate(zip(self.tokens, values)) if own[k] != [k]}
+        self.whole = {t: k for k, t in enumerate(self.tokens) if own[k] != [k]}
 
     def mapped(self, data: bytes) -> str:
-        return data.decode("latin-1").translate(self.to_pieces)
+        text = data.decode("latin-1")
+        return text.replace(" ", self.to_pieces[32]) if text.isascii() and text.isprintable() else text.translate(self.to_pieces)
 
     def pre_tokens(self, unit: str) -> list[str]:
         """The matches of the pattern, as the tiktoken library finds them."""
-        if not unit.isascii() and (like := unit.translate(self.other)) != unit:
+        if not unit.isascii() and not self.alike.issuperset(unit) and (like := unit.translate(self.other)) != unit:
             return [unit[m.start():m.end()] for m in self.pattern.finditer(like)]
-        return [m.group() for m in self.pattern.finditer(unit)]
+        return self.pattern.findall(unit)
 
-    def encode_pre_tokens(self, pre_tokens: list[str]) -> list[np.ndarray]:
-        data = [p.encode() for p in pre_tokens]
-        found = self.library.encode([self.mapped(d) for d in data], num_threads=1)
-        return [self.whole[d] if d in self.whole else self.rank_of[ids] for d, ids in zip(data, found, strict=True)]
-
-    def encode_units(self, units: list[str]) -> list[np.ndarray]:
-        cut = [self.pre_tokens(u) for u in units]
-        new = list(set().union(*cut))
-        known = dict(zip(new, self.encode_pre_tokens(new), strict=True))
-        return [known[c[0]] if len(c) == 1 else np.concatenate([known[p] for p in c]) if c else self.rank_of[:0] for c in cut]
+    def encode_pre_tokens(self, pre_tokens: list[str]) -> list[list[int]]:
+        """Pieces of every pre-token."""
+        found = self.library.encode([self.mapped(p.encode()) for p in pre_tokens], num_threads=1)
+        if self.whole:
+            found = [[self.whole[d]] if (d := p.encode()) in self.whole else ids for p, ids in zip(pre_tokens, found, strict=True)]
+        return found
 
     def encode(self, text: str) -> list[int]:
-        found = self.encode_units(UNIT.findall(text))
-        return np.concatenate(found).tolist() if found else []
+        found = self.encode_pre_tokens([p for u in UNIT.findall(text) for p in self.pre_tokens(u)])
+        return [int.from_bytes(self.id_bytes[i], "little") for pieces in found for i in pieces]
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
@@ -161,24 +160,43 @@ def load(path: str, pattern: str) -> ByteModel:
 
 
 class Memo:
-    """Units as the bytes of their ids and the bytes these decode to."""
+    """Units as the bytes of their ids; decoded, where they are not the unit again."""
 
     def __init__(self, model: ByteModel, size: int):
         self.model, self.size = model, size
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, bytes] = {}
 
-    def learn(self, met: set[str]) -> None:
+    def learn(self, met: set[str]) -> list[str]:
+        """Take in the units of a batch; returns new ones that are too long to be kept."""
         new = [u for u in met if u not in self.ids]
         if len(self.ids) + len(new) > self.size:
             self.ids, self.text, new = {}, {}, list(met)
-        for u, ids in zip(new, self.model.encode_units(new), strict=True):
-            self.ids[u] = ids.astype("<u4").tobytes()
-            self.text[u] = self.model.decode_bytes(ids.tolist())
-
-    def forget_long(self, met: set[str]) -> None:
-        for u in [u for u in met if len(u) > LONG]:
-            del self.ids[u], self.text[u]
+        model = self.model
+        cut = [self.model.pre_tokens(u) for u in new]
+        pre_tokens = list(set().union(*cut))
+        id_bytes, tokens = model.id_bytes, model.tokens
+        known, odd = {}, {}
+        for p, pieces in zip(pre_tokens, model.encode_pre_tokens(pre_tokens), strict=True):
+            known[p] = b"".join([id_bytes[i] for i in pieces])
+            back = b"".join([tokens[i] for i in pieces])
+            if back != p.encode():
+                odd[p] = back
+        self.ids.update(zip(new, [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cut], strict=True))
+        if odd:
+            self.text |= {u: b"".join([odd.get(p, p.encode()) for p in c]) for u, c in zip(new, cut, strict=True) if not odd.keys().isdisjoint(c)}
+        return [u for u in new if len(u) > LONG]
+
+    def forget(self, units: list[str]) -> None:
+        for u in units:
+            del self.ids[u]
+            self.text.pop(u, None)
+
+
+@lru_cache(maxsize=1)
+def memo_of(path: str, pattern: str, size: int) -> Memo:
+    """A worker's memo: it serves all tasks the worker runs."""
+    return Memo(load(path, pattern), size)
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -188,20 +206,22 @@ IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 def _digest_batches(path: str, pattern: str, memo_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sha = hashlib.sha256
-        memo = Memo(load(path, pattern), memo_size)
+        memo = memo_of(path, pattern, memo_size)
         gc.disable()  # millions of small objects live for one batch, none in a cycle
 
         def rows():
             for b in batches:
-                cut = [UNIT.findall(t) for t in b.column("text").to_pylist()]
+                texts = b.column("text").to_pylist()
+                cut = [UNIT.findall(t) for t in texts]
                 met = set().union(*cut)
-                memo.learn(met)
-                ids_of, text_of = memo.ids, memo.text
-                for doc_id, units in zip(b.column("doc_id").to_pylist(), cut, strict=True):
+                long = memo.learn(met)
+                ids_of, odd = memo.ids, memo.text
+                for doc_id, text, units in zip(b.column("doc_id").to_pylist(), texts, cut, strict=True):
                     ids = b"".join([ids_of[u] for u in units])
-                    text = b"".join([text_of[u] for u in units])
-                    yield doc_id, len(ids) // 4, sha(ids).hexdigest(), sha(text).hexdigest()
-                memo.forget_long(met)
+                    # without odd units, what is decoded is the text
+                    back = b"".join([odd[u] if u in odd else u.encode() for u in units]) if odd else text.encode()
+                    yield doc_id, len(ids) // 4, sha(ids).hexdigest(), sha(back).hexdigest()
+                memo.forget(long)
 
         try:
             yield from batches_of(rows(), OUT)
@@ -211,7 +231,7 @@ def _digest_batches(path: str, pattern: str, memo_size: int):
     return run
 
 
-def encode_digests(docs: DataFrame, path: str, pattern: str, memo_size: int = 300_000) -> DataFrame:
+def encode_digests(docs: DataFrame, path: str, pattern: str, memo_size: int = 500_000) -> DataFrame:
     """Per row: number of ids, digests of the ids (little-endian, 32 bits each) and of the bytes decoded from them.
 
     ``path`` names a rank file on every executor.  Only ``doc_id`` and ``text``
