@@ -28,7 +28,7 @@ SCALE, THOUSAND = 10**9, 1000
 #: Added to a count, and per kept term to a group's total.
 PRIOR = 2
 #: Terms of one block of a sparse array, about.
-BLOCK = 1 << 16
+BLOCK = 1 << 12
 #: Distinct (group, term) entries a task holds before it sends them on, and bytes of a text counted at a time.
 HELD, CHUNK = 400_000, 1 << 20
 #: Everything but letters becomes a blank, A-Z become a-z, bytes above ASCII stay.
