@@ -6,7 +6,6 @@ whole-stage codegen.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -101,6 +100,20 @@ def try_boolean(c: ColumnOrName) -> Column:
     )
 
 
-def java_quote(text: str) -> str:
-    """Quote a literal for a Java regex."""
-    return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
+#: Characters that simple case folding takes together although their lower case differs.
+_FOLD_FROM = "\u017f\u212a\u212b\u0131\u03c2\u00b5\u03d0\u03f5\u03d1\u03f0\u03d6\u03f1\u03d5\u1e9b\u1fbe\u1c80\u1c81\u1c82\u1c83\u1c84\u1c85\u1c86\u1c87\u1c88"
+_FOLD_TO = "sk\u00e5i\u03c3\u03bc\u03b2\u03b5\u03b8\u03ba\u03c0\u03c1\u03c6\u1e61\u03b9\u0432\u0434\u043e\u0441\u0442\u0442\u044a\u0463\ua64b"
+
+
+def fold_simple(c: ColumnOrName) -> Column:
+    """Text for comparison without case, character by character: the length stays
+    (a long s is an s, a dotless i an i; a sharp s stays itself)."""
+    return F.translate(F.lower(F.translate(col(c), "\u0130", "i")), _FOLD_FROM, _FOLD_TO)
+
+
+def fold_case(c: ColumnOrName) -> Column:
+    """Full Unicode case folding, as for equal names: a sharp s is two s, a final
+    sigma a sigma; a dotless i stays itself."""
+    kept = F.translate(F.lower(col(c)), "\u0131", "\ue000")
+    upper = F.translate(F.upper(kept), "\u03a3", "\u03c3")  # also keeps the optimizer from dropping upper() inside lower()
+    return F.translate(F.lower(upper), "\ue000", "\u0131")

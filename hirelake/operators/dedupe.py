@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import ColumnOrName, col
@@ -68,12 +68,34 @@ def valid_id(c: ColumnOrName) -> Column:
     return col(c).isNotNull() & (t != "") & ~t.isin("nan", "none")
 
 
-def dedupe_keep_missing_ids(df: DataFrame, id_col: str, order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per usable id; rows without a usable id all stay."""
-    ok = valid_id(id_col)
-    with_id = keep_latest(df.filter(ok), [id_col], order)
-    without = df.filter(~ok | ok.isNull())
-    return with_id.unionByName(without)
+class DedupeCounts:
+    """The figures of :func:`dedupe_counts`, taken while a de-duplication runs; :meth:`get` waits for its first action."""
+
+    def __init__(self) -> None:
+        self.read, self.kept = Observation(), Observation()
+
+    def get(self) -> dict[str, int]:
+        read, kept = self.read.get, self.kept.get
+        return {"rows_before": read["rows"], "rows_with_id": read["with_id"], "distinct_ids": kept["with_id"],
+                "rows_after": kept["rows"], "rows_removed": read["rows"] - kept["rows"]}
+
+
+def dedupe_keep_missing_ids(df: DataFrame, id_col: str, order: Sequence[Column], counts: DedupeCounts | None = None) -> DataFrame:
+    """Keep the first row per usable id; rows without a usable id all stay.
+
+    One pass: a row without a usable id is a group of its own (a number no other
+    row has), so such rows spread over all tasks.  ``counts`` takes its
+    figures while the rows go by, without a second scan.
+    """
+    ok = F.coalesce(valid_id(id_col), F.lit(False))
+    marked = df.withColumns({"__ok": ok, "__own": F.when(~ok, F.monotonically_increasing_id())})
+    figures = [F.count(F.lit(1)).alias("rows"), F.count_if("__ok").alias("with_id")]
+    if counts is not None:
+        marked = marked.observe(counts.read, *figures)
+    kept = keep_latest(marked, [F.when(F.col("__ok"), F.col(id_col)), "__own"], order)
+    if counts is not None:
+        kept = kept.observe(counts.kept, *figures)
+    return kept.drop("__ok", "__own")
 
 
 def dedupe_counts(df: DataFrame, id_col: str) -> DataFrame:

@@ -79,7 +79,8 @@ def trim_text_columns(df: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One of each group of identical rows; the shuffle key is a digest, not the row's texts."""
+    return df.withColumn("__digest", row_digest(df.columns)).dropDuplicates(["__digest"]).drop("__digest")
 
 
 def coerce_dates(df: DataFrame, column: str) -> DataFrame:
@@ -92,8 +93,16 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
 
 
 def ranked_frequencies(df: DataFrame, column: str) -> DataFrame:
-    """Value frequencies with their rank, the most frequent first; ties share a rank."""
-    return value_frequencies(df, column).withColumn("rank", F.rank().over(Window.orderBy(F.desc("frequency"))))
+    """Value frequencies with their rank, the most frequent first; ties share a rank.
+
+    Only the distinct frequencies are put in order (of n rows, no more than
+    the root of 2n); values find their rank by a join.
+    """
+    values = value_frequencies(df, column)
+    more = Window.orderBy(F.desc("frequency")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (values.groupBy("frequency").agg(F.count(F.lit(1)).alias("__n"))
+             .select("frequency", (F.coalesce(F.sum("__n").over(more), F.lit(0)) + 1).cast("int").alias("rank")))
+    return values.join(ranks, "frequency").select(column, "frequency", "rank")
 
 
 def range_violations(df: DataFrame, column: str, allow_zero: bool = False) -> DataFrame:

@@ -1,39 +1,32 @@
 """Skill tagging of free text against a phrase catalog.
 
-The catalog is driver-side data -- ``[(skill_name, category, [alias, …]), …]``
--- turned into one projection: for every entry, the first alias (in alias
-order) found on word boundaries gives (name, category, confidence, evidence).
-Every entry is tested independently, so overlapping phrases (``apache`` and
-``apache license``) are both tagged.
-
-An alias of words only is looked up: the text is cut into words once, and from
-each word that begins some alias the runs of words that could be one are
-compared with the set of aliases, so the cost of a text does not grow with the
-catalog.  Only aliases with symbols (``c++``) need a regex each, guarded by a
-cheap ``contains``.  The result is an ``explode`` of the hits: a narrow map, no
-shuffle, no Python.
-
-Word boundaries follow Unicode: a letter, digit or underscore on either side
-blocks a match (``éai`` does not contain ``ai``).
+The catalog is a list ``[(skill_name, category, [alias, …]), …]`` or a table of
+aliases; matching is the join of :mod:`hirelake.operators.phrases`.  For every entry,
+the first alias (in alias order) found on word boundaries gives (name,
+category, confidence, evidence).  Every entry is tested independently, so
+overlapping phrases (``apache`` and ``apache license``) are both tagged.
+
+A tagging run gives one row per text: its tags and, where the text could not
+be prepared (a translator that fails), the error.  Tags and run log both come
+from that row, so one bad text fails neither the run nor the others.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake.functions import rules
-from hirelake.functions.text import ColumnOrName, col, java_quote
+from hirelake.functions.text import ColumnOrName, col, fold_case
 from hirelake.operators.dedupe import keep_latest
+from hirelake.operators.phrases import Catalog, first_hit, hits_per_text
 
-Catalog = Sequence[tuple[str, str, Sequence[str]]]
-
-WORD_CLASS = r"[\p{L}\p{N}_]"
+#: Text in, text out; may raise.
+Translator = Callable[[str], str]
 
 
 @F.pandas_udf(T.StringType())
@@ -67,166 +60,112 @@ def detect_arabic(c: ColumnOrName) -> Column:
     return F.coalesce(col(c).rlike(rules.ARABIC_CLASS), F.lit(False))
 
 
-def alias_pattern(alias: str) -> str:
-    return f"(?iu)(?<!{WORD_CLASS}){java_quote(alias)}(?!{WORD_CLASS})"
+def cut_evidence(c: Column, chars: int | None) -> Column:
+    return c if chars is None else F.left(c, F.lit(chars))
 
 
-def _first_alias_match(text: Column, low: Column, aliases: Sequence[str]) -> Column:
-    """Matched text of the first alias (in alias order) that occurs, else null."""
-    out = None
-    for a in aliases:
-        m = F.regexp_extract(text, alias_pattern(a), 0)
-        hit = F.when(low.contains(a.lower()) & (m != ""), m)
-        out = hit if out is None else F.coalesce(out, hit)
-    return out
+TAG = "struct<skill_name:string,skill_category:string,confidence:double,evidence_span:string>"
 
 
-def dedupe_catalog(catalog: Catalog) -> list[tuple[str, str, list[str]]]:
-    """Keep the first entry per case-folded skill name."""
-    seen, out = set(), []
-    for name, cat, aliases in catalog:
-        k = name.casefold()
-        if k not in seen:
-            seen.add(k)
-            out.append((name, cat, list(aliases)))
-    return out
+def tag_outcomes(df: DataFrame, keys: Sequence[str], text_col: ColumnOrName, catalog: Catalog | DataFrame, confidence: float = 1.0,
+                 evidence_override: ColumnOrName | None = None, error: ColumnOrName | None = None,
+                 evidence_chars: int | None = None) -> DataFrame:
+    """One row per ``keys``: ``tags`` (an array, by entry) and ``error``.
 
+    ``evidence_override`` (the Arabic original) replaces the matched text as
+    evidence where it is not null; ``evidence_chars`` cuts the evidence
+    (default: whole).  A row with an ``error`` has no tags.
+    """
+    null = F.lit(None).cast("string")
+    extra = F.struct((null if error is None else col(error)).alias("error"), (null if evidence_override is None else col(evidence_override)).alias("evidence"))
+    found = hits_per_text(df, keys, text_col, catalog, extra)
+
+    def tag(h: Column) -> Column:
+        return F.struct(h["skill_name"].alias("skill_name"), h["skill_category"].alias("skill_category"), F.lit(confidence).cast("double").alias("confidence"),
+                        cut_evidence(F.coalesce(F.col("extra.evidence"), h["matched"]), evidence_chars).alias("evidence_span"))
+
+    tags = F.when(F.col("extra.error").isNull(), F.transform("hits", tag)).otherwise(F.array().cast(f"array<{TAG}>"))
+    return found.select(*keys, tags.alias("tags"), F.col("extra.error").alias("error"))
+
+
+def outcome_tags(outcomes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, skill_name, skill_category, confidence, evidence_span) per tag."""
+    return outcomes.select(*keys, F.explode("tags").alias("t")).select(*keys, "t.*")
 
-def cut_evidence(c: Column, chars: int | None) -> Column:
-    return c if chars is None else F.left(c, F.lit(chars))
 
+def outcome_log(outcomes: DataFrame, processed_at: str, key_col: str = "job_key") -> DataFrame:
+    """One log row per key: number of tags and found, none or error."""
+    n = F.size("tags")
+    return outcomes.select(key_col, F.lit(processed_at).cast("timestamp_ntz").alias("processed_at"), n.alias("skill_count"),
+                           F.when(F.col("error").isNotNull(), F.lit(rules.STATUS_ERROR)).when(n > 0, F.lit(rules.STATUS_FOUND))
+                           .otherwise(F.lit(rules.STATUS_NONE)).alias("status"))
 
-def tag_phrases(df: DataFrame, key_col: str, text_col: ColumnOrName, catalog: Catalog,
+
+def tag_phrases(df: DataFrame, key_col: str, text_col: ColumnOrName, catalog: Catalog | DataFrame,
                 confidence: float = 1.0, evidence_override: ColumnOrName | None = None,
                 evidence_chars: int | None = None) -> DataFrame:
-    """(key, skill_name, skill_category, confidence, evidence_span) per hit.
-
-    ``evidence_override`` (e.g. the start of an Arabic original) replaces the
-    matched text as evidence where it is not null; ``evidence_chars`` cuts the
-    evidence (default: whole)."""
-    entries = dedupe_catalog(catalog)
-    words: dict[str, list[tuple[int, int]]] = {}  # lower-cased alias -> (entry, rank of the alias)
-    symbols: list[tuple[str, int, int]] = []
-    for e, (_, _, aliases) in enumerate(entries):
-        for rank, a in enumerate(aliases):
-            if WORDS_ONLY.fullmatch(a):
-                words.setdefault(a.lower(), []).append((e, rank))
-            else:
-                symbols.append((a, e, rank))
-    df = df.withColumns({"__text": col(text_col), "__ovr": col(evidence_override) if evidence_override is not None else F.lit(None).cast("string")})
-    found = [word_hits("__text", words)] if words else []
-    low = F.lower("__text")
-    if symbols:
-        found.append(F.array_compact(F.array(*[
-            _hit(F.when(low.contains(a.lower()), F.nullif(F.regexp_extract("__text", alias_pattern(a), 0), F.lit(""))), e, rank)
-            for a, e, rank in symbols])))
-    if not found:
-        found = [F.array().cast(HITS)]
-    hits = df.select(F.col(key_col), "__ovr", F.array_sort(F.concat(*found)).alias("__hits"))
-    # of each entry the alias that comes first
-    first = F.filter("__hits", lambda h, i: (i == 0) | (F.get("__hits", i - 1)["entry"] != h["entry"]))
-    names = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c, _ in entries])
-    return hits.select(key_col, "__ovr", F.explode(first).alias("h")).select(
-        key_col, names[F.col("h.entry")]["n"].alias("skill_name"), names[F.col("h.entry")]["c"].alias("skill_category"),
-        F.lit(confidence).cast("double").alias("confidence"),
-        cut_evidence(F.coalesce("__ovr", "h.matched"), evidence_chars).alias("evidence_span"))
-
-
-HITS = "array<struct<entry:int,rank:int,place:int,matched:string>>"
-WORDS_ONLY = re.compile(r"\w+(?: \w+)*")
-
-
-def _hit(matched: Column, entry: int, rank: int) -> Column:
-    return F.when(matched.isNotNull(), F.struct(F.lit(entry).alias("entry"), F.lit(rank).alias("rank"),
-                                                F.lit(0).alias("place"), matched.alias("matched")))
-
-
-def word_hits(text: ColumnOrName, words: dict[str, list[tuple[int, int]]]) -> Column:
-    """Where the text holds an alias of words: entry, rank of the alias, place and text of the match.
-
-    ``words`` maps lower-cased aliases to entries.  Words of an alias are
-    separated by single blanks, in the text as well.
-    """
-    t = col(text)
-    token = F.regexp_extract_all(t, F.lit(f"{WORD_CLASS}+"), F.lit(0))
-    between = F.split(t, f"{WORD_CLASS}+", -1)  # what stands before each word, and after the last
-    begins = sorted({a.split(" ")[0] for a in words})
-    lengths = sorted({a.count(" ") + 1 for a in words})
-    table = F.create_map(*[x for a, es in words.items() for x in (
-        F.lit(a), F.array(*[F.struct(F.lit(e).alias("entry"), F.lit(r).alias("rank")) for e, r in es]))])
-    doc = F.struct(token.alias("token"), between.alias("between"))
-
-    def at(d: Column, i: Column) -> Column:
-        def run(n: int) -> Column:
-            joined = F.array_join(F.slice(d["token"], i + 1, F.lit(n)), " ")
-            if n == 1:
-                return joined
-            blank = F.forall(F.slice(d["between"], i + 2, F.lit(n - 1)), lambda x: x == " ")
-            return F.when((i + n <= F.size(d["token"])) & blank, joined)
-
-        runs = F.filter(F.array(*[run(n) for n in lengths]), lambda g: F.lower(g).isin(*words))
-        return F.flatten(F.transform(runs, lambda g: F.transform(
-            table[F.lower(g)], lambda e: F.struct(e["entry"].alias("entry"), e["rank"].alias("rank"), i.alias("place"), g.alias("matched")))))
-
-    def hits(d: Column) -> Column:
-        places = F.filter(F.sequence(F.lit(0), F.size(d["token"]) - 1), lambda i: F.lower(F.get(d["token"], i)).isin(*begins))
-        return F.when(F.size(d["token"]) > 0, F.flatten(F.transform(places, lambda i: at(d, i)))).otherwise(F.array().cast(HITS))
-
-    # the words are cut once for a text: as the single element of an array they are bound to a name
-    return F.coalesce(F.flatten(F.transform(F.array(doc), hits)), F.array().cast(HITS))
-
-
-def resolve_phrase(c: ColumnOrName, catalog: Catalog) -> Column:
-    """First catalog entry (catalog order, then alias order) found in the
-    text: struct(skill_name, skill_category, matched) or null."""
-    text = col(c)
-    low = F.lower(text)
-    out = None
-    for name, cat, aliases in catalog:
-        m = _first_alias_match(text, low, aliases)
-        hit = F.when(m.isNotNull(), F.struct(F.lit(name).alias("skill_name"),
-                                             F.lit(cat).alias("skill_category"), m.alias("matched")))
-        out = hit if out is None else F.coalesce(out, hit)
-    return out
-
-
-def clean_candidate(c: ColumnOrName) -> Column:
+    """(key, skill_name, skill_category, confidence, evidence_span) per entry found in a text."""
+    return outcome_tags(tag_outcomes(df, [key_col], text_col, catalog, confidence, evidence_override, None, evidence_chars), [key_col])
+
+
+def resolve_phrase(df: DataFrame, keys: Sequence[str], text_col: ColumnOrName, catalog: Catalog | DataFrame) -> DataFrame:
+    """One row per ``keys``: the first catalog entry (catalog order, then
+    alias order) found in the text, or nulls."""
+    return first_hit(df, keys, text_col, catalog).select(
+        *keys, F.col("hit.skill_name").alias("skill_name"), F.col("hit.skill_category").alias("skill_category"), F.col("hit.matched").alias("matched"))
+
+
+def clean_candidate(c: ColumnOrName, unescape: bool = True) -> Column:
     """Unescape, drop word-piece marks ``##``, collapse whitespace, strip
-    a punctuation set from both ends."""
-    x = F.replace(html_unescape(c), F.lit("##"), F.lit(""))
+    a punctuation set from both ends.  Words cut from a text that was decoded
+    as a whole need no unescaping (one Arrow step for a text, not for a word)."""
+    x = F.replace(html_unescape(c) if unescape else col(c), F.lit("##"), F.lit(""))
     x = F.regexp_replace(x, r"(?U)\s+", " ")
     return F.btrim(x, F.lit(rules.CANDIDATE_STRIP_CHARS))
 
 
-def resolve_scored_candidates(cands: DataFrame, catalog: Catalog, key_col: str = "job_key",
+def joined_candidates(cands: DataFrame, key_col: str = "job_key", threshold: float = rules.CONFIDENCE_THRESHOLD) -> DataFrame:
+    """Neighbouring words (positions one apart) above the threshold as one
+    candidate: words joined by blanks, the first position, the mean score.
+
+    A run of neighbours is one group of rows; its position less its rank stays
+    the same.  A key's rows meet in one task: they are the words of one text.
+    """
+    kept = cands.where(F.col("score") >= threshold)
+    rank = F.row_number().over(Window.partitionBy(key_col).orderBy("position"))
+    parts = F.array_sort(F.collect_list(F.struct("position", "word")))
+    runs = (kept.withColumn("__run", F.col("position") - rank).groupBy(key_col, "__run")
+            .agg(parts.alias("__parts"), (F.sum("score") / F.count(F.lit(1))).alias("score")))
+    return runs.select(key_col, F.get("__parts", F.lit(0))["position"].alias("position"), F.array_join("__parts.word", " ").alias("word"), "score")
+
+
+def resolve_scored_candidates(cands: DataFrame, catalog: Catalog | DataFrame, key_col: str = "job_key",
                               threshold: float = rules.CONFIDENCE_THRESHOLD, evidence: DataFrame | None = None,
-                              evidence_chars: int | None = None) -> DataFrame:
-    """Model output (key, position, word, score) -> catalog skills: keep
-    score >= threshold, clean the word, resolve it to the first catalog
+                              evidence_chars: int | None = None, unescape: bool = True) -> DataFrame:
+    """Model output (key, position, word or words, score) -> catalog skills:
+    keep score >= threshold, clean the candidate, resolve it to the first catalog
     entry, keep the first hit per (key, case-folded skill) by position.
 
     ``evidence`` (key, ``evidence_override``), such as the original of an Arabic
     text, replaces the matched word as evidence where it has a row.
     """
-    kept = cands.filter(F.col("score") >= threshold).withColumn("__cand", clean_candidate("word"))
-    kept = kept.filter(F.col("__cand") != "").withColumn("__hit", resolve_phrase("__cand", catalog))
-    hits = kept.filter(F.col("__hit").isNotNull()).select(
-        key_col, "position",
-        F.col("__hit.skill_name").alias("skill_name"), F.col("__hit.skill_category").alias("skill_category"),
-        F.round(F.col("score"), 3).alias("confidence"),
-        F.col("__hit.matched").alias("evidence_span"))
+    kept = cands.filter(F.col("score") >= threshold).withColumn("__cand", clean_candidate("word", unescape)).filter(F.col("__cand") != "")
+    keys = [key_col, "position", "score"]
+    hits = resolve_phrase(kept, keys, "__cand", catalog).where(F.col("skill_name").isNotNull()).select(
+        key_col, "position", "skill_name", "skill_category", F.round(F.col("score"), 3).alias("confidence"),
+        F.col("matched").alias("evidence_span"))
     if evidence is not None:
         hits = (hits.join(evidence.select(key_col, "evidence_override"), key_col, "left")
                 .withColumn("evidence_span", F.coalesce("evidence_override", "evidence_span")).drop("evidence_override"))
     hits = hits.withColumn("evidence_span", cut_evidence(F.col("evidence_span"), evidence_chars))
-    first = keep_latest(hits, [key_col, F.lower("skill_name")], [F.col("position").asc()])
+    first = keep_latest(hits, [key_col, fold_case("skill_name")], [F.col("position").asc(), F.col("confidence").desc(), F.col("skill_name").asc()])
     return first.drop("position")
 
 
 def merge_tag_sources(model_tags: DataFrame, phrase_tags: DataFrame, key_col: str = "job_key") -> DataFrame:
     """Per (key, case-folded skill) the model result wins over the phrase one."""
     both = model_tags.withColumn("__src", F.lit(0)).unionByName(phrase_tags.withColumn("__src", F.lit(1)))
-    return keep_latest(both, [key_col, F.lower("skill_name")], [F.col("__src").asc()]).drop("__src")
+    return keep_latest(both, [key_col, fold_case("skill_name")], [F.col("__src").asc(), F.col("skill_name").asc()]).drop("__src")
 
 
 def pending_work(final: DataFrame, tagged: DataFrame | None, log: DataFrame | None,
@@ -264,27 +203,51 @@ def tag_run_log(work: DataFrame, tags: DataFrame, processed_at: str, key_col: st
     )
 
 
-def tag_texts(texts: DataFrame, id_col: str, text_col: str, catalog: Catalog,
-              translated_col: str | None = None, evidence_chars: int | None = None) -> DataFrame:
+def translated(text: Column, translate: Translator) -> Column:
+    """``struct(text, error)`` of every non-null text; a row that fails carries its error and no text."""
+    @F.pandas_udf("text string, error string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        def one(t):
+            if t is None:
+                return None, None
+            try:
+                return translate(t), None
+            except Exception as e:  # noqa: BLE001 -- whatever the translator raises belongs to its row
+                return None, f"{type(e).__name__}: {e}"
+        return pd.DataFrame([one(t) for t in texts], columns=["text", "error"], dtype=object)
+
+    return run(text)
+
+
+def text_outcomes(texts: DataFrame, keys: Sequence[str], text_col: str, catalog: Catalog | DataFrame,
+                  translated_col: str | None = None, translate: Translator | None = None,
+                  evidence_chars: int | None = None) -> DataFrame:
     """Tag one row per text: normalise, detect Arabic (its evidence is the
-    original), match phrases on the model text (a translation
-    when given, else the text)."""
-    original = normalize_text(text_col)
-    prepared = texts.select(
-        id_col, original.alias("__orig"),
-        *([F.col(translated_col).alias("__tr")] if translated_col else []),
-    ).filter(F.col("__orig") != "")
+    original), match phrases on the model text: a translation when given
+    (``translated_col``, or ``translate`` for Arabic texts), else the text.
+
+    One row per ``keys`` with ``tags`` and ``error``; only Arabic texts go to the translator.
+    """
+    prepared = texts.select(*keys, normalize_text(text_col).alias("__orig"),
+                            *([F.col(translated_col).alias("__tr")] if translated_col else []))
     arabic = detect_arabic("__orig")
-    model_text = F.coalesce(F.col("__tr"), F.col("__orig")) if translated_col else F.col("__orig")
-    prepared = prepared.select(
-        id_col,
-        normalize_text(model_text).alias("__text"),
-        F.when(arabic, F.col("__orig")).alias("__ev"),
-    )
-    return tag_phrases(prepared, id_col, "__text", catalog, evidence_override="__ev", evidence_chars=evidence_chars)
+    if translate is not None:
+        prepared = prepared.withColumn("__out", translated(F.when(arabic, F.col("__orig")), translate))
+        model_text, error = F.when(arabic, F.col("__out.text")).otherwise(F.col("__orig")), F.col("__out.error")
+    else:
+        model_text = F.coalesce(F.col("__tr"), F.col("__orig")) if translated_col else F.col("__orig")
+        error = F.lit(None).cast("string")
+    prepared = prepared.select(*keys, normalize_text(model_text).alias("__text"), F.when(arabic, F.col("__orig")).alias("__ev"), error.alias("__error"))
+    return tag_outcomes(prepared, keys, "__text", catalog, evidence_override="__ev", error="__error", evidence_chars=evidence_chars)
+
+
+def tag_texts(texts: DataFrame, id_col: str, text_col: str, catalog: Catalog | DataFrame,
+              translated_col: str | None = None, evidence_chars: int | None = None) -> DataFrame:
+    """The tags of :func:`text_outcomes`, one row each."""
+    return outcome_tags(text_outcomes(texts, [id_col], text_col, catalog, translated_col, evidence_chars=evidence_chars), [id_col])
 
 
-def tag_documents(work: DataFrame, catalog: Catalog, key_col: str = "job_key", text_col: str = "description",
+def tag_documents(work: DataFrame, catalog: Catalog | DataFrame, key_col: str = "job_key", text_col: str = "description",
                   translated_col: str | None = None) -> DataFrame:
     """Tag a work queue of (key, text[, translation]) rows.
 
@@ -302,7 +265,7 @@ def tag_documents(work: DataFrame, catalog: Catalog, key_col: str = "job_key", t
     return ids.join(tags, "__tid", "inner").drop("__tid")
 
 
-def tag_postings(final: DataFrame, catalog: Catalog, tagged: DataFrame | None = None,
+def tag_postings(final: DataFrame, catalog: Catalog | DataFrame, tagged: DataFrame | None = None,
                  log: DataFrame | None = None, key_col: str = "job_key", text_col: str = "description",
                  translated_col: str | None = None) -> DataFrame:
     """The tagging run over the postings table: the work queue of
@@ -324,23 +287,25 @@ def tag_postings(final: DataFrame, catalog: Catalog, tagged: DataFrame | None =
     return ids.join(tags, "__tid", "inner").drop("__tid")
 
 
-def tag_by_text_id(keyed: DataFrame, texts: DataFrame, catalog: Catalog, key_col: str = "job_key",
-                   id_col: str = "description_id", text_col: str = "description",
-                   tagged: DataFrame | None = None, log: DataFrame | None = None) -> DataFrame:
-    """Tagging when rows already carry a content id of their text and the
-    texts sit in their own (id, text) table: the queue stays narrow and each
-    distinct non-blank text is tagged once."""
+def outcomes_by_text_id(keyed: DataFrame, texts: DataFrame, catalog: Catalog | DataFrame, key_col: str = "job_key",
+                        id_col: str = "description_id", text_col: str = "description",
+                        translate: Translator | None = None) -> DataFrame:
+    """One row per key with a non-blank text: ``tags`` and ``error``.
+
+    Rows carry a content id of their text and the texts sit in their own (id,
+    text) table: the queue stays narrow and each text in use is tagged once.
+    """
     ids = keyed.select(key_col, id_col).filter(F.col(id_col).isNotNull())
     ids = keep_latest(ids, [key_col], [F.col(id_col).asc()])
-    if tagged is not None:
-        ids = ids.join(tagged.select(key_col), key_col, "left_anti")
-    if log is not None:
-        done = log.filter(F.col("status").isin(rules.STATUS_FOUND, rules.STATUS_NONE)).select(key_col)
-        ids = ids.join(done, key_col, "left_anti")
     live = (texts.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
             .join(ids.select(id_col), id_col, "left_semi"))
-    tags = tag_texts(live, id_col, text_col, catalog)
-    return ids.join(tags, id_col, "inner").drop(id_col)
+    return ids.join(text_outcomes(live, [id_col], text_col, catalog, translate=translate), id_col, "inner").drop(id_col)
+
+
+def tag_by_text_id(keyed: DataFrame, texts: DataFrame, catalog: Catalog | DataFrame, key_col: str = "job_key",
+                   id_col: str = "description_id", text_col: str = "description") -> DataFrame:
+    """The tags of :func:`outcomes_by_text_id`, one row each."""
+    return outcome_tags(outcomes_by_text_id(keyed, texts, catalog, key_col, id_col, text_col), [key_col])
 
 
 def stage_skills(extracted: DataFrame) -> DataFrame:

@@ -4,6 +4,11 @@ Each stage is a plain ``DataFrame -> DataFrame`` function, so any prefix of
 the chain can be run, inspected or replaced.  The whole chain is one lazy
 plan; Catalyst collapses the projections.  Two shuffles are inherent:
 the de-duplication on (id, url) and the preferred-row choice.
+
+Raw tables may carry two narrow ids that ingestion writes: ``row_id``, which
+orders rows that nothing else tells apart, and ``description_id``, the key of
+the text.  Then no stage reads or hashes a text; it is joined
+back where an output shows it.  Without them the ids are derived.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from hirelake.functions.text import initcap_delims, try_boolean
 from hirelake.operators import normalize as N
 from hirelake.operators.dedupe import keep_latest, preferred_row
 from hirelake.operators.joins import join_left_lookup
-from hirelake.sources.fixture import derived_postings
+from hirelake.sources.fixture import derived_postings, posting_texts
 from hirelake.sources.seeds import city_region_seed
 
 
@@ -27,11 +32,20 @@ def description_id(c: str = "description"):
     return F.sha2(F.col(c), 256)
 
 
+def with_ids(raw: DataFrame) -> DataFrame:
+    """``raw`` with both ids; those that are missing are a hash of the narrow
+    columns and the digest of the text."""
+    narrow = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in rules.RAW_COLUMNS if c != "description"]
+    ids = {"row_id": F.xxhash64(F.concat(*narrow)), "description_id": description_id()}
+    return raw.withColumns({c: v for c, v in ids.items() if c not in raw.columns})
+
+
 def description_texts(raw: DataFrame, text_col: str = "description") -> DataFrame:
-    """(description_id, description), one row per distinct text.  Partial
+    """(description_id, description), one row per text id.  Partial
     de-duplication runs map-side, so a text repeated across many postings
     ships once per task."""
-    return (raw.select(description_id(text_col).alias("description_id"), F.col(text_col).alias("description"))
+    tid = F.col("description_id") if "description_id" in raw.columns else description_id(text_col)
+    return (raw.select(tid.alias("description_id"), F.col(text_col).alias("description"))
             .filter(F.col("description_id").isNotNull()).dropDuplicates(["description_id"]))
 
 
@@ -39,16 +53,19 @@ def attach_description(df: DataFrame, texts: DataFrame) -> DataFrame:
     """Late materialisation of the wide text column: the chain shuffles only
     the 64-character id; the text is joined back where it is needed (AQE
     broadcasts the text side when it is small and splits skewed ids)."""
-    out = df.join(texts, "description_id", "left")
     cols = [c if c != "description_id" else "description" for c in df.columns]
-    return out.select(*cols)
+    # rows without a text get a key of their own each, so they do not gather in one task
+    none = F.concat(F.lit("none-"), F.xxhash64(*df.columns).cast("string"))
+    keyed = df.withColumn("__text", F.coalesce("description_id", none))
+    return keyed.join(texts.withColumnRenamed("description_id", "__text"), "__text", "left").select(*cols)
 
 
 def stage_postings(raw: DataFrame, late_text: bool = False) -> DataFrame:
     """Rename, literal clean-ups, forgiving casts; drop null or blank ids.
-    With ``late_text`` the description is carried as ``description_id``."""
+    With ``late_text`` the two ids are carried instead of the description."""
     c = F.col
-    text = description_id().alias("description_id") if late_text else c("description")
+    raw = with_ids(raw) if late_text else raw
+    text = [c("row_id"), c("description_id")] if late_text else [c("description")]
     return raw.filter(c("source_job_id").isNotNull() & (F.trim(c("source_job_id")) != "")).select(
         c("source_job_id"),
         F.replace(c("job_title"), F.lit(rules.TITLE_SUFFIX_TO_DROP), F.lit("")).alias("job_title"),
@@ -61,19 +78,17 @@ def stage_postings(raw: DataFrame, late_text: bool = False) -> DataFrame:
         try_boolean(c("is_salary_disclosed")).alias("is_salary_disclosed"),
         try_timestamp_ntz(c("collected_at")).alias("collected_at"),
         F.replace(c("job_source"), F.lit(rules.SOURCE_SUFFIX_TO_DROP), F.lit("")).alias("job_source"),
-        c("job_posted_date"), c("job_status"), text,
+        c("job_posted_date"), c("job_status"), *text,
     )
 
 
 def city_deduped(stg: DataFrame) -> DataFrame:
     """City from the URL slug where the site has one; then one row per
     (id, url), newest first, with a null collection time ranked first; ties go
-    by all other columns, so a repeated task picks the same row."""
+    by the row's own id, so a repeated task picks the same row."""
     url_city, city_final = N.city_from_url("job_url", "city")
     resolved = stg.withColumns({"url_city_raw": url_city, "city_final": city_final})
-    rest = [c for c in stg.columns if c not in ("source_job_id", "job_url", "collected_at")]
-    return keep_latest(resolved, ["source_job_id", "job_url"], [
-        F.col("collected_at").desc_nulls_first(), *[F.col(c).asc_nulls_first() for c in rest]])
+    return keep_latest(resolved, ["source_job_id", "job_url"], [F.col("collected_at").desc_nulls_first(), F.col("row_id").asc()])
 
 
 def with_location(df: DataFrame, seed: DataFrame) -> DataFrame:
@@ -188,10 +203,11 @@ class Postings:
     and is joined back by :meth:`final`, :meth:`preferred` and
     :meth:`staged` (``*_narrow`` give the id-carrying frames)."""
 
-    def __init__(self, spark: SparkSession, raw: DataFrame, seed: DataFrame):
+    def __init__(self, spark: SparkSession, raw: DataFrame, seed: DataFrame, texts: DataFrame | None = None):
         self.spark = spark
         self.raw = raw
         self.seed = seed
+        self._texts = texts  # (description_id, description), where the raw rows carry description_id
         self._stages: dict[str, DataFrame] = {}
 
     def _memo(self, name: str, build) -> DataFrame:
@@ -204,10 +220,10 @@ class Postings:
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> Postings:
         """The chain over the derived postings with the small demo mapping."""
-        return cls(spark, derived_postings(spark, sf_dir), city_region_seed(spark))
+        return cls(spark, derived_postings(spark, sf_dir), city_region_seed(spark), posting_texts(spark, sf_dir))
 
     def texts(self) -> DataFrame:
-        return self._memo("texts", lambda: description_texts(self.raw))
+        return self._memo("texts", lambda: description_texts(self.raw) if self._texts is None else self._texts)
 
     def staged_narrow(self) -> DataFrame:
         return self._memo("staged_narrow", lambda: stage_postings(self.raw, late_text=True))

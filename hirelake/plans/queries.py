@@ -136,13 +136,13 @@ def q_filter_in_set(spark, sf_dir):
 
 @register("placeholder_for_missing")
 def q_placeholder_for_missing(spark, sf_dir):
-    return P(spark, sf_dir).cleaned().select(
+    return P(spark, sf_dir).cleaned_narrow().select(
         *ID, "company_industry", "company_industry_clean", "has_company_industry_data")
 
 
 @register("void_untrusted_column")
 def q_void_untrusted_column(spark, sf_dir):
-    return P(spark, sf_dir).cleaned().select(
+    return P(spark, sf_dir).cleaned_narrow().select(
         *ID, "normalized_job_source", "company_url", "company_url_clean", "has_valid_company_url")
 
 
@@ -150,12 +150,12 @@ def q_void_untrusted_column(spark, sf_dir):
 
 @register("keep_latest")
 def q_keep_latest(spark, sf_dir):
-    return P(spark, sf_dir).deduped().drop("description_id")
+    return P(spark, sf_dir).deduped().drop("row_id", "description_id")
 
 
 @register("preferred_row")
 def q_preferred_row(spark, sf_dir):
-    return P(spark, sf_dir).preferred().select(
+    return P(spark, sf_dir).preferred_narrow().select(
         "job_key", "job_title", "company_name", "normalized_city_name", "job_source_channel",
         "company_url_clean", "collected_at", "priority_rank", "channel_duplicate_count")
 
@@ -170,8 +170,9 @@ def q_surrogate_key(spark, sf_dir):
 # -- 2.10 star schema ------------------------------------------------------------------
 
 def S(spark: SparkSession, sf_dir: str):
-    from hirelake.plans.star import DEMO_CATALOG, Star
-    return Star(P(spark, sf_dir), DEMO_CATALOG)
+    from hirelake.plans.star import Star
+    from hirelake.sources.catalog import catalog_of
+    return Star(P(spark, sf_dir), catalog_of(spark, sf_dir))
 
 
 @register("build_dim_date")
@@ -251,15 +252,17 @@ def q_pipe_key(spark, sf_dir):
 
 @register("tag_phrases")
 def q_tag_phrases(spark, sf_dir):
-    from hirelake.plans.star import DEMO_CATALOG, extracted_skills
-    return extracted_skills(P(spark, sf_dir), DEMO_CATALOG)
+    from hirelake.plans.star import extracted_skills
+    from hirelake.sources.catalog import catalog_of
+    return extracted_skills(P(spark, sf_dir), catalog_of(spark, sf_dir))
 
 
 @register("stage_skills")
 def q_stage_skills(spark, sf_dir):
-    from hirelake.plans.star import DEMO_CATALOG, extracted_skills
+    from hirelake.plans.star import extracted_skills
     from hirelake.operators.tagging import stage_skills
-    return stage_skills(extracted_skills(P(spark, sf_dir), DEMO_CATALOG))
+    from hirelake.sources.catalog import catalog_of
+    return stage_skills(extracted_skills(P(spark, sf_dir), catalog_of(spark, sf_dir)))
 
 
 @register("high_confidence")
@@ -275,11 +278,31 @@ def q_pending_work(spark, sf_dir):
 
 @register("tag_run_log")
 def q_tag_run_log(spark, sf_dir):
-    from hirelake.operators.tagging import pending_work, tag_run_log
-    from hirelake.plans.star import DEMO_CATALOG, RUN_TS
-    from hirelake.operators.tagging import tag_documents
-    work = pending_work(P(spark, sf_dir).final(), None, None)
-    return tag_run_log(work, tag_documents(work, DEMO_CATALOG), RUN_TS)
+    """Two runs over Arabic and other texts; what the first one's translator fails at is taken up by the second."""
+    from hirelake.operators.tagging import outcome_log, pending_work, text_outcomes
+    from hirelake.sources.bronze import append_log, scratch_dir
+    from hirelake.sources.catalog import catalog_of
+    path, catalog = scratch_dir(spark, "run-log"), catalog_of(spark, sf_dir)
+    arabic = F.when(F.col("job_key").startswith("a"), F.lit(GLOSSARY_TEXTS[0])).when(F.col("job_key").startswith("b"), F.lit(GLOSSARY_TEXTS[1]))
+    final = P(spark, sf_dir).final().select("job_key", F.coalesce(arabic, "description").alias("description"))
+    log = None
+    for ts, words in ((T1, GLOSSARY), (T2, GLOSSARY | MORE_WORDS)):
+        work = pending_work(final, None, log)
+        append_log(outcome_log(text_outcomes(work, ["job_key"], "description", catalog, translate=_glossary(words)), ts), path)
+        log = spark.read.parquet(path)
+    return log
+
+
+#: Arabic texts and the words of a small glossary, which stands in for a translation model.
+GLOSSARY_TEXTS = ["\u0631\u062e\u0635\u0629 MIT license", "\u0645\u0647\u0646\u062f\u0633 Apache"]
+GLOSSARY = {"\u0631\u062e\u0635\u0629": "licence", "MIT": "MIT", "license": "license", "Apache": "Apache"}
+MORE_WORDS = {"\u0645\u0647\u0646\u062f\u0633": "engineer"}
+
+
+def _glossary(words):
+    def translate(text):
+        return " ".join(words[w] for w in text.split())
+    return translate
 
 
 @register("normalize_text")
@@ -327,7 +350,7 @@ QUERIES["postings_by_workplace"] = _report("postings_by_workplace", "fact_rows")
 QUERIES["experience_requirements"] = _report("experience_requirements", "fact_rows", "dim_job")
 QUERIES["postings_by_source"] = _report("postings_by_source", "fact_rows", "dim_source")
 QUERIES["postings_by_channel"] = _report("postings_by_channel", "fact_rows", "dim_source")
-QUERIES["top_skills"] = _report("top_skills", "bridge", "dim_skills")
+QUERIES["top_skills"] = _report("top_skills", "bridge_rows", "dim_skills")
 QUERIES["posting_trend"] = _report("posting_trend", "fact_rows", "dim_date")
 
 
@@ -441,6 +464,42 @@ def q_check_fact_foreign_keys(spark, sf_dir):
     return check_fact_foreign_keys(s.fact_narrow(), faulty)
 
 
+@register("check_suite")
+def q_check_suite(spark, sf_dir):
+    """Failures of many checks in one scan for each table, over inputs with planted faults."""
+    from hirelake.functions import rules
+    from hirelake.operators import checks as C
+    p = P(spark, sf_dir)
+    final = p.final_narrow().withColumns({
+        "has_category_data": F.when(_planted(), ~F.col("has_category_data")).otherwise(F.col("has_category_data")),
+        "experience_max_years": F.when(_planted(), F.col("experience_max_years") + 45).otherwise(F.col("experience_max_years")),
+        "seniority_level": F.when(F.col("job_key").startswith("b"), F.lit("Guru")).otherwise(F.col("seniority_level"))})
+    suites = {
+        "final": C.suite_counts(final.unionByName(final.filter(_planted())), {
+            "city_not_null": C.null_rule("normalized_city_name"), "seniority_accepted": C.values_rule("seniority_level", rules.SENIORITY_LABELS),
+            "category_flag": C.flag_rule("has_category_data", "normalized_job_category"), "year_ranges": C.years_rule(),
+            "posted_dates": C.posted_rule()}, ["job_key"], "job_key_unique"),
+        "deduped": C.suite_counts(p.deduped(), {"id_not_null": C.null_rule("source_job_id")}, ID, "no_duplicates"),
+        "lineitem": C.suite_counts(_table(spark, sf_dir, "lineitem"), {"discount_range": C.range_rule("l_discount", 0.0, 0.08)}),
+    }
+    out = None
+    for name, df in suites.items():
+        df = df.select(F.lit(name).alias("table_name"), "check_name", "failures")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("failing_rows")
+def q_failing_rows(spark, sf_dir):
+    from hirelake.functions import rules
+    from hirelake.operators import checks as C
+    final = P(spark, sf_dir).final_narrow().withColumn("experience_max_years", F.when(
+        _planted(), F.col("experience_max_years") + 45).otherwise(F.col("experience_max_years")))
+    return C.failing_rows(final, {
+        "city_not_null": C.null_rule("normalized_city_name"), "year_ranges": C.years_rule(),
+        "status_accepted": C.values_rule("normalized_job_status", [label for label, _ in rules.STATUS_ALIASES])}, ["job_key"])
+
+
 # -- 2.3 static dataset profiling ------------------------------------------------------------
 
 def _static(spark, sf_dir):
@@ -659,48 +718,48 @@ def q_status_history(spark, sf_dir):
 
 # -- 2.11 candidates and phrase resolution over documents ------------------------------------------
 
-def _doc_tokens(spark, sf_dir):
-    d = _table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.posexplode(F.split("text", " ")).alias("position", "word"))
+def _doc_tokens(spark, sf_dir, more=None):
+    from hirelake.operators.tagging import html_unescape
+    d = _table(spark, sf_dir, "documents").select("doc_id", html_unescape("text").alias("text"))
+    text = F.col("text") if more is None else F.concat("text", more)
+    return d.select("doc_id", F.posexplode(F.split(text, " ")).alias("position", "word"))
 
 
 @register("resolve_phrase")
 def q_resolve_phrase(spark, sf_dir):
     from hirelake.operators.tagging import resolve_phrase
-    from hirelake.plans.star import DEMO_CATALOG
-    d = _table(spark, sf_dir, "documents")
-    r = d.select("doc_id", resolve_phrase("text", DEMO_CATALOG).alias("r"))
-    return r.select("doc_id", F.col("r.skill_name").alias("skill_name"),
-                    F.col("r.skill_category").alias("skill_category"), F.col("r.matched").alias("matched"))
+    from hirelake.sources.catalog import catalog_of
+    return resolve_phrase(_table(spark, sf_dir, "documents"), ["doc_id"], "text", catalog_of(spark, sf_dir))
 
 
 @register("clean_candidate")
 def q_clean_candidate(spark, sf_dir):
     from hirelake.operators.tagging import clean_candidate
-    return _doc_tokens(spark, sf_dir).select("doc_id", "position", clean_candidate("word").alias("candidate"))
+    return _doc_tokens(spark, sf_dir).select("doc_id", "position", clean_candidate("word", unescape=False).alias("candidate"))
 
 
 def _scored(spark, sf_dir):
-    t = _doc_tokens(spark, sf_dir)
-    n = F.length("word").cast("double")
-    return t.select(F.col("doc_id").alias("job_key"), "position", "word", (n / (n + 1.0)).alias("score"))
+    """Words as a model scores them (by their length here); some documents end with symbols, a skill of two words and a sharp s."""
+    planted = F.when(F.col("doc_id") % 10 == 0, F.lit(" with C++ from Straße with STRASSE have problem solving")).otherwise(F.lit(""))
+    t = _doc_tokens(spark, sf_dir, planted)
+    return t.select(F.col("doc_id").alias("job_key"), "position", "word", ((F.length("word") % 4 + 13) / 16.0).cast("double").alias("score"))
 
 
 @register("resolve_scored_candidates")
 def q_resolve_scored_candidates(spark, sf_dir):
-    from hirelake.operators.tagging import resolve_scored_candidates
-    from hirelake.plans.star import DEMO_CATALOG
-    return resolve_scored_candidates(_scored(spark, sf_dir), DEMO_CATALOG)
+    from hirelake.operators.tagging import joined_candidates, resolve_scored_candidates
+    from hirelake.sources.catalog import catalog_of
+    return resolve_scored_candidates(joined_candidates(_scored(spark, sf_dir)), catalog_of(spark, sf_dir), unescape=False)
 
 
 @register("merge_tag_sources")
 def q_merge_tag_sources(spark, sf_dir):
-    from hirelake.operators.tagging import merge_tag_sources, resolve_scored_candidates, tag_texts
-    from hirelake.plans.star import DEMO_CATALOG
-    model = resolve_scored_candidates(_scored(spark, sf_dir), DEMO_CATALOG)
+    from hirelake.operators.tagging import joined_candidates, merge_tag_sources, resolve_scored_candidates, tag_texts
+    from hirelake.sources.catalog import catalog_of
+    catalog = catalog_of(spark, sf_dir)
+    model = resolve_scored_candidates(joined_candidates(_scored(spark, sf_dir)), catalog, unescape=False)
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_key"), "text")
-    phrases = tag_texts(docs, "job_key", "text", DEMO_CATALOG)
-    return merge_tag_sources(model, phrases)
+    return merge_tag_sources(model, tag_texts(docs, "job_key", "text", catalog))
 
 
 # -- 2.2 page extraction ----------------------------------------------------------------------------
@@ -827,6 +886,14 @@ def q_reassemble_embedded_json(spark, sf_dir):
                     F.get_json_object("obj", "$.experienceYears").alias("experience_years"))
 
 
+@register("embedded_to_posting")
+def q_embedded_to_posting(spark, sf_dir):
+    from hirelake.operators.embedded import embedded_to_posting
+    uuid = F.concat_ws("-", *[F.substring(F.md5(F.col("page_id").cast("string")), a, b)
+                              for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    return embedded_to_posting(_job_pages(spark, sf_dir), uuid, PAGE_AS_OF, ["page_id"])
+
+
 @register("html_to_text")
 def q_html_to_text(spark, sf_dir):
     from hirelake.operators.pages import html_to_text
@@ -936,32 +1003,37 @@ def _landed(spark, sf_dir, label):
 @register("read_bronze")
 def q_read_bronze(spark, sf_dir):
     from hirelake.sources.bronze import read_bronze
-    return read_bronze(spark, _landed(spark, sf_dir, "bronze")).drop("description")
+    return _text_digest(read_bronze(spark, _landed(spark, sf_dir, "bronze")))
 
 
 @register("ingest_new_files")
 def q_ingest_new_files(spark, sf_dir):
     from hirelake.sources.bronze import scratch_dir, write_csv
-    from hirelake.streaming.ingest import ingest_new_files
+    from hirelake.streaming.ingest import ingest_new_files, read_quarantine, read_raw
     from hirelake.sources.bronze import conform_columns
-    land, table, bad, ckpt = (scratch_dir(spark, x) for x in ("landing", "raw-table", "bad-rows", "ingest-ckpt"))
+    land, table, ckpt = (scratch_dir(spark, x) for x in ("landing", "raw-table", "ingest-ckpt"))
     raw = conform_columns(P(spark, sf_dir).raw).withColumn("platform", _platform_of_url())
     first = raw.filter(F.col("platform").isin("sabbar", "tanqeeb"))
     second = raw.filter(~F.col("platform").isin("sabbar", "tanqeeb") | F.col("platform").isNull())
     write_csv(first, land, "append", ["platform"])
-    ingest_new_files(spark, land, table, ckpt, bad)
+    ingest_new_files(spark, land, table, ckpt)
     write_csv(second, land, "append", ["platform"])
     # rows with too few and too many fields
     nation = _table(spark, sf_dir, "nation")
     for n in (3, 25):
         write_csv(nation.select(*[F.col("n_name").alias(f"c{i}") for i in range(n)]), f"{land}/platform=unknown", "append")
-    ingest_new_files(spark, land, table, ckpt, bad)
-    ingest_new_files(spark, land, table, ckpt, bad)  # nothing new: appends nothing
-    rows = spark.read.parquet(table).drop("description")
-    broken = spark.read.parquet(bad).select(*[F.lit(None).cast(t).alias(c) if c != "platform" else F.lit("(bad row)").alias(c) for c, t in rows.dtypes])
+    ingest_new_files(spark, land, table, ckpt)
+    ingest_new_files(spark, land, table, ckpt)  # nothing new: appends nothing
+    rows = _text_digest(read_raw(spark, table).drop("row_id", "description_id", "collected_ts"))
+    broken = read_quarantine(spark, table).select(*[F.lit(None).cast(t).alias(c) if c != "platform" else F.lit("(bad row)").alias(c) for c, t in rows.dtypes])
     return rows.unionByName(broken)
 
 
+def _text_digest(df):
+    """The description as a digest: line breaks and quotes are compared, the text does not leave Spark."""
+    return df.withColumn("description_sha256", F.sha2("description", 256)).drop("description")
+
+
 @register("quarantine_bad_rows")
 def q_quarantine_bad_rows(spark, sf_dir):
     from hirelake.sources.bronze import quarantine_bad_rows, write_csv
@@ -983,7 +1055,7 @@ def q_route_by_platform(spark, sf_dir):
     # a folder name never counts, so the landing folder carries a misleading one
     for k in ("sabbar", "tanqeeb", "gulftalent", "jadarat", "other"):
         land_file(raw.filter(keyword == k), f"{land}/tanqeeb_drop", f"2026-12-02_{k.upper() if k == 'sabbar' else k}_jobs")
-    return route_by_platform(spark, f"{land}/tanqeeb_drop", bronze).drop("description")
+    return _text_digest(route_by_platform(spark, f"{land}/tanqeeb_drop", bronze))
 
 
 def _file_keyword():
@@ -1017,7 +1089,7 @@ def q_conform_columns(spark, sf_dir):
         "source_job_id", "job_id").withColumn("junk", F.lit("x"))
     from hirelake.sources.bronze import conform_columns
     c = conform_columns(c, renames={"job_id": "source_job_id"})
-    return union_conformed([a, b, c]).drop("description")
+    return _text_digest(union_conformed([a, b, c]))
 
 
 @register("write_csv_snapshot")
@@ -1027,32 +1099,50 @@ def q_write_csv_snapshot(spark, sf_dir):
     path = scratch_dir(spark, "snapshot-csv")
     raw = conform_columns(P(spark, sf_dir).raw)
     write_csv_snapshot(raw.filter(F.col("url").contains("sabbar.com")), path)
-    return write_csv_snapshot(raw, path).drop("description")
+    return _text_digest(write_csv_snapshot(raw, path))
 
 
 @register("materialize")
 def q_materialize(spark, sf_dir):
+    """All four kinds; a version of the table that was only written in part lies beside it."""
     from hirelake.sources.bronze import materialize, scratch_dir
-    path = scratch_dir(spark, "incremental")
-    f = P(spark, sf_dir).final_narrow().select("job_key", "normalized_job_status", "collected_at")
+    cols = ["job_key", "normalized_job_status", "collected_at"]
+    f = P(spark, sf_dir).final_narrow().select(*cols).persist()
     first = f.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
-    materialize(first, "incremental", path=path, key="job_key", watermark="collected_at")
-    return materialize(f, "incremental", path=path, key="job_key", watermark="collected_at")
+    view = materialize(first, "view", name="first_postings")
+    path = scratch_dir(spark, "table")
+    materialize(f, "table", path=path)
+    table = materialize(first, "table", path=path, keep=1)
+    f.limit(5).write.parquet(f"{path}/version=3")  # no pointer: never read
+    path = scratch_dir(spark, "incremental")
+    for batch in (first, f):
+        merged = materialize(batch, "incremental", path=path, key="job_key", watermark="collected_at")
+    path = scratch_dir(spark, "snapshot")
+    for ts, source in ((T1, f), (T2, _second_batch(f))):
+        snapshot = materialize(source, "snapshot", path=path, key="job_key", check_cols=["normalized_job_status"], run_ts=ts, keep=1)
+    parts = {"view": view, "table": table, "incremental": merged, "snapshot": snapshot}
+    out = None
+    for kind, df in parts.items():
+        valid_to = F.col("dbt_valid_to") if kind == "snapshot" else F.lit(None).cast("timestamp_ntz")
+        df = df.select(F.lit(kind).alias("kind"), *cols, valid_to.alias("valid_to"))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 @register("append_log")
 def q_append_log(spark, sf_dir):
     from hirelake.operators.tagging import tag_postings, tag_run_log
-    from hirelake.plans.star import DEMO_CATALOG
     from hirelake.sources.bronze import append_log, scratch_dir
+    from hirelake.sources.catalog import catalog_of
     path = scratch_dir(spark, "tag-log")
+    catalog = catalog_of(spark, sf_dir)
     final = P(spark, sf_dir).final()
     early = final.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
-    run1 = tag_postings(early, DEMO_CATALOG)
+    run1 = tag_postings(early, catalog)
     work1 = early.filter(F.trim("description") != "").select("job_key").distinct()
     append_log(tag_run_log(work1, run1, T1), path)
     logged = spark.read.parquet(path)
-    run2 = tag_postings(final, DEMO_CATALOG, log=logged)
+    run2 = tag_postings(final, catalog, log=logged)
     work2 = final.filter(F.trim("description") != "").select("job_key").distinct().join(
         logged.select("job_key"), "job_key", "left_anti")
     append_log(tag_run_log(work2, run2, T2), path)

@@ -20,23 +20,7 @@ from hirelake.operators.history import scd2_check, scd2_current
 from hirelake.operators.sequence import dense_sequence
 from hirelake.operators.tagging import high_confidence, stage_skills, tag_by_text_id, tag_postings
 from hirelake.plans.postings import attach_description
-from hirelake.sources.bronze import scratch_dir
-
-# A phrase catalog of our own for the test tables: the driver's documents are
-# invented prose, so the phrases are ones that occur there (licence lines,
-# short tokens).  Real runs pass their own catalog.
-DEMO_CATALOG = [
-    ("Open Source Licensing", "technical_skill", ["apache license", "mit license", "gnu general public license"]),
-    ("Apache", "technical_skill", ["apache"]),
-    ("MIT", "technical_skill", ["mit"]),
-    ("AI", "technical_skill", ["ai", "artificial intelligence"]),
-    ("Versioning", "technical_skill", ["version 2.0", "semantic versioning"]),
-    ("C++", "technical_skill", ["c++"]),
-    ("Problem Solving", "soft_skill", ["problem-solving", "problem solving"]),
-    ("German", "language_skill", ["und", "der"]),
-    ("French", "language_skill", ["les", "des"]),
-    ("Spanish", "language_skill", ["que", "del"]),
-]
+from hirelake.session import scratch_dir
 
 RUN_TS = "2026-12-02 00:00:00"
 
@@ -157,12 +141,12 @@ def build_fact_posting(preferred: DataFrame) -> DataFrame:
     return numbered.drop("source_job_id")
 
 
-def build_bridge_job_skills(skills: DataFrame, fact: DataFrame) -> DataFrame:
+def build_bridge_job_skills(skills: DataFrame, fact: DataFrame, posting_key: str = "job_posting_key") -> DataFrame:
     """Posting and skill keys of confident tags; the skill key is a function of
     the skill, so the skill dimension is not read."""
     s = skills.filter(F.col("is_high_confidence") & F.col("skill_name").isNotNull() & F.col("skill_category").isNotNull())
-    return s.join(fact.select("job_posting_key", "job_key"), "job_key").select(
-        "job_posting_key", pipe_key("skill_name", "skill_category").alias("skill_key"),
+    return s.join(fact.select(F.col("job_key").alias("__fact_job"), F.col(posting_key).alias("__posting")), F.col("job_key") == F.col("__fact_job")).select(
+        F.col("__posting").alias(posting_key), pipe_key("skill_name", "skill_category").alias("skill_key"),
         F.lit("nlp").alias("extraction_method"), "confidence", "evidence_span")
 
 
@@ -190,6 +174,11 @@ class Star:
             self._final = self._final.persist(StorageLevel.MEMORY_AND_DISK)
             self._preferred = self._preferred.persist(StorageLevel.MEMORY_AND_DISK)
 
+    def release(self) -> None:
+        """Give back what is kept; frames handed out before still work, from their lineage."""
+        self._final.unpersist()
+        self._preferred.unpersist()
+
     def final(self):
         return self._final
 
@@ -244,3 +233,7 @@ class Star:
 
     def bridge(self):
         return build_bridge_job_skills(self.skills(), self.fact_narrow())
+
+    def bridge_rows(self):
+        """The bridge's rows by job key, for readers that do not need the posting's number."""
+        return build_bridge_job_skills(self.skills(), self.fact_rows(), "job_key")

@@ -8,7 +8,6 @@ platform comes from the folder name (partition discovery).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake.functions import rules
-from hirelake.session import ensure_checkpoint_dir
+from hirelake.session import scratch_dir
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in rules.RAW_COLUMNS])
 CORRUPT_COL = "_corrupt_record"
@@ -130,27 +129,24 @@ def append_log(df: DataFrame, path: str, ts_col: str = "processed_at", run_ts: s
 
 
 def materialize(df: DataFrame, kind: str, name: str | None = None, path: str | None = None,
-                key: str | None = None, watermark: str | None = None) -> DataFrame:
+                key: str | None = None, watermark: str | None = None, check_cols: Sequence[str] = (),
+                run_ts: str | None = None, keep: int | None = None) -> DataFrame:
     """One model, four materialisations: ``view`` (a temp view, nothing
-    stored), ``table`` (a new version of a Parquet table), ``incremental``
-    (merge by key, rows newer than the stored maximum only) -- each returns
+    stored), ``table`` (a new version of a Parquet table, of which ``keep`` stay),
+    ``incremental`` (merge by key into buckets, rows newer than the stored maximum
+    only), ``snapshot`` (slowly changing rows as of ``run_ts``) -- each returns
     the stored result read back."""
-    from hirelake.operators.history import merge_into_path, read_current, write_version
+    from hirelake.operators.history import merge_into_buckets, read_buckets, read_current, scd2_into_path, write_version
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if kind == "table":
-        write_version(df, path)
+        write_version(df, path, keep=keep)
         return read_current(spark, path)
     if kind == "incremental":
-        merge_into_path(spark, path, df, key, watermark)
-        return read_current(spark, path)
+        merge_into_buckets(spark, path, df, key, watermark)
+        return read_buckets(spark, path)
+    if kind == "snapshot":
+        return scd2_into_path(spark, path, df, key, check_cols, run_ts, keep=keep)
     raise ValueError(f"unknown materialisation {kind!r}")
-
-
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's checkpoint folder (shared storage
-    on a cluster; a local scratch folder only when none is configured)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/hirelake-work/{label}-{uuid.uuid4().hex}"

@@ -5,6 +5,9 @@ postings table from ``orders`` and ``documents`` (one posting per order).  It
 runs unchanged on Spark and DuckDB; the DuckDB oracle starts from the same
 text.  Placeholders ``{orders}`` and ``{documents}`` name the inputs.
 
+Every row carries two narrow ids, as stored raw tables do: ``row_id`` (here the
+order) and ``description_id``, the key of its text in :func:`posting_texts`.
+
 Texts are dealt round over all documents.  A quarter of the jobs share few
 companies, so that several channels post the same job; the others have
 companies that grow in number with the orders.
@@ -13,6 +16,7 @@ companies that grow in number with the orders.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelake.sources.tables import read_table
 
@@ -38,7 +42,8 @@ SELECT
  CASE WHEN g % 23 = 0 THEN NULL ELSE split_part('yesterday|3 days ago|2 hours ago|45 minutes ago|1 week ago|monday|Sunday|03 Feb 2026|2026-01-15|today|last week|2 months ago|n/a', '|', CAST(g % 13 AS INT) + 1) END AS job_posted_date,
  split_part('active|CLOSED|Expired|paused', '|', CAST(k % 4 AS INT) + 1) AS job_status,
  CASE WHEN k % 211 = 0 THEN NULL ELSE substr(CAST(o_orderdate AS STRING), 1, 10) || ' ' || lpad(CAST(k % 24 AS STRING), 2, '0') || ':' || lpad(CAST(k % 60 AS STRING), 2, '0') || ':00' END AS collected_at,
- d.text AS description
+ d.text AS description,
+ k AS row_id, CASE WHEN d.doc_id IS NOT NULL THEN CAST(d.doc_id AS STRING) END AS description_id
 FROM (SELECT o_orderkey AS k, CAST(floor(o_orderkey / 2) AS BIGINT) AS g, o_orderdate, o_orderkey % n AS text_id
       FROM {orders} CROSS JOIN (SELECT CASE WHEN count(*) = 0 THEN 1 ELSE count(*) END AS n FROM {documents}) c) o
 LEFT JOIN {documents} d ON d.doc_id = o.text_id
@@ -51,7 +56,13 @@ def postings_sql_for(orders: str = "orders", documents: str = "documents") -> st
 
 
 def derived_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """19 string columns, one posting per order."""
+    """19 string columns and the two ids, one posting per order."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return spark.sql(POSTINGS_SQL, orders=orders, documents=docs)
+
+
+def posting_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(description_id, description): the texts the postings point to."""
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").cast("string").alias("description_id"), F.col("text").alias("description"))

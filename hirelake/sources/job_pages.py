@@ -48,6 +48,7 @@ SELECT page_id, url,
  || '" data-job-country="' || CASE WHEN page_id % 7 = 0 THEN '' ELSE 'Saudi' END
  || '" data-job-state="' || CASE WHEN page_id % 6 = 0 THEN ' ' ELSE city END
  || '" data-job-workplace-location="On-site - Saudi - ' || city || '"><h2>' || title_attr || '</h2><div class="hidden job-card-description-source">' || {desc} || '</div></article>'
+ || CASE WHEN page_id % 4 = 1 THEN '<a title="a > b" href="/en/jobs/companies/c-' || CAST(page_id AS STRING) || '"><b>Link</b> &amp; Co</a>' ELSE '' END
  || '<script>self.__next_f.push([1,"' || substr(chunk, 1, 30) || '"])</script>'
  || '<script>self.__next_f.push([1,"' || substr(chunk, 31) || '"])</script>'
  AS html
@@ -66,8 +67,19 @@ FROM (
   || CASE CAST(page_id % 3 AS INT) WHEN 0 THEN '2026-12-01T00:00:00Z' WHEN 1 THEN '2026-12-31T10:00:00' ELSE 'soon' END
   || '","description":"<p>Role &amp; duties: ' || jt || '</p>"}' AS obj,
   replace(replace('{"id":"' || uuid || '","partnerId":' || CAST(page_id % 9 AS STRING) || ',"jobPositionValue":"' || jt
-   || '","cityValue":"' || city || '","createdDate":' || CAST(1700000000 + page_id * 86400 AS STRING)
-   || ',"meta":{"note":"a } b { c","inner":{"n":1}},"experienceYears":"' || CASE WHEN page_id % 2 = 0 THEN '5-10' ELSE '+3' END || '"}',
+   || '","cityValue":"' || CASE WHEN page_id % 9 = 4 THEN '' ELSE city END || '"' || split_part(',"createdDate":' || CAST(1700000000 + page_id * 86400 AS STRING)
+    || '|,"createdDate":0|,"createdDate":"soon"|,"createdDate":1.7e9|', '|', CAST(page_id % 5 AS INT) + 1)
+   || ',"meta":{"note":"a } b { c","inner":{"n":1}}'
+   || split_part(',"experienceYears":"5-10"|,"experienceYears":"+3"|,"experienceYears":0,"minExperienceYears":4|,"experienceYears":false,"yearsOfExperience":"2 years"|,"experience":"02/05/2026"|,"experienceValue":2.5|,"experienceYears":true|', '|', CAST(page_id % 8 AS INT) + 1)
+   || split_part(',"city":"SA_RIYADH"|,"city":"SA_ABHA"|,"city":"XX_NOWHERE"|,"city":null|', '|', CAST(page_id % 5 AS INT) + 1)
+   || split_part(',"contractType":"FULLTIME"|,"contractType":"CONTRACT"|,"contractType":"ODD_CODE"|', '|', CAST(page_id % 4 AS INT) + 1)
+   || split_part(',"workplaceType":"ON_SITE"|,"workplaceType":"HYBRID"|,"workplaceType":null|', '|', CAST(page_id % 4 AS INT) + 1)
+   || split_part(',"jobStatus":"OPEN"|,"jobStatus":"CLOSED"|,"jobStatus":"PAUSED"|', '|', CAST(page_id % 4 AS INT) + 1)
+   || split_part(',"salary":null|,"salary":0|,"salary":{"min":1}|', '|', CAST(page_id % 4 AS INT) + 1)
+   || split_part(',"partnerName":"Partner ' || CAST(page_id AS STRING) || '","partnerSlug":"p-1"|,"partnerName":"","partnerSlug":""|', '|', CAST(page_id % 3 AS INT) + 1)
+   || split_part(',"countryValue":"Egypt"|,"countryValue":""|,"countryValue":false|', '|', CAST(page_id % 4 AS INT) + 1)
+   || split_part(',"industryValue":"","sector":"Tech"|,"industry":0,"sectorValue":"Retail"|,"categoryValue":"Cat A"|,"jobCategoryValue":"Cat B","industry":[]|', '|', CAST(page_id % 5 AS INT) + 1)
+   || split_part(',"sourceName":"","jobSource":"IN_PLATFORM"|,"source":"AGGREGATED"|,"sourceValue":false|', '|', CAST(page_id % 4 AS INT) + 1) || '}',
    chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)) AS chunk
  FROM (
   SELECT page_id, url, html,

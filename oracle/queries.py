@@ -14,7 +14,7 @@ def reg(name: str, sql: str) -> None:
 
 
 # -- 2.4 staging
-reg("stage_postings", on_chain("stg", "SELECT * EXCLUDE (description) FROM stg"))
+reg("stage_postings", on_chain("stg", "SELECT * EXCLUDE (description, row_id) FROM stg"))
 reg("select_wide", on_chain("cleaned", "SELECT * EXCLUDE (description) FROM cleaned"))
 
 # -- 2.5 normalisation
@@ -49,7 +49,7 @@ reg("void_untrusted_column", on_chain("cleaned", f"""SELECT {ID}, normalized_job
  company_url_clean, has_valid_company_url FROM cleaned"""))
 
 # -- 2.6 de-duplication
-reg("keep_latest", on_chain("deduped", "SELECT * EXCLUDE (description) FROM deduped"))
+reg("keep_latest", on_chain("deduped", "SELECT * EXCLUDE (description, row_id) FROM deduped"))
 reg("preferred_row", on_chain("preferred", """SELECT job_key, job_title, company_name, normalized_city_name,
  job_source_channel, company_url_clean, collected_at, priority_rank, channel_duplicate_count FROM preferred"""))
 
@@ -57,7 +57,7 @@ reg("preferred_row", on_chain("preferred", """SELECT job_key, job_title, company
 reg("surrogate_key", on_chain("final", "SELECT job_key, source_job_id, normalized_job_source, job_url FROM final"))
 
 # -- 2.10 star schema
-from oracle.sql import RUN_TS, on_star, q  # noqa: E402
+from oracle.sql import CATALOG_CTES, first_alias, hits, on_star, q, with_  # noqa: E402
 
 reg("build_dim_date", on_star("SELECT * FROM dim_date"))
 reg("build_dim_company", on_star("SELECT * FROM dim_company"))
@@ -79,10 +79,13 @@ reg("tag_phrases", on_star("SELECT * FROM extracted"))
 reg("stage_skills", on_star("SELECT * FROM stg_skills"))
 reg("high_confidence", on_star("SELECT * FROM int_skills"))
 reg("pending_work", on_star("SELECT job_key FROM work"))
-reg("tag_run_log", on_star(f"""SELECT w.job_key, TIMESTAMP {q(RUN_TS)} AS processed_at,
- CAST(coalesce(c.n, 0) AS INTEGER) AS skill_count,
- CASE WHEN coalesce(c.n, 0) > 0 THEN 'skills_found' ELSE 'no_skills_found' END AS status
- FROM work w LEFT JOIN (SELECT job_key, count(*) AS n FROM extracted GROUP BY job_key) c ON w.job_key = c.job_key"""))
+_GLOSSED = [("glossed", """SELECT job_key, CASE WHEN job_key LIKE 'a%' THEN 'licence MIT license' WHEN job_key LIKE 'b%' THEN 'engineer Apache' ELSE txt END AS txt
+ FROM prepared"""), ("tagged", first_alias("glossed", "job_key"))]
+reg("tag_run_log", on_star("""SELECT w.job_key, ts AS processed_at, CAST(CASE WHEN failed THEN 0 ELSE coalesce(c.n, 0) END AS INTEGER) AS skill_count,
+ CASE WHEN failed THEN 'error' WHEN coalesce(c.n, 0) > 0 THEN 'skills_found' ELSE 'no_skills_found' END AS status
+ FROM (SELECT job_key, TIMESTAMP '2026-12-01 00:00:00' AS ts, job_key LIKE 'b%' AS failed FROM glossed
+  UNION ALL SELECT job_key, TIMESTAMP '2026-12-02 00:00:00', false FROM glossed WHERE job_key LIKE 'b%') w
+ LEFT JOIN (SELECT job_key, count(*) AS n FROM tagged GROUP BY job_key) c ON w.job_key = c.job_key""", _GLOSSED))
 reg("normalize_text", """SELECT doc_id,
  CAST(length(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) AS INTEGER) AS normalized_chars,
  md5(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) AS normalized_md5
@@ -165,10 +168,29 @@ reg("check_fact_foreign_keys", on_star(" UNION ALL ".join(
     f"AND {'d.date_key % 7 <> 0' if dk == 'date_key' else f'd.{dk} NOT LIKE {chr(39)}a%{chr(39)}'} "
     f"WHERE f.{fk} IS NOT NULL AND d.{dk} IS NULL" for fk, dim, dk in _FK)))
 
+_FAULTY = [("faulty", """SELECT job_key, normalized_city_name, normalized_job_category, experience_min_years, job_posted_date, collected_at,
+ CASE WHEN job_key LIKE 'a%' THEN NOT has_category_data ELSE has_category_data END AS flag,
+ CASE WHEN job_key LIKE 'a%' THEN experience_max_years + 45 ELSE experience_max_years END AS max_years,
+ CASE WHEN job_key LIKE 'b%' THEN 'Guru' ELSE seniority_level END AS seniority, CASE WHEN job_key LIKE 'a%' THEN 2 ELSE 1 END AS times FROM final""")]
+_BAD_YEARS = "experience_min_years < 0 OR max_years < 0 OR experience_min_years > max_years OR max_years > 50"
+_SUITE = {
+    "city_not_null": "normalized_city_name IS NULL",
+    "seniority_accepted": "seniority NOT IN ('Entry-level', 'Associate / Mid-level', 'Senior-level', 'Executive / Director', 'Not Specified')",
+    "category_flag": "(nullif(trim(normalized_job_category, ' '), '') IS NOT NULL) <> flag", "year_ranges": _BAD_YEARS,
+    "posted_dates": f"{_PD.format(x='job_posted_date')} > {_PD.format(x='collected_at')}"}
+reg("check_suite", on_chain("final", " UNION ALL ".join(
+    f"SELECT 'final' AS table_name, '{n}' AS check_name, coalesce(sum(times) FILTER ({c}), 0)::BIGINT AS failures FROM faulty" for n, c in _SUITE.items()) + """
+ UNION ALL SELECT 'final', 'job_key_unique', count(DISTINCT job_key) FROM faulty WHERE times > 1
+ UNION ALL SELECT 'deduped', 'id_not_null', count(*) FROM deduped WHERE source_job_id IS NULL
+ UNION ALL SELECT 'deduped', 'no_duplicates', count(*) FROM (SELECT source_job_id, job_url FROM deduped GROUP BY ALL HAVING count(*) > 1)
+ UNION ALL SELECT 'lineitem', 'discount_range', count(*) FROM lineitem WHERE NOT (l_discount BETWEEN 0.0 AND 0.08)""", _FAULTY))
+reg("failing_rows", on_chain("final", f"""SELECT job_key, 'city_not_null' AS check_name FROM faulty WHERE normalized_city_name IS NULL
+ UNION ALL SELECT job_key, 'year_ranges' FROM faulty WHERE {_BAD_YEARS}
+ UNION ALL SELECT job_key, 'status_accepted' FROM final WHERE normalized_job_status NOT IN ('Active', 'Closed', 'Expired')""", _FAULTY))
+
 # -- 2.3 static dataset profiling
 from hirelake.functions import rules as _R  # noqa: E402
 from hirelake.sources.static_fixture import static_sql_for  # noqa: E402
-from oracle.sql import _alias_extract, re2_escape  # noqa: E402,F401
 
 _TYPES = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' " \
          "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof({c})) END"
@@ -271,55 +293,41 @@ reg("status_history", on_chain("final", """SELECT job_key, normalized_job_status
  row_number() OVER (PARTITION BY job_key ORDER BY dbt_valid_from) AS version_number FROM snap2""", _SNAP))
 
 # -- 2.11 over documents
-from hirelake.plans.star import DEMO_CATALOG as _CAT  # noqa: E402
-
-
-def _resolve_sql(x):
-    arms = []
-    for name, cat, aliases in _CAT:
-        ev = "coalesce(" + ", ".join(_alias_extract(x, a) for a in aliases) + ", NULL)"
-        arms.append((name, cat, ev))
-    return arms
-
-
-_TOK = """SELECT doc_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS position, unnest(arr) AS word
- FROM (SELECT doc_id, string_split(text, ' ') AS arr FROM documents)"""
-_CLEAN = "trim(regexp_replace(replace(word, '##', ''), '\\s+', ' ', 'g'), {chars})".format(
-    chars=q(_R.CANDIDATE_STRIP_CHARS))
-
-
-def _first_entry(x):
-    arms = _resolve_sql(x)
-    name = "CASE " + " ".join(f"WHEN {ev} IS NOT NULL THEN {q(n)}" for n, c, ev in arms) + " END"
-    cat = "CASE " + " ".join(f"WHEN {ev} IS NOT NULL THEN {q(c)}" for n, c, ev in arms) + " END"
-    matched = "coalesce(" + ", ".join(ev for n, c, ev in arms) + ")"
-    return name, cat, matched
-
-
-_n, _c, _m = _first_entry("text")
-reg("resolve_phrase", f"SELECT doc_id, {_n} AS skill_name, {_c} AS skill_category, {_m} AS matched FROM documents")
-reg("clean_candidate", f"SELECT doc_id, position, {_CLEAN} AS candidate FROM ({_TOK})")
-_cn, _cc, _cm = _first_entry("cand")
-_RSC = f"""WITH toks AS ({_TOK}),
- scored AS (SELECT doc_id AS job_key, position, word, CAST(length(word) AS DOUBLE) / (length(word) + 1.0) AS score FROM toks),
- cands AS (SELECT job_key, position, score, {_CLEAN} AS cand FROM scored WHERE score >= {_R.CONFIDENCE_THRESHOLD}),
- hits AS (SELECT job_key, position, {_cn} AS skill_name, {_cc} AS skill_category, round(score, 3) AS confidence,
-   left({_cm}, 500) AS evidence_span FROM cands WHERE cand <> ''),
- model AS (SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM hits WHERE skill_name IS NOT NULL
-   QUALIFY row_number() OVER (PARTITION BY job_key, lower(skill_name) ORDER BY position) = 1)
-"""
-reg("resolve_scored_candidates", _RSC + "SELECT * FROM model")
-_ph = []
-for _name, _cat, _aliases in _CAT:
-    _ev = "coalesce(" + ", ".join(_alias_extract("txt", a) for a in _aliases) + ", NULL)"
-    _ph.append(f"SELECT job_key, {q(_name)} AS skill_name, {q(_cat)} AS skill_category, CAST(1.0 AS DOUBLE) AS confidence, "
-               f"left(ev, 500) AS evidence_span FROM (SELECT job_key, {_ev} AS ev FROM docs) WHERE ev IS NOT NULL")
-reg("merge_tag_sources", _RSC + f""", docs AS (SELECT doc_id AS job_key,
-  trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ') AS txt FROM documents),
- phrases AS ({" UNION ALL ".join(_ph)}),
- both_ AS (SELECT *, 0 AS src FROM model UNION ALL SELECT *, 1 AS src FROM phrases)
-SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM both_
- QUALIFY row_number() OVER (PARTITION BY job_key, lower(skill_name) ORDER BY src) = 1""")
+_FIRST_HIT = "QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY entry, alias_rank) = 1"
+_DOC_HITS = [*CATALOG_CTES, ("texts", "SELECT doc_id, text AS txt FROM documents"), ("hits", hits("texts", "doc_id", "catalog"))]
+reg("resolve_phrase", with_(_DOC_HITS, f"""SELECT d.doc_id, skill_name, skill_category, matched FROM documents d
+ LEFT JOIN (SELECT * FROM hits {_FIRST_HIT.format(key="doc_id")}) h ON h.doc_id = d.doc_id"""))
+_CLEAN = "trim(regexp_replace(replace(word, '##', ''), '\\s+', ' ', 'g'), {chars})".format(chars=q(_R.CANDIDATE_STRIP_CHARS))
+
+
+def _tokens(more: str) -> str:
+    return f"""SELECT doc_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS position, unnest(arr) AS word
+ FROM (SELECT doc_id, string_split(text || {more}, ' ') AS arr FROM documents)"""
+
+
+reg("clean_candidate", f"SELECT doc_id, position, {_CLEAN} AS candidate FROM ({_tokens(q(''))})")
+_SCORED = _tokens("CASE WHEN doc_id % 10 = 0 THEN ' with C++ from Straße with STRASSE have problem solving' ELSE '' END")
+_MODEL = [
+    *CATALOG_CTES,
+    ("words", f"SELECT doc_id AS job_key, position, word, (13 + length(word) % 4) / 16.0::DOUBLE AS score FROM ({_SCORED})"),
+    ("islands", f"""SELECT *, position - row_number() OVER (PARTITION BY job_key ORDER BY position) AS island FROM words
+ WHERE score >= {_R.CONFIDENCE_THRESHOLD}"""),
+    ("spans", """SELECT job_key, min(position) AS position, string_agg(word, ' ' ORDER BY position) AS word, sum(score) / count(*) AS score
+ FROM islands GROUP BY job_key, island"""),
+    ("cands", f"SELECT job_key || '/' || position AS cand_id, job_key, position, score, {_CLEAN} AS txt FROM spans"),
+    ("cand_hits", f"SELECT * FROM ({hits('cands', 'cand_id', 'catalog')}) {_FIRST_HIT.format(key='cand_id')}"),
+    ("model", """SELECT c.job_key, skill_name, skill_category, round(c.score, 3) AS confidence, matched AS evidence_span
+ FROM cands c JOIN cand_hits h ON h.cand_id = c.cand_id
+ QUALIFY row_number() OVER (PARTITION BY c.job_key, replace(lower(skill_name), 'ß', 'ss') ORDER BY c.position) = 1"""),
+]
+reg("resolve_scored_candidates", with_(_MODEL, "SELECT * FROM model"))
+reg("merge_tag_sources", with_([
+    *_MODEL,
+    ("texts", "SELECT doc_id AS job_key, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ') AS txt FROM documents"),
+    ("phrases", f"SELECT job_key, skill_name, skill_category, 1.0::DOUBLE AS confidence, matched AS evidence_span FROM ({first_alias('texts', 'job_key')})"),
+    ("both_", "SELECT *, 0 AS src FROM model UNION ALL SELECT *, 1 AS src FROM phrases"),
+], """SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM both_
+ QUALIFY row_number() OVER (PARTITION BY job_key, replace(lower(skill_name), 'ß', 'ss') ORDER BY src) = 1"""))
 
 # -- 2.2 page extraction
 from hirelake.sources.job_pages import job_pages_sql_for  # noqa: E402
@@ -473,18 +481,22 @@ def _fmt(x: str) -> str:
             f"ELSE CAST(try_cast({x} AS DOUBLE) AS VARCHAR) END")
 
 
-_V = "regexp_replace(experience_years, '^\\s+|\\s+$', '', 'g')"
-_single = f"regexp_extract({_V}, '(?i)^{_NUM}\\s*(?:years?|yrs?)?$', 1)"
-_plus = f"regexp_extract({_V}, '^\\+?\\s*{_NUM}\\s*\\+?$', 1)"
-_lo = f"regexp_extract({_V}, '^{_NUM}\\s*-\\s*{_NUM}', 1)"
-_hi = f"regexp_extract({_V}, '^{_NUM}\\s*-\\s*{_NUM}', 2)"
+def _experience_text(x: str) -> str:
+    v = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    single = f"regexp_extract({v}, '(?i)^{_NUM}\\s*(?:years?|yrs?)?$', 1)"
+    plus = f"regexp_extract({v}, '^\\+?\\s*{_NUM}\\s*\\+?$', 1)"
+    lo = f"regexp_extract({v}, '^{_NUM}\\s*-\\s*{_NUM}', 1)"
+    hi = f"regexp_extract({v}, '^{_NUM}\\s*-\\s*{_NUM}', 2)"
+    return f"""CASE WHEN {v} IS NULL OR {v} = '' THEN NULL
+  WHEN regexp_full_match({v}, '\\d{{1,2}}[/-]\\d{{1,2}}[/-]\\d{{2,4}}') THEN NULL
+  WHEN {single} <> '' THEN {_fmt(single)}
+  WHEN {plus} <> '' AND contains({v}, '+') THEN {_fmt(plus)} || '+ yrs'
+  WHEN {lo} <> '' THEN {_fmt(lo)} || '-' || {_fmt(hi)} || ' yrs'
+  ELSE NULL END"""
+
+
 reg("normalize_experience_text", on_chain("raw", f"""SELECT source_job_id, url, collected_at, experience_years,
- CASE WHEN {_V} IS NULL OR {_V} = '' THEN NULL
-  WHEN regexp_full_match({_V}, '\\d{{1,2}}[/-]\\d{{1,2}}[/-]\\d{{2,4}}') THEN NULL
-  WHEN {_single} <> '' THEN {_fmt(_single)}
-  WHEN {_plus} <> '' AND contains({_V}, '+') THEN {_fmt(_plus)} || '+ yrs'
-  WHEN {_lo} <> '' THEN {_fmt(_lo)} || '-' || {_fmt(_hi)} || ' yrs'
-  ELSE NULL END AS experience_text FROM raw"""))
+ {_experience_text("experience_years")} AS experience_text FROM raw"""))
 reg("months_to_years", "SELECT l_orderkey, l_linenumber, l_quantity / 12 AS years FROM lineitem")
 reg("expiry_status", """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-08-02 00:00:00' THEN 'expired' ELSE 'active' END AS status FROM orders""")
 reg("epoch_to_date", """SELECT event_id, coalesce(strftime(DATE '1970-01-01' + CAST(floor(value * 10000000 / 86400) AS INTEGER), '%Y-%m-%d'),
@@ -499,22 +511,30 @@ reg("dedupe_keep_missing_ids", on_chain("raw", """SELECT source_job_id, url, col
 # -- 2.1 sources and sinks (CSV round trips: an empty field reads back as null)
 _RAWCOLS = [c for c in _R.RAW_COLUMNS]
 _NULLIF = ", ".join(f"nullif({c}, '') AS {c}" for c in _RAWCOLS if c != "description")
+_DIG = "sha256(nullif(description, '')) AS description_sha256"
 _PLAT = ("CASE WHEN contains(url, 'sabbar.com') THEN 'sabbar' WHEN contains(url, 'tanqeeb.com') THEN 'tanqeeb' "
          "WHEN contains(url, 'gulftalent.com') THEN 'golftalent' END")
-reg("read_bronze", on_chain("raw", f"SELECT {_NULLIF}, {_PLAT} AS platform FROM raw"))
-reg("ingest_new_files", on_chain("raw", f"""SELECT {_NULLIF}, {_PLAT} AS platform FROM raw
- UNION ALL SELECT {', '.join('NULL' for c in _RAWCOLS if c != 'description')}, '(bad row)' FROM nation, range(2)"""))
+reg("read_bronze", on_chain("raw", f"SELECT {_NULLIF}, {_DIG}, {_PLAT} AS platform FROM raw"))
+reg("ingest_new_files", on_chain("raw", f"""SELECT {_NULLIF}, {_DIG}, {_PLAT} AS platform FROM raw
+ UNION ALL SELECT {', '.join('NULL' for c in _RAWCOLS)}, '(bad row)' FROM nation, range(2)"""))
 reg("quarantine_bad_rows", on_chain("raw", """SELECT 'good' AS kind, count(*) AS row_count FROM raw
  UNION ALL SELECT 'bad' AS kind, count(*) AS row_count FROM nation"""))
-reg("route_by_platform", on_chain("raw", f"SELECT {_NULLIF}, CASE WHEN job_source = 'Jadarat.com' THEN 'jadarat' ELSE {_PLAT} END AS platform FROM raw"))
+reg("route_by_platform", on_chain("raw", f"SELECT {_NULLIF}, {_DIG}, CASE WHEN job_source = 'Jadarat.com' THEN 'jadarat' ELSE {_PLAT} END AS platform FROM raw"))
 reg("read_seed", """SELECT upper(n.n_name) AS raw_value_normalized, n.n_name AS mapped_city, r.r_name AS mapped_region
  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 reg("conform_columns", on_chain("raw", ", ".join(["SELECT " + ", ".join(
     c if c != "industry" else "CASE WHEN contains(url, 'tanqeeb.com') AND NOT contains(url, 'sabbar.com') THEN NULL ELSE industry END AS industry"
-    for c in _RAWCOLS if c != "description")]) + " FROM raw"))
-reg("write_csv_snapshot", on_chain("raw", f"SELECT {_NULLIF} FROM raw"))
-reg("materialize", on_chain("final", f"""SELECT job_key, normalized_job_status, collected_at FROM final
- WHERE collected_at <= {_CUT} OR collected_at > (SELECT max(collected_at) FROM final WHERE collected_at <= {_CUT})"""))
+    for c in _RAWCOLS if c != "description")]) + ", CASE WHEN contains(url, 'tanqeeb.com') AND NOT contains(url, 'sabbar.com') THEN NULL ELSE sha256(description) END AS description_sha256 FROM raw"))
+reg("write_csv_snapshot", on_chain("raw", f"SELECT {_NULLIF}, {_DIG} FROM raw"))
+_STATUS2 = [*_SNAP[:1], ("st", f"""SELECT job_key, 'snapshot' AS kind, normalized_job_status, collected_at,
+ CASE WHEN job_key NOT IN (SELECT job_key FROM src2) OR (normalized_job_status = 'Active' AND collected_at < {_CUT}) THEN {_T2} END AS valid_to FROM final""")]
+_M = "job_key, normalized_job_status, collected_at, CAST(NULL AS TIMESTAMP) AS valid_to FROM final"
+reg("materialize", on_chain("final", f"""SELECT 'view' AS kind, {_M} WHERE collected_at <= {_CUT}
+ UNION ALL SELECT 'table', {_M} WHERE collected_at <= {_CUT}
+ UNION ALL SELECT 'incremental', {_M} WHERE collected_at <= {_CUT} OR collected_at > (SELECT max(collected_at) FROM final WHERE collected_at <= {_CUT})
+ UNION ALL SELECT kind, job_key, normalized_job_status, collected_at, valid_to FROM st
+ UNION ALL SELECT 'snapshot', s.job_key, s.normalized_job_status, s.collected_at, NULL FROM src2 s JOIN final f ON f.job_key = s.job_key
+  WHERE s.normalized_job_status IS DISTINCT FROM f.normalized_job_status""", _STATUS2))
 reg("append_log", on_star(f"""SELECT w.job_key,
  CASE WHEN f.collected_at <= {_CUT} THEN TIMESTAMP '2026-12-01 00:00:00' ELSE TIMESTAMP '2026-12-02 00:00:00' END AS processed_at,
  CAST(coalesce(c.n, 0) AS INTEGER) AS skill_count,
@@ -538,6 +558,60 @@ SELECT page_id, CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.jobPo
  CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.cityValue') END AS city,
  CASE WHEN json_valid(obj) THEN json_extract_string(obj, '$.experienceYears') END AS experience_years FROM objs""")
 
+_OBJ_CTES = f""", bufs AS (
+  SELECT page_id, {_UUID} AS uuid, array_to_string(list_transform(regexp_extract_all(html, '{_PUSH}', 1),
+   lambda p: CASE WHEN json_valid('"' || p || '"') THEN json_extract_string('"' || p || '"', '$') ELSE p END), '') AS buf
+  FROM jp),
+ tails AS (SELECT page_id, uuid, substr(buf, nullif(instr(buf, '{{"id":"' || uuid || '","partner'), 0)) AS tail FROM bufs),
+ objs AS (SELECT page_id, uuid, CAST(tail[1:list_filter(range(1, len(tail) + 1), lambda i: tail[i] = '}}' AND json_valid(tail[1:i]))[1]] AS JSON) AS o FROM tails)
+"""
+
+
+def _first_key(j: str, keys: list[str], then=lambda v, j, k: v) -> str:
+    return "CASE " + " ".join(f"WHEN {_truthy(j, '$.' + k)} THEN " + then(f"json_extract_string({j}, '$.{k}')", j, k) for k in keys) + " END"
+
+
+def _experience(v: str, j: str, k: str) -> str:
+    kind = f"json_type({j}, '$.{k}')"
+    return f"(CASE WHEN {kind} IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN {v} WHEN {kind} = 'VARCHAR' THEN {_experience_text(v)} END)"
+
+
+_EXP_KEYS = ["experienceYears", "experienceYearsValue", "minExperienceYears", "yearsOfExperience", "yearsOfExperienceValue", "experience",
+             "experienceValue", "requiredExperienceYears"]
+_ANY_EXP = " OR ".join(_truthy("o", f"$.{k}") for k in _EXP_KEYS)
+_CODES = {
+    "Riyadh Region": "RIYADH", "Makkah Region": "JEDDAH MAKKAH TAIF", "Madinah Region": "MEDINA MADINAH YANBU",
+    "Eastern Province": "DAMMAM KHOBAR DHAHRAN JUBAIL QATIF AL_AHSA HOFUF HAFAR_AL_BATIN", "Asir Region": "ABHA KHAMIS_MUSHAYT BISHA",
+    "Tabuk Region": "TABUK", "Qassim Region": "QASSIM BURAYDAH UNAYZAH", "Hail Region": "HAIL", "Al Jouf Region": "JOUF SAKAKA",
+    "Al Bahah Region": "BAHAH", "Jazan Region": "JIZAN", "Najran Region": "NAJRAN", "Northern Borders Region": "ARAR"}
+_CODE_REGION = "MAP {" + ", ".join(f"'SA_{c}': '{r}'" for r, cs in _CODES.items() for c in cs.split()) + "}"
+_JO = "json_extract_string(o, '$.{}')"
+_LINK = """(?is)<a\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*?\\bhref="([^"]*/en/jobs/companies/[^"]*)"(?:[^>"'']|"[^"]*"|''[^'']*'')*>(.*?)</a\\s*>"""
+reg("embedded_to_posting", _JSONLD + _OBJ_CTES + f"""SELECT page_id, uuid AS source_job_id,
+ coalesce(nullif({_to_text("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")}, ''), nullif({_JO.format('jobPositionValue')}, '')) AS job_title, url,
+ coalesce(nullif({_to_text(f"regexp_extract(html, '{_LINK}', 2)")}, ''), nullif({_JO.format('partnerName')}, ''),
+  nullif(json_extract_string(j, '$.hiringOrganization.name'), '')) AS company_name,
+ CASE WHEN starts_with(regexp_extract(html, '{_LINK}', 1), '/') THEN 'https://sabbar.com' || regexp_extract(html, '{_LINK}', 1)
+  WHEN {_truthy('o', '$.partnerSlug')} THEN 'https://sabbar.com/en/jobs/companies/' || {_JO.format('partnerSlug')} END AS company_url,
+ CASE WHEN {_truthy('o', '$.cityValue')} THEN {_JO.format('cityValue')} END AS city, {_CODE_REGION}[{_JO.format('city')}] AS region,
+ CASE WHEN {_truthy('o', '$.countryValue')} THEN {_JO.format('countryValue')} ELSE 'Saudi Arabia' END AS country,
+ coalesce(MAP {{'FULLTIME': 'Full Time', 'PARTTIME': 'Part Time', 'CONTRACT': 'Contract', 'SEASONAL': 'Seasonal',
+  'INTERNSHIP': 'Internship'}}[{_JO.format('contractType')}], {_JO.format('contractType')}) AS employment_type,
+ coalesce(MAP {{'ON_SITE': 'On-site', 'REMOTE': 'Remote', 'FIELD': 'Field'}}[{_JO.format('workplaceType')}], {_JO.format('workplaceType')}) AS workplace_type,
+ CASE WHEN {_ANY_EXP} THEN {_first_key("o", _EXP_KEYS, _experience)}
+  ELSE CAST(try_cast(json_extract_string(j, '$.experienceRequirements.monthsOfExperience') AS DOUBLE) / 12 AS VARCHAR) END AS experience_years,
+ {_first_key("o", ["jobCategoryValue", "categoryValue"])} AS job_category,
+ coalesce({_first_key("o", ["industryValue", "industry", "sectorValue", "sector", "categoryValue", "jobCategoryValue", "jobCategory"])},
+  {_first_key("j", ["industry", "occupationalCategory"])}) AS industry,
+ coalesce(json_type(o, '$.salary') <> 'NULL', false) OR coalesce(json_type(j, '$.baseSalary.value.value') <> 'NULL', false) AS is_salary_disclosed,
+ {_first_key("o", ["sourceName", "sourceValue", "jobSourceName", "jobSource", "source"])} AS job_source,
+ coalesce(CASE WHEN json_type(o, '$.createdDate') IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND CAST({_JO.format('createdDate')} AS DOUBLE) <> 0
+  THEN strftime(make_timestamp(CAST(CAST({_JO.format('createdDate')} AS DOUBLE) * 1000000 AS BIGINT)), '%Y-%m-%d') END,
+  nullif(json_extract_string(j, '$.datePosted'), '')) AS job_posted_date,
+ coalesce(MAP {{'OPEN': 'active', 'CLOSED': 'closed'}}[{_JO.format('jobStatus')}], 'active') AS job_status, '2026-12-02 00:00:00' AS collected_at,
+ trim(regexp_replace(regexp_replace(regexp_replace(json_extract_string(j, '$.description'), '<[^>]+>', ' ', 'g'), '[*_]+', '', 'g'), '\\s+', ' ', 'g'), ' ') AS description
+ FROM jp JOIN objs USING (page_id) LEFT JOIN (SELECT page_id, j FROM jl) USING (page_id)""")
+
 # -- further forms of registered operators
 _AUTO = """coalesce(CAST(try_strptime({x}, '%Y-%m-%d') AS DATE), CAST(try_cast({x} AS TIMESTAMP) AS DATE),
  CAST(try_strptime({x}, '%d-%b-%Y') AS DATE), CAST(try_strptime({x}, '%m/%d/%Y') AS DATE))"""

@@ -11,6 +11,7 @@ Rule data (labels, aliases) is shared from ``hirelake.functions.rules``.
 from __future__ import annotations
 
 from hirelake.functions import rules as R
+from hirelake.sources.catalog import BENCHMARK_PHRASES_SQL, FIXED_ENTRIES
 from hirelake.sources.fixture import postings_sql_for
 from hirelake.sources.seeds import city_region_values_sql
 
@@ -128,15 +129,11 @@ SELECT source_job_id, replace(job_title, {q(R.TITLE_SUFFIX_TO_DROP)}, '') AS job
  company_name, company_url, replace(industry, ' &amp; ', ' & ') AS company_industry, city, region, country,
  employment_type, workplace_type, experience_years, job_category, {_bool('is_salary_disclosed')} AS is_salary_disclosed,
  try_cast(collected_at AS TIMESTAMP) AS collected_at, replace(job_source, '.com', '') AS job_source,
- job_posted_date, job_status, description
+ job_posted_date, job_status, description, row_id
 FROM raw WHERE source_job_id IS NOT NULL AND {T('source_job_id')} <> ''"""),
     ("city_resolved", f"SELECT *, {URL_CITY} AS url_city_raw, coalesce({URL_CITY}, city) AS city_final FROM stg"),
     ("deduped", """SELECT * FROM city_resolved
-QUALIFY row_number() OVER (PARTITION BY source_job_id, job_url ORDER BY collected_at DESC NULLS FIRST,
- job_title NULLS FIRST, company_name NULLS FIRST, company_url NULLS FIRST, company_industry NULLS FIRST, city NULLS FIRST, region NULLS FIRST,
- country NULLS FIRST, employment_type NULLS FIRST, workplace_type NULLS FIRST, experience_years NULLS FIRST, job_category NULLS FIRST,
- is_salary_disclosed NULLS FIRST, job_source NULLS FIRST, job_posted_date NULLS FIRST, job_status NULLS FIRST,
- sha256(description) NULLS FIRST) = 1"""),
+QUALIFY row_number() OVER (PARTITION BY source_job_id, job_url ORDER BY collected_at DESC NULLS FIRST, row_id) = 1"""),
     ("located0", f"""
 SELECT d.*, upper(trim(d.city_final, ' ''')) AS city_lookup_key, m.mapped_city AS normalized_city_name,
  m.mapped_region AS seed_mapped_region, {initcap('d.region')} AS region_ic
@@ -225,6 +222,10 @@ def chain(upto: str, extra: list[tuple[str, str]] | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n"
 
 
+def with_(ctes: list[tuple[str, str]], select: str) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + select
+
+
 def on_chain(upto: str, select: str, extra: list[tuple[str, str]] | None = None) -> str:
     return chain(upto, extra) + select
 
@@ -234,34 +235,38 @@ def on_chain(upto: str, select: str, extra: list[tuple[str, str]] | None = None)
 RUN_TS = "2026-12-02 00:00:00"
 
 
-def re2_escape(s: str) -> str:
-    return "".join("\\" + ch if ch in "\\.^$|?*+()[]{}" else ch for ch in s)
+def catalog_cte() -> str:
+    """The phrase catalog as rows: fixed entries and those cut from the benchmark texts."""
+    fixed = ", ".join(f"({e}, {q(n)}, {q(c)}, {r}, {q(a)})" for e, (n, c, aliases) in enumerate(FIXED_ENTRIES) for r, a in enumerate(aliases))
+    return f"""SELECT *, lower(alias) AS low, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(' || regexp_escape(alias) || ')(?:[^\\p{{L}}\\p{{N}}_]|$)' AS pattern FROM (
+ SELECT * FROM (VALUES {fixed}) AS f(entry, skill_name, skill_category, alias_rank, alias)
+ UNION ALL {BENCHMARK_PHRASES_SQL.replace("{benchmark}", "benchmark")})"""
+
+
+#: Of entries whose names differ in case only, the first one.
+FIRST_ENTRIES = """SELECT * FROM catalog QUALIFY entry = min(entry) OVER (PARTITION BY replace(lower(skill_name), 'ß', 'ss'))"""
+
+
+def hits(texts: str, key: str, catalog: str) -> str:
+    """Every alias against every text: the key, the alias's row and what it matched."""
+    return f"""SELECT t.{key}, c.entry, c.skill_name, c.skill_category, c.alias_rank, regexp_extract(t.txt, c.pattern, 1) AS matched
+ FROM (SELECT *, lower(txt) AS low FROM {texts}) t JOIN {catalog} c ON contains(t.low, c.low) WHERE regexp_matches(t.txt, c.pattern)"""
+
+
+def first_alias(texts: str, key: str) -> str:
+    """Of every entry found in a text, its first alias."""
+    return f"""SELECT * FROM ({hits(texts, key, "entries")}) QUALIFY row_number() OVER (PARTITION BY {key}, entry ORDER BY alias_rank) = 1"""
 
 
-def _alias_extract(text: str, alias: str) -> str:
-    pat = "(?i)(?:^|[^\\p{L}\\p{N}_])(" + re2_escape(alias) + ")(?:[^\\p{L}\\p{N}_]|$)"
-    return f"nullif(regexp_extract({text}, {q(pat)}, 1), '')"
+CATALOG_CTES = [("catalog", catalog_cte()), ("entries", FIRST_ENTRIES)]
 
 
 def _norm_text(x: str) -> str:
     return f"trim(regexp_replace(regexp_replace({x}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')"
 
 
-def skills_ctes(catalog) -> list[tuple[str, str]]:
-    seen, entries = set(), []
-    for name, cat, aliases in catalog:
-        if name.casefold() not in seen:
-            seen.add(name.casefold())
-            entries.append((name, cat, aliases))
-    parts = []
-    for name, cat, aliases in entries:
-        ev = "coalesce(" + ", ".join(_alias_extract("txt", a) for a in aliases) + ")" if len(aliases) > 1 \
-            else _alias_extract("txt", aliases[0])
-        parts.append(
-            f"SELECT job_key, {q(name)} AS skill_name, {q(cat)} AS skill_category, CAST(1.0 AS DOUBLE) AS confidence, "
-            f"coalesce(ar_ev, ev) AS evidence_span FROM (SELECT job_key, ar_ev, {ev} AS ev FROM prepared) "
-            f"WHERE ev IS NOT NULL")
-    return [
+def skills_ctes() -> list[tuple[str, str]]:
+    return CATALOG_CTES + [
         ("work", f"""SELECT job_key, description FROM final
  WHERE description IS NOT NULL AND {T('description')} <> ''
  QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY job_key) = 1"""),
@@ -269,7 +274,8 @@ def skills_ctes(catalog) -> list[tuple[str, str]]:
         ("prepared", f"""SELECT job_key, {_norm_text('orig')} AS txt,
  CASE WHEN regexp_matches(orig, '[\\x{{0600}}-\\x{{06FF}}]') THEN orig END AS ar_ev
  FROM prepared0 WHERE orig <> ''"""),
-        ("extracted", " UNION ALL ".join(parts)),
+        ("extracted", f"""SELECT h.job_key, skill_name, skill_category, CAST(1.0 AS DOUBLE) AS confidence, coalesce(ar_ev, matched) AS evidence_span
+ FROM ({first_alias("prepared", "job_key")}) h JOIN prepared p ON p.job_key = h.job_key"""),
         ("stg_skills", """SELECT job_key, skill_name, skill_category, confidence, evidence_span FROM (
  SELECT job_key, trim(skill_name, ' ') AS skill_name, lower(trim(skill_category, ' ')) AS skill_category, confidence,
   trim(evidence_span, ' ') AS evidence_span FROM extracted WHERE job_key IS NOT NULL AND skill_name IS NOT NULL)
@@ -281,9 +287,9 @@ def skills_ctes(catalog) -> list[tuple[str, str]]:
     ]
 
 
-def star_ctes(catalog) -> list[tuple[str, str]]:
+def star_ctes() -> list[tuple[str, str]]:
     ts = f"TIMESTAMP {q(RUN_TS)}"
-    return skills_ctes(catalog) + [
+    return skills_ctes() + [
         ("snapshot", f"""SELECT *, md5(CAST(job_key AS VARCHAR) || '|' || CAST({ts} AS VARCHAR)) AS dbt_scd_id,
  {ts} AS dbt_updated_at, {ts} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM final"""),
         ("dim_date", """SELECT DISTINCT CAST(strftime(normalized_job_posted_date, '%Y%m%d') AS INTEGER) AS date_key,
@@ -292,12 +298,8 @@ def star_ctes(catalog) -> list[tuple[str, str]]:
  CAST(quarter(normalized_job_posted_date) AS INTEGER) AS quarter, CAST(day(normalized_job_posted_date) AS INTEGER) AS day,
  CAST(dayofweek(normalized_job_posted_date) AS INTEGER) AS day_of_week
  FROM preferred WHERE normalized_job_posted_date IS NOT NULL"""),
-        ("dim_company", f"""SELECT company_key, company_name, company_url, company_industry FROM (
- SELECT {skey('company_name', 'company_url_clean')} AS company_key, company_name, company_url_clean AS company_url,
-  company_industry_clean AS company_industry,
-  row_number() OVER (PARTITION BY company_name, company_url_clean ORDER BY
-   CASE WHEN company_industry_clean IS NOT NULL THEN 1 ELSE 2 END, company_industry_clean ASC NULLS LAST) AS rn
- FROM preferred) WHERE rn = 1"""),
+        ("dim_company", f"""SELECT {skey('company_name', 'company_url_clean')} AS company_key, company_name, company_url_clean AS company_url,
+ min(company_industry_clean) AS company_industry FROM preferred GROUP BY company_name, company_url_clean"""),
         ("dim_location", f"""SELECT DISTINCT {skey('normalized_city_name', 'normalized_region_name', 'normalized_country_name')}
  AS location_key, normalized_city_name AS city, normalized_region_name AS region, normalized_country_name AS country
  FROM preferred"""),
@@ -327,6 +329,5 @@ def star_ctes(catalog) -> list[tuple[str, str]]:
     ]
 
 
-def on_star(select: str, catalog=None) -> str:
-    from hirelake.plans.star import DEMO_CATALOG
-    return on_chain("preferred", select, star_ctes(catalog or DEMO_CATALOG))
+def on_star(select: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return on_chain("preferred", select, star_ctes() + (extra or []))

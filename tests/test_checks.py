@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from hirelake.operators import checks as C
 from hirelake.plans.postings import Postings
-from hirelake.plans.star import DEMO_CATALOG, Star
+from hirelake.plans.star import Star
+from hirelake.sources.catalog import LOCAL_PHRASES
 
 
 def test_checks_on_built_star_and_seeded_faults(spark):
     p = Postings.from_testdata(spark, SF0001)
-    s = Star(p, DEMO_CATALOG)
+    s = Star(p, LOCAL_PHRASES)
     final, fact = s.final(), s.fact()
     assert C.check_unique(final, "job_key").count() == 0
     assert C.check_unique(final.unionByName(final.limit(1)), "job_key").count() == 1
@@ -38,3 +39,16 @@ def test_checks_on_built_star_and_seeded_faults(spark):
     assert C.check_accepted_values(final, "job_source_channel", ["Direct"]).count() > 0
     assert C.check_not_null(final, "job_key").count() == 0
     assert C.check_accepted_range(s.skills(), "confidence", 0.85, 1).count() == 0
+
+
+def test_suite_counts_as_single_checks(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", None, "y"), (None, 9, None), (None, -1, "x"), ("b", 2, "z")], "k string, v int, s string")
+    rules = {"null": C.null_rule("v"), "range": C.range_rule("v", 0, 5), "values": C.values_rule("s", ["x", "y"])}
+    want = {"null": 1, "range": 2, "values": 1}
+    assert {r.check_name: r.failures for r in C.suite_counts(df, rules).collect()} == want
+    assert {r.check_name: r.failures for r in C.suite_counts(df, rules, ["k"]).collect()} == want | {"unique": 2}
+    assert {r.check_name: r.failures for r in C.suite_counts(df.limit(0), rules, ["k"]).collect()} == dict.fromkeys([*want, "unique"], 0)
+    assert sorted((str(r.k), r.check_name) for r in C.failing_rows(df, rules, ["k"]).collect()) == [
+        ("None", "range"), ("None", "range"), ("a", "null"), ("b", "values")]
+    plan = C.suite_counts(spark.read.parquet(f"{SF0001}/lineitem.parquet"), {"a": C.null_rule("l_tax"), "b": C.range_rule("l_discount", 0, 1)}, ["l_orderkey"])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

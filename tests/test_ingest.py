@@ -2,9 +2,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from hirelake.sources.bronze import quarantine_bad_rows, read_bronze, scratch_dir
+from hirelake.session import scratch_dir
+from hirelake.sources.bronze import quarantine_bad_rows, read_bronze
 from hirelake.sources.seeds import read_seed
-from hirelake.streaming.ingest import ingest_new_files
+from hirelake.streaming.ingest import ingest_new_files, ingested, landed_stream, load_batch, read_quarantine, read_raw
 
 HEADER = ",".join([
     "source_job_id", "job_title", "url", "company_name", "company_url", "city", "region", "country",
@@ -35,14 +36,32 @@ def test_bom_multiline_quotes_and_empty_as_null(spark):
 
 def test_new_files_load_once(spark):
     land, table, ckpt = (scratch_dir(spark, x) for x in ("t-land", "t-table", "t-ckpt"))
+    assert read_raw(spark, table).count() == 0
     write_file(f"{land}/platform=sabbar", "a.csv", [ROW.format(id="J1"), ROW.format(id="J2")])
-    ingest_new_files(spark, land, table, ckpt, f"{table}-bad")
-    ingest_new_files(spark, land, table, ckpt, f"{table}-bad")
-    assert spark.read.parquet(table).count() == 2
-    write_file(f"{land}/platform=tanqeeb", "b.csv", [ROW.format(id="J3")])
-    ingest_new_files(spark, land, table, ckpt, f"{table}-bad")
-    got = sorted(r.source_job_id for r in spark.read.parquet(table).collect())
-    assert got == ["J1", "J2", "J3"]
+    assert ingest_new_files(spark, land, table, ckpt) == 1
+    assert ingest_new_files(spark, land, table, ckpt) == 0
+    assert read_raw(spark, table).count() == 2
+    write_file(f"{land}/platform=tanqeeb", "b.csv", [ROW.format(id="J3"), ROW.format(id="J4").replace("2026-01-01 00:00:00", "soon")])
+    ingest_new_files(spark, land, table, ckpt)
+    got = read_raw(spark, table).collect()
+    assert sorted(r.source_job_id for r in got) == ["J1", "J2", "J3", "J4"] and len({r.row_id for r in got}) == 4
+    assert [r.source_job_id for r in ingested(spark, table).where("state = 'undated'").collect()] == ["J4"]
+    import hashlib
+    assert {r.description_id for r in got} == {hashlib.sha256(b'line one\nsaid "hi"').hexdigest()}
+
+
+def test_replayed_batch_appends_nothing(spark):
+    land, table = scratch_dir(spark, "t-land"), scratch_dir(spark, "t-table")
+    write_file(f"{land}/platform=sabbar", "a.csv", [ROW.format(id="J1"), ROW.format(id="J2") + ",surplus"])
+    stream = landed_stream(spark, land)
+    batch = spark.read.schema(stream.schema).option("header", True).option("multiLine", True).option("escape", '"').option(
+        "mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(land)
+    for _ in range(2):
+        load_batch(batch, 3, table)
+    once = sorted(map(str, ingested(spark, table).collect()))
+    load_batch(batch, 3, table)
+    assert sorted(map(str, ingested(spark, table).collect())) == once and len(once) == 2
+    assert read_quarantine(spark, table).count() == 1
 
 
 def test_bad_rows_are_quarantined(spark):
@@ -72,11 +91,11 @@ def test_unreadable_rows_go_to_quarantine(spark, tmp_path):
     header = ",".join(f"c{i}" for i in range(19))
     good = ",".join(f"v{i}" for i in range(19))
     (land / "a.csv").write_text(f"{header}\n{good}\na,b,c\n{good},extra,fields\n")
-    table, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    table = str(tmp_path / "t")
     for _ in range(2):  # the second run finds nothing new
-        ingest_new_files(spark, str(tmp_path / "land"), table, str(tmp_path / "ckpt"), bad)
-    assert spark.read.parquet(table).count() == 1
-    assert sorted(r[0] for r in spark.read.parquet(bad).select("_corrupt_record").collect()) == sorted(["a,b,c", f"{good},extra,fields"])
+        ingest_new_files(spark, str(tmp_path / "land"), table, str(tmp_path / "ckpt"))
+    assert read_raw(spark, table).count() == 1
+    assert sorted(r[0] for r in read_quarantine(spark, table).select("_corrupt_record").collect()) == sorted(["a,b,c", f"{good},extra,fields"])
 
 
 def test_platform_from_file_name_only(spark):
