@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import WORD, text_or_empty, written
+from hirelake.llm.common import WORD, fresh, text_or_empty, written
 
 SEED = "mix-1"
 #: Leading hexadecimal digits of a document's place in the seeded order that make its bucket.
@@ -132,6 +132,9 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3
     plan = buckets.groupBy("source").agg(F.first("whole").alias("whole"), F.min(F.when(F.col("before") + F.col("n") > F.col("part"), F.col("bucket"))).alias("open"))
     plan = written(plan.alias("p").join(last.alias("l"), F.expr("p.source <=> l.source"), "left")
                    .select(F.col("p.source").alias("__source"), "whole", F.coalesce("last", "open", F.lit("")).alias("last")), "mix-plan")
-    times = F.col("whole") + (place(seed) <= F.col("last")).cast("long")
-    return (docs.join(plan, docs["source"].eqNullSafe(plan["__source"]))
-            .withColumn("__time", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[docs[c] for c in docs.columns]))
+    # the plan's columns by names that the documents do not have
+    source, whole, last = (fresh(docs, f"mix_{c}") for c in ("source", "whole", "last"))
+    plan = plan.toDF(source, whole, last)
+    times = F.col(whole) + (place(seed) <= F.col(last)).cast("long")
+    return (docs.join(plan, docs["source"].eqNullSafe(F.col(source)))
+            .withColumn(fresh(docs, "mix_time"), F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[docs[c] for c in docs.columns]))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import batches_of, bounded_batches, rows_of, written
+from hirelake.llm.common import batches_of, bounded_batches, fresh, rows_of, written
 
 #: Retained values of a sketch.
 K = 40
@@ -242,3 +242,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` but for one row of each group of near copies: that with
+    the smallest id (null last), then the smallest hash of the text, then the first.
+
+    Groups are of rows, not of ids: of repeated rows one stays, copies without an
+    id are copies all the same, and of two texts under one id each is judged by
+    itself.  Texts without words are copies of nothing.  Rows are numbered in a
+    written copy, so every step sees the same numbers.
+    """
+    row = fresh(docs, "dedup_row")
+    copy = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(copy.select(F.col(row).alias("doc_id"), "text"), width, percent)
+    groups = written(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("comp")), "groups")
+    several = groups.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp")
+    order = copy.select(F.col(row).alias("row"), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"),
+                                                          F.col(row).alias("row")).alias("key"))
+    members = written(groups.join(several, "comp").join(order, "row"), "copies")
+    first = members.groupBy("comp").agg(F.min("key").alias("first"))
+    dropped = members.join(first, "comp").where(F.col("key.row") != F.col("first.row")).select(F.col("row").alias(row))
+    return copy.join(dropped, row, "left_anti").select(*[copy[c] for c in docs.columns])

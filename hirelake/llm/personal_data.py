@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import text_or_empty
+from hirelake.llm.common import fresh, text_or_empty
 
 LOCAL = "A-Za-z0-9._%+-"
 DIGIT_CHAIN = r"[0-9](?:[\x20-]?[0-9])"
@@ -171,9 +171,9 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Overlapping spans become one, named by the first.  ``n_chars``, if there is
     such a column, follows the new text; rows without spans stay as they are, a
-    null text stays null.
+    null text stays null.  Repeated rows stay; an empty table stays empty.
     """
-    spans = "__spans"
+    spans, text = fresh(docs, "pii_spans"), fresh(docs, "pii_text")
     found = find(docs, spans)
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -186,7 +186,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     new = F.aggregate(order, zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
     has = F.size(spans) > 0
-    out = found.withColumn("__text", F.when(has, new).otherwise(F.col("text")))
+    out = found.withColumn(text, F.when(has, new).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(has, F.length("__text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("__text")).select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(has, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col(text)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -112,7 +112,6 @@ _BASE = {
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
     "card": r"[0-9](?:[\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
     "ssn": r"[0-9]+(?:-[0-9]+)+",
 }
 _CONFIRM = {
@@ -130,20 +129,33 @@ _CONFIRM = {
 }
 
 
+def _iban_sql() -> str:
+    """Account numbers by country, each of its own length."""
+    from hirelake.llm.personal_data import IBAN_LENGTHS
+
+    form = r"{}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{}}}{}"
+    return r"\b(?:" + "|".join(form.format(c, n // 4 - 1, rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for c, n in IBAN_LENGTHS.items()) + r")\b"
+
+
 def _personal_data_sql() -> str:
-    """Matches and the pieces between them alternate, as in the operator; rows are spans instead of arrays."""
+    """Matches and the pieces between them alternate, as in the operator; rows are spans instead of arrays.
+
+    An underscore does not belong to an account number but would to a word of ``\\b``, so there it is read as a dot.
+    """
     from hirelake.llm.personal_data import IBAN_LENGTHS
 
     confirm = _CONFIRM | {"iban": _CONFIRM["iban"].replace("%s", ", ".join(f"'{k}': {v}" for k, v in IBAN_LENGTHS.items()))}
+    base = {k: _BASE[k] for k in ("email", "ip", "card", "phone")}
     parts = []
-    for k, (kind, pattern) in enumerate(_BASE.items()):
+    for k, (kind, pattern) in enumerate((base | {"iban": _iban_sql(), "ssn": _BASE["ssn"]}).items()):
+        text = "replace(text, '_', '.')" if kind == "iban" else "text"
         parts.append(f"""
   SELECT r, {k} AS k, '{kind}' AS kind, s, s + len(m) AS e FROM (
     SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS g, replace(m, ' ', '') AS a FROM (
       SELECT r, text, ms[i] AS m, (len(array_to_string(ps[1:i], '')) + len(array_to_string(ms[1:i - 1], '')))::BIGINT AS s FROM (
         SELECT r, text, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
-          SELECT r, text, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS ps
-          FROM d WHERE regexp_matches(text, '{pattern}'))))) WHERE {confirm[kind]}""")
+          SELECT r, text, regexp_extract_all({text}, '{pattern}') AS ms, regexp_split_to_array({text}, '{pattern}') AS ps
+          FROM d WHERE regexp_matches({text}, '{pattern}'))))) WHERE {confirm[kind]}""")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 f AS ({" UNION ALL ".join(parts)}),
