@@ -22,8 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
-    found = near_duplicates.near_duplicates(docs, width=5, percent=80)
-    return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return near_duplicates.one_of_each(docs, width=5, percent=80)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

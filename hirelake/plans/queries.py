@@ -894,10 +894,15 @@ def q_embedded_to_posting(spark, sf_dir):
     return embedded_to_posting(_job_pages(spark, sf_dir), uuid, PAGE_AS_OF, ["page_id"])
 
 
+#: Markup that a pattern of plain tags reads wrongly.
+ODD_MARKUP = ('<p title="a > b" data-x=\'c > d\'>kept</p><!-- gone <b>x</b> > --><script type="x > y">var s = "<p>gone</p>" > 1;</script>'
+              '<STYLE>p > a { color: red }</STYLE >if a < b then<br/>1 <2 tail')
+
+
 @register("html_to_text")
 def q_html_to_text(spark, sf_dir):
     from hirelake.operators.pages import html_to_text
-    return _pages(spark, sf_dir).select("page_id", html_to_text("html").alias("text"))
+    return _pages(spark, sf_dir).select("page_id", html_to_text(F.concat("html", F.lit(ODD_MARKUP))).alias("text"))
 
 
 @register("strip_markup_symbols")

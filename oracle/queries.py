@@ -458,7 +458,19 @@ reg("extract_card_attributes", _CARDS + f"""SELECT page_id, {_at('data-job-id')}
 reg("disclosed_flag", _CARDS + f"SELECT page_id, {_at('data-job-salary')} IS NOT NULL AS is_salary_disclosed FROM cards")
 reg("parse_location_text", _CARDS + f"SELECT page_id, {_COUNTRY} AS country, {_CITY} AS city FROM cards")
 reg("map_city_to_region", _CARDS + f"SELECT page_id, {_at('data-job-state')} AS city, {_REGION_MAP}[{_at('data-job-state')}] AS region FROM cards")
-reg("html_to_text", f"SELECT page_id, {_to_text('html')} AS text FROM pages")
+_ODD = """<p title="a > b" data-x='c > d'>kept</p><!-- gone <b>x</b> > --><script type="x > y">var s = "<p>gone</p>" > 1;</script><STYLE>p > a { color: red }</STYLE >if a < b then<br/>1 <2 tail"""
+_TAGS = """(?is)</?[a-z!?](?:[^>"']|"[^"]*"|'[^']*')*>"""
+
+
+def _removed(x: str, pattern: str) -> str:
+    return f"regexp_replace({x}, {q(pattern)}, ' ', 'g')"
+
+
+# comments first, then scripts and styles, then tags; no page has one of these inside another
+_PLAIN = _removed("html || " + q(_ODD), "(?s)<!--.*?-->")
+for _element in ("script", "style"):
+    _PLAIN = _removed(_PLAIN, f"""(?is)<{_element}\\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?</{_element}\\s*>""")
+reg("html_to_text", f"""SELECT page_id, trim(regexp_replace({_decode(_removed(_PLAIN, _TAGS))}, '\\s+', ' ', 'g'), ' ') AS text FROM pages""")
 reg("strip_markup_symbols", """SELECT doc_id, CAST(length(t) AS INTEGER) AS text_chars, md5(t) AS text_md5 FROM (
  SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[*_]+', '', 'g'),
   '[\\x{1F000}-\\x{1FAFF}\\x{2600}-\\x{27BF}\\x{1F1E6}-\\x{1F1FF}]+', '', 'g'), '\\s+', ' ', 'g'), ' ') AS t FROM documents)""")
