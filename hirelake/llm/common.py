@@ -22,9 +22,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Bound Arrow batches by bytes: rows alone do not bound a batch of very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

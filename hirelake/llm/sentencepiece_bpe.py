@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import batches_of, bounded_batches, text_or_empty
+from hirelake.llm.common import BATCH_BYTES, batches_of, bounded_batches, text_or_empty
 
 MARK = "▁"
 #: Segments of more characters go to the heap and are not kept in the memo.
@@ -322,7 +322,7 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256"
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def encode_digests(docs: DataFrame, path: str, memo_size: int = 500_000) -> DataFrame:
+def encode_digests(docs: DataFrame, path: str, memo_size: int = 200_000) -> DataFrame:
     """Per row: number of ids, digests of the ids and of the decoded text.
 
     ``path`` names the model file on every executor.  Only ``doc_id`` and
@@ -330,7 +330,7 @@ def encode_digests(docs: DataFrame, path: str, memo_size: int = 500_000) -> Data
     empty text), a null ``doc_id`` stays null, an empty table gives no rows.
     Map-only: no shuffle, memory bounded by one batch and the memo.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES // 2)  # a batch's units take many times its bytes
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
         encode_batches(path, memo_size),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_disagree long")
