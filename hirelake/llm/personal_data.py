@@ -8,6 +8,10 @@ A span's place comes from cutting the text at the pattern: the pieces between
 the matches and the matches themselves alternate, so their lengths add up to
 the places.  Patterns take runs possessively and start only where a run starts
 (or the last match ended), so a long run is read once.
+
+Sums over the matches of a text are taken in blocks, and pieces of a text are cut
+out of blocks of its characters, so a text with very many matches costs little
+more than its matches.
 """
 
 from __future__ import annotations
@@ -104,38 +108,57 @@ NEAR, RAISE, LEAST = 40, 0.3, 0.5
 SPAN = "struct<kind:string,start:int,end:int,score:double>"
 
 
-def proposals(text: Column, pattern: str) -> Column:
-    """Matches of a pattern as an array of (start, match), start in code points from 0."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(pieces, matches, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
-    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,m:string>>)").alias("found"))
+#: Elements of a block of running sums, characters of a block of text.
+SUMS, CHARS = 256, 4096
+#: Pairs of a match and what follows it that hold ``NEAR`` characters at least: no match is shorter than four.
+PAIRS = NEAR // 4
+
+
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, whatever body makes of it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(values: Column, step) -> Column:
+    """For every element of an array of numbers, ``step`` (a sum or a maximum) over all before it, from 0.
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        return F.struct((start + F.length(x["m"])).alias("at"),
-                        F.concat(acc["found"], F.array(F.struct(start.alias("start"), x["m"].alias("m")))).alias("found"))
+    Block by block, and within a block from its first element on.
+    """
+    def over(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / SUMS).cast("int")),
+                             lambda b: F.aggregate(F.slice(v, b * SUMS + 1, F.lit(SUMS)), F.lit(0), step))
+        before = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x))))
+        return bound(before, lambda p: F.transform(v, lambda _, i: F.aggregate(
+            F.slice(v, i - i % SUMS + 1, i % SUMS), F.get(p, F.floor(i / SUMS).cast("int")), step)))
 
-    return F.aggregate(F.filter(lengths, lambda x: x["m"].isNotNull()), empty, step)["found"]
+    return bound(values, lambda v: F.when(F.size(v) > 0, over(v)).otherwise(F.array().cast("array<int>")))
 
 
 def spans_of(text: Column, kind: Kind) -> Column:
-    """The confirmed spans of one kind, in order, with their scores."""
-    found = proposals(text, kind.pattern)
-    if kind.confirm is not None:
-        found = F.filter(found, lambda x: kind.confirm(x["m"]))
+    """The confirmed spans of one kind, in order, with their scores; places count code points from 0."""
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+
+    def spans(cut: Column) -> Column:
+        pieces, matches = cut["pieces"], cut["matches"]
+        gaps = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.length(p) + F.length(m))
+        # what stands before a match: the ends of the pieces and matches before it
+        tails = F.flatten(F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.array(F.right(p, F.lit(NEAR)), m)))
+
+        def one(x: Column, i: Column, tail: Column) -> Column:
+            start = x["before"] + F.length(x["piece"])
+            first = F.greatest(2 * i + 1 - 2 * PAIRS, F.lit(1))
+            before = F.lower(F.right(F.array_join(F.slice(tail, first, 2 * i + 2 - first), ""), F.lit(NEAR)))
+            score = F.lit(kind.score) + F.when(before.rlike(rf"\b(?:{kind.context})"), RAISE).otherwise(0.0)
+            ok = F.lit(True) if kind.confirm is None else kind.confirm(x["m"])
+            return F.when(ok, F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(x["m"])).alias("end"),
+                                       F.least(score, F.lit(1.0)).alias("score")))
 
-    def scored(x: Column) -> Column:
-        begin = F.greatest(x["start"] - NEAR, F.lit(0))
-        before = F.lower(F.substring(text, begin + 1, x["start"] - begin))
-        score = F.lit(kind.score) + F.when(before.rlike(rf"\b(?:{kind.context})"), RAISE).otherwise(0.0)
-        return F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"),
-                        (x["start"] + F.length(x["m"])).alias("end"), F.least(score, F.lit(1.0)).alias("score"))
+        rows = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(matches)).alias("piece"), matches.alias("m"), running(gaps, lambda a, x: a + x).alias("before"))
+        found = F.array_compact(bound(tails, lambda t: F.transform(rows, lambda x, i: one(x, i, t))))
+        return found if kind.base else F.filter(found, lambda s: s["score"] >= LEAST)
 
-    spans = F.transform(found, scored)
-    if not kind.base:
-        spans = F.filter(spans, lambda s: s["score"] >= LEAST)
-    return F.when(text.rlike(kind.pattern), spans).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
+    cut = F.struct(F.split(text, kind.pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("matches"))
+    return F.when(text.rlike(kind.pattern), bound(cut, spans)).otherwise(none)
 
 
 def find(docs: DataFrame, out: str = "spans") -> DataFrame:
@@ -176,15 +199,23 @@ def redact(docs: DataFrame) -> DataFrame:
     spans, text = fresh(docs, "pii_spans"), fresh(docs, "pii_text")
     found = find(docs, spans)
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(apart, F.concat(acc["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(acc["out"]).alias("out"))
-
-    new = F.aggregate(order, zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    blocks = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{CHARS}}}"), F.lit(0))
+
+    def part(block: Column, start: Column, end: Column) -> Column:
+        """Characters start to end, from the blocks that hold them."""
+        first = F.floor(start / CHARS).cast("int")
+        held = F.array_join(F.slice(block, first + 1, F.floor(end / CHARS).cast("int") - first + 1), "")
+        return F.substring(held, start - first * CHARS + 1, end - start)
+
+    def replaced(x: Column) -> Column:
+        done = running(F.transform(x["spans"], lambda s: s["end"]), lambda a, x: F.greatest(a, x))  # the end of what is replaced so far
+        rows = F.arrays_zip(x["spans"].alias("s"), done.alias("at"))
+        pieces = F.transform(rows, lambda r: F.when(r["s"]["start"] >= r["at"], F.concat(
+            part(x["blocks"], r["at"], r["s"]["start"]), F.lit("<"), F.upper(r["s"]["kind"]), F.lit(">"))).otherwise(F.lit("")))
+        last = F.aggregate(x["spans"], F.lit(0), lambda acc, s: F.greatest(acc, s["end"]))
+        return F.concat(F.array_join(pieces, ""), bound(last, lambda at: part(x["blocks"], at, F.length("text"))))
+
+    new = bound(F.struct(order.alias("spans"), blocks.alias("blocks")), replaced)
     has = F.size(spans) > 0
     out = found.withColumn(text, F.when(has, new).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

@@ -72,3 +72,23 @@ def test_entry_without_a_library():
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
     assert int(out.stdout) > 100
+
+
+def test_many_matches_in_one_text(spark):
+    """A text of 40,000 addresses and as many other spans: places, redaction and context as in short texts."""
+    import re
+    from hirelake.llm.personal_data import digests, find, redact
+    n = 40_000
+    text = " ".join(f"é😀 a{i}@b.cd ssn 123-45-6789 10.0.0.{i % 300}" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, text[:5000])], "doc_id long, text string")
+    long, short = digests(docs).orderBy("doc_id").collect()
+    assert long.n_email == n and long.n_ip == sum(i % 300 < 256 for i in range(n))
+    want = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+    got = [tuple(map(int, s.split(":")[1:])) for s in long.spans.split(",") if s.startswith("email")]
+    assert got == want and long.spans.startswith(short.spans.split(",ip:")[0])
+    assert long.spans.count("ssn:") == n  # every one by the word before it
+    new = redact(docs.where("doc_id = 1")).first().text
+    plain = re.sub(r"[a-z0-9]+@b\.cd", "<EMAIL>", text).replace("123-45-6789", "<SSN>")
+    assert new == re.sub(r"10\.0\.0\.(\d+)", lambda m: "<IP>" if int(m[1]) < 256 else m[0], plain)
+    near = find(spark.createDataFrame([("ssn" + " " * 36 + "123-45-6789",), ("ssn" + " " * 38 + "123-45-6789",), ("tel +1 2 ssn +1 2 123-45-6789",)], "text string"))
+    assert [len([s for s in r.spans if s.kind == "ssn"]) for r in near.collect()] == [1, 0, 1]
