@@ -189,7 +189,7 @@ reg("failing_rows", on_chain("final", f"""SELECT job_key, 'city_not_null' AS che
  UNION ALL SELECT job_key, 'status_accepted' FROM final WHERE normalized_job_status NOT IN ('Active', 'Closed', 'Expired')""", _FAULTY))
 
 # -- 2.3 static dataset profiling
-from hirelake.functions import rules as _R  # noqa: E402
+from oracle import values as _R  # noqa: E402
 from hirelake.sources.static_fixture import static_sql_for  # noqa: E402
 
 _TYPES = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' " \

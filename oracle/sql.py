@@ -5,12 +5,13 @@ The postings chain is written out as SQL CTEs (``WITH raw AS (...), stg AS
 its own ``SELECT``.  The SQL uses DuckDB's own functions (ILIKE, QUALIFY,
 ``regexp_extract_all(...)[n]``, ``try_strptime``) rather than mirroring the
 Spark expressions, so the two sides only agree when the logic does.
-Rule data (labels, aliases) is shared from ``hirelake.functions.rules``.
+Rule values are stated in :mod:`oracle.values`; only the texts that derive the
+fixture tables (postings, pages, seed, phrases) are shared with the library.
 """
 
 from __future__ import annotations
 
-from hirelake.functions import rules as R
+from oracle import values as R
 from hirelake.sources.catalog import BENCHMARK_PHRASES_SQL, FIXED_ENTRIES
 from hirelake.sources.fixture import postings_sql_for
 from hirelake.sources.seeds import city_region_values_sql

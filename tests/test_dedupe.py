@@ -39,3 +39,13 @@ def test_null_keys_group_together(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
     out = preferred_row(df, [F.col("k")], [F.col("v").asc()], count_col="n")
     assert sorted(rows(out, "k", "v", "n"), key=str) == sorted([(None, 1, 2), ("a", 3, 1)], key=str)
+
+
+def test_dedupe_counts_from_the_same_pass(spark):
+    from hirelake.operators.dedupe import DedupeCounts, dedupe_counts, dedupe_keep_missing_ids
+    data = [("a", 1), ("a", 2), (None, 3), (None, 3), (" ", 4), ("NaN", 5), ("none", 6), ("b", 7), ("hot", 8)] + [("hot", i) for i in range(100)]
+    df = spark.createDataFrame(data, "k string, v int").repartition(4)
+    counts = DedupeCounts()
+    got = dedupe_keep_missing_ids(df, "k", [F.col("v").asc()], counts)
+    assert sorted(rows(got), key=str) == sorted([("a", 1), (None, 3), (None, 3), (" ", 4), ("NaN", 5), ("none", 6), ("b", 7), ("hot", 0)], key=str)
+    assert counts.get() == dedupe_counts(df, "k").first().asDict()

@@ -86,3 +86,75 @@ def test_large_catalog_as_brute_force(spark):
             if m:
                 want.add((doc_id, n, m[0]))
     assert got == want and len(want) > 500
+
+
+def test_candidates_of_several_words_and_sharp_s(spark):
+    from hirelake.operators.tagging import joined_candidates
+    c = spark.createDataFrame([("k", i, w, 0.5 if w in ("with", "and") else 0.9) for i, w in enumerate("problem solving with Straße and STRASSE with C++".split())],
+                              "job_key string, position int, word string, score double")
+    spans = joined_candidates(c)
+    assert sorted(rows(spans, "position", "word")) == [(0, "problem solving"), (3, "Straße"), (5, "STRASSE"), (7, "C++")]
+    catalog = [*CATALOG, ("STRASSE", "x", ["strasse"]), ("Straße", "x", ["straße"])]
+    got = sorted(rows(resolve_scored_candidates(spans, catalog), "skill_name", "evidence_span"))
+    assert got == [("C++", "C++"), ("Problem Solving", "problem solving"), ("Straße", "Straße")]  # the first position wins
+    df = spark.createDataFrame([("k", "strasse STRASSE Straße")], "key string, text string")
+    assert rows(tag_phrases(df, "key", "text", catalog), "skill_name", "evidence_span") == [("STRASSE", "strasse")]  # one entry a name
+
+
+def test_symbols_around_words_as_regex(spark):
+    """Every alias at every kind of border, as a regex with look-arounds finds it."""
+    import itertools
+    import re
+    aliases = [".net", "c++", "ci/cd", "node.js", "r&d", "#go", "t-sql", "+x+", "a b", "--y"]
+    catalog = [(f"S{i}", "technical_skill", [a]) for i, a in enumerate(aliases)]
+    texts = [f"{b}{a.upper() if i % 2 else a}{e}" for i, (a, b, e) in enumerate(itertools.product(aliases, ["", "x", " ", ".", "+", "é", "_", "- "], ["", "x", " z", ".", "+", "++", "1", "_"]))]
+    texts += [" ".join(p) for p in itertools.permutations(aliases[:4])] + ["", "   ", "+++", "c++c++", "c+++", "..net", ".net.net"]
+    df = spark.createDataFrame(list(enumerate(texts)), "key int, text string").repartition(5)
+    got = set(rows(tag_phrases(df, "key", "text", catalog), "key", "skill_name", "evidence_span"))
+    want = {(k, n, m[0]) for k, t in enumerate(texts) for n, _, (a,) in catalog if (m := re.search(rf"(?<!\w){re.escape(a)}(?!\w)", t, re.I))}
+    assert got == want and len(want) > 200
+
+
+def test_resolve_phrase_takes_first_entry(spark):
+    from hirelake.operators.tagging import resolve_phrase
+    df = spark.createDataFrame([(1, "bim and JAVA"), (2, "java, javascript"), (3, "nothing"), (4, None), (5, "Artificial Intelligence in AI")], "k int, t string")
+    got = {r[0]: r[1:] for r in rows(resolve_phrase(df, ["k"], "t", CATALOG), "k", "skill_name", "matched")}
+    assert got == {1: ("Java", "JAVA"), 2: ("JavaScript", "javascript"), 3: (None, None), 4: (None, None), 5: ("AI", "AI")}
+
+
+def test_errors_stay_with_their_row(spark):
+    from hirelake.operators.tagging import outcome_log, outcome_tags, pending_work, text_outcomes
+    final = spark.createDataFrame([("a", "java"), ("b", "مهندس java"), ("c", "ليس java"), ("d", "none"), ("e", " ")], "job_key string, description string")
+
+    def translate(text):
+        if "ليس" in text:
+            raise RuntimeError("out of words")
+        return "engineer of java"
+
+    out = text_outcomes(pending_work(final, None, None), ["job_key"], "description", CATALOG, translate=translate)
+    log = outcome_log(out, "2026-12-01 00:00:00")
+    assert sorted(rows(log, "job_key", "skill_count", "status")) == [("a", 1, "skills_found"), ("b", 1, "skills_found"), ("c", 0, "error"), ("d", 0, "no_skills_found")]
+    assert sorted(rows(outcome_tags(out, ["job_key"]), "job_key", "evidence_span")) == [("a", "java"), ("b", "مهندس java")]
+    assert rows(out.where("error is not null"), "error") == [("RuntimeError: out of words",)]
+    assert rows(pending_work(final, outcome_tags(out, ["job_key"]), log), "job_key") == [("c",)]
+
+
+def test_alias_without_a_word_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "+ +")], "k int, t string")
+    with pytest.raises(Exception, match="without a word"):
+        tag_phrases(df, "k", "t", [("Plus", "x", ["+"])]).collect()
+
+
+def test_folding_as_python(spark):
+    """Names are equal under the folding when Python's casefold says so; the simple folding keeps lengths."""
+    import re
+    from hirelake.functions.text import fold_case, fold_simple
+    cs = [chr(c) for c in range(0x250)] + [chr(c) for c in range(0x370, 0x590)] + list("ẞßſK Åǰ ﬁﬂẛ ᾳ ς Σ İı")
+    pairs = [(c, x) for c in cs for x in {c.lower(), c.upper(), c.casefold(), c.swapcase()}]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for r in df.select("a", "b", (fold_case("a") == fold_case("b")).alias("full"), fold_simple("a").alias("fa"), (fold_simple("a") == fold_simple("b")).alias("simple")).collect():
+        assert r.full == (r.a.casefold() == r.b.casefold()), r
+        assert len(r.fa) == len(r.a)
+        if len(r.b) == 1 and r.a not in "\u0345" and r.b not in "\u0345":
+            assert r.simple == bool(re.fullmatch(re.escape(r.a), r.b, re.I)), r
