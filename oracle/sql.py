@@ -239,7 +239,7 @@ RUN_TS = "2026-12-02 00:00:00"
 def catalog_cte() -> str:
     """The phrase catalog as rows: fixed entries and those cut from the benchmark texts."""
     fixed = ", ".join(f"({e}, {q(n)}, {q(c)}, {r}, {q(a)})" for e, (n, c, aliases) in enumerate(FIXED_ENTRIES) for r, a in enumerate(aliases))
-    return f"""SELECT *, lower(alias) AS low, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])(' || regexp_escape(alias) || ')(?:[^\\p{{L}}\\p{{N}}_]|$)' AS pattern FROM (
+    return f"""SELECT *, lower(alias) AS low FROM (
  SELECT * FROM (VALUES {fixed}) AS f(entry, skill_name, skill_category, alias_rank, alias)
  UNION ALL {BENCHMARK_PHRASES_SQL.replace("{benchmark}", "benchmark")})"""
 
@@ -249,9 +249,20 @@ FIRST_ENTRIES = """SELECT * FROM catalog QUALIFY entry = min(entry) OVER (PARTIT
 
 
 def hits(texts: str, key: str, catalog: str) -> str:
-    """Every alias against every text: the key, the alias's row and what it matched."""
-    return f"""SELECT t.{key}, c.entry, c.skill_name, c.skill_category, c.alias_rank, regexp_extract(t.txt, c.pattern, 1) AS matched
- FROM (SELECT *, lower(txt) AS low FROM {texts}) t JOIN {catalog} c ON contains(t.low, c.low) WHERE regexp_matches(t.txt, c.pattern)"""
+    """Every alias against every text: the key, the alias's row and what it matched.
+
+    The text is split at the alias; between two pieces it stands by itself if no word
+    character ends the one or begins the other (an empty piece: the alias does)."""
+    word = "regexp_matches({}, '[\\p{{L}}\\p{{N}}_]')".format
+    before = "CASE WHEN ps[i] <> '' THEN right(ps[i], 1) WHEN i > 1 THEN right(a, 1) ELSE '' END"
+    after = "CASE WHEN ps[i + 1] <> '' THEN left(ps[i + 1], 1) WHEN i + 1 < len(ps) THEN left(a, 1) ELSE '' END"
+    return f"""WITH near AS MATERIALIZED (SELECT t.{key}, c.entry, c.alias_rank FROM (SELECT {key}, lower(txt) AS low FROM {texts}) t
+  JOIN {catalog} c ON contains(t.low, c.low)),
+ cut AS (SELECT n.{key}, c.entry, c.skill_name, c.skill_category, c.alias_rank, t.txt, c.low AS a, string_split(lower(t.txt), c.low) AS ps FROM near n
+  JOIN {catalog} c ON c.entry = n.entry AND c.alias_rank = n.alias_rank JOIN {texts} t ON t.{key} = n.{key}),
+ placed AS (SELECT *, list_filter(range(1, len(ps)), lambda i: NOT {word(before)} AND NOT {word(after)})[1] AS place FROM cut)
+ SELECT {key}, entry, skill_name, skill_category, alias_rank, substr(txt, CAST(length(array_to_string(ps[1:place], '')) + (place - 1) * length(a) + 1 AS BIGINT), length(a)) AS matched
+ FROM placed WHERE place IS NOT NULL"""
 
 
 def first_alias(texts: str, key: str) -> str:
