@@ -104,11 +104,15 @@ def try_boolean(c: ColumnOrName) -> Column:
 _FOLD_FROM = "\u017f\u212a\u212b\u0131\u03c2\u00b5\u03d0\u03f5\u03d1\u03f0\u03d6\u03f1\u03d5\u1e9b\u1fbe\u1c80\u1c81\u1c82\u1c83\u1c84\u1c85\u1c86\u1c87\u1c88"
 _FOLD_TO = "sk\u00e5i\u03c3\u03bc\u03b2\u03b5\u03b8\u03ba\u03c0\u03c1\u03c6\u1e61\u03b9\u0432\u0434\u043e\u0441\u0442\u0442\u044a\u0463\ua64b"
 
+#: Ranges that hold every character for which folding is more than lower(); a few ranges are tested fast.
+_FOLD_MAY_DIFFER = "[\u00b5\u0130-\u017f\u0370-\u052f\u1c80-\u1fff\u212a\u212b]"
+
 
 def fold_simple(c: ColumnOrName) -> Column:
     """Text for comparison without case, character by character: the length stays
     (a long s is an s, a dotless i an i; a sharp s stays itself)."""
-    return F.translate(F.lower(F.translate(col(c), "\u0130", "i")), _FOLD_FROM, _FOLD_TO)
+    x = col(c)
+    return F.when(x.rlike(_FOLD_MAY_DIFFER), F.translate(F.lower(F.translate(x, "\u0130", "i")), _FOLD_FROM, _FOLD_TO)).otherwise(F.lower(x))
 
 
 def fold_case(c: ColumnOrName) -> Column:

@@ -1,15 +1,16 @@
 """Phrases of a catalog in free text, as a join.
 
 The catalog is a table of aliases (:func:`catalog_table`).  Every alias is keyed by
-its first word; a text is cut once into runs of word characters and of others,
-every word goes out with what stands around it, and an equi-join on the word
-brings the aliases that could begin there.  What follows the word decides.  The
-plan is the same for ten aliases and a million: Spark broadcasts the catalog up to
+its first word, or by its first two words and what stands between them; a text is cut
+once into runs of word characters and of others, every place where a key may stand (its
+hash is marked in a small table of bits) goes out with what stands around it, and an
+equi-join on the key brings the aliases that could begin there.  What follows decides.
+The plan is the same for ten aliases and a million: Spark broadcasts the catalog up to
 its byte threshold and shuffles both sides beyond it.
 
 A match stands between word boundaries: no letter, digit or underscore on
-either side (``éai`` does not contain ``ai``).  Then every word of the alias is a
-whole word of the text, which is why the key loses nothing, also with symbols in
+either side (``éai`` does not contain ``ai``).  Then every word of the alias, and what
+stands between two of them, is a whole run of the text, which is why the key loses nothing, also with symbols in
 front (``.net``), inside (``ci/cd``) or behind (``c++``).  Case is ignored by simple
 folding, character by character, so places in the folded and the own text agree.
 """
@@ -27,7 +28,10 @@ from hirelake.functions.text import ColumnOrName, col, fold_case, fold_simple
 Catalog = Sequence[tuple[str, str, Sequence[str]]]
 
 WORD = r"[\p{L}\p{N}_]"
-RUNS = rf"(?s){WORD}+|[^\p{{L}}\p{{N}}_]+"
+RUNS = rf"(?s){WORD}++|[^\p{{L}}\p{{N}}_]++"
+#: Beginnings of aliases are marked in 2**SLOT_BITS numbers of 64 bits (16 KB).
+SLOT_BITS = 11
+SLOTS = 1 << SLOT_BITS
 CATALOG_SCHEMA = "entry int, skill_name string, skill_category string, alias_rank int, alias string"
 
 
@@ -48,47 +52,82 @@ def first_entries(table: DataFrame) -> DataFrame:
 
 
 def alias_index(table: DataFrame) -> DataFrame:
-    """Aliases by their first word: ``lead`` stands before the word, ``core`` begins with it; ``size`` is the number of runs in the core.
+    """Aliases by their beginning: ``lead`` stands before the first word, ``core`` begins with it; ``size`` is the number of runs in the core.
 
-    An alias without a word character is an error.
+    ``__key`` is the core's first word, or its first three runs (``word``, ``sep``, ``second``) where it has
+    as many: these are whole runs of the text too.  An alias without a word character is an error.
     """
     folded = fold_simple("alias")
     runs = F.regexp_extract_all(folded, F.lit(RUNS), F.lit(0))
     t = table.select("*", folded.alias("__folded"), runs.alias("__runs"))
     leads = ~F.get("__runs", F.lit(0)).rlike(WORD)
     t = t.withColumn("lead", F.when(leads, F.get("__runs", F.lit(0))).otherwise(F.lit("")))
-    word = F.get("__runs", F.when(F.col("lead") == "", 0).otherwise(1))
+    at = F.when(F.col("lead") == "", 0).otherwise(1)
+    word = F.get("__runs", at)
     word = F.when(word.isNull(), F.raise_error(F.concat(F.lit("alias without a word: "), F.col("alias")))).otherwise(word)
-    return t.select("entry", "skill_name", "skill_category", "alias_rank", word.alias("word"), "lead",
-                    F.substring("__folded", F.length("lead") + 1, F.length("__folded")).alias("core"),
-                    (F.size("__runs") - F.when(F.col("lead") == "", 0).otherwise(1)).alias("size"))
+    t = t.select("entry", "skill_name", "skill_category", "alias_rank", word.alias("word"), "lead",
+                 F.substring("__folded", F.length("lead") + 1, F.length("__folded")).alias("core"),
+                 (F.size("__runs") - at).alias("size"),
+                 *[F.when(F.size("__runs") - at > 2, F.get("__runs", at + n)).alias(c) for n, c in ((1, "sep"), (2, "second"))])
+    return t.withColumn("__key", F.concat("word", F.coalesce("sep", F.lit("")), F.coalesce("second", F.lit(""))))
 
 
-def occurrences(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, table: DataFrame, extra: Column | None = None) -> DataFrame:
+def known_words(index: DataFrame) -> DataFrame:
+    """One row, whatever the catalog: ``__size`` of the longest core, and ``__bits``, in which the
+    key of every alias has marked the bit of its hash (:func:`may_begin`)."""
+    slot, bit = _bit_of("word", "sep", "second")
+    marks = index.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"), "size")
+    none = index.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("bits"), F.lit(1).alias("size"))
+    slots = marks.unionByName(none).groupBy("slot").agg(F.bit_or("bits").alias("bits"), F.max("size").alias("size"))
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "bits")))
+    return slots.agg(F.max("size").alias("__size"), ordered["bits"].alias("__bits"))
+
+
+def _bit_of(*runs: ColumnOrName) -> tuple[Column, Column]:
+    h = F.xxhash64(*runs)
+    return F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int"), h.bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def may_begin(*runs: Column) -> Column:
+    """False only for runs (one or three) that are no alias's key."""
+    slot, bit = _bit_of(*runs)
+    return F.getbit(F.get("__bits", slot), bit) == 1
+
+
+def occurrences(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, table: DataFrame, extra: Column | None = None, every: bool = True) -> DataFrame:
     """Where aliases occur: ``keys`` with ``hit`` (entry, alias rank, place, matched text, name, category).
 
     Every row of ``texts`` also gives one row without a hit, which carries ``extra``
-    (a struct or null), so that rows without any match are still there.
+    (a struct or null), so that rows without any match are still there; without
+    ``every`` there are only hits.  Only places where the key of an alias may stand leave their text.
     """
     index = alias_index(table)
     own = col(text)
     cut = texts.select(*keys, F.regexp_extract_all(own, F.lit(RUNS), F.lit(0)).alias("__own"),
                        F.regexp_extract_all(fold_simple(own), F.lit(RUNS), F.lit(0)).alias("__folded"),
                        (F.lit(None).cast("string") if extra is None else extra).alias("__extra"))
-    # one alias more than fits makes the longest window; one row, whatever the catalog
-    cut = cut.crossJoin(F.broadcast(index.agg(F.coalesce(F.max("size"), F.lit(1)).alias("__size"))))
+    cut = cut.crossJoin(F.broadcast(known_words(index)))
+    index = index.drop("word", "sep", "second")
     first = F.when(F.get("__own", F.lit(0)).rlike(WORD), 0).otherwise(1)
 
-    def token(i: Column) -> Column:
-        return F.struct(i.alias("place"), F.get("__folded", i).alias("word"), F.when(i > 0, F.get("__own", i - 1)).otherwise(F.lit("")).alias("before"),
-                        F.array_join(F.slice("__own", i + 1, F.col("__size") + 1), "").alias("after"),
+    def token(place: Column, key: Column) -> Column:
+        # one run more than the longest alias has makes the longest window
+        return F.struct(place.alias("place"), key.alias("__key"), F.when(place > 0, F.get("__own", place - 1)).otherwise(F.lit("")).alias("before"),
+                        F.array_join(F.slice("__own", place + 1, F.col("__size") + 1), "").alias("after"),
                         F.lit(None).cast(cut.schema["__extra"].dataType).alias("extra"))
 
-    none = F.struct(F.lit(-1).alias("place"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("before"),
+    none = F.struct(F.lit(-1).alias("place"), F.lit(None).cast("string").alias("__key"), F.lit(None).cast("string").alias("before"),
                     F.lit(None).cast("string").alias("after"), F.col("__extra").alias("extra"))
-    words = F.when(first < F.size("__own"), F.transform(F.sequence(first, F.size("__own") - 1, F.lit(2)), token))
-    tokens = cut.select(*keys, F.explode(F.concat(F.array(none), F.coalesce(words, F.array().cast(f"array<{_token_type(cut)}>")))).alias("t"))
-    tokens = tokens.select(*keys, "t.place", "t.word", "t.before", "t.after", "t.extra")
+    places = F.when(first < F.size("__own"), F.sequence(first, F.size("__own") - 1, F.lit(2)))
+
+    def tokens_by(n: int) -> Column:
+        """Tokens keyed by ``n`` runs."""
+        at = lambda i: [F.get("__folded", i + k) for k in range(n)]
+        found = F.transform(F.filter(places, lambda i: may_begin(*at(i))), lambda i: token(i, F.concat(*at(i))))
+        return F.coalesce(found, F.array().cast(f"array<{_token_type(cut)}>"))
+
+    tokens = cut.select(*keys, F.explode(F.concat(*([F.array(none)] if every else []), tokens_by(1), tokens_by(3))).alias("t"))
+    tokens = tokens.select(*keys, "t.place", "t.__key", "t.before", "t.after", "t.extra")
     core, lead = F.col("core"), F.col("lead")
     rest = F.substring("after", F.length(core) + 1, F.lit(1))
     begins = (lead == "") | (fold_simple("before").endswith(lead) & ((F.length("before") > F.length(lead)) | (F.col("place") == 1)))
@@ -96,11 +135,20 @@ def occurrences(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, table
     matched = F.concat(F.right("before", F.length(lead)), F.left("after", F.length(core)))
     hit = F.when(F.col("entry").isNotNull(), F.struct(
         "entry", "alias_rank", "place", matched.alias("matched"), "skill_name", "skill_category"))
-    return tokens.join(index, "word", "left").where((F.col("place") < 0) | fits).select(*keys, hit.alias("hit"), "extra")
+    joined = tokens.join(index, "__key", "left").where((F.col("place") < 0) | fits) if every else tokens.join(index, "__key").where(fits)
+    return joined.select(*keys, hit.alias("hit"), "extra")
+
+
+def first_places(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of all places with one matched text, the first: counted up before the shuffle, so a frequent phrase ships one row per text and task."""
+    same = ["entry", "alias_rank", "matched", "skill_name", "skill_category"]
+    rows = found.groupBy(*keys, "extra", F.col("hit").isNotNull().alias("__found"), *[F.col(f"hit.{c}").alias(f"__{c}") for c in same]).agg(F.min("hit.place").alias("__place"))
+    hit = F.struct(*[F.col(f"__{c}").alias(c) for c in ("entry", "alias_rank", "place", "matched", "skill_name", "skill_category")])
+    return rows.select(*keys, F.when(F.col("__found"), hit).alias("hit"), "extra")
 
 
 def _token_type(cut: DataFrame) -> str:
-    return f"struct<place:int,word:string,before:string,after:string,extra:{cut.schema['__extra'].dataType.simpleString()}>"
+    return f"struct<place:int,__key:string,before:string,after:string,extra:{cut.schema['__extra'].dataType.simpleString()}>"
 
 
 def hits_per_text(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, catalog: Catalog | DataFrame, extra: Column | None = None) -> DataFrame:
@@ -109,12 +157,13 @@ def hits_per_text(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, cat
     Rows with the same keys count as one text; a null text has no hits.
     """
     table = first_entries(catalog_table(texts.sparkSession, catalog))
-    found = occurrences(texts, keys, text, table, extra)
+    found = first_places(occurrences(texts, keys, text, table, extra), keys)
     by_key = found.groupBy(*keys).agg(F.array_sort(F.collect_list("hit")).alias("hits"), F.max("extra").alias("extra"))
     return by_key.withColumn("hits", F.filter("hits", lambda h, i: (i == 0) | (F.get("hits", i - 1)["entry"] != h["entry"])))
 
 
-def first_hit(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, catalog: Catalog | DataFrame) -> DataFrame:
-    """One row per ``keys``: ``hit``, the first entry (by entry, then alias) that occurs in the text, or null."""
-    found = occurrences(texts, keys, text, catalog_table(texts.sparkSession, catalog))
+def first_hit(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, catalog: Catalog | DataFrame, every: bool = True) -> DataFrame:
+    """One row per ``keys``: ``hit``, the first entry (by entry, then alias) that occurs in the text, or null;
+    without ``every``, rows without a hit are left out."""
+    found = first_places(occurrences(texts, keys, text, catalog_table(texts.sparkSession, catalog), every=every), keys)
     return found.groupBy(*keys).agg(F.min("hit").alias("hit"))

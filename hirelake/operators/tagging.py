@@ -108,10 +108,10 @@ def tag_phrases(df: DataFrame, key_col: str, text_col: ColumnOrName, catalog: Ca
     return outcome_tags(tag_outcomes(df, [key_col], text_col, catalog, confidence, evidence_override, None, evidence_chars), [key_col])
 
 
-def resolve_phrase(df: DataFrame, keys: Sequence[str], text_col: ColumnOrName, catalog: Catalog | DataFrame) -> DataFrame:
+def resolve_phrase(df: DataFrame, keys: Sequence[str], text_col: ColumnOrName, catalog: Catalog | DataFrame, every: bool = True) -> DataFrame:
     """One row per ``keys``: the first catalog entry (catalog order, then
-    alias order) found in the text, or nulls."""
-    return first_hit(df, keys, text_col, catalog).select(
+    alias order) found in the text, or nulls; without ``every``, only texts in which one is found."""
+    return first_hit(df, keys, text_col, catalog, every).select(
         *keys, F.col("hit.skill_name").alias("skill_name"), F.col("hit.skill_category").alias("skill_category"), F.col("hit.matched").alias("matched"))
 
 
@@ -151,7 +151,7 @@ def resolve_scored_candidates(cands: DataFrame, catalog: Catalog | DataFrame, ke
     """
     kept = cands.filter(F.col("score") >= threshold).withColumn("__cand", clean_candidate("word", unescape)).filter(F.col("__cand") != "")
     keys = [key_col, "position", "score"]
-    hits = resolve_phrase(kept, keys, "__cand", catalog).where(F.col("skill_name").isNotNull()).select(
+    hits = resolve_phrase(kept, keys, "__cand", catalog, every=False).select(
         key_col, "position", "skill_name", "skill_category", F.round(F.col("score"), 3).alias("confidence"),
         F.col("matched").alias("evidence_span"))
     if evidence is not None:

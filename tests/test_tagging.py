@@ -158,3 +158,34 @@ def test_folding_as_python(spark):
         assert len(r.fa) == len(r.a)
         if len(r.b) == 1 and r.a not in "\u0345" and r.b not in "\u0345":
             assert r.simple == bool(re.fullmatch(re.escape(r.a), r.b, re.I)), r
+
+
+def test_keys_of_one_and_of_three_runs(spark):
+    """Aliases that share their beginning, cores of one, two and more runs, at either end of a text."""
+    catalog = [("A", "c", ["data"]), ("B", "c", ["data lake"]), ("C", "c", ["data lake house"]), ("D", "c", ["data  lake"]),
+               ("E", "c", ["data+"]), ("F", "c", [".data lake"]), ("G", "c", ["data lake c++"])]
+    df = spark.createDataFrame([(0, "Data"), (1, "data lake"), (2, "a DATA LAKE house."), (3, "data  lake"), (4, "data+ x"), (5, "x .Data Lake C++"),
+                                (6, "data lakes"), (7, ""), (8, None), (9, "data lake c+")], "key int, text string")
+    got = {}
+    for k, s in rows(tag_phrases(df, "key", "text", catalog), "key", "skill_name"):
+        got.setdefault(k, set()).add(s)
+    assert got == {0: {"A"}, 1: {"A", "B"}, 2: {"A", "B", "C"}, 3: {"A", "D"}, 4: {"A", "E"}, 5: {"A", "B", "F", "G"}, 6: {"A"}, 9: {"A", "B"}}
+
+
+def test_only_words_that_may_begin_an_alias_leave_the_text(spark):
+    from hirelake.operators.phrases import occurrences, catalog_table, alias_index, known_words, may_begin
+    df = spark.createDataFrame([(k, "lorem ipsum data lake dolor " * 50) for k in range(4)], "key int, text string")
+    index = alias_index(catalog_table(spark, [("A", "c", ["data"]), ("B", "c", ["data lake"])]))
+    words = spark.createDataFrame([("data", None, None), ("data", " ", "lake"), ("lorem", None, None), ("data", " ", "set")], "a string, b string, c string")
+    marked = words.crossJoin(known_words(index)).select(may_begin(F.col("a"), F.col("b"), F.col("c")))
+    assert [r[0] for r in marked.collect()] == [True, True, False, False]
+    hits = occurrences(df, ["key"], "text", catalog_table(spark, [("A", "c", ["data"])]), every=False)
+    assert hits.count() == 200 and hits.where("hit is null").count() == 0
+
+
+def test_fold_simple_of_plain_and_special_characters(spark):
+    from hirelake.functions.text import fold_simple
+    texts = ["ABC def", "İstanbul ıŞık", "ΟΔΟΣ Σ", "Kelvin Ångström", "ſtraße", "µ ϐ", "ÀÉÜ ß", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(fold_simple("t")).collect()]
+    assert got == ["abc def", "istanbul işik", "οδοσ σ", "kelvin ångström", "straße", "μ β", "àéü ß", None, ""]
