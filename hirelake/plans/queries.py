@@ -1053,13 +1053,13 @@ def q_quarantine_bad_rows(spark, sf_dir):
 
 @register("route_by_platform")
 def q_route_by_platform(spark, sf_dir):
-    from hirelake.sources.bronze import conform_columns, land_file, route_by_platform, scratch_dir
+    from hirelake.sources.bronze import conform_columns, land_files, route_by_platform, scratch_dir
     land, bronze = scratch_dir(spark, "flat-landing"), scratch_dir(spark, "routed")
     raw = conform_columns(P(spark, sf_dir).raw)
     keyword = _file_keyword()
+    name = F.concat(F.lit("2026-12-02_"), F.when(keyword == "sabbar", F.upper(keyword)).otherwise(keyword), F.lit("_jobs"))
     # a folder name never counts, so the landing folder carries a misleading one
-    for k in ("sabbar", "tanqeeb", "gulftalent", "jadarat", "other"):
-        land_file(raw.filter(keyword == k), f"{land}/tanqeeb_drop", f"2026-12-02_{k.upper() if k == 'sabbar' else k}_jobs")
+    land_files(raw.withColumn("__file", name), f"{land}/tanqeeb_drop", "__file")
     return _text_digest(route_by_platform(spark, f"{land}/tanqeeb_drop", bronze))
 
 

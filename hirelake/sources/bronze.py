@@ -8,7 +8,9 @@ platform comes from the folder name (partition discovery).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from hirelake.session import scratch_dir
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in rules.RAW_COLUMNS])
 CORRUPT_COL = "_corrupt_record"
+#: Rows of a written CSV file at most.
+FILE_ROWS = 20_000
 
 
 def csv_reader(spark: SparkSession, schema: T.StructType):
@@ -47,7 +51,8 @@ def quarantine_bad_rows(spark: SparkSession, path: str) -> tuple[DataFrame, Data
           .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
     # one pass over the files: parsed rows are written once, split by whether they could be read
     out = scratch_dir(spark, "parsed")
-    df.withColumn("__bad", F.col(CORRUPT_COL).isNotNull()).write.partitionBy("__bad").parquet(out)
+    with unsorted_partitions(spark):
+        df.withColumn("__bad", F.col(CORRUPT_COL).isNotNull()).write.partitionBy("__bad").option("compression", "zstd").parquet(out)
     parsed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__bad", T.BooleanType())])).parquet(out)
     return parsed.filter(~F.col("__bad")).drop("__bad", CORRUPT_COL), parsed.filter("__bad").select(CORRUPT_COL)
 
@@ -91,27 +96,56 @@ def union_conformed(frames: Sequence[DataFrame], columns: Sequence[str] = rules.
     return out
 
 
+@contextmanager
+def unsorted_partitions(spark: SparkSession, writers: int = 16) -> Iterator[None]:
+    """Writes split by a column keep up to ``writers`` files open in a task instead of sorting
+    (and spilling) whole rows; tasks that meet more values sort the rest."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(writers))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """CSV with a header row; empty text is written as an empty field, so it
-    reads back as null, like the landed files."""
+    reads back as null, like the landed files.
+
+    Files are compressed and hold at most ``FILE_ROWS`` rows: quoted fields may span
+    lines, so a file is read by one task.
+    """
     w = (df.write.mode(mode).option("header", True).option("emptyValue", "").option("escape", '"')
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", FILE_ROWS))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.csv(path)
+    with unsorted_partitions(df.sparkSession):
+        w.csv(path)
 
 
-def land_file(df: DataFrame, folder: str, name: str) -> None:
-    """Rows as files ``<name>-<n>.csv`` in a landing folder, as an upload leaves them."""
+def land_files(df: DataFrame, folder: str, name_col: str) -> None:
+    """Rows as files ``<name>-<n>.csv.gz`` in a landing folder, as uploads leave them; ``name_col``
+    (not null) names each row's file and is not written.  One pass over the rows."""
     spark = df.sparkSession
     tmp = scratch_dir(spark, "upload")
-    write_csv(df, tmp)
+    write_csv(df, tmp, partition_by=[name_col])
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
-    files = [f.getPath() for f in fs.listStatus(path(tmp)) if f.getPath().getName().startswith("part-")]
-    for n, f in enumerate(sorted(files, key=lambda x: x.getName())):
-        fs.rename(f, path(f"{folder}/{name}-{n}.csv"))
+    for part in fs.listStatus(path(tmp)):
+        if not part.isDirectory():
+            continue
+        name = unquote(part.getPath().getName().split("=", 1)[1])
+        files = [f.getPath() for f in fs.listStatus(part.getPath()) if f.getPath().getName().startswith("part-")]
+        for n, f in enumerate(sorted(files, key=lambda x: x.getName())):
+            fs.rename(f, path(f"{folder}/{name}-{n}.csv.gz"))
+
+
+def land_file(df: DataFrame, folder: str, name: str) -> None:
+    """Rows as files of one name (:func:`land_files`)."""
+    land_files(df.withColumn("__file", F.lit(name)), folder, "__file")
 
 
 def write_csv_snapshot(df: DataFrame, path: str) -> DataFrame:

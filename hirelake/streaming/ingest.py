@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from hirelake.functions import rules
 from hirelake.functions.dates import try_timestamp_ntz
-from hirelake.sources.bronze import CORRUPT_COL, RAW_SCHEMA
+from hirelake.sources.bronze import CORRUPT_COL, RAW_SCHEMA, unsorted_partitions
 
 #: What ingestion adds to the raw columns.
 ADDED = [T.StructField("platform", T.StringType()), T.StructField("row_id", T.LongType()), T.StructField("description_id", T.StringType()),
@@ -58,7 +58,8 @@ def load_batch(rows: DataFrame, batch: int, table: str) -> None:
     state = F.when(F.col(CORRUPT_COL).isNotNull(), "bad").when(ts.isNull(), "undated").otherwise("good")
     out = rows.select(*rules.RAW_COLUMNS, "platform", row_id.alias("row_id"), F.sha2("description", 256).alias("description_id"),
                       ts.alias("collected_ts"), CORRUPT_COL, state.alias("state"))
-    out.write.mode("overwrite").partitionBy("state").parquet(f"{table.rstrip('/')}/batch={batch}")
+    with unsorted_partitions(rows.sparkSession):
+        out.write.mode("overwrite").partitionBy("state").option("compression", "zstd").parquet(f"{table.rstrip('/')}/batch={batch}")
 
 
 def ingest_new_files(spark: SparkSession, landing: str, table: str, checkpoint: str) -> int:

@@ -104,3 +104,42 @@ def test_platform_from_file_name_only(spark):
     names = ["x_SABBAR.csv", "tanqeeb_gulftalent.csv", "gulftalent.csv", "jadarat-1.csv", "other.csv"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     assert [r[0] for r in df.select(platform_from_name(F.col("n"))).collect()] == ["sabbar", "tanqeeb", "golftalent", "jadarat", None]
+
+
+def _files(path, end):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(_local(path)) for f in names if f.endswith(end))
+
+
+def test_written_csv_is_compressed_in_bounded_files_without_a_sort(spark, monkeypatch):
+    import gzip
+    from hirelake.sources import bronze
+    monkeypatch.setattr(bronze, "FILE_ROWS", 10)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    out = scratch_dir(spark, "t-csv")
+    cols = [F.concat(F.lit(f"{c}\n"), F.col("id").cast("string")).alias(c) for c in HEADER.split(",")]
+    df = spark.range(0, 95, 1, 2).select(*cols, F.when(F.col("id") % 3 > 0, F.concat(F.lit("p"), (F.col("id") % 3).cast("string"))).alias("platform"))
+    bronze.write_csv(df, out, partition_by=["platform"])
+    assert spark.conf.get(key, None) == before
+    files = _files(out, ".csv.gz")
+    assert len(files) >= 10 and not _files(out, ".csv")
+    assert all(gzip.open(f, "rt").read().count("description\n") <= 11 for f in files)
+    got = read_bronze(spark, out)
+    assert sorted(tuple(r) for r in got.select(*df.columns[:2]).collect()) == sorted(tuple(r) for r in df.select(*df.columns[:2]).collect())
+    assert {r[0]: r[1] for r in got.groupBy("platform").count().collect()} == {"p1": 32, "p2": 31, None: 32}
+
+
+def test_files_of_several_names_land_in_one_pass(spark):
+    from hirelake.sources import bronze
+    folder = scratch_dir(spark, "t-drop")
+    cols = [F.lit("x").alias(c) for c in HEADER.split(",")[1:]]
+    names = F.when(F.col("id") < 7, "2026-12-02_a=b jobs").otherwise("2026-12-02_SABBAR_jobs")
+    seen = spark.sparkContext.accumulator(0)
+    ids = spark.createDataFrame(spark.sparkContext.parallelize(range(10), 1).map(lambda i: (seen.add(1), (i,))[1]), "id long")
+    bronze.land_files(ids.select(F.col("id").cast("string").alias("source_job_id"), *cols, names.alias("__file")), folder, "__file")
+    assert seen.value == 10
+    assert [os.path.basename(f) for f in _files(folder, ".gz")] == ["2026-12-02_SABBAR_jobs-0.csv.gz", "2026-12-02_a=b jobs-0.csv.gz"]
+    got = read_bronze(spark, folder, with_platform=False)
+    assert sorted(int(r.source_job_id) for r in got.select("source_job_id").collect()) == list(range(10))
+    routed = bronze.route_by_platform(spark, folder, scratch_dir(spark, "t-routed"))
+    assert {r[0]: r[1] for r in routed.groupBy("platform").count().collect()} == {None: 7, "sabbar": 3}
