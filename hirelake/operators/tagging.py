@@ -265,15 +265,28 @@ def tag_documents(work: DataFrame, catalog: Catalog | DataFrame, key_col: str =
     return ids.join(tags, "__tid", "inner").drop("__tid")
 
 
+def with_live_text(keyed: DataFrame, texts: DataFrame, id_col: str = "description_id", text_col: str = "description") -> DataFrame:
+    """Rows whose text, by its id, is not blank; no text moves."""
+    live = texts.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
+    return keyed.join(live.select(id_col), id_col, "left_semi").select(*keyed.columns)
+
+
 def tag_postings(final: DataFrame, catalog: Catalog | DataFrame, tagged: DataFrame | None = None,
                  log: DataFrame | None = None, key_col: str = "job_key", text_col: str = "description",
-                 translated_col: str | None = None) -> DataFrame:
+                 translated_col: str | None = None, texts: DataFrame | None = None, id_col: str = "description_id") -> DataFrame:
     """The tagging run over the postings table: the work queue of
     :func:`pending_work`, kept narrow (key, content hash) while it is
-    de-duplicated and anti-joined; texts are tagged once per hash."""
-    ok = final.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
-    content = [F.col(text_col)] + ([F.coalesce(F.col(translated_col), F.lit(""))] if translated_col else [])
-    tid = F.sha2(F.concat_ws("\u0001", *content), 256)
+    de-duplicated and anti-joined; texts are tagged once per hash.
+
+    With ``texts`` (id, text) the postings carry the id of their text instead of
+    the text, and no text is hashed or joined to postings.
+    """
+    if texts is None:
+        ok = final.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
+        content = [F.col(text_col)] + ([F.coalesce(F.col(translated_col), F.lit(""))] if translated_col else [])
+        tid = F.sha2(F.concat_ws("\u0001", *content), 256)
+    else:
+        ok, tid = with_live_text(final, texts, id_col, text_col), F.col(id_col)
     ids = keep_latest(ok.select(key_col, tid.alias("__tid")), [key_col], [F.col("__tid").asc()])
     if tagged is not None:
         ids = ids.join(tagged.select(key_col), key_col, "left_anti")
@@ -281,9 +294,9 @@ def tag_postings(final: DataFrame, catalog: Catalog | DataFrame, tagged: DataFra
         done = log.filter(F.col("status").isin(rules.STATUS_FOUND, rules.STATUS_NONE)).select(key_col)
         ids = ids.join(done, key_col, "left_anti")
     cols = [text_col] + ([translated_col] if translated_col else [])
-    texts = (ok.select(tid.alias("__tid"), *cols).dropDuplicates(["__tid"])
-             .join(ids.select("__tid").distinct(), "__tid", "left_semi"))
-    tags = tag_texts(texts, "__tid", text_col, catalog, translated_col)
+    found = ok.select(tid.alias("__tid"), *cols).dropDuplicates(["__tid"]) if texts is None else texts.select(F.col(id_col).alias("__tid"), *cols)
+    live = found.join(ids.select("__tid").distinct(), "__tid", "left_semi")
+    tags = tag_texts(live, "__tid", text_col, catalog, translated_col)
     return ids.join(tags, "__tid", "inner").drop("__tid")
 
 

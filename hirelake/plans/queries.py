@@ -279,16 +279,18 @@ def q_pending_work(spark, sf_dir):
 @register("tag_run_log")
 def q_tag_run_log(spark, sf_dir):
     """Two runs over Arabic and other texts; what the first one's translator fails at is taken up by the second."""
-    from hirelake.operators.tagging import outcome_log, pending_work, text_outcomes
+    from hirelake.operators.tagging import outcome_log, outcomes_by_text_id, pending_work, with_live_text
     from hirelake.sources.bronze import append_log, scratch_dir
     from hirelake.sources.catalog import catalog_of
-    path, catalog = scratch_dir(spark, "run-log"), catalog_of(spark, sf_dir)
-    arabic = F.when(F.col("job_key").startswith("a"), F.lit(GLOSSARY_TEXTS[0])).when(F.col("job_key").startswith("b"), F.lit(GLOSSARY_TEXTS[1]))
-    final = P(spark, sf_dir).final().select("job_key", F.coalesce(arabic, "description").alias("description"))
+    path, catalog, p = scratch_dir(spark, "run-log"), catalog_of(spark, sf_dir), P(spark, sf_dir)
+    arabic = F.when(F.col("job_key").startswith("a"), F.lit("arabic-0")).when(F.col("job_key").startswith("b"), F.lit("arabic-1"))
+    texts = p.texts().unionByName(spark.createDataFrame([(f"arabic-{n}", t) for n, t in enumerate(GLOSSARY_TEXTS)], "description_id string, description string"))
+    # the queue holds ids of texts; each text is tagged once in a run
+    final = with_live_text(p.final_narrow().select("job_key", F.coalesce(arabic, "description_id").alias("description_id")), texts)
     log = None
     for ts, words in ((T1, GLOSSARY), (T2, GLOSSARY | MORE_WORDS)):
-        work = pending_work(final, None, log)
-        append_log(outcome_log(text_outcomes(work, ["job_key"], "description", catalog, translate=_glossary(words)), ts), path)
+        work = pending_work(final, None, log, text_col="description_id")
+        append_log(outcome_log(outcomes_by_text_id(work, texts, catalog, translate=_glossary(words)), ts), path)
         log = spark.read.parquet(path)
     return log
 
@@ -1136,19 +1138,19 @@ def q_materialize(spark, sf_dir):
 
 @register("append_log")
 def q_append_log(spark, sf_dir):
-    from hirelake.operators.tagging import tag_postings, tag_run_log
+    from hirelake.operators.tagging import tag_postings, tag_run_log, with_live_text
     from hirelake.sources.bronze import append_log, scratch_dir
     from hirelake.sources.catalog import catalog_of
-    path = scratch_dir(spark, "tag-log")
-    catalog = catalog_of(spark, sf_dir)
-    final = P(spark, sf_dir).final()
+    path, p = scratch_dir(spark, "tag-log"), P(spark, sf_dir)
+    catalog, texts = catalog_of(spark, sf_dir), p.texts()
+    final = p.final_narrow().select("job_key", "collected_at", "description_id")
     early = final.filter(F.col("collected_at") <= F.lit(CUTOFF).cast("timestamp_ntz"))
-    run1 = tag_postings(early, catalog)
-    work1 = early.filter(F.trim("description") != "").select("job_key").distinct()
+    run1 = tag_postings(early, catalog, texts=texts)
+    work1 = with_live_text(early, texts).select("job_key").distinct()
     append_log(tag_run_log(work1, run1, T1), path)
     logged = spark.read.parquet(path)
-    run2 = tag_postings(final, catalog, log=logged)
-    work2 = final.filter(F.trim("description") != "").select("job_key").distinct().join(
+    run2 = tag_postings(final, catalog, log=logged, texts=texts)
+    work2 = with_live_text(final, texts).select("job_key").distinct().join(
         logged.select("job_key"), "job_key", "left_anti")
     append_log(tag_run_log(work2, run2, T2), path)
     return spark.read.parquet(path)

@@ -189,3 +189,17 @@ def test_fold_simple_of_plain_and_special_characters(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(fold_simple("t")).collect()]
     assert got == ["abc def", "istanbul işik", "οδοσ σ", "kelvin ångström", "straße", "μ β", "àéü ß", None, ""]
+
+
+def test_postings_by_text_id_are_tagged_as_by_text(spark):
+    """Blank, null and unknown texts give no tags; each text is tagged once however many postings share it."""
+    from hirelake.operators.tagging import tag_postings, with_live_text
+    texts = spark.createDataFrame([("t0", "java and c++"), ("t1", "  "), ("t2", None), ("t3", "ai")], "description_id string, description string")
+    posts = spark.createDataFrame([(f"k{i}", f"t{i % 5}" if i % 7 else None) for i in range(40)], "job_key string, description_id string")
+    wide = posts.join(texts, "description_id", "left").select("job_key", "description")
+    cols = ["job_key", "skill_name", "evidence_span"]
+    by_id, by_text = tag_postings(posts, CATALOG, texts=texts), tag_postings(wide, CATALOG)
+    assert sorted(rows(by_id, *cols)) == sorted(rows(by_text, *cols)) and by_id.count() > 10
+    assert {r[0] for r in rows(with_live_text(posts, texts), "description_id")} == {"t0", "t3"}
+    log = posts.select("job_key").limit(20).selectExpr("job_key", "'found' AS status")
+    assert sorted(rows(tag_postings(posts, CATALOG, log=log, texts=texts), *cols)) == sorted(rows(tag_postings(wide, CATALOG, log=log), *cols))
