@@ -3,7 +3,7 @@
 The catalog is a table of aliases (:func:`catalog_table`).  Every alias is keyed by
 its first word, or by its first two words and what stands between them; a text is cut
 once into runs of word characters and of others, every place where a key may stand (its
-hash is marked in a small table of bits) goes out with what stands around it, and an
+hash is marked in a small table) goes out with what stands around it, and an
 equi-join on the key brings the aliases that could begin there.  What follows decides.
 The plan is the same for ten aliases and a million: Spark broadcasts the catalog up to
 its byte threshold and shuffles both sides beyond it.
@@ -29,9 +29,8 @@ Catalog = Sequence[tuple[str, str, Sequence[str]]]
 
 WORD = r"[\p{L}\p{N}_]"
 RUNS = rf"(?s){WORD}++|[^\p{{L}}\p{{N}}_]++"
-#: Beginnings of aliases are marked in 2**SLOT_BITS numbers of 64 bits (16 KB).
-SLOT_BITS = 11
-SLOTS = 1 << SLOT_BITS
+#: Keys of aliases are marked by their hash in 2**KEY_BITS booleans (128 KB).
+KEY_BITS = 17
 CATALOG_SCHEMA = "entry int, skill_name string, skill_category string, alias_rank int, alias string"
 
 
@@ -73,25 +72,32 @@ def alias_index(table: DataFrame) -> DataFrame:
 
 
 def known_words(index: DataFrame) -> DataFrame:
-    """One row, whatever the catalog: ``__size`` of the longest core, and ``__bits``, in which the
-    key of every alias has marked the bit of its hash (:func:`may_begin`)."""
-    slot, bit = _bit_of("word", "sep", "second")
-    marks = index.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"), "size")
-    none = index.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("bits"), F.lit(1).alias("size"))
-    slots = marks.unionByName(none).groupBy("slot").agg(F.bit_or("bits").alias("bits"), F.max("size").alias("size"))
-    ordered = F.array_sort(F.collect_list(F.struct("slot", "bits")))
-    return slots.agg(F.max("size").alias("__size"), ordered["bits"].alias("__bits"))
+    """One row, whatever the catalog: ``__size`` of the longest core, and ``__marks``, in which the
+    key of every alias has marked its hash (:func:`may_begin`)."""
+    longest = index.agg(F.coalesce(F.max("size"), F.lit(1)).alias("__size"))
+    return longest.crossJoin(hash_marks(index, ["word", "sep", "second"], KEY_BITS))
 
 
-def _bit_of(*runs: ColumnOrName) -> tuple[Column, Column]:
-    h = F.xxhash64(*runs)
-    return F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int"), h.bitwiseAND(F.lit(63).cast("long")).cast("int")
+def hash_marks(df: DataFrame, cols: Sequence[ColumnOrName], bits: int) -> DataFrame:
+    """One row, whatever the size of ``df``: ``__marks``, 2**bits booleans of which every row has set the one of its hash."""
+    marks = df.select(_slot_of(cols, bits).alias("slot"), F.lit(True).alias("set"))
+    none = df.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("slot"), F.lit(False).alias("set"))
+    slots = marks.unionByName(none).groupBy("slot").agg(F.bool_or("set").alias("set"))
+    return slots.agg(F.array_sort(F.collect_list(F.struct("slot", "set")))["set"].alias("__marks"))
+
+
+def _slot_of(cols: Sequence[ColumnOrName], bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*cols), 64 - bits).cast("int")
+
+
+def marked_in(marks: ColumnOrName, cols: Sequence[ColumnOrName], bits: int) -> Column:
+    """False only for values that are no row's of :func:`hash_marks`."""
+    return F.get(marks, _slot_of(cols, bits))
 
 
 def may_begin(*runs: Column) -> Column:
     """False only for runs (one or three) that are no alias's key."""
-    slot, bit = _bit_of(*runs)
-    return F.getbit(F.get("__bits", slot), bit) == 1
+    return marked_in("__marks", runs, KEY_BITS)
 
 
 def occurrences(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, table: DataFrame, extra: Column | None = None, every: bool = True) -> DataFrame:
@@ -105,29 +111,27 @@ def occurrences(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, table
     own = col(text)
     cut = texts.select(*keys, F.regexp_extract_all(own, F.lit(RUNS), F.lit(0)).alias("__own"),
                        F.regexp_extract_all(fold_simple(own), F.lit(RUNS), F.lit(0)).alias("__folded"),
+                       F.when(own.rlike("^" + WORD), 0).otherwise(1).alias("__first"),
                        (F.lit(None).cast("string") if extra is None else extra).alias("__extra"))
     cut = cut.crossJoin(F.broadcast(known_words(index)))
     index = index.drop("word", "sep", "second")
-    first = F.when(F.get("__own", F.lit(0)).rlike(WORD), 0).otherwise(1)
-
-    def token(place: Column, key: Column) -> Column:
-        # one run more than the longest alias has makes the longest window
-        return F.struct(place.alias("place"), key.alias("__key"), F.when(place > 0, F.get("__own", place - 1)).otherwise(F.lit("")).alias("before"),
-                        F.array_join(F.slice("__own", place + 1, F.col("__size") + 1), "").alias("after"),
-                        F.lit(None).cast(cut.schema["__extra"].dataType).alias("extra"))
-
-    none = F.struct(F.lit(-1).alias("place"), F.lit(None).cast("string").alias("__key"), F.lit(None).cast("string").alias("before"),
-                    F.lit(None).cast("string").alias("after"), F.col("__extra").alias("extra"))
-    places = F.when(first < F.size("__own"), F.sequence(first, F.size("__own") - 1, F.lit(2)))
-
-    def tokens_by(n: int) -> Column:
-        """Tokens keyed by ``n`` runs."""
-        at = lambda i: [F.get("__folded", i + k) for k in range(n)]
-        found = F.transform(F.filter(places, lambda i: may_begin(*at(i))), lambda i: token(i, F.concat(*at(i))))
-        return F.coalesce(found, F.array().cast(f"array<{_token_type(cut)}>"))
-
-    tokens = cut.select(*keys, F.explode(F.concat(*([F.array(none)] if every else []), tokens_by(1), tokens_by(3))).alias("t"))
-    tokens = tokens.select(*keys, "t.place", "t.__key", "t.before", "t.after", "t.extra")
+    # the place -1 stands for the text itself; an outer explode, as for an inner one Spark would cut each text once more to see whether it has words
+    size = F.size("__folded")
+    places = F.when(F.col("__first") < size, F.sequence(F.col("__first"), size - 1, F.lit(2)))
+    places = F.concat(F.array(F.lit(-1)), F.coalesce(places, F.array().cast("array<int>"))) if every else places
+    place = F.col("place")
+    placed = cut.select("*", F.explode_outer(places).alias("place"))
+    three = [F.get("__folded", place + k) for k in range(3)]
+    may = may_begin(three[0]) | may_begin(*three)
+    placed = placed.where((place < 0) | may if every else place.isNotNull() & may)
+    found = F.array(F.when(may_begin(three[0]), three[0]), F.when(may_begin(*three), F.concat(*three)))
+    found = F.when(place < 0, F.array(F.lit(None).cast("string"))).otherwise(found) if every else found
+    # one run more than the longest alias has makes the longest window
+    after = F.array_join(F.slice("__own", place + 1, F.col("__size") + 1), "")
+    tokens = placed.select(*keys, place, F.explode_outer(found).alias("__key"),
+                           F.when(place < 0, F.lit(None)).when(place > 0, F.get("__own", place - 1)).otherwise(F.lit("")).alias("before"),
+                           F.when(place >= 0, after).alias("after"), F.when(place < 0, F.col("__extra")).alias("extra"))
+    tokens = tokens.where((place < 0) | F.col("__key").isNotNull())
     core, lead = F.col("core"), F.col("lead")
     rest = F.substring("after", F.length(core) + 1, F.lit(1))
     begins = (lead == "") | (fold_simple("before").endswith(lead) & ((F.length("before") > F.length(lead)) | (F.col("place") == 1)))
@@ -147,10 +151,6 @@ def first_places(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.select(*keys, F.when(F.col("__found"), hit).alias("hit"), "extra")
 
 
-def _token_type(cut: DataFrame) -> str:
-    return f"struct<place:int,__key:string,before:string,after:string,extra:{cut.schema['__extra'].dataType.simpleString()}>"
-
-
 def hits_per_text(texts: DataFrame, keys: Sequence[str], text: ColumnOrName, catalog: Catalog | DataFrame, extra: Column | None = None) -> DataFrame:
     """One row per ``keys``: ``hits``, of every entry found its first alias at its first place, by entry; ``extra``.
 

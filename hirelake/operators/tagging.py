@@ -23,7 +23,10 @@ from pyspark.sql import types as T
 from hirelake.functions import rules
 from hirelake.functions.text import ColumnOrName, col, fold_case
 from hirelake.operators.dedupe import keep_latest
-from hirelake.operators.phrases import Catalog, first_hit, hits_per_text
+from hirelake.operators.phrases import Catalog, first_hit, hash_marks, hits_per_text, marked_in
+
+#: Keys that several rows have are marked by their hash in 2**REPEATED_BITS booleans (256 KB); the more there are, the more texts go by rows of words.
+REPEATED_BITS = 18
 
 #: Text in, text out; may raise.
 Translator = Callable[[str], str]
@@ -128,9 +131,22 @@ def joined_candidates(cands: DataFrame, key_col: str = "job_key", threshold: flo
     """Neighbouring words (positions one apart) above the threshold as one
     candidate: words joined by blanks, the first position, the mean score.
 
-    A run of neighbours is one group of rows; its position less its rank stays
-    the same.  A key's rows meet in one task: they are the words of one text.
+    ``cands`` has one row a word (key, ``position``, ``word``, ``score``), or one row a text
+    (key, ``words``: an array of ``word`` and ``score``, the position being the place in it).
+    Words of a text are joined within its row and nothing moves; only texts whose key
+    other rows may have too become rows of words, which count as one text.
     """
+    if "words" not in cands.columns:
+        return _joined_rows(cands, key_col, threshold)
+    repeated = cands.groupBy(key_col).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    may_repeat = marked_in(hash_marks(repeated, [key_col], REPEATED_BITS).scalar(), [key_col], REPEATED_BITS)
+    rows = cands.where(may_repeat).select(key_col, F.posexplode("words").alias("position", "__w")).select(key_col, "position", "__w.word", "__w.score")
+    return _joined_in_row(cands.where(~may_repeat), key_col, threshold).unionByName(_joined_rows(rows, key_col, threshold))
+
+
+def _joined_rows(cands: DataFrame, key_col: str, threshold: float) -> DataFrame:
+    """A run of neighbours is one group of rows; its position less its rank stays
+    the same.  A key's rows meet in one task: they are the words of one text."""
     kept = cands.where(F.col("score") >= threshold)
     rank = F.row_number().over(Window.partitionBy(key_col).orderBy("position"))
     parts = F.array_sort(F.collect_list(F.struct("position", "word")))
@@ -139,6 +155,25 @@ def joined_candidates(cands: DataFrame, key_col: str = "job_key", threshold: flo
     return runs.select(key_col, F.get("__parts", F.lit(0))["position"].alias("position"), F.array_join("__parts.word", " ").alias("word"), "score")
 
 
+def _joined_in_row(texts: DataFrame, key_col: str, threshold: float) -> DataFrame:
+    """What stands between two words below the threshold (or an end of the text) is a run of neighbours."""
+    places = F.when(F.col("words").isNotNull(), F.sequence(F.lit(0), F.size("words")))
+    ends = F.filter(places, lambda i: ~F.coalesce(F.get("words", i)["score"] >= threshold, F.lit(False)))  # the place behind the last word too
+
+    def run(end: Column, k: Column) -> Column:
+        start = F.when(k > 0, F.get("__ends", k - 1) + 1).otherwise(0)
+        return F.struct(start.alias("position"), F.slice("words", start + 1, end - start).alias("parts"))
+
+    def candidate(r: Column) -> Column:
+        score = F.aggregate(r["parts"]["score"], F.lit(0.0), lambda a, b: a + b) / F.size(r["parts"])
+        return F.struct(r["position"].alias("position"), F.array_join(r["parts"]["word"], " ").alias("word"), score.alias("score"))
+
+    runs = F.filter(F.transform("__ends", run), lambda r: F.size(r["parts"]) > 0)
+    # an outer explode, as for an inner one Spark would make the runs once more to see whether there are any
+    found = texts.select(key_col, "words", ends.alias("__ends")).select(key_col, F.explode_outer(F.transform(runs, candidate)).alias("__c"))
+    return found.where(F.col("__c").isNotNull()).select(key_col, "__c.*")
+
+
 def resolve_scored_candidates(cands: DataFrame, catalog: Catalog | DataFrame, key_col: str = "job_key",
                               threshold: float = rules.CONFIDENCE_THRESHOLD, evidence: DataFrame | None = None,
                               evidence_chars: int | None = None, unescape: bool = True) -> DataFrame:

@@ -720,11 +720,10 @@ def q_status_history(spark, sf_dir):
 
 # -- 2.11 candidates and phrase resolution over documents ------------------------------------------
 
-def _doc_tokens(spark, sf_dir, more=None):
+def _doc_words(spark, sf_dir, more=None):
     from hirelake.operators.tagging import html_unescape
     d = _table(spark, sf_dir, "documents").select("doc_id", html_unescape("text").alias("text"))
-    text = F.col("text") if more is None else F.concat("text", more)
-    return d.select("doc_id", F.posexplode(F.split(text, " ")).alias("position", "word"))
+    return d.select("doc_id", F.split(F.col("text") if more is None else F.concat("text", more), " ").alias("words"))
 
 
 @register("resolve_phrase")
@@ -737,14 +736,16 @@ def q_resolve_phrase(spark, sf_dir):
 @register("clean_candidate")
 def q_clean_candidate(spark, sf_dir):
     from hirelake.operators.tagging import clean_candidate
-    return _doc_tokens(spark, sf_dir).select("doc_id", "position", clean_candidate("word", unescape=False).alias("candidate"))
+    words = _doc_words(spark, sf_dir).select("doc_id", F.posexplode("words").alias("position", "word"))
+    return words.select("doc_id", "position", clean_candidate("word", unescape=False).alias("candidate"))
 
 
 def _scored(spark, sf_dir):
-    """Words as a model scores them (by their length here); some documents end with symbols, a skill of two words and a sharp s."""
+    """Words of each text as a model scores them (by their length here); some documents end with symbols, a skill of two words and a sharp s."""
     planted = F.when(F.col("doc_id") % 10 == 0, F.lit(" with C++ from Straße with STRASSE have problem solving")).otherwise(F.lit(""))
-    t = _doc_tokens(spark, sf_dir, planted)
-    return t.select(F.col("doc_id").alias("job_key"), "position", "word", ((F.length("word") % 4 + 13) / 16.0).cast("double").alias("score"))
+    score = lambda w: ((F.length(w) % 4 + 13) / 16.0).cast("double")
+    scored = F.transform("words", lambda w: F.struct(w.alias("word"), score(w).alias("score")))
+    return _doc_words(spark, sf_dir, planted).select(F.col("doc_id").alias("job_key"), scored.alias("words"))
 
 
 @register("resolve_scored_candidates")
