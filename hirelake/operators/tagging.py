@@ -51,12 +51,15 @@ def html_unescape(c: ColumnOrName) -> Column:
     return F.coalesce(_unescape_udf(F.when(x.rlike(ENTITY_START), x)), x)
 
 
+# Whitespace that collapsing changes: two in a row, or any other than a blank.
+WIDE_SPACE = r"(?U)\s\s|[^\S ]"
+
+
 def normalize_text(c: ColumnOrName, unescape: bool = True) -> Column:
     """Unescape entities, tags -> space, whitespace runs -> one space, trim."""
     x = html_unescape(c) if unescape else col(c)
-    x = F.regexp_replace(x, r"<[^>]+>", " ")
-    x = F.regexp_replace(x, r"(?U)\s+", " ")
-    return F.btrim(x, F.lit(" "))
+    clean = F.regexp_replace(F.regexp_replace(x, r"<[^>]+>", " "), r"(?U)\s+", " ")
+    return F.btrim(F.when(x.contains("<") | x.rlike(WIDE_SPACE), clean).otherwise(x), F.lit(" "))
 
 
 def detect_arabic(c: ColumnOrName) -> Column:
@@ -263,7 +266,8 @@ def text_outcomes(texts: DataFrame, keys: Sequence[str], text_col: str, catalog:
 
     One row per ``keys`` with ``tags`` and ``error``; only Arabic texts go to the translator.
     """
-    prepared = texts.select(*keys, normalize_text(text_col).alias("__orig"),
+    # out of an array, or Spark would normalise the text anew at every use of it
+    prepared = texts.select(*keys, F.explode(F.array(normalize_text(text_col))).alias("__orig"),
                             *([F.col(translated_col).alias("__tr")] if translated_col else []))
     arabic = detect_arabic("__orig")
     if translate is not None:
